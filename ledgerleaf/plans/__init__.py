@@ -2,5 +2,5 @@
 
 import importlib
 
-for _family in ("relational",):
+for _family in ("relational", "texts",):
     importlib.import_module(f"ledgerleaf.plans.{_family}")
