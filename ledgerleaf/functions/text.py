@@ -75,6 +75,7 @@ GUARDED_STOP = "\u0002"
 GUARD: Rules = [(rf"(^|[^A-Za-z])({'|'.join(ABBREVIATIONS)})\.", f"$1$2{GUARDED_STOP}")]
 MARK_SENTENCES: Rules = [*GUARD, (r"([.!?])[ \t\r\n]+", f"$1{SENTENCE_END}")]
 
+SPAN_ARRAY = "array<struct<start:int,end:int,entity:string>>"
 TOKEN_PATTERN = r"[\p{L}_]+"
 WORD_OR_MARK = r"[A-Za-z0-9]+|[^A-Za-z0-9 \t\r\n]"
 
@@ -85,8 +86,9 @@ def apply_rules(text: Column, rules: Rules) -> Column:
     return text
 
 
-def trimmed(text: Column) -> Column:
-    return F.trim(text)
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once per row, however often ``use`` mentions it."""
+    return F.transform(F.array(value), use)[0]
 
 
 def strip_markup(html: Column) -> Column:
@@ -142,25 +144,29 @@ def chunks(word_list: Column, size: int, overlap: int = 0) -> Column:
     if not 0 <= overlap < size:
         raise ValueError("overlap must be non-negative and below the chunk size")
     step = size - overlap
-    count = F.greatest(F.lit(1), F.ceil((F.size(word_list) - overlap) / F.lit(step)).cast("int"))
-    pieces = F.transform(
-        F.sequence(F.lit(0), count - 1), lambda i: F.array_join(F.slice(word_list, i * step + 1, size), " ")
-    )
-    return F.when(F.size(word_list) > 0, pieces).otherwise(F.array().cast("array<string>"))
+
+    def cut(known: Column) -> Column:
+        count = F.greatest(F.lit(1), F.ceil((F.size(known) - overlap) / F.lit(step)).cast("int"))
+        pieces = F.transform(
+            F.sequence(F.lit(0), count - 1), lambda i: F.array_join(F.slice(known, i * step + 1, size), " ")
+        )
+        return F.when(F.size(known) > 0, pieces).otherwise(F.array().cast("array<string>"))
+
+    return bound(word_list, cut)
 
 
 def lemma(token: Column) -> Column:
     """Singular noun form by suffix rules; words the rules would spoil are listed."""
-    result = F.when(F.length(token) <= 3, token)
-    for plural, singular in LEMMA_EXCEPTIONS.items():
-        result = result.when(token == plural, F.lit(singular))
+    listed = F.create_map(*[F.lit(x) for pair in LEMMA_EXCEPTIONS.items() for x in pair])
     return (
-        result.when(token.endswith("ies"), F.regexp_replace(token, "ies$", "y"))
+        F.when(F.length(token) <= 3, token)
+        .when(token.isin(list(LEMMA_EXCEPTIONS)), F.try_element_at(listed, token))
+        .when(~(token.endswith("s") | token.endswith("men")), token)
+        .when(token.endswith("ies"), F.regexp_replace(token, "ies$", "y"))
         .when(token.rlike("(ss|sh|ch|x|z)es$"), F.regexp_replace(token, "es$", ""))
         .when(token.endswith("men"), F.regexp_replace(token, "men$", "man"))
         .when(token.endswith("ss") | token.endswith("us") | token.endswith("is"), token)
-        .when(token.endswith("s"), F.regexp_replace(token, "s$", ""))
-        .otherwise(token)
+        .otherwise(F.regexp_replace(token, "s$", ""))
     )
 
 
@@ -175,9 +181,7 @@ def match_spans(text: Column, pattern: str) -> Column:
     The text between matches and the matches themselves alternate, so running
     lengths give every offset without leaving the row.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,entity:string>>)").alias("spans"))
+    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {SPAN_ARRAY})").alias("spans"))
 
     def step(state, pair):
         begin = state["at"] + F.length(pair["gap"])
@@ -185,7 +189,9 @@ def match_spans(text: Column, pattern: str) -> Column:
         span = F.struct(begin.alias("start"), end.alias("end"), pair["entity"].alias("entity"))
         return F.struct(end.alias("at"), F.array_append(state["spans"], span).alias("spans"))
 
-    pairs = F.zip_with(gaps, found, lambda g, m: F.struct(g.alias("gap"), m.alias("entity")))
-    pairs = F.filter(pairs, lambda p: p["entity"].isNotNull())
-    walked = F.aggregate(pairs, start, step, lambda state: state["spans"])
-    return F.when(F.size(found) > 0, walked)
+    def walk(found):
+        gaps = F.slice(F.split(text, pattern, -1), 1, F.size(found))
+        pairs = F.zip_with(gaps, found, lambda g, m: F.struct(g.alias("gap"), m.alias("entity")))
+        return F.aggregate(pairs, start, step, lambda state: state["spans"])
+
+    return bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), walk)

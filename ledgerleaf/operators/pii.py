@@ -24,14 +24,13 @@ def spans_of(
     df: DataFrame, key: str, text: str, patterns: dict[str, str] | None = None, keep_text: bool = False
 ) -> DataFrame:
     """``key, entity_type, entity, start, end`` of all matches of all patterns, in one pass over the texts."""
-    found = [
-        F.transform(match_spans(F.col(text), p), lambda s, k=kind: F.struct(F.lit(k).alias("entity_type"), s.alias("s")))
-        for kind, p in (patterns or PATTERNS).items()
-    ]
-    empty = F.expr(
-        "cast(array() as array<struct<entity_type:string,s:struct<start:int,end:int,entity:string>>>)"
-    )
-    spans = F.concat(*[F.coalesce(f, empty) for f in found])
+    def typed(kind: str, pattern: str):
+        return F.transform(
+            match_spans(F.col(text), pattern), lambda s: F.struct(F.lit(kind).alias("entity_type"), s.alias("s"))
+        )
+
+    # A text without matches has empty arrays; a missing text has null and gives no rows.
+    spans = F.concat(*[typed(kind, p) for kind, p in (patterns or PATTERNS).items()])
     rows = df.select(key, *([text] if keep_text else []), F.explode(spans).alias("m"))
     columns = ["m.entity_type", "m.s.entity", "m.s.start", "m.s.end"]
     return rows.select(key, *([text] if keep_text else []), *columns)

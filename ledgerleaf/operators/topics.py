@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerleaf.operators.corpus import by_document, term_counts
+from ledgerleaf.operators.corpus import by_document, content_tokens, term_counts
 from ledgerleaf.operators.frame import lookup_join
+from ledgerleaf.session import checkpointed
 
 
 def _ranked(df: DataFrame, key: str, score: Column, top: int) -> DataFrame:
@@ -61,8 +62,8 @@ def coherence(docs: DataFrame, topics: DataFrame, topic: str, key: str = "doc_id
     ``topics`` lists a few words per topic. Each document keeps only the topic
     words it holds, so its pairs are bounded by the square of a topic's words.
     """
-    words = topics.select(topic, "token")
-    present = term_counts(docs, key, text).select(key, "token").join(F.broadcast(words), "token")
+    words = checkpointed(topics.select(topic, "token"))
+    present = lookup_join(content_tokens(docs, key, text), words, "token", F.col(key)).dropDuplicates([key, topic, "token"])
     sets = present.groupBy(key, topic).agg(F.array_sort(F.collect_list("token")).alias("w"))
     n = docs.agg(F.count("*").alias("n")).scalar()
     single = present.groupBy(topic, "token").agg(F.count("*").alias("df"))

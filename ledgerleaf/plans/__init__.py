@@ -2,5 +2,5 @@
 
 import importlib
 
-for _family in ("relational", "texts",):
+for _family in ("relational", "texts", "documents",):
     importlib.import_module(f"ledgerleaf.plans.{_family}")

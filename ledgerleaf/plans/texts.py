@@ -97,7 +97,7 @@ def _document_rule(name, rules, trim=False):
     @query(name, f"SELECT doc_id, {f'trim({inner})' if trim else inner} AS text FROM documents")
     def _(t):
         cleaned = tx.apply_rules(F.col("text"), rules)
-        return t.documents.select("doc_id", (F.trim(cleaned) if trim else cleaned).alias("text"))
+        return t.texts.select("doc_id", (F.trim(cleaned) if trim else cleaned).alias("text"))
 
 
 _document_rule("f04_remove_digit_words", tx.DIGIT_WORDS, trim=True)
@@ -119,7 +119,7 @@ _document_rule("f12_nbsp_and_plus", tx.NBSP_PLUS)
     + " FROM x",
 )
 def _(t):
-    docs = t.documents.select(F.concat(F.lit("d"), "doc_id").alias("name"), "text")
+    docs = t.texts.select(F.concat(F.lit("d"), "doc_id").alias("name"), "text")
     notes = order_notes(t).select(F.concat(F.lit("n"), "note_id").alias("name"), F.col("note").alias("text"))
     profiles = ("letters", "letters_digits_punct", "keep_punct")
     return docs.unionByName(notes).select("name", *[tx.clean_text(F.col("text"), p).alias(p) for p in profiles])
@@ -127,7 +127,7 @@ def _(t):
 
 @query("s04_html_text", f"SELECT page_id, {sql_strip_markup('html')} AS text FROM pages")
 def _(t):
-    return t.pages.select("page_id", tx.strip_markup(F.col("html")).alias("text"))
+    return t.webpages.select("page_id", tx.strip_markup(F.col("html")).alias("text"))
 
 
 @query(
@@ -137,7 +137,7 @@ def _(t):
 def _(t):
     """Pages with their address as the banner line that precedes the first element."""
     saved = F.concat("url", F.lit("\n"), "html")
-    return t.pages.select("page_id", tx.xml_text(saved).alias("text"))
+    return t.webpages.select("page_id", tx.xml_text(saved).alias("text"))
 
 
 # --- splitting --------------------------------------------------------------------
@@ -148,7 +148,7 @@ def _(t):
         FROM (SELECT doc_id, {sql_sentences('text')} AS s FROM documents)""",
 )
 def _(t):
-    return t.documents.select("doc_id", F.posexplode(tx.sentences(F.col("text"))).alias("sent_no", "sentence"))
+    return t.texts.select("doc_id", F.posexplode(tx.sentences(F.col("text"))).alias("sent_no", "sentence"))
 
 
 @query(
@@ -158,7 +158,7 @@ def _(t):
 )
 def _(t):
     found = tx.tokens(F.col("text"))
-    return t.documents.select(
+    return t.texts.select(
         "doc_id",
         F.size(tx.words(F.col("text"))).cast("bigint").alias("words"),
         F.size(found).cast("bigint").alias("tokens"),
@@ -177,7 +177,7 @@ def _chunk_query(name, size, overlap=0):
     @query(name, sql_chunks("documents", "doc_id", sql_words("text"), size, overlap))
     def _(t):
         pieces = tx.chunks(tx.words(F.col("text")), size, overlap)
-        return t.documents.select("doc_id", F.posexplode(pieces).alias("chunk_no", "chunk"))
+        return t.texts.select("doc_id", F.posexplode(pieces).alias("chunk_no", "chunk"))
 
 
 _chunk_query("f16_chunks_500", 500)
@@ -186,18 +186,13 @@ _chunk_query("f17_overlapping_chunks", 600, 20)
 _chunk_query("v01_index_chunks", 600, 20)
 
 
-@query("f18_preference_pieces")
-def _(t):
-    return preference_pieces(t.documents.select("doc_id", "text"), "doc_id", "text", 256)
-
-
 @query(
     "f18_pieces_restore_text",
     "SELECT doc_id, text, true AS within_limit FROM documents",
 )
 def _(t):
     """The pieces of a text joined in order are the text, and none is longer than the limit."""
-    pieces = preference_pieces(t.documents.select("doc_id", "text"), "doc_id", "text", 256)
+    pieces = preference_pieces(t.texts.select("doc_id", "text"), "doc_id", "text", 256)
     parts = pieces.groupBy("doc_id").agg(
         F.array_sort(F.collect_list(F.struct("piece_no", "piece"))).alias("p"),
         (F.max(F.length("piece")) <= 256).alias("within_limit"),
@@ -211,7 +206,7 @@ def _(t):
 )
 def _(t):
     pieces = tx.chunks(tx.words(F.col("text")), 500)
-    chunks = t.documents.select("doc_id", F.posexplode(pieces).alias("chunk_no", "chunk"))
+    chunks = t.texts.select("doc_id", F.posexplode(pieces).alias("chunk_no", "chunk"))
     return rejoined(chunks, ["doc_id"], "chunk_no", "chunk", "text")
 
 
@@ -228,7 +223,7 @@ def _(t):
     from ledgerleaf.operators.topics import top_share_words
 
     letters = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)))
-    counts = t.documents.select("lang", letters.alias("token")).groupBy("lang", "token").agg(F.count("*").alias("n"))
+    counts = t.texts.select("lang", letters.alias("token")).groupBy("lang", "token").agg(F.count("*").alias("n"))
     return topic_text(top_share_words(counts, "lang", 10), "lang")
 
 
@@ -239,7 +234,7 @@ def _(t):
 )
 def _(t):
     """Entities cut out of the text again by the offsets found for them."""
-    spans = spans_of(t.documents.select("doc_id", "text"), "doc_id", "text", {"EMAIL_ADDRESS": EMAIL}, keep_text=True)
+    spans = spans_of(t.texts.select("doc_id", "text"), "doc_id", "text", {"EMAIL_ADDRESS": EMAIL}, keep_text=True)
     cut = tx.span_at(F.col("text"), F.col("start"), F.col("end"))
     return spans.select("doc_id", cut.alias("entity")).groupBy("doc_id", "entity").agg(F.count("*").alias("n"))
 
@@ -250,7 +245,7 @@ def _(t):
         FROM (SELECT DISTINCT unnest({sql_tokens('text')}) AS token FROM documents)""",
 )
 def _(t):
-    distinct = t.documents.select(F.explode(tx.tokens(F.col("text"))).alias("token")).distinct()
+    distinct = t.texts.select(F.explode(tx.tokens(F.col("text"))).alias("token")).distinct()
     return distinct.select("token", tx.lemma(F.col("token")).alias("lemma"))
 
 
@@ -261,7 +256,7 @@ SQL_MARKS = f"len(regexp_extract_all(text, {sql_text(tx.WORD_OR_MARK)}))"
 
 @query("a16_token_counts", f"SELECT doc_id, CAST({SQL_MARKS} AS INTEGER) AS n FROM documents")
 def _(t):
-    return t.documents.select("doc_id", F.size(tx.words_and_marks(F.col("text"))).alias("n"))
+    return t.texts.select("doc_id", F.size(tx.words_and_marks(F.col("text"))).alias("n"))
 
 
 @query(
@@ -270,12 +265,12 @@ def _(t):
 )
 def _(t):
     n = F.size(tx.words_and_marks(F.col("text")))
-    return t.documents.select("source", n.alias("n")).groupBy("source").agg(
+    return t.texts.select("source", n.alias("n")).groupBy("source").agg(
         F.count("*").alias("documents"), F.sum("n").alias("n")
     )
 
 
 @query("d17_document_frequencies", f"WITH {SQL_TERMS} SELECT token, df, round(idf, 6) AS idf FROM idfs")
 def _(t):
-    idf = corpus.idf_table(t.documents, corpus.term_counts(t.documents))
+    idf = corpus.idf_table(t.texts, corpus.term_counts(t.texts))
     return idf.select("token", "df", F.round("idf", 6).alias("idf"))

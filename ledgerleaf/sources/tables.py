@@ -37,10 +37,28 @@ class Tables:
             raise AttributeError(name)
         return self.read(name)
 
+    @property
+    def texts(self) -> DataFrame:
+        """``documents`` with enough partitions to keep every core busy on long texts."""
+        return spread(self.documents, "doc_id")
+
+    @property
+    def webpages(self) -> DataFrame:
+        return spread(self.pages, "page_id")
+
     def read(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.base}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a small table that arrives in fewer splits than there are cores.
+
+    Large tables have more splits than cores and are returned as they are.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df
+
+
 def overwrite_table(df: DataFrame, path: str) -> DataFrame:
     """Replace the Parquet table at ``path`` and return it re-read."""
     df.write.mode("overwrite").parquet(path)
