@@ -2,5 +2,5 @@
 
 import importlib
 
-for _family in ("relational", "texts", "documents",):
+for _family in ("relational", "texts", "documents", "graphs", "series", "forecasts",):
     importlib.import_module(f"ledgerleaf.plans.{_family}")

@@ -506,13 +506,13 @@ def _(t):
 @query(
     "w01_first_difference",
     f"""WITH {SQL_MONTHLY}
-        SELECT series_id, ts, round(d, 6) AS change FROM (
+        SELECT series_id, ts, round(d, 8) AS change FROM (
           SELECT series_id, ts, amount - LAG(amount) OVER (PARTITION BY series_id ORDER BY t) AS d FROM monthly)
         WHERE d IS NOT NULL""",
 )
 def _(t):
     changed = series.difference(monthly_series(t), ["series_id"], "amount", "change")
-    return changed.select("series_id", "ts", F.round("change", 6).alias("change"))
+    return changed.select("series_id", "ts", F.round("change", 8).alias("change"))
 
 
 SQL_TREND = """(SUM(amount) OVER (PARTITION BY series_id ORDER BY t ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING)
@@ -534,25 +534,25 @@ def _(t):
 @query(
     "w04_last_value",
     f"""WITH {SQL_MONTHLY} SELECT series_id, ts, round(amount + LAST_VALUE(amount) OVER (
-          PARTITION BY series_id ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 6) AS lifted
+          PARTITION BY series_id ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 8) AS lifted
         FROM monthly""",
 )
 def _(t):
     monthly = monthly_series(t)
     last = series.last_values(monthly, ["series_id"], ["amount"]).withColumnRenamed("amount", "_last")
-    lifted = F.round(F.col("amount") + F.col("_last"), 6).alias("lifted")
+    lifted = F.round(F.col("amount") + F.col("_last"), 8).alias("lifted")
     return monthly.join(last, "series_id").select("series_id", "ts", lifted)
 
 
 @query(
     "w05_cumulative_sum",
     f"""WITH {SQL_MONTHLY} SELECT series_id, ts, round(SUM(amount) OVER (
-          PARTITION BY series_id ORDER BY t ROWS UNBOUNDED PRECEDING), 6) AS running FROM monthly""",
+          PARTITION BY series_id ORDER BY t ROWS UNBOUNDED PRECEDING), 8) AS running FROM monthly""",
 )
 def _(t):
     total = monthly_series(t).withColumn("_zero", F.lit(0.0))
     running = series.undifferenced(total, ["series_id"], "amount", "_zero", "running")
-    return running.select("series_id", "ts", F.round("running", 6).alias("running"))
+    return running.select("series_id", "ts", F.round("running", 8).alias("running"))
 
 
 @query(
