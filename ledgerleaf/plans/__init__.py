@@ -2,5 +2,5 @@
 
 import importlib
 
-for _family in ("relational", "texts", "documents", "graphs", "series", "forecasts",):
+for _family in ("relational", "texts", "documents", "graphs", "series", "forecasts", "learning",):
     importlib.import_module(f"ledgerleaf.plans.{_family}")
