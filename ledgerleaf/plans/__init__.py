@@ -2,5 +2,5 @@
 
 import importlib
 
-for _family in ("relational", "texts", "documents", "graphs", "series", "forecasts", "learning",):
+for _family in ("relational", "texts", "documents", "graphs", "series", "forecasts", "learning", "search", "files",):
     importlib.import_module(f"ledgerleaf.plans.{_family}")
