@@ -7,7 +7,7 @@ so that they mean the same in every regular-expression dialect.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions.words import ABBREVIATIONS, LEMMA_EXCEPTIONS
@@ -15,7 +15,8 @@ from ledgerleaf.functions.words import ABBREVIATIONS, LEMMA_EXCEPTIONS
 Rules = list[tuple[str, str]]
 
 URLS: Rules = [(r"http[^ \t\r\n]+", "")]
-DIGIT_WORDS: Rules = [(r"[^ \t\r\n]*[0-9][^ \t\r\n]*", "")]
+# Anchored at the word's start, so that words without digits are passed over in linear time.
+DIGIT_WORDS: Rules = [(r"(^|[ \t\r\n])[^ \t\r\n0-9]*[0-9][^ \t\r\n]*", "$1")]
 LETTERS: Rules = [(r"[^A-Za-z]+", " ")]
 LETTERS_DIGITS_PUNCT: Rules = [(r"[^A-Za-z0-9.,]+", " ")]
 KEEP_PUNCT: Rules = [(r"[^A-Za-z., \t\r\n+]", "")]
@@ -48,18 +49,17 @@ _ENTITIES = [
     ("&copy;", "©"), ("&middot;", "·"), ("&mdash;", "—"), ("&hellip;", "…"), ("&amp;", "&"),
 ]
 # Invisible parts go, block elements become line ends, other tags vanish.
-MARKUP: Rules = [
+TAGS: Rules = [
     (r"(?is)<!--.*?-->", ""),
     (r"(?is)<script[^>]*>.*?</script>", ""),
     (r"(?is)<style[^>]*>.*?</style>", ""),
     (r"(?is)<head(?:[ \t\r\n][^>]*)?>.*?</head>", ""),
     (rf"(?i)</?(?:{_BLOCK})(?:[ \t\r\n/][^>]*)?>", "\n"),
     (r"<[^>]*>", ""),
-    *_ENTITIES,
-    (r"[ \t\r]+", " "),
-    (r" ?\n ?", "\n"),
-    (r"\n{3,}", "\n\n"),
 ]
+ENTITIES: Rules = _ENTITIES
+LINES: Rules = [(r"[ \t\r]+", " "), (r" ?\n ?", "\n"), (r"\n{3,}", "\n\n")]
+MARKUP: Rules = [*TAGS, *ENTITIES, *LINES]
 # A viewer's banner may precede the first element of a saved XML file.
 XML_TEXT: Rules = [(r"^[^<]*", ""), (r"<[^>]*>", " "), *_ENTITIES, (r"[ \t\r\n]+", " ")]
 
@@ -91,9 +91,41 @@ def bound(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def apply_where(text: Column, signs: list[str], rules: Rules) -> Column:
+    """The rules, run only on texts that contain one of the ``signs`` without which none can match."""
+
+    def gate(x: Column) -> Column:
+        needed = F.contains(x, F.lit(signs[0]))
+        for sign in signs[1:]:
+            needed = needed | F.contains(x, F.lit(sign))
+        return F.when(needed, apply_rules(x, rules)).otherwise(x)
+
+    return bound(text, gate)
+
+
+def unfolded(df: DataFrame, keep: list, array: Column, *names: str) -> DataFrame:
+    """One row per array element, as ``posexplode`` (two names) or ``explode`` (one name).
+
+    The outer form with a filter behind it keeps the optimizer from testing the
+    array for emptiness in front, which would compute an array expression twice.
+    Elements must not be null.
+    """
+    spread = F.posexplode_outer(array) if len(names) == 2 else F.explode_outer(array)
+    return df.select(*keep, spread.alias(*names)).where(F.col(names[-1]).isNotNull())
+
+
+def remove_urls(text: Column) -> Column:
+    return apply_where(text, ["http"], URLS)
+
+
+def expand_contractions(text: Column) -> Column:
+    return apply_where(text, ["'", "’"], CONTRACTIONS)
+
+
 def strip_markup(html: Column) -> Column:
     """Readable text of an HTML page; links keep their words and lose their targets."""
-    return F.btrim(apply_rules(html, MARKUP), F.lit(" \n"))
+    plain = apply_where(apply_where(html, ["<"], TAGS), ["&"], ENTITIES)
+    return F.btrim(apply_rules(plain, LINES), F.lit(" \n"))
 
 
 def xml_text(xml: Column) -> Column:
@@ -107,7 +139,7 @@ def clean_text(text: Column, profile: str = "letters") -> Column:
         raise ValueError(f"unknown cleaning profile {profile!r}")
     if profile == "none":
         return text
-    text = apply_rules(strip_markup(apply_rules(text, URLS)), CONTRACTIONS)
+    text = expand_contractions(strip_markup(remove_urls(text)))
     text = F.trim(apply_rules(text, DIGIT_WORDS))
     return apply_rules(text, PROFILES[profile])
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerleaf.functions.text import lemma, tokens
+from ledgerleaf.functions.text import lemma, tokens, unfolded
 from ledgerleaf.functions.words import STOP_WORDS
 
 
@@ -20,7 +20,7 @@ def by_document(df: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def content_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", lemmas: bool = True) -> DataFrame:
     """``key, token`` per token that is no stop word, lemmatised."""
-    found = docs.select(key, F.explode(tokens(F.col(text))).alias("token"))
+    found = unfolded(docs, [key], tokens(F.col(text)), "token")
     kept = found.where(~F.col("token").isin(STOP_WORDS))
     return kept.withColumn("token", lemma(F.col("token"))) if lemmas else kept
 

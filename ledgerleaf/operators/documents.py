@@ -60,7 +60,7 @@ def sentiment_text(text: Column) -> Column:
 
 def sentence_sentiment(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, sent_no, sentences, sentiments, stars, score`` per sentence."""
-    split = docs.select(key, F.posexplode(tx.sentences(sentiment_text(F.col(text)))).alias("sent_no", "sentences"))
+    split = tx.unfolded(docs, [key], tx.sentences(sentiment_text(F.col(text))), "sent_no", "sentences")
     scored = split.withColumn("_raw", polarity(F.col("sentences")))
     value = stars(F.col("_raw"))
     return scored.select(
@@ -84,21 +84,25 @@ def summary_parts(docs: DataFrame, key: str = "doc_id", text: str = "text", size
     return by_document(docs.select(key, text), key).select(key, parts.alias("parts"))
 
 
-def _sentence_rows(parted: DataFrame, key: str) -> DataFrame:
-    chunked = parted.select(key, F.posexplode("parts").alias("part_no", "_s"))
-    return chunked.select(key, "part_no", F.posexplode("_s").alias("sent_no", "sentence"))
-
-
 def _sentence_terms(parted: DataFrame, key: str) -> DataFrame:
-    rows = _sentence_rows(parted, key)
-    found = rows.select(key, "part_no", "sent_no", F.explode(tx.tokens(F.col("sentence"))).alias("token"))
-    kept = found.where(~F.col("token").isin(STOP_WORDS))
-    return kept.groupBy(key, "part_no", "sent_no", "token").agg(F.count("*").alias("c"))
+    """``key, part_no, sent_no, n_words, token, c``; a sentence without content words has one row without token."""
+    chunked = tx.unfolded(parted, [key], F.col("parts"), "part_no", "_s")
+    rows = tx.unfolded(chunked, [key, "part_no"], F.col("_s"), "sent_no", "sentence")
+    content = F.filter(tx.tokens(F.col("sentence")), lambda w: ~w.isin(STOP_WORDS))
+    # Computed per sentence in a step of its own; beside the explode it would run per word.
+    counted = rows.select(
+        key, "part_no", "sent_no", F.size(F.split("sentence", " ")).alias("n_words"), content.alias("content")
+    )
+    found = counted.select(key, "part_no", "sent_no", "n_words", F.explode_outer("content").alias("token"))
+    return found.groupBy(key, "part_no", "sent_no", "token").agg(
+        F.max("n_words").alias("n_words"), F.count("token").alias("c")
+    )
 
 
 def parts_idf(parted: DataFrame, key: str = "doc_id") -> DataFrame:
     """Inverse document frequencies of the words in ``parts``, materialised once."""
-    counts = _sentence_terms(parted, key).groupBy(key, "token").agg(F.sum("c").alias("n"))
+    terms = _sentence_terms(parted, key).where(F.col("token").isNotNull())
+    counts = terms.groupBy(key, "token").agg(F.sum("c").alias("n"))
     return checkpointed(idf_table(parted, counts).select("token", "idf"))
 
 
@@ -107,20 +111,15 @@ def shortened_parts(parted: DataFrame, idf: DataFrame, key: str = "doc_id", budg
 
     A sentence scores the mean of tf(document) · idf(corpus) over its content words.
     Only keys and scores travel to the ranking; the texts wait in the document's
-    task and meet the chosen positions there.
+    task and the chosen positions are looked up there.
     """
-    terms = _sentence_terms(parted, key)
     in_document = Window.partitionBy(key, "token")
-    weighted = lookup_join(
-        terms.withColumn("tf", F.sum("c").over(in_document)), idf, "token", F.struct(key, "part_no", "sent_no")
+    terms = _sentence_terms(parted, key).withColumn("tf", F.sum("c").over(in_document))
+    weighted = lookup_join(terms, idf, "token", F.struct(key, "part_no", "sent_no"), "left")
+    mean = F.sum(F.col("c") * F.col("tf") * F.col("idf")) / F.nullif(F.sum("c"), F.lit(0))
+    scored = weighted.groupBy(key, "part_no", "sent_no").agg(
+        F.coalesce(F.round(mean, 6), F.lit(0.0)).alias("score"), F.max("n_words").alias("n_words")
     )
-    scores = weighted.groupBy(key, "part_no", "sent_no").agg(
-        F.round(F.sum(F.col("c") * F.col("tf") * F.col("idf")) / F.sum("c"), 6).alias("score")
-    )
-    lengths = _sentence_rows(parted, key).select(
-        key, "part_no", "sent_no", F.size(tx.words(F.col("sentence"))).alias("n_words")
-    )
-    scored = lengths.join(scores, [key, "part_no", "sent_no"], "left").fillna({"score": 0.0})
     best_first = Window.partitionBy(key, "part_no").orderBy(F.desc("score"), F.asc("sent_no"))
     ranked = scored.select(
         key, "part_no", "sent_no",
@@ -128,14 +127,11 @@ def shortened_parts(parted: DataFrame, idf: DataFrame, key: str = "doc_id", budg
         F.sum("n_words").over(best_first.rowsBetween(Window.unboundedPreceding, 0)).alias("used"),
     )
     kept = ranked.where((F.col("rank") == 1) | (F.col("used") <= budget))
-    chosen = kept.groupBy(key).agg(F.collect_list(F.struct("part_no", "sent_no")).alias("_chosen"))
-
-    def pick(part, number):
-        # Sentence numbers count from 0, like the lambda's position argument.
-        return F.filter(part, lambda s, i: F.array_contains("_chosen", F.struct(number.alias("part_no"), i.alias("sent_no"))))
-
-    joined = parted.join(chosen, key)
-    return joined.select(key, F.transform("parts", pick).alias("parts"))
+    per_part = kept.groupBy(key, "part_no").agg(F.array_sort(F.collect_list("sent_no")).alias("s"))
+    chosen = per_part.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("part_no", "s"))).alias("_chosen"))
+    # Every part holds a sentence and keeps one, so the chosen parts line up with the parts.
+    picked = F.zip_with("parts", "_chosen", lambda part, c: F.transform(c["s"], lambda i: F.get(part, i)))
+    return parted.join(chosen, key).select(key, picked.alias("parts"))
 
 
 def summary_text(parted: DataFrame, key: str = "doc_id", name: str = "summary") -> DataFrame:
@@ -174,6 +170,6 @@ def glossary_translation(text: Column) -> Column:
 def translations(docs: DataFrame, key: str = "doc_id", text: str = "text", translate=glossary_translation) -> DataFrame:
     """``key, translation``: cleaned, cut into 100-word chunks, translated chunk by chunk and rejoined."""
     cleaned = tx.apply_rules(F.col(text), tx.ALPHANUMERIC)
-    chunks = docs.select(key, F.posexplode(tx.chunks(tx.words(cleaned), 100)).alias("chunk_no", "chunk"))
+    chunks = tx.unfolded(docs, [key], tx.chunks(tx.words(cleaned), 100), "chunk_no", "chunk")
     done = chunks.select(key, "chunk_no", translate(F.col("chunk")).alias("chunk"))
     return rejoined(done, [key], "chunk_no", "chunk", "translation")

@@ -78,7 +78,7 @@ def triples(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     words after the first, before the last, are the relation. What a sentence
     lacks is empty, and nothing carries over to the next one.
     """
-    rows = docs.select(key, F.posexplode(tx.sentences(F.col(text))).alias("sent_no", "sentence"))
+    rows = tx.unfolded(docs, [key], tx.sentences(F.col(text)), "sent_no", "sentence")
     rows = rows.withColumn("_m", tx.match_spans(F.col("sentence"), NAME_SPAN))
     count = F.size("_m")
     first, last = F.try_element_at("_m", F.lit(1)), F.try_element_at("_m", F.lit(-1))

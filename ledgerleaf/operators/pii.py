@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerleaf.functions.text import match_spans
+from ledgerleaf.functions.text import SPAN_ARRAY, match_spans, unfolded
 from ledgerleaf.functions.words import MONTHS
 
 # Fixed patterns; alternatives are tried from left to right.
@@ -17,6 +17,8 @@ DATE = (
     rf"(?:{_MONTH}) [0-9]{{1,2}}, [0-9]{{4}}|[0-9]{{1,2}} (?:{_MONTH}) [0-9]{{4}}"
     r"|[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{2,4}"
 )
+# A sign without which a pattern cannot match; texts without it skip the pattern.
+SIGNS = {"EMAIL_ADDRESS": "@", "PHONE_NUMBER": "-"}
 PATTERNS = {"EMAIL_ADDRESS": EMAIL, "PHONE_NUMBER": PHONE, "PERSON": PERSON, "DATE": DATE}
 
 
@@ -25,13 +27,15 @@ def spans_of(
 ) -> DataFrame:
     """``key, entity_type, entity, start, end`` of all matches of all patterns, in one pass over the texts."""
     def typed(kind: str, pattern: str):
-        return F.transform(
-            match_spans(F.col(text), pattern), lambda s: F.struct(F.lit(kind).alias("entity_type"), s.alias("s"))
-        )
+        spans = match_spans(F.col(text), pattern)
+        if kind in SIGNS:
+            present = F.contains(F.col(text), F.lit(SIGNS[kind]))
+            spans = F.when(present, spans).otherwise(F.expr(f"cast(array() as {SPAN_ARRAY})"))
+        return F.transform(spans, lambda s: F.struct(F.lit(kind).alias("entity_type"), s.alias("s")))
 
     # A text without matches has empty arrays; a missing text has null and gives no rows.
     spans = F.concat(*[typed(kind, p) for kind, p in (patterns or PATTERNS).items()])
-    rows = df.select(key, *([text] if keep_text else []), F.explode(spans).alias("m"))
+    rows = unfolded(df, [key, *([text] if keep_text else [])], spans, "m")
     columns = ["m.entity_type", "m.s.entity", "m.s.start", "m.s.end"]
     return rows.select(key, *([text] if keep_text else []), *columns)
 

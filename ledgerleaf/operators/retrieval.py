@@ -21,6 +21,8 @@ from ledgerleaf.session import checkpointed
 K1, B = 1.5, 0.75
 # Question terms scored as one matrix in every task; a longer list is joined by shuffle.
 QUESTION_TERMS = 5_000
+# Entries × questions a task scores at a time.
+BLOCK_VALUES = 8_000_000
 
 PROMPT = """Answer the question at the end from the paragraphs below and refer to them.
 If they do not hold the answer, say that you do not know.
@@ -39,11 +41,11 @@ def content_words(text: Column) -> Column:
 def index_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 600, overlap: int = 20) -> DataFrame:
     """``key, passage_no, passage``: overlapping chunks of whole texts."""
     pieces = tx.chunks(tx.words(F.col(text)), size, overlap)
-    return docs.select(key, F.posexplode(pieces).alias("passage_no", "passage"))
+    return tx.unfolded(docs, [key], pieces, "passage_no", "passage")
 
 
 def sentence_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    return docs.select(key, F.posexplode(tx.sentences(F.col(text))).alias("passage_no", "passage"))
+    return tx.unfolded(docs, [key], tx.sentences(F.col(text)), "passage_no", "passage")
 
 
 def ranked_passages(
@@ -84,21 +86,36 @@ def ranked_passages(
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         place, idf, matrix, names, mean = shared.value
         for batch in batches:
-            batch = batch[batch["terms"].map(len) > 0]
+            batch = batch[batch["terms"].map(len) > 0].reset_index(drop=True)
             if not len(batch):
                 continue
-            tf = np.zeros((len(batch), len(place)))
-            for i, terms in enumerate(batch["terms"]):
-                np.add.at(tf[i], [place[t] for t in terms], 1.0)
-            norm = K1 * (1 - B + B * batch["length"].to_numpy()[:, None] / mean)
-            scores = np.round((idf * tf * (K1 + 1) / (tf + norm)) @ matrix, 6)
-            out = []
-            for j, name in enumerate(names):
-                column = scores[:, j]
-                border = np.sort(column)[-k] if len(column) > k else 0.0
-                best = np.nonzero((column > 0) & (column >= border))[0]
-                out.append(batch.iloc[best][list(ids)].assign(question_id=name, score=column[best]))
-            yield pd.concat(out)
+            # One entry per passage and distinct question term it holds.
+            flat = batch["terms"].explode()
+            codes = flat.map(place).to_numpy(dtype=np.int64)
+            held, tf = np.unique(flat.index.to_numpy() * len(place) + codes, return_counts=True)
+            row, term = held // len(place), held % len(place)
+            length = batch["length"].to_numpy()[row]
+            weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
+            starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+            best: list[pd.DataFrame] = []
+            # Blocks of whole passages, so that a block's entries × questions stay small.
+            most = max(1, BLOCK_VALUES // len(names))
+            edges = [0]
+            while edges[-1] < len(starts):
+                last = np.searchsorted(starts, starts[edges[-1]] + most)
+                edges.append(max(edges[-1] + 1, int(last)))
+            for a, b in zip(edges, edges[1:]):
+                b = min(b, len(starts))
+                lo, hi = starts[a], starts[b] if b < len(starts) else len(row)
+                parts = weight[lo:hi, None] * matrix[term[lo:hi]]
+                scores = np.round(np.add.reduceat(parts, starts[a:b] - lo, axis=0), 6)
+                border = np.sort(scores, axis=0)[-k] if len(scores) > k else np.zeros(len(names))
+                at, question = np.nonzero((scores > 0) & (scores >= border))
+                found = batch.loc[row[starts[a:b]][at], list(ids)].reset_index(drop=True)
+                found["question_id"] = [names[q] for q in question]
+                found["score"] = scores[at, question]
+                best.append(found)
+            yield pd.concat(best)
 
     schema = f"{id_schema}, question_id {question_type}, score double"
     return _best(kept.mapInPandas(score, schema), ids, k)

@@ -40,8 +40,10 @@ def class_tfidf(counts: DataFrame, key: str) -> DataFrame:
     """``key, token, n, score`` with class-based TF-IDF: tf · ln(1 + A / f).
 
     ``tf`` is the token's share in the class, ``f`` its count over all classes and
-    ``A`` the mean number of tokens per class.
+    ``A`` the mean number of tokens per class. The counts are materialised once:
+    they are far smaller than the texts and needed three times.
     """
+    counts = checkpointed(counts)
     totals = counts.groupBy(key).agg(F.sum("n").alias("_total"))
     mean = totals.agg((F.sum("_total") / F.count("*")).alias("a")).scalar()
     overall = counts.groupBy("token").agg(F.sum("n").alias("_f"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.functions.calendar import fiscal_year, post_period
 from ledgerleaf.functions.text import Rules
-from ledgerleaf.sources.tables import Tables
+from ledgerleaf.sources.tables import Tables, spread
 
 
 def money(value: Column) -> Column:
@@ -120,7 +120,7 @@ def total_series(t: Tables) -> DataFrame:
 
 def order_notes(t: Tables) -> DataFrame:
     """note_id, note: prose with places, dates, links and addresses, written from each order."""
-    orders = t.orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
+    orders = spread(t.orders, "o_orderkey").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
     customers = t.customer.select("c_custkey", "c_name", "c_nationkey")
     nations = t.nation.select("n_nationkey", "n_name")
     joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(

@@ -80,10 +80,13 @@ def _(t):
 def _(t):
     """Sentences and their scores, kept as two arrays and met by position inside the row."""
     sentences = tx.sentences(dc.sentiment_text(F.col("text")))
-    arrays = t.texts.select("doc_id", sentences.alias("sentences"))
-    scores = F.transform("sentences", lambda s: dc.stars(dc.polarity(s)))
-    zipped = F.posexplode(F.arrays_zip("sentences", scores.alias("stars"))).alias("sent_no", "pair")
-    return arrays.select("doc_id", zipped).select("doc_id", "sent_no", "pair.sentences", "pair.stars")
+
+    def zipped(known):
+        scores = F.transform(known, lambda s: dc.stars(dc.polarity(s)))
+        return F.zip_with(known, scores, lambda s, n: F.struct(s.alias("sentences"), n.alias("stars")))
+
+    rows = tx.unfolded(t.texts, ["doc_id"], tx.bound(sentences, zipped), "sent_no", "pair")
+    return rows.select("doc_id", "sent_no", "pair.sentences", "pair.stars")
 
 
 def sql_cut(x: str, limit: int) -> str:

@@ -16,7 +16,7 @@ from ledgerleaf.plans.derived import SQL_BILLED_ORDERS, billed_orders, sql_fisca
 from ledgerleaf.plans.registry import query
 from ledgerleaf.session import shared_dir
 from ledgerleaf.sources import files
-from ledgerleaf.sources.tables import SCHEMAS, append_table, overwrite_table, read_merged
+from ledgerleaf.sources.tables import SCHEMAS, append_table, overwrite_table, read_merged, spread
 from ledgerleaf.streaming.ingest import ingest_folder, latest_counts, running_counts
 
 SQL_SOURCE_CHARS = "SELECT source, CAST(SUM(n_chars + 1) AS BIGINT) AS chars FROM documents GROUP BY source"
@@ -82,7 +82,7 @@ REPORT = """concat('This file has no style information.', chr(10), '<xbrl><conte
 
 
 def reports(t):
-    return t.orders.select("o_orderkey", F.expr(REPORT).alias("xml"))
+    return spread(t.orders, "o_orderkey").select("o_orderkey", F.expr(REPORT).alias("xml"))
 
 
 @query(

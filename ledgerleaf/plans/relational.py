@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions.calendar import fiscal_year, post_period
-from ledgerleaf.functions.text import SAFE_NAME, TOKEN_PATTERN, apply_rules, tokens
+from ledgerleaf.functions.text import SAFE_NAME, TOKEN_PATTERN, apply_rules, tokens, unfolded
 from ledgerleaf.functions.words import STOP_WORDS
 from ledgerleaf.operators import frame, ordered, series
 from ledgerleaf.operators.search import nearest
@@ -292,9 +292,8 @@ def _(t):
 def _(t):
     """Tokens are counted before the anti join, so that it sees each distinct token once."""
     stop = t.spark.createDataFrame([(w,) for w in STOP_WORDS], "token STRING")
-    counted = t.documents.select(F.explode(tokens(F.col("text"))).alias("token")).groupBy("token").agg(
-        F.count("*").alias("n")
-    )
+    found = unfolded(t.texts, [], tokens(F.col("text")), "token")
+    counted = found.groupBy("token").agg(F.count("*").alias("n"))
     return counted.join(F.broadcast(stop), "token", "left_anti")
 
 

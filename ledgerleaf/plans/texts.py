@@ -70,7 +70,7 @@ def noted(t, column, name="note"):
 
 @query("f01_remove_urls", f"WITH {SQL_NOTES} SELECT note_id, {sql_rules('note', tx.URLS)} AS note FROM notes")
 def _(t):
-    return noted(t, tx.apply_rules(F.col("note"), tx.URLS))
+    return noted(t, tx.remove_urls(F.col("note")))
 
 
 @query("f02_strip_tags", f"WITH {SQL_NOTES} SELECT note_id, {sql_strip_markup('note')} AS note FROM notes")
@@ -88,7 +88,7 @@ def _(t):
        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
 )
 def _(t):
-    return noted(t, tx.apply_rules(F.col("note"), tx.CONTRACTIONS))
+    return noted(t, tx.expand_contractions(F.col("note")))
 
 
 def _document_rule(name, rules, trim=False):
@@ -148,7 +148,7 @@ def _(t):
         FROM (SELECT doc_id, {sql_sentences('text')} AS s FROM documents)""",
 )
 def _(t):
-    return t.texts.select("doc_id", F.posexplode(tx.sentences(F.col("text"))).alias("sent_no", "sentence"))
+    return tx.unfolded(t.texts, ["doc_id"], tx.sentences(F.col("text")), "sent_no", "sentence")
 
 
 @query(
@@ -177,7 +177,7 @@ def _chunk_query(name, size, overlap=0):
     @query(name, sql_chunks("documents", "doc_id", sql_words("text"), size, overlap))
     def _(t):
         pieces = tx.chunks(tx.words(F.col("text")), size, overlap)
-        return t.texts.select("doc_id", F.posexplode(pieces).alias("chunk_no", "chunk"))
+        return tx.unfolded(t.texts, ["doc_id"], pieces, "chunk_no", "chunk")
 
 
 _chunk_query("f16_chunks_500", 500)
@@ -206,7 +206,7 @@ def _(t):
 )
 def _(t):
     pieces = tx.chunks(tx.words(F.col("text")), 500)
-    chunks = t.texts.select("doc_id", F.posexplode(pieces).alias("chunk_no", "chunk"))
+    chunks = tx.unfolded(t.texts, ["doc_id"], pieces, "chunk_no", "chunk")
     return rejoined(chunks, ["doc_id"], "chunk_no", "chunk", "text")
 
 
@@ -222,8 +222,8 @@ def _(t):
     """Topics rendered as ``0.123*"word" + …`` and read back into words and scores."""
     from ledgerleaf.operators.topics import top_share_words
 
-    letters = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)))
-    counts = t.texts.select("lang", letters.alias("token")).groupBy("lang", "token").agg(F.count("*").alias("n"))
+    letters = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    counts = tx.unfolded(t.texts, ["lang"], letters, "token").groupBy("lang", "token").agg(F.count("*").alias("n"))
     return topic_text(top_share_words(counts, "lang", 10), "lang")
 
 
@@ -245,7 +245,7 @@ def _(t):
         FROM (SELECT DISTINCT unnest({sql_tokens('text')}) AS token FROM documents)""",
 )
 def _(t):
-    distinct = t.texts.select(F.explode(tx.tokens(F.col("text"))).alias("token")).distinct()
+    distinct = tx.unfolded(t.texts, [], tx.tokens(F.col("text")), "token").distinct()
     return distinct.select("token", tx.lemma(F.col("token")).alias("lemma"))
 
 
