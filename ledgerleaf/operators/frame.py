@@ -134,7 +134,8 @@ def described(df: DataFrame, column: str) -> DataFrame:
         F.min(c).alias("low"), F.max(c).alias("high"),
     )
     quartiles = exact_quantiles(df.select(c.alias("_v")), "_v", [0.25, 0.5, 0.75])
-    q = [quartiles.select(f"q{i}").scalar() for i in range(3)]
+    found = quartiles.select(F.struct("q0", "q1", "q2").alias("q")).scalar()
+    q = [found[f"q{i}"] for i in range(3)]
     return basic.select("n", "mean", "std", "low", q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), "high")
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import LDA, KMeans
@@ -103,6 +105,12 @@ def fit_scaled(train: DataFrame, features: Sequence[str], target: str, estimator
     return ScaledTargetModel(Pipeline(stages=[assembler, estimator]).fit(scaled), low, low + width)
 
 
+def fitted_in_parallel(jobs: Sequence[tuple], parallelism: int = 4) -> list[ScaledTargetModel]:
+    """``fit_scaled(*job)`` for several independent small fits at a time, as a cross-validator runs its folds."""
+    with ThreadPool(parallelism) as pool:
+        return pool.map(inheritable_thread_target(lambda job: fit_scaled(*job)), jobs)
+
+
 def one_feature_line(df: DataFrame, keys: Sequence[str], target: str, feature: str) -> DataFrame:
     """``keys, slope, intercept`` of the least-squares line per group, in one grouped aggregate."""
     return df.groupBy(*keys).agg(
@@ -170,11 +178,13 @@ def fit_clusters(docs: DataFrame, k: int, size: int = 256, seed: int = 42) -> Pi
 
 
 def centre_distance(model: PipelineModel, scored: DataFrame) -> DataFrame:
-    """Adds ``distance`` of each row to its cluster centre (k centres travel with the plan)."""
-    centres = model.stages[-1].clusterCenters()
-    table = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
-    gaps = F.zip_with(vector_to_array("features"), F.get(table, F.col("cluster")), lambda a, b: (a - b) * (a - b))
-    return scored.withColumn("distance", F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda s, v: s + v)))
+    """Adds ``distance`` of each row to its cluster centre; there are k centres, a parameter."""
+    rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.stages[-1].clusterCenters())]
+    centres = scored.sparkSession.createDataFrame(rows, "cluster int, _centre array<double>")
+    met = scored.join(F.broadcast(centres), "cluster")
+    gaps = F.zip_with(vector_to_array("features"), "_centre", lambda a, b: (a - b) * (a - b))
+    distance = F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda s, v: s + v))
+    return met.withColumn("distance", distance).drop("_centre")
 
 
 def with_outliers(scored: DataFrame, share: float = 0.05) -> DataFrame:

@@ -59,7 +59,7 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: list[float]) -> D
     """One row of linearly interpolated quantiles ``q0, q1, …`` of a column of any size."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
     ranked = with_running_total(counts, [F.col(column)], F.col("_n"), "_upto")
-    size = counts.agg(F.sum("_n").alias("n")).scalar()
+    size = df.agg(F.count(column).alias("n")).scalar()
     ends = []
     for i, p in enumerate(probabilities):
         place = (size - 1) * F.lit(float(p))

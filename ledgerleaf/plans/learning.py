@@ -168,20 +168,26 @@ def _(t):
     """The five regressors over the same expanding folds of the panel."""
     keys = ["c_mktsegment", "c_nationkey"]
     rows = checkpointed(series.expanding_folds(panel(t).drop("part"), keys, folds=5))
-    predicted = None
-    for fold in range(1, 6):
-        train = rows.where((F.col("fold") == fold) & (F.col("part") == "train"))
-        test = rows.where((F.col("fold") == fold) & (F.col("part") == "test"))
-        for name, estimator in learn.regressors().items():
-            model = learn.fit_scaled(train, FEATURES, "amount", estimator)
-            one = model.transform(test).select(F.lit(name).alias("model"), "fold", "amount", "prediction")
-            predicted = one if predicted is None else predicted.unionByName(one)
+    sides = {
+        fold: [rows.where((F.col("fold") == fold) & (F.col("part") == part)) for part in ("train", "test")]
+        for fold in range(1, 6)
+    }
+    plan = [(fold, name, estimator) for fold in sides for name, estimator in learn.regressors().items()]
+    models = learn.fitted_in_parallel([(sides[fold][0], FEATURES, "amount", e) for fold, _, e in plan])
+    scored = []
+    for (fold, name, _), model in zip(plan, models):
+        one = model.transform(sides[fold][1])
+        scored.append(one.select(F.lit(name).alias("model"), "fold", "amount", "prediction"))
+    for train, test in sides.values():
         vector = F.array(*[F.col(f).cast("double") for f in FEATURES]).alias("vector")
         found = nearest(train.select("vec_id", vector), "vec_id", test.select("vec_id", vector), "vec_id", k=1)
         known = train.select("vec_id", F.col("amount").alias("prediction"))
         asked = test.select(F.col("vec_id").alias("query_id"), "fold", "amount")
         one = found.join(known, "vec_id").join(asked, "query_id")
-        predicted = predicted.unionByName(one.select(F.lit("nearest").alias("model"), "fold", "amount", "prediction"))
+        scored.append(one.select(F.lit("nearest").alias("model"), "fold", "amount", "prediction"))
+    predicted = scored[0]
+    for one in scored[1:]:
+        predicted = predicted.unionByName(one)
     scores = series.accuracy(predicted, ["model", "fold"], "amount", "prediction")
     return learn.fold_summary(scores, ["model"], METRICS)
 

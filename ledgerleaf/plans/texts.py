@@ -121,8 +121,8 @@ _document_rule("f12_nbsp_and_plus", tx.NBSP_PLUS)
 def _(t):
     docs = t.texts.select(F.concat(F.lit("d"), "doc_id").alias("name"), "text")
     notes = order_notes(t).select(F.concat(F.lit("n"), "note_id").alias("name"), F.col("note").alias("text"))
-    profiles = ("letters", "letters_digits_punct", "keep_punct")
-    return docs.unionByName(notes).select("name", *[tx.clean_text(F.col("text"), p).alias(p) for p in profiles])
+    cleaned = tx.clean_profiles(F.col("text"), ["letters", "letters_digits_punct", "keep_punct"])
+    return docs.unionByName(notes).select("name", cleaned.alias("c")).select("name", "c.*")
 
 
 @query("s04_html_text", f"SELECT page_id, {sql_strip_markup('html')} AS text FROM pages")
