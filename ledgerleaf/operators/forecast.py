@@ -41,9 +41,9 @@ def dickey_fuller(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
         F.regr_slope("_y", "_x").alias("slope"), F.regr_sxx("_y", "_x").alias("_sxx"),
         F.regr_syy("_y", "_x").alias("_syy"), F.regr_sxy("_y", "_x").alias("_sxy"), F.count("*").alias("n"),
     )
-    ssr = F.col("_syy") - F.col("_sxy") * F.col("_sxy") / F.col("_sxx")
-    error = F.sqrt(ssr / (F.col("n") - 2) / F.col("_sxx"))
-    return stats.select(*keys, "slope", (F.col("slope") / error).alias("statistic"), "n")
+    ssr = F.col("_syy") - F.try_divide(F.col("_sxy") * F.col("_sxy"), "_sxx")
+    error = F.sqrt(F.try_divide(F.try_divide(ssr, F.col("n") - 2), "_sxx"))
+    return stats.select(*keys, "slope", F.try_divide("slope", error).alias("statistic"), "n")
 
 
 def _key_schema(df: DataFrame, keys: Sequence[str]) -> str:

@@ -186,10 +186,10 @@ def one_hot(df: DataFrame, column: str, values: Sequence[str], prefix: str) -> D
 
 
 def min_max_scaled(df: DataFrame, column: str, name: str) -> DataFrame:
-    """``column`` mapped linearly onto 0 … 1 over the whole table."""
+    """``column`` mapped linearly onto 0 … 1 over the whole table; null where all values are equal."""
     low = df.agg(F.min(column).alias("v")).scalar()
     high = df.agg(F.max(column).alias("v")).scalar()
-    return df.withColumn(name, (F.col(column) - low) / (high - low))
+    return df.withColumn(name, F.try_divide(F.col(column) - low, high - low))
 
 
 def min_max_restored(scaled: Column, low: Column, high: Column) -> Column:

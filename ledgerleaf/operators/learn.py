@@ -69,7 +69,7 @@ def classification_scores(counts: DataFrame) -> DataFrame:
     s, c = F.col("s").cast("double"), F.col("c").cast("double")
     spread = F.sqrt(s * s - pp) * F.sqrt(s * s - tt)
     mcc = F.when(spread == 0, F.lit(0.0)).otherwise((c * s - tp) / spread)
-    return rows.select(F.col("s").alias("rows"), (c / s).alias("accuracy"), mcc.alias("mcc"))
+    return rows.select(F.col("s").alias("rows"), F.try_divide(c, s).alias("accuracy"), mcc.alias("mcc"))
 
 
 # --- regression -----------------------------------------------------------------------

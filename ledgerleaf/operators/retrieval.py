@@ -131,7 +131,7 @@ def _joined_scores(prepared: DataFrame, ids: Sequence[str], wanted: DataFrame, k
     idf = F.ln(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")
     weighted = wanted.join(df, "token").select("question_id", "token", idf)
     met = lookup_join(tf, checkpointed(weighted), "token", F.struct(*ids))
-    norm = K1 * (1 - B + B * F.col("length") / mean)
+    norm = K1 * (1 - B + B * F.try_divide("length", mean))
     part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)
     scores = met.groupBy("question_id", *ids).agg(F.round(F.sum(part), 6).alias("score"))
     return _best(scores, ids, k)

@@ -48,21 +48,21 @@ def decomposed(
     additive = model == "additive"
     x = F.col(column)
     trend = df.withColumn("trend", centred_average(column, keys, period))
-    trend = trend.withColumn("_detrended", x - F.col("trend") if additive else x / F.col("trend"))
+    trend = trend.withColumn("_detrended", x - F.col("trend") if additive else F.try_divide(x, F.col("trend")))
     trend = trend.withColumn("_season", F.pmod(F.col(position), F.lit(period)))
     series = Window.partitionBy(*keys)
     means = trend.groupBy(*keys, "_season").agg(F.avg("_detrended").alias("_mean"))
     level = F.avg("_mean").over(series)
     means = means.select(
-        *keys, "_season", (F.col("_mean") - level if additive else F.col("_mean") / level).alias("seasonal")
+        *keys, "_season", (F.col("_mean") - level if additive else F.try_divide("_mean", level)).alias("seasonal")
     )
     joined = trend.join(means, [*keys, "_season"])
-    rest = x - F.col("trend") - F.col("seasonal") if additive else x / (F.col("trend") * F.col("seasonal"))
+    rest = x - F.col("trend") - F.col("seasonal") if additive else F.try_divide(x, F.col("trend") * F.col("seasonal"))
     return joined.withColumn("resid", rest).drop("_detrended", "_season")
 
 
 def autocorrelation(df: DataFrame, keys: Sequence[str], column: str, lags: int) -> DataFrame:
-    """``lag, acf, band``: autocorrelations with Bartlett's 95 % half width."""
+    """``lag, acf, band``: autocorrelations with Bartlett's 95 % half width; null for a constant series."""
     series = Window.partitionBy(*keys)
     centred = df.select(
         *keys, "t", (F.col(column) - F.avg(column).over(series)).alias("d"), F.count(column).over(series).alias("n")
@@ -72,7 +72,7 @@ def autocorrelation(df: DataFrame, keys: Sequence[str], column: str, lags: int)
     )
     products = [F.sum(F.col("d") * F.col("d" if k == 0 else f"d{k}")) for k in range(lags + 1)]
     sums = shifted.groupBy(*keys).agg(F.max("n").alias("n"), F.array(*products).alias("c"))
-    ratios = sums.select(*keys, "n", F.transform("c", lambda v: v / F.col("c")[0]).alias("r"))
+    ratios = sums.select(*keys, "n", F.transform("c", lambda v: F.try_divide(v, F.col("c")[0])).alias("r"))
     rows = ratios.select(*keys, "n", F.posexplode("r").alias("lag", "acf"))
     before = Window.partitionBy(*keys).orderBy("lag").rowsBetween(Window.unboundedPreceding, -1)
     squares = F.coalesce(F.sum(F.when(F.col("lag") > 0, F.col("acf") * F.col("acf"))).over(before), F.lit(0.0))
@@ -92,7 +92,7 @@ def durbin_watson(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     step = F.col(column) - F.lag(column).over(in_time(keys))
     steps = known.withColumn("_step", step)
     return steps.groupBy(*keys).agg(
-        (F.sum(F.col("_step") * F.col("_step")) / F.sum(F.col(column) * F.col(column))).alias("dw")
+        F.try_divide(F.sum(F.col("_step") * F.col("_step")), F.sum(F.col(column) * F.col(column))).alias("dw")
     )
 
 
@@ -149,7 +149,7 @@ def drift(df: DataFrame, keys: Sequence[str], column: str, horizon: int = 12) ->
         F.min_by(column, "t").alias("_first"), F.max_by(column, "t").alias("_last"), F.count("*").alias("_n")
     )
     ahead = ends.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
-    slope = (F.col("_last") - F.col("_first")) / (F.col("_n") - 1)
+    slope = F.coalesce(F.try_divide(F.col("_last") - F.col("_first"), F.col("_n") - 1), F.lit(0.0))
     return ahead.select(*keys, "h", (F.col("_last") + F.col("h") * slope).alias("yhat"))
 
 
@@ -159,5 +159,5 @@ def accuracy(df: DataFrame, keys: Sequence[str], actual: str, predicted: str) ->
     mse = F.avg(error * error)
     total = F.var_pop(actual)
     return df.groupBy(*keys).agg(
-        F.avg(F.abs(error)).alias("mae"), mse.alias("mse"), F.sqrt(mse).alias("rmse"), (1 - mse / total).alias("r2")
+        F.avg(F.abs(error)).alias("mae"), mse.alias("mse"), F.sqrt(mse).alias("rmse"), (1 - F.try_divide(mse, total)).alias("r2")
     )
