@@ -30,9 +30,16 @@ def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", lemmas
     return content_tokens(docs, key, text, lemmas).groupBy(key, "token").agg(F.count("*").alias("n"))
 
 
-def document_frequencies(counts: DataFrame) -> DataFrame:
-    """``token, df`` of per-document counts (one row per document and token)."""
-    return counts.groupBy("token").agg(F.count("*").alias("df"))
+def document_frequencies(docs: DataFrame, text: Column, lemmas: bool = True) -> DataFrame:
+    """``token, df``: in how many documents each content token occurs.
+
+    Repeats are removed inside the document's row, so that the only shuffle is
+    that of the tokens' partial counts.
+    """
+    kept = F.filter(tokens(text), lambda t: ~t.isin(STOP_WORDS))
+    if lemmas:
+        kept = F.transform(F.array_distinct(kept), lemma)
+    return unfolded(docs, [], F.array_distinct(kept), "token").groupBy("token").agg(F.count("*").alias("df"))
 
 
 def smooth_idf(df: Column, documents: Column) -> Column:
@@ -44,6 +51,7 @@ def document_count(docs: DataFrame) -> Column:
     return docs.agg(F.count("*").alias("n")).scalar()
 
 
-def idf_table(docs: DataFrame, counts: DataFrame) -> DataFrame:
+def idf_table(docs: DataFrame, text: Column, lemmas: bool = True) -> DataFrame:
     """``token, df, idf`` over the corpus."""
-    return document_frequencies(counts).withColumn("idf", smooth_idf(F.col("df"), document_count(docs)))
+    found = document_frequencies(docs, text, lemmas)
+    return found.withColumn("idf", smooth_idf(F.col("df"), document_count(docs)))

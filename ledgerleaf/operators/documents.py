@@ -99,11 +99,10 @@ def _sentence_terms(parted: DataFrame, key: str) -> DataFrame:
     )
 
 
-def parts_idf(parted: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Inverse document frequencies of the words in ``parts``, materialised once."""
-    terms = _sentence_terms(parted, key).where(F.col("token").isNotNull())
-    counts = terms.groupBy(key, "token").agg(F.sum("c").alias("n"))
-    return checkpointed(idf_table(parted, counts).select("token", "idf"))
+def summary_idf(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Inverse document frequencies of the words that :func:`summary_parts` keeps, materialised once."""
+    cleaned = tx.apply_rules(F.col(text), tx.KEEP_PUNCT)
+    return checkpointed(idf_table(docs, cleaned, lemmas=False).select("token", "idf"))
 
 
 def shortened_parts(parted: DataFrame, idf: DataFrame, key: str = "doc_id", budget: int = 62) -> DataFrame:
@@ -142,13 +141,13 @@ def summary_text(parted: DataFrame, key: str = "doc_id", name: str = "summary")
 def summaries(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, summary``: chunk by chunk extract of every document."""
     parted = summary_parts(docs, key, text)
-    return summary_text(shortened_parts(parted, parts_idf(parted, key), key), key)
+    return summary_text(shortened_parts(parted, summary_idf(docs, text), key), key)
 
 
 def tree_summaries(docs: DataFrame, key: str = "doc_id", text: str = "text", fan_in: int = 10) -> DataFrame:
     """``key, summary``: chunk summaries, joined ``fan_in`` at a time and summarised again."""
     parted = summary_parts(docs, key, text)
-    idf = parts_idf(parted, key)
+    idf = summary_idf(docs, text)
     first = shortened_parts(parted, idf, key)
     groups = F.sequence(F.lit(0), F.ceil(F.size("parts") / F.lit(fan_in)).cast("int") - 1)
     regrouped = F.transform(groups, lambda g: F.flatten(F.slice("parts", g * fan_in + 1, fan_in)))

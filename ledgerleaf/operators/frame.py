@@ -60,10 +60,20 @@ def null_audit(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 # --- joins ----------------------------------------------------------------
 
-def null_safe_left_join(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
-    """Left join on one column in which a missing key meets a missing key."""
+def null_safe_left_join(left: DataFrame, right: DataFrame, column: str, spread: Column) -> DataFrame:
+    """Left join on one column in which a missing key meets a missing key.
+
+    ``right`` has one row per key. It is broadcast if counted small; otherwise both
+    sides are salted, since the missing key alone may hold most of the rows.
+    """
     lookup = right.withColumnRenamed(column, "_key")
-    return left.join(lookup, F.col(column).eqNullSafe(F.col("_key")), "left").drop("_key")
+    same = F.col(column).eqNullSafe(F.col("_key"))
+    if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return left.join(F.broadcast(lookup), same, "left").drop("_key")
+    offered = lookup.withColumn("_offer", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    picked = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(16)).cast("int"))
+    joined = picked.join(offered, same & (F.col("_salt") == F.col("_offer")), "left")
+    return joined.drop("_key", "_salt", "_offer")
 
 
 def salted_join(

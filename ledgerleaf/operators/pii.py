@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.functions.text import SPAN_ARRAY, match_spans, unfolded
 from ledgerleaf.functions.words import MONTHS
+from ledgerleaf.operators.frame import lookup_join
 
 # Fixed patterns; alternatives are tried from left to right.
 EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}\.[A-Za-z]{2,}"
@@ -43,6 +44,6 @@ def spans_of(
 def place_spans(df: DataFrame, key: str, text: str, places: DataFrame, candidate: str) -> DataFrame:
     """LOCATION spans: candidate words that occur in the ``place`` column of a gazetteer."""
     candidates = spans_of(df, key, text, {"LOCATION": candidate})
-    return candidates.join(places.select(F.col("place").alias("entity")).distinct(), "entity").select(
-        key, "entity_type", "entity", "start", "end"
-    )
+    names = places.select(F.col("place").alias("entity")).distinct()
+    met = lookup_join(candidates, names, "entity", F.struct(key, "start"))
+    return met.select(key, "entity_type", "entity", "start", "end")

@@ -82,7 +82,7 @@ def coherence(docs: DataFrame, topics: DataFrame, topic: str, key: str = "doc_id
     # A pair that never meets counts as -1, the limit of the measure.
     met = F.coalesce(F.col("pairs_met"), F.lit(0))
     total = F.coalesce(F.col("_sum"), F.lit(0.0)) - (F.col("_pairs") - met)
-    return size.join(sums, topic, "left").select(topic, (total / F.col("_pairs")).alias("coherence"))
+    return size.join(sums, topic, "left").select(topic, F.try_divide(total, F.col("_pairs")).alias("coherence"))
 
 
 def words_per_topic(ranked: DataFrame, keys: Sequence[str], name: str = "words") -> DataFrame:

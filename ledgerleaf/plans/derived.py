@@ -62,19 +62,38 @@ def sql_post_period(day: str) -> str:
 
 # --- billing: one row per order, and monthly series per market segment --------
 
-def billed_orders(t: Tables) -> DataFrame:
-    """Orders with their non-negative billed amount.
+def billed_months(t: Tables) -> DataFrame:
+    """Customers with their non-negative billed amount and number of orders per month end ``ts``.
 
     Lines are summed per order first: the map-side sums shrink the shuffle, and
-    their partitioning by order key also serves the join.
+    their partitioning by order key also serves the join. Orders are then summed
+    per customer and month, so that a customer with a third of all orders meets
+    the customer table with one row per month.
     """
     lines = t.lineitem.where(F.col("l_extendedprice") >= 0)
     billed = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.sum(money(F.col("l_extendedprice"))).alias("billed")
     )
-    orders = t.orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
+    orders = t.orders.select("o_orderkey", "o_custkey", F.last_day("o_orderdate").alias("ts"))
+    per_customer = billed.join(orders, "o_orderkey").groupBy("o_custkey", "ts").agg(
+        F.sum("billed").alias("billed"), F.count("*").alias("n_requests")
+    )
     customers = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
-    return billed.join(orders, "o_orderkey").join(customers, "o_custkey")
+    return per_customer.join(customers, "o_custkey")
+
+
+def month_totals(organisation: str) -> list[Column]:
+    """Amount, requests and distinct organisations of a group of customer months."""
+    return [
+        F.sum("billed").alias("billed"),
+        F.sum("n_requests").alias("n_requests"),
+        F.count_distinct(organisation).alias("n_orgs"),
+    ]
+
+
+def in_millions(df: DataFrame) -> DataFrame:
+    """The billed amount as ``amount`` in millions."""
+    return df.withColumn("amount", F.col("billed").cast("double") / 1e6).drop("billed")
 
 
 SQL_BILLED_ORDERS = """billed_orders AS (
@@ -89,12 +108,9 @@ def monthly_series(t: Tables) -> DataFrame:
     """series_id, ts (month end), amount in millions, n_requests, n_orgs; row number ``t`` in time."""
     from ledgerleaf.operators.series import with_time_index
 
-    monthly = billed_orders(t).groupBy(F.col("c_mktsegment").alias("series_id"), F.last_day("day").alias("ts")).agg(
-        (F.sum("billed").cast("double") / 1e6).alias("amount"),
-        F.count("*").alias("n_requests"),
-        F.count_distinct("c_nationkey").alias("n_orgs"),
-    )
-    return with_time_index(monthly, ["series_id"], "ts")
+    monthly = billed_months(t).groupBy(F.col("c_mktsegment").alias("series_id"), "ts").agg(*month_totals("c_nationkey"))
+    indexed = with_time_index(in_millions(monthly), ["series_id"], "ts")
+    return indexed.select("series_id", "ts", "amount", "n_requests", "n_orgs", "t")
 
 
 SQL_MONTHLY = f"""{SQL_BILLED_ORDERS}, monthly AS (
@@ -104,18 +120,6 @@ SQL_MONTHLY = f"""{SQL_BILLED_ORDERS}, monthly AS (
   FROM billed_orders GROUP BY c_mktsegment, last_day(day))"""
 
 
-def total_series(t: Tables) -> DataFrame:
-    """The whole company as one series, at most one row per month."""
-    from ledgerleaf.operators.series import with_time_index
-
-    monthly = billed_orders(t).groupBy(F.last_day("day").alias("ts")).agg(
-        (F.sum("billed").cast("double") / 1e6).alias("amount"),
-        F.count("*").alias("n_requests"),
-        F.count_distinct("o_custkey").alias("n_orgs"),
-    )
-    return with_time_index(monthly.withColumn("series_id", F.lit("all")), ["series_id"], "ts")
-
-
 # --- notes: short texts with dates, addresses and contractions, one per order ---
 
 def order_notes(t: Tables) -> DataFrame:

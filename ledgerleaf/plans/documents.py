@@ -181,16 +181,15 @@ def _(t):
 
 
 @query(
-    "d06_meeting_summaries",
-    f"""WITH talks AS (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id),
-        {sql_summary_ctes('talks', 'conv_id')} SELECT doc_id AS conv_id, {SQL_SUMMARY_TEXT} AS summary
+    "d06_contribution_summaries",
+    f"""WITH talks AS (SELECT conv_id || '-' || turn AS talk, text FROM conversations),
+        {sql_summary_ctes('talks', 'talk')} SELECT doc_id AS talk, {SQL_SUMMARY_TEXT} AS summary
         FROM one_kept GROUP BY doc_id""",
 )
 def _(t):
-    """Every conversation, its turns in order, summarised like a meeting's notes."""
-    turns = t.conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("x"))
-    talks = turns.select("conv_id", F.array_join(F.transform("x", lambda s: s["text"]), "\n").alias("text"))
-    return dc.summaries(talks, "conv_id").where("summary <> ' '")
+    """Every contribution to a conversation summarised like a meeting's note."""
+    talks = t.conversations.select(F.concat_ws("-", "conv_id", "turn").alias("talk"), "text")
+    return dc.summaries(talks, "talk").where("summary <> ' '")
 
 
 SQL_SECOND_LEVEL = f"""twos AS (SELECT doc_id, part_no // 10 AS part_no,

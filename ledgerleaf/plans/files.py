@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions.calendar import fiscal_year, post_period
-from ledgerleaf.plans.derived import SQL_BILLED_ORDERS, billed_orders, sql_fiscal_year, sql_post_period
+from ledgerleaf.plans.derived import SQL_BILLED_ORDERS, billed_months, month_totals, sql_fiscal_year, sql_post_period
 from ledgerleaf.plans.registry import query
 from ledgerleaf.session import shared_dir
 from ledgerleaf.sources import files
@@ -118,11 +118,10 @@ def _(t):
 )
 def _(t):
     """The monthly facts written as a delimited file in the series format and read again."""
-    end = F.last_day("day")
-    monthly = billed_orders(t).groupBy(end.alias("end")).agg(
-        F.sum("billed").cast("decimal(18,2)").alias("SUM_of_BR_BILLED_AMT"),
-        F.count("*").alias("COUNT_BR_NMBR"),
-        F.count_distinct("c_nationkey").alias("COUNT_GC_ORG"),
+    monthly = billed_months(t).withColumnRenamed("ts", "end").groupBy("end").agg(*month_totals("c_nationkey"))
+    monthly = monthly.select(
+        "end", F.col("billed").cast("decimal(18,2)").alias("SUM_of_BR_BILLED_AMT"),
+        F.col("n_requests").alias("COUNT_BR_NMBR"), F.col("n_orgs").alias("COUNT_GC_ORG"),
     )
     stamp = F.upper(F.date_format(F.col("end").cast("timestamp_ntz") + F.expr("interval '23:59:59' hour to second"), "ddMMMyyyy:HH:mm:ss"))
     rows = monthly.select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerleaf.operators import frame, learn, series
 from ledgerleaf.operators.documents import polarity
 from ledgerleaf.operators.search import nearest
-from ledgerleaf.plans.derived import SQL_BILLED_ORDERS, SQL_MONTHLY, billed_orders, monthly_series
+from ledgerleaf.plans.derived import SQL_BILLED_ORDERS, SQL_MONTHLY, billed_months, in_millions, month_totals, monthly_series
 from ledgerleaf.plans.documents import sql_polarity
 from ledgerleaf.plans.registry import query
 from ledgerleaf.plans.series import KEY, rounded
@@ -47,11 +47,7 @@ def _(t):
 
 def panel(t):
     """Monthly rows per segment and nation with regression features and a stable ``vec_id``."""
-    monthly = billed_orders(t).groupBy("c_mktsegment", "c_nationkey", F.last_day("day").alias("ts")).agg(
-        (F.sum("billed").cast("double") / 1e6).alias("amount"),
-        F.count("*").alias("n_requests"),
-        F.count_distinct("o_custkey").alias("n_orgs"),
-    )
+    monthly = in_millions(billed_months(t).groupBy("c_mktsegment", "c_nationkey", "ts").agg(*month_totals("o_custkey")))
     keyed = series.with_time_index(monthly, ["c_mktsegment", "c_nationkey"], "ts")
     parts = series.split_last(keyed, ["c_mktsegment", "c_nationkey"])
     return parts.withColumns(

@@ -14,9 +14,10 @@ from ledgerleaf.plans.derived import (
     SQL_BILLED_ORDERS,
     SQL_MONTHLY,
     SQL_NOTES,
-    billed_orders,
+    billed_months,
     fiscal_columns,
     money,
+    month_totals,
     monthly_series,
     order_notes,
     revenue,
@@ -219,7 +220,7 @@ def _(t):
 def _(t):
     described = t.documents.select("doc_id").join(t.labels.select("doc_id", "quality"), "doc_id", "left")
     codes = frame.first_seen_codes(described, "quality", "doc_id", "service_num")
-    return frame.null_safe_left_join(described, codes, "quality")
+    return frame.null_safe_left_join(described, codes, "quality", F.col("doc_id"))
 
 
 @query(
@@ -230,13 +231,10 @@ def _(t):
         FROM billed_orders GROUP BY ALL""",
 )
 def _(t):
-    billed = fiscal_columns(billed_orders(t).withColumn("snapshot", F.last_day("day")), "day")
-    grouped = billed.groupBy("snapshot", "fy", "post_period").agg(
-        F.sum("billed").cast("double").alias("billed"),
-        F.count("*").alias("n_requests"),
-        F.count_distinct("c_nationkey").alias("n_orgs"),
-    )
-    return grouped.orderBy("snapshot")
+    billed = fiscal_columns(billed_months(t).withColumnRenamed("ts", "snapshot"), "snapshot")
+    grouped = billed.groupBy("snapshot", "fy", "post_period").agg(*month_totals("c_nationkey"))
+    in_units = grouped.withColumn("billed", F.col("billed").cast("double"))
+    return in_units.orderBy("snapshot")
 
 
 @query(
@@ -329,7 +327,8 @@ def _(t):
     names = F.explode(F.regexp_extract_all("note", F.lit("[A-Z][A-Z_0-9]+"), F.lit(0))).alias("entity")
     candidates = order_notes(t).select("note_id", names)
     places = t.nation.select(F.col("n_name").alias("entity"), "n_regionkey")
-    return candidates.join(places, "entity").select("note_id", "entity", "n_regionkey")
+    met = frame.lookup_join(candidates, places, "entity", F.col("note_id"))
+    return met.select("note_id", "entity", "n_regionkey")
 
 
 # --- aggregations --------------------------------------------------------------
@@ -348,12 +347,13 @@ def _(t):
     cost = F.when(F.col("l_tax") > 0, money(revenue()))
     lines = t.lineitem.select("l_orderkey", "l_linestatus", F.nullif("l_returnflag", F.lit("N")).alias("flag"), cost.alias("c"))
     per_order = lines.groupBy("l_orderkey", "l_linestatus", "flag").agg(F.sum("c").alias("cost"))
-    joined = per_order.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        t.customer, F.col("o_custkey") == F.col("c_custkey")
-    )
-    keyed = joined.withColumn("fy", fiscal_year(F.col("o_orderdate")))
-    keys = ["fy", "c_mktsegment", "o_orderpriority", "o_orderstatus", "l_linestatus", "flag"]
-    return frame.sum_by(keyed, keys, "cost", "cost").withColumn("cost", F.col("cost").cast("double"))
+    orders = t.orders.withColumn("fy", fiscal_year(F.col("o_orderdate")))
+    joined = per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # Summed per customer before the customer join, so that a hot customer brings few rows.
+    rest = ["fy", "o_orderpriority", "o_orderstatus", "l_linestatus", "flag"]
+    per_customer = joined.groupBy("o_custkey", *rest).agg(F.sum("cost").alias("cost"))
+    keyed = per_customer.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    return frame.sum_by(keyed, ["c_mktsegment", *rest], "cost", "cost").withColumn("cost", F.col("cost").cast("double"))
 
 
 @query(
@@ -623,9 +623,7 @@ SPARSE = "SELECT c_nationkey, last_day(day) AS ts, CAST(SUM(billed) AS DOUBLE) A
         SELECT c_nationkey, ts, COALESCE(billed, 0) AS billed FROM cal LEFT JOIN s USING (c_nationkey, ts)""",
 )
 def _(t):
-    sparse = billed_orders(t).groupBy("c_nationkey", F.last_day("day").alias("ts")).agg(
-        F.sum("billed").cast("double").alias("billed")
-    )
+    sparse = billed_months(t).groupBy("c_nationkey", "ts").agg(F.sum("billed").cast("double").alias("billed"))
     return series.densified(sparse, ["c_nationkey"], "ts", "billed")
 
 

@@ -198,15 +198,18 @@ def _(t):
 
 @query(
     "f28_answer_pages",
-    """SELECT conv_id, '<h3>' || arg_min(text, turn) || '</h3><p>' || arg_max(text, turn) || '</p><hr/><ul>'
-         || string_agg('<li>' || text || ' (Source: ' || turn || ')</li>', '' ORDER BY turn) || '</ul>' AS page
-       FROM conversations GROUP BY conv_id""",
+    """SELECT a.conv_id, a.turn, '<h3>' || a.text || '</h3><p>' || b.text || '</p><hr/><ul><li>' || b.text
+         || ' (Source: ' || b.turn || ')</li></ul>' AS page
+       FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1""",
 )
 def _(t):
-    turns = t.conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("x"))
-    said, numbers = F.transform("x", lambda s: s["text"]), F.transform("x", lambda s: s["turn"])
-    page = retrieval.answer_html(F.col("x")[0]["text"], F.element_at("x", -1)["text"], said, numbers)
-    return turns.select("conv_id", page.alias("page"))
+    """Each contribution as a question, the next one as its answer and source."""
+    reply = t.conversations.select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("turn").alias("source"), F.col("text").alias("answer")
+    )
+    pairs = t.conversations.join(reply, ["conv_id", "turn"])
+    page = retrieval.answer_html(F.col("text"), F.col("answer"), F.array("answer"), F.array("source"))
+    return pairs.select("conv_id", "turn", page.alias("page"))
 
 
 # --- attached models --------------------------------------------------------------------------

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerleaf.operators import forecast, series
-from ledgerleaf.plans.derived import SQL_BILLED_ORDERS, SQL_MONTHLY, billed_orders, monthly_series
+from ledgerleaf.plans.derived import SQL_MONTHLY, monthly_series
 from ledgerleaf.plans.registry import query
 from ledgerleaf.plans.relational import SQL_TREND
 

@@ -272,5 +272,5 @@ def _(t):
 
 @query("d17_document_frequencies", f"WITH {SQL_TERMS} SELECT token, df, round(idf, 6) AS idf FROM idfs")
 def _(t):
-    idf = corpus.idf_table(t.texts, corpus.term_counts(t.texts))
+    idf = corpus.idf_table(t.texts, F.col("text"))
     return idf.select("token", "df", F.round("idf", 6).alias("idf"))

@@ -30,10 +30,12 @@ def test_sum_by_drops_missing_keys(spark):
     assert {tuple(r) for r in frame.sum_by(df, ["k"], "v", "s").collect()} == {("a", 1.0), ("b", 0.0)}
 
 
-def test_missing_keys_meet(spark):
+@pytest.mark.parametrize("limit", [0, 100])
+def test_missing_keys_meet(spark, monkeypatch, limit):
+    monkeypatch.setattr(frame, "BROADCAST_ROWS", limit)
     left = spark.createDataFrame([(1, None), (2, "x"), (3, "y")], "id INT, k STRING")
     right = spark.createDataFrame([(None, 10), ("x", 20)], "k STRING, c INT")
-    got = {tuple(r) for r in frame.null_safe_left_join(left, right, "k").select("id", "c").collect()}
+    got = {tuple(r) for r in frame.null_safe_left_join(left, right, "k", F.col("id")).select("id", "c").collect()}
     assert got == {(1, 10), (2, 20), (3, None)}
 
 
