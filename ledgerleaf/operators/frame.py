@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from ledgerleaf.operators.ordered import code_table, exact_quantiles
 
 
-# Largest lookup that is sent to every executor; rows are a key and a few numbers.
-BROADCAST_ROWS = 200_000
+# Largest lookup that is sent to every executor; a row is a key and a few numbers, about 100 bytes.
+BROADCAST_ROWS = 1_000_000
 
 
 # --- predicates and cells -------------------------------------------------

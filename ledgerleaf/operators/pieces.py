@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Preferred places to cut, best first; the cut comes after the separator.
+# Preferred places to cut, best first; the cut comes after the separator.
 SEPARATORS = [". ", "! ", "? ", ": ", "; ", "-", "/", ".", "!", "?", " "]
 
 

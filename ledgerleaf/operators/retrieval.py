@@ -14,13 +14,12 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.functions import text as tx
 from ledgerleaf.functions.words import STOP_WORDS
-from ledgerleaf.operators.frame import lookup_join
 from ledgerleaf.session import checkpointed
 
 # Standard parameters of the BM25 weighting.
 K1, B = 1.5, 0.75
-# Question terms scored as one matrix in every task; a longer list is joined by shuffle.
-QUESTION_TERMS = 5_000
+# Words of all questions scored as one matrix in every task; longer lists are scored in stripes.
+QUESTION_WORDS = 20_000
 # Entries × questions a task scores at a time.
 BLOCK_VALUES = 8_000_000
 
@@ -53,16 +52,31 @@ def ranked_passages(
 ) -> DataFrame:
     """``question_id, ids…, score, rank``: the k best passages per question by BM25.
 
-    Only the question's words of each passage are kept after the first scan. A
+    Only the questions' words of each passage are kept after the first scan. A
     task scores its passages against all questions at once and sends on its k
-    best per question, so no question-passage pairs are shuffled.
+    best per question, so no question-passage pairs are shuffled. A question list
+    with more words than fit is cut into stripes of questions; each scans the
+    passages once.
     """
     asked = questions.select(F.col(question_key).alias("question_id"), content_words(F.col(question)).alias("terms"))
     wanted = asked.select("question_id", F.explode(F.array_distinct("terms")).alias("token"))
-    vocabulary = [r["token"] for r in wanted.select("token").distinct().limit(QUESTION_TERMS + 1).collect()]
     prepared = passages.select(*ids, content_words(F.col(passage)).alias("_w"))
-    if len(vocabulary) > QUESTION_TERMS:
-        return _joined_scores(prepared, ids, wanted, k)
+    rows = wanted.limit(QUESTION_WORDS + 1).collect()
+    if len(rows) <= QUESTION_WORDS:
+        return _best(_scored(prepared, ids, rows, asked.schema["question_id"].dataType.simpleString(), k), ids, k)
+    stripes = 2 * -(-wanted.count() // QUESTION_WORDS)
+    stripe = F.pmod(F.xxhash64("question_id"), F.lit(stripes))
+    scores = None
+    for i in range(stripes):
+        part = wanted.where(stripe == i).collect()
+        one = _scored(prepared, ids, part, asked.schema["question_id"].dataType.simpleString(), k)
+        scores = one if scores is None else scores.unionByName(one)
+    return _best(scores, ids, k)
+
+
+def _scored(prepared: DataFrame, ids: Sequence[str], rows: list, question_type: str, k: int) -> DataFrame:
+    """Candidates ``ids…, question_id, score``: every batch's k best passages for the given question words."""
+    vocabulary = sorted({r["token"] for r in rows})
     kept = prepared.select(
         *ids, F.size("_w").alias("length"), F.filter("_w", lambda w: w.isin(vocabulary)).alias("terms")
     )
@@ -73,15 +87,13 @@ def ranked_passages(
     place = {w: i for i, w in enumerate(vocabulary)}
     counts = np.array([df.get(w, 0) for w in vocabulary], dtype=float)
     idf = np.log(1 + (total - counts + 0.5) / (counts + 0.5))
-    rows = wanted.collect()
     names = sorted({r["question_id"] for r in rows})
     number = {q: i for i, q in enumerate(names)}
-    matrix = np.zeros((len(vocabulary), len(names)))
+    matrix = np.zeros((len(vocabulary), len(names)), dtype=bool)
     for r in rows:
-        matrix[place[r["token"]], number[r["question_id"]]] = 1.0
-    shared = passages.sparkSession.sparkContext.broadcast((place, idf, matrix, names, (words or 0) / max(total, 1)))
-    id_schema = ", ".join(f"{c} {passages.schema[c].dataType.simpleString()}" for c in ids)
-    question_type = asked.schema["question_id"].dataType.simpleString()
+        matrix[place[r["token"]], number[r["question_id"]]] = True
+    shared = prepared.sparkSession.sparkContext.broadcast((place, idf, matrix, names, (words or 0) / max(total, 1)))
+    id_schema = ", ".join(f"{c} {prepared.schema[c].dataType.simpleString()}" for c in ids)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         place, idf, matrix, names, mean = shared.value
@@ -115,26 +127,12 @@ def ranked_passages(
                 found["question_id"] = [names[q] for q in question]
                 found["score"] = scores[at, question]
                 best.append(found)
-            yield pd.concat(best)
-
-    schema = f"{id_schema}, question_id {question_type}, score double"
-    return _best(kept.mapInPandas(score, schema), ids, k)
-
-
-def _joined_scores(prepared: DataFrame, ids: Sequence[str], wanted: DataFrame, k: int) -> DataFrame:
-    """The same scores by joins, for question lists of any length."""
-    stats = prepared.agg(F.count("*").alias("n"), F.avg(F.size("_w")).alias("mean"))
-    n, mean = stats.select("n").scalar(), stats.select("mean").scalar()
-    terms = prepared.select(*ids, F.size("_w").alias("length"), F.explode("_w").alias("token"))
-    tf = terms.groupBy(*ids, "length", "token").agg(F.count("*").alias("tf"))
-    df = tf.groupBy("token").agg(F.count("*").alias("df"))
-    idf = F.ln(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")
-    weighted = wanted.join(df, "token").select("question_id", "token", idf)
-    met = lookup_join(tf, checkpointed(weighted), "token", F.struct(*ids))
-    norm = K1 * (1 - B + B * F.try_divide("length", mean))
-    part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)
-    scores = met.groupBy("question_id", *ids).agg(F.round(F.sum(part), 6).alias("score"))
-    return _best(scores, ids, k)
+            found = pd.concat(best)
+            order = ["question_id", "score", *ids]
+            found = found.sort_values(order, ascending=[True, False, *[True] * len(ids)])
+            yield found.groupby("question_id").head(k)
+
+    return kept.mapInPandas(score, f"{id_schema}, question_id {question_type}, score double")
 
 
 def _best(scores: DataFrame, ids: Sequence[str], k: int) -> DataFrame:

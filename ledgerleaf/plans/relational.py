@@ -43,10 +43,10 @@ def _(t):
     return t.orders.drop("o_totalprice", "o_orderpriority", "o_orderdate")
 
 
-@query("p03_rename_columns", "SELECT o_orderkey AS br_nmbr, o_orderstatus AS lead_service FROM orders")
+@query("p03_rename_columns", "SELECT o_orderkey AS request_no, o_orderstatus AS service FROM orders")
 def _(t):
-    renamed = t.orders.withColumnsRenamed({"o_orderkey": "br_nmbr", "o_orderstatus": "lead_service"})
-    return renamed.select("br_nmbr", "lead_service")
+    renamed = t.orders.withColumnsRenamed({"o_orderkey": "request_no", "o_orderstatus": "service"})
+    return renamed.select("request_no", "service")
 
 
 @query(

@@ -12,8 +12,6 @@ from ledgerleaf.operators.pii import EMAIL, spans_of
 from ledgerleaf.plans.derived import SQL_NOTES, order_notes, sql_list, sql_rules, sql_text
 from ledgerleaf.plans.registry import query
 
-SQL_TRIM = "trim({})"
-
 
 def sql_strip_markup(x: str) -> str:
     return f"trim({sql_rules(x, tx.MARKUP)}, ' ' || chr(10))"

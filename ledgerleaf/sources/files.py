@@ -93,6 +93,7 @@ def read_corpus(
     return corpus, rows.where(F.col("reason").isNotNull()).select("path", "document_name", "reason")
 
 
+# The columns of the delimited series format.
 SERIES_SCHEMA = (
     "SNAPSHOT_PERIOD_END STRING, FY STRING, POST_PERIOD INT, SUM_of_BR_BILLED_AMT DECIMAL(18,2), "
     "COUNT_BR_NMBR INT, COUNT_GC_ORG INT"

@@ -1,7 +1,11 @@
+import math
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerleaf.functions.words import STOP_WORDS
 from ledgerleaf.operators import learn, models, retrieval, search
 
 
@@ -53,17 +57,36 @@ def passages(spark):
     return p.repartition(4), q
 
 
-@pytest.mark.parametrize("block", [retrieval.BLOCK_VALUES, 4])
-def test_ranked_passages_both_ways(passages, monkeypatch, block):
+def bm25(texts, question, k):
+    """Brute force over plain lists."""
+    words = lambda s: [w for w in re.findall("[a-z]+", s.lower()) if len(w) > 1 and w not in STOP_WORDS]
+    docs = [words(x) for x in texts]
+    mean = sum(map(len, docs)) / len(docs)
+    scores = []
+    for i, d in enumerate(docs):
+        total = 0.0
+        for w in set(words(question)) & set(d):
+            df = sum(w in x for x in docs)
+            total += math.log(1 + (len(docs) - df + 0.5) / (df + 0.5)) * d.count(w) * 2.5 / (
+                d.count(w) + 1.5 * (0.25 + 0.75 * len(d) / mean)
+            )
+        if total > 0:
+            scores.append((-round(total, 6), i))
+    return {(i, -s) for s, i in sorted(scores)[:k]}
+
+
+@pytest.mark.parametrize("block, limit", [(retrieval.BLOCK_VALUES, retrieval.QUESTION_WORDS), (4, 3), (40, 3)])
+def test_ranked_passages_against_brute_force(passages, monkeypatch, block, limit):
     p, q = passages
-    ids = ["doc_id", "passage_no"]
     monkeypatch.setattr(retrieval, "BLOCK_VALUES", block)
-    scored = retrieval.ranked_passages(p, ids, "passage", q, "id", "text", 4)
-    by_matrix = {tuple(r) for r in scored.collect()}
-    monkeypatch.setattr(retrieval, "QUESTION_TERMS", 1)
-    joined = retrieval.ranked_passages(p, ids, "passage", q, "id", "text", 4)
-    assert by_matrix == {tuple(r) for r in joined.collect()}
-    assert {r[0] for r in by_matrix} == {1, 2}
+    monkeypatch.setattr(retrieval, "QUESTION_WORDS", limit)
+    found = retrieval.ranked_passages(p, ["doc_id", "passage_no"], "passage", q, "id", "text", 4).collect()
+    texts = [r.passage for r in p.orderBy("doc_id").collect()]
+    for question in q.collect():
+        got = {(r.doc_id, r.score) for r in found if r.question_id == question.id}
+        want = bm25(texts, question.text, 4)
+        assert {i for i, _ in got} == {i for i, _ in want}
+        assert np.allclose(sorted(s for _, s in got), sorted(s for _, s in want), atol=2e-6)
 
 
 def test_prompt(spark):
