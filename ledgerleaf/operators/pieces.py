@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # Preferred places to cut, best first; the cut comes after the separator.
 SEPARATORS = [". ", "! ", "? ", ": ", "; ", "-", "/", ".", "!", "?", " "]
 
+# Pieces handed back to Spark at a time.
+ROWS_OUT = 20_000
+
 
 def cut_points(text: str, limit: int) -> list[int]:
     """Ends of the pieces of ``text``, none longer than ``limit``."""
@@ -39,6 +42,9 @@ def preference_pieces(df: DataFrame, key: str, text: str, limit: int) -> DataFra
                     continue
                 ends = cut_points(value, limit)
                 rows += [(name, i, value[a:b]) for i, (a, b) in enumerate(zip([0, *ends], ends))]
+                if len(rows) >= ROWS_OUT:
+                    yield pd.DataFrame(rows, columns=[key, "piece_no", "piece"])
+                    rows = []
             yield pd.DataFrame(rows, columns=[key, "piece_no", "piece"])
 
     return df.select(key, text).mapInPandas(split, schema)

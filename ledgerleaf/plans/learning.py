@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ledgerleaf.functions import text as tx
 from ledgerleaf.operators import frame, learn, series
 from ledgerleaf.operators.documents import polarity
 from ledgerleaf.operators.search import nearest
@@ -262,7 +263,7 @@ def _(t):
     """Missing texts dropped, rare classes bucketed, cleaned, split and classified."""
     docs = t.texts.select("doc_id", "text", "lang").dropna()
     docs = frame.rare_bucketed(docs, "lang", 108, "class").drop("lang")
-    cleaned = docs.withColumn("text", learn.tx.apply_rules(F.col("text"), learn.tx.CLASSIFIER_TEXT))
+    cleaned = docs.withColumn("text", tx.apply_rules(F.col("text"), tx.CLASSIFIER_TEXT))
     rows = checkpointed(learn.with_tokens(learn.split_parts(cleaned, "doc_id")))
     model = learn.fit_text_classifier(rows.where("part = 'train'"), "class", 1 << 12)
     return part_scores(model.transform(rows))
