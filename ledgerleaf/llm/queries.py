@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerleaf.llm import personal, toxicity
+from ledgerleaf.llm.packing import pack
 from ledgerleaf.llm.parsing import remove_repeated_windows
+from ledgerleaf.llm.quality import quality_report
+from ledgerleaf.llm.simhash import near_duplicates
 from ledgerleaf.llm.suffixes import remove_repeated_substrings
 from ledgerleaf.sources.tables import Tables
 
@@ -28,11 +32,25 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def word_tokenizer() -> str:
+    """Where the public word tokenizer of the contract lies on this machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
 def removed(df: DataFrame):
     lengths = F.transform("spans", lambda s: s["end"] - s["start"])
     return F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
+@query("op1_toxicity_scores")
+def op1(t: Tables) -> DataFrame:
+    """Toxicity of every whole document by the recurrent network, learned from the rows not held out."""
+    scored = toxicity.score_toxicity(t.documents, toxicity.fitted(t.documents, t.labels))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 @query("op2_substring_repeats")
 def op2(t: Tables) -> DataFrame:
     """Bytes of 50-byte strings that an earlier document holds, removed."""
@@ -50,3 +68,37 @@ def op3(t: Tables) -> DataFrame:
     return out.select(
         "doc_id", "n_words", removed(out).alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query("op4_packed_sequences")
+def op4(t: Tables) -> DataFrame:
+    """Documents packed into sequences of at most 4096 tokens."""
+    return pack(t.documents, word_tokenizer(), 4096, 2)
+
+
+@query("op7_simhash_components")
+def op7(t: Tables) -> DataFrame:
+    """SimHash fingerprints over 4-word shingles, linked at up to 4 bits."""
+    return near_duplicates(t.documents, 4, 4).select("doc_id", "fingerprint", "component_id")
+
+
+@query("op8_quality_rules")
+def op8(t: Tables) -> DataFrame:
+    """Quality measures and the verdict of adaptive thresholds per language and source."""
+    return quality_report(t.documents)
+
+
+@query("op10_personal_data")
+def op10(t: Tables) -> DataFrame:
+    """Spans of personal data: exact ones and those that weak supervision adds."""
+    found = personal.personal_data(t.documents)
+    exact = F.filter("spans", lambda s: s["exact"])
+
+    def count(i: int, kind: str):
+        return F.size(F.filter(exact, lambda s: s["kind"] == i)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(i, kind) for i, kind in enumerate(personal.KINDS)]
+    return found.select(
+        "doc_id", *counts, F.sha2(personal.listed(exact), 256).alias("base_sha256"),
+        personal.listed(F.col("spans")).alias("spans"),
+    )
