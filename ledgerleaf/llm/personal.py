@@ -89,10 +89,13 @@ def valid(kind: str, entity: Column) -> Column:
     return F.lit(True)
 
 
-def votes(kind: str, text: Column, span: Column, exact: bool, form: Column) -> Column:
+def votes(kind: str, text: Column, span: Column, exact: bool) -> Column:
     """The votes of the labelers on one candidate: 1 for, -1 against, 0 none."""
     entity = span["entity"]
     number = digits(entity)
+    form = F.lit(int(exact))
+    if kind == "card" and not exact:
+        form = vote(luhn(number), F.lit(True))
     before = F.lower(F.substring(text, F.greatest(span["start"] - 29, F.lit(1)), F.least(span["start"], F.lit(30))))
     if kind == "email":
         plain = F.regexp_replace(entity, r" ?[\[({](?:at|dot)[\])}] ?", ".")
@@ -118,30 +121,21 @@ def gated(text: Column, signs: list[str], digit: Column) -> Column:
 
 
 def candidates(text: Column, has_digit: Column, kind: str) -> Column:
-    """Exact spans of a kind, and looser ones that touch none of them (numbers that fail their check too)."""
+    """Exact spans of a kind, and looser ones that touch none of them."""
     number = F.lit(KINDS.index(kind))
     digit = F.lit(True) if kind == "email" else has_digit
     none = F.expr(f"cast(array() as {SPAN})")
 
-    def as_spans(found, exact, form):
+    def as_spans(found, exact):
         return F.transform(found, lambda s: F.struct(
             number.alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit(exact).alias("exact"),
-            votes(kind, text, s, exact, form).alias("votes"),
+            votes(kind, text, s, exact).alias("votes"),
         ))
 
-    def split(found):
-        good = F.filter(found, lambda s: valid(kind, s["entity"]))
-        both = as_spans(good, True, F.lit(1))
-        if kind == "card":
-            bad = F.filter(found, lambda s: ~valid(kind, s["entity"]) & F.length(digits(s["entity"])).between(13, 19))
-            both = F.concat(both, as_spans(bad, False, F.lit(-1)))
-        return both
-
-    exact = F.transform(F.array(match_spans(text, EXACT[kind])), split)[0]
-    exact = F.when(gated(text, SIGNS[kind], digit), exact).otherwise(none)
-    loose = F.when(
-        gated(text, LOOSE_SIGNS[kind], digit), as_spans(match_spans(text, LOOSE[kind]), False, F.lit(0))
-    ).otherwise(none)
+    good = F.filter(match_spans(text, EXACT[kind]), lambda s: valid(kind, s["entity"]))
+    exact = F.when(gated(text, SIGNS[kind], digit), as_spans(good, True)).otherwise(none)
+    loose = match_spans(text, LOOSE[kind])
+    loose = F.when(gated(text, LOOSE_SIGNS[kind], digit), as_spans(loose, False)).otherwise(none)
 
     def merged(pair):
         own, other = pair["own"], pair["other"]
