@@ -8,9 +8,13 @@ piece its sequence and offset.
 
 from __future__ import annotations
 
+import os
+import re
+import struct
+import sys
+import types
 import zlib
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,35 +22,53 @@ from pyspark.sql.window import Window as W
 
 from ledgerleaf.llm.tables import stored
 
-ASCII_SPACE = b" \t\n\v\f\r"
+#: Letters of one code point that lower-case to one, then signs: the tokenizer splits between the two.
+PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?;:|$%&*#]*)")
 
 
-def encoder(path: str, end: int, known: int = 300_000):
-    """A function from texts to their ids as little-endian 32-bit bytes, ``end`` appended.
+class WordIds(dict):
+    """The ids of a word, as little-endian 32-bit bytes; unknown words are looked up part by part."""
 
-    The tokenizer never joins what white space separates, so each distinct word is encoded once;
-    up to ``known`` words are remembered at a time.
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.parts: dict[str, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode()
+        plain = PLAIN.fullmatch(text)
+        found = self[word] = b"".join(
+            [self.part(p) for p in (plain[1].lower(), plain[2]) if p] if plain else [self.part(text)]
+        )
+        return found
+
+    def part(self, text: str) -> bytes:
+        found = self.parts.get(text)
+        if found is None:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            found = self.parts[text] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+
+def encoder(path: str, end: int, known: int = 800_000):
+    """A function from a text to its ids as little-endian 32-bit bytes, ``end`` appended.
+
+    The tokenizer never joins what ASCII white space separates, so words are encoded one by one and
+    up to ``known`` of them remembered. A worker keeps what it knows for its next task.
     """
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    cache: dict[bytes, bytes] = {}
-    tail = np.array([end], "<u4").tobytes()
-
-    def encode(texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        if len(cache) > known:
-            cache.clear()
-        new = list({w for words in split for w in words}.difference(cache))
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            ids = tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            cache.update(zip(part, (np.array(e.ids, "<u4").tobytes() for e in ids)))
-        found = cache.__getitem__
-        return [b"".join(map(found, words)) + tail for words in split]
+    kept = sys.modules.setdefault("ledgerleaf_worker_words", types.ModuleType("ledgerleaf_worker_words"))
+    if getattr(kept, "path", None) != path:
+        kept.path, kept.ids = path, WordIds(path)
+    ids, tail = kept.ids, struct.pack("<I", end)
+
+    def encode(text: str | None) -> bytes:
+        if len(ids) > known:
+            ids.clear()
+            ids.parts.clear()
+        return b"".join(map(ids.__getitem__, (text or "").encode("utf-8", "replace").split())) + tail
 
     return encode
 
@@ -59,7 +81,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, end: int, longest: int, key: str,
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
             for i in range(0, len(texts), 64):
-                encoded = encode(texts[i : i + 64])
+                encoded = [encode(t) for t in texts[i : i + 64]]
                 rows = [
                     (i + j, start, raw[4 * start : 4 * (start + longest)], len(raw) // 4)
                     for j, raw in enumerate(encoded) for start in range(0, len(raw) // 4, longest)
