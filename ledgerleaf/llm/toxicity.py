@@ -91,10 +91,10 @@ class Network:
             total[:, j] = np.bincount(owner, picked[:, j], len(cells))
         return np.concatenate([self.p["words"][cells], total / np.maximum(counts, 1)[:, None].astype(np.float32)], axis=1)
 
-    def table(self, feats) -> tuple[np.ndarray, np.ndarray]:
-        """Inputs of the gates for each distinct word, and the embeddings below them."""
-        x = self.embedded(feats)
-        return x @ self.p["inputs"] + self.p["bias"], x
+    def table(self, words: list[bytes]) -> np.ndarray:
+        """Inputs of the gates for each distinct word."""
+        parts = [self.embedded(features(words[i : i + 20_000])) for i in range(0, len(words), 20_000)]
+        return np.concatenate([x @ self.p["inputs"] + self.p["bias"] for x in parts])
 
     def states(self, table, ids, mask, direction, keep=None) -> np.ndarray:
         """States of one direction, ``windows x steps x HIDDEN``; ``keep`` collects what the gradient needs."""
@@ -204,12 +204,12 @@ class Windows:
             own = np.array([number.setdefault(w, len(number)) for w in tokens(text)])
             starts = np.array(window_starts(len(own)))
             at = starts[:, None] + np.arange(STEPS)
-            ids.append(own[np.minimum(at, len(own) - 1)])
-            mask.append(at < len(own))
+            ids.append(own[np.minimum(at, len(own) - 1)].astype(np.int32))
+            mask.append((at < len(own)).astype(np.float32))
             owner.append(np.full(len(starts), i))
         self.words = list(number)
         self.ids = np.concatenate(ids)
-        self.mask = np.concatenate(mask).astype(np.float32)
+        self.mask = np.concatenate(mask)
         self.owner = np.concatenate(owner)
 
     def batch(self, chosen: np.ndarray):
@@ -219,7 +219,7 @@ class Windows:
 
 def best_windows(network: Network, windows: Windows, texts: int) -> tuple[np.ndarray, np.ndarray]:
     """The highest logit of each text, and its windows from the highest down."""
-    logit = network.logits(network.table(features(windows.words))[0], windows.ids, windows.mask)
+    logit = network.logits(network.table(windows.words), windows.ids, windows.mask)
     order = np.lexsort((-logit, windows.owner))
     first = np.searchsorted(windows.owner[order], np.arange(texts))
     return logit[order[first]], order
@@ -281,7 +281,7 @@ def scores(parameters: dict[str, np.ndarray], texts: list[str | None]) -> np.nda
     """The calibrated score of each text over all its windows."""
     network = Network(parameters)
     windows = Windows(texts)
-    table = network.table(features(windows.words))[0]
+    table = network.table(windows.words)
     logit = network.logits(table, windows.ids, windows.mask)
     best = np.maximum.reduceat(logit, np.searchsorted(windows.owner, np.arange(len(texts))))
     return 1 / (1 + np.exp(-(best.astype(float) * parameters["scale"] + parameters["offset"])))
@@ -305,12 +305,12 @@ def held_out(key: str = "doc_id") -> Column:
 
 def fitted(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-    per_class: int = 1500, longest: int = 20_000,
+    per_class: int = 1500, longest: int = 10_000,
 ) -> dict[str, np.ndarray] | float:
     """The network for the labelled rows that are not held out, or their base rate if a class is missing.
 
-    The sample is bounded: of texts of at most ``longest`` characters, the ``per_class`` rows of each
-    label with the smallest hashes of their keys. The base rate is counted over all labelled rows.
+    The sample is bounded: the ``per_class`` keys of each label with the smallest hashes, of those the
+    texts of at most ``longest`` characters. The base rate is counted over all labelled rows.
     """
     marks = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(key)
     marks = marks.agg(F.max(label).cast("int").alias("_toxic")).where(~F.coalesce(held_out(key), F.lit(False)))
@@ -318,14 +318,14 @@ def fitted(
     if not counts:
         return 0.0
     prior = counts.get(1, 0) / sum(counts.values())
-    rows = docs.select(F.col(key), F.col(text).alias("_text")).where(
+    order = [F.xxhash64(F.col(key).cast("string")), F.col(key)]
+    keys = [marks.where(F.col("_toxic") == c).orderBy(*order).limit(per_class) for c in (0, 1)]
+    rows = docs.select(F.col(key), F.col(text).cast("string").alias("_text")).where(
         F.coalesce(F.length("_text"), F.lit(0)) <= longest
-    ).join(marks, key)
-    order = [F.xxhash64(F.col(key).cast("string")), F.col(key), F.xxhash64("_text")]
-    sample = [
-        r for c in (0, 1)
-        for r in rows.where(F.col("_toxic") == c).orderBy(*order).limit(per_class).select("_text", "_toxic").collect()
-    ]
+    ).join(F.broadcast(keys[0].unionByName(keys[1])), key)
+    # A key that several rows share counts once.
+    rows = rows.groupBy(key, "_toxic").agg(F.min("_text").alias("_text"))
+    sample = sorted(rows.collect(), key=lambda r: (r["_toxic"], str(r[key])))
     toxic = np.array([r["_toxic"] for r in sample])
     if min((toxic == 0).sum(), (toxic == 1).sum()) < 2:
         return prior
