@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerleaf.llm import personal, toxicity
+from ledgerleaf.llm.neighbours import nearest
 from ledgerleaf.llm.packing import pack
 from ledgerleaf.llm.parsing import remove_repeated_windows
 from ledgerleaf.llm.quality import quality_report
@@ -76,6 +77,12 @@ def op4(t: Tables) -> DataFrame:
     return pack(t.documents, word_tokenizer(), 4096, 2)
 
 
+@query("op5_nearest_vectors")
+def op5(t: Tables) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector, by a forest of random-projection trees."""
+    return nearest(t.embeddings, F.col("vec_id") % 20 == 0, 20)
+
+
 @query("op7_simhash_components")
 def op7(t: Tables) -> DataFrame:
     """SimHash fingerprints over 4-word shingles, linked at up to 4 bits."""
