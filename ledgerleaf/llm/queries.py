@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm import personal, toxicity
+from ledgerleaf.llm import licences, mixing, personal, toxicity
 from ledgerleaf.llm.neighbours import nearest
 from ledgerleaf.llm.packing import pack
 from ledgerleaf.llm.parsing import remove_repeated_windows
@@ -16,6 +16,9 @@ from ledgerleaf.llm.simhash import near_duplicates
 from ledgerleaf.llm.suffixes import remove_repeated_substrings
 from ledgerleaf.sources.tables import Tables
 
+#: Weights of the domains of the labels in the mixture.
+MIXTURE = {"prime": 0.97, "rough": 0.02, "toxic": 0.01}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -83,6 +86,12 @@ def op5(t: Tables) -> DataFrame:
     return nearest(t.embeddings, F.col("vec_id") % 20 == 0, 20)
 
 
+@query("op6_license_digests", licences.sql())
+def op6(t: Tables) -> DataFrame:
+    """Canonical digest of every whole document, the licence it is, and the notices among its lines."""
+    return licences.scan_licences(t.documents, licences.known_digests(t.spark))
+
+
 @query("op7_simhash_components")
 def op7(t: Tables) -> DataFrame:
     """SimHash fingerprints over 4-word shingles, linked at up to 4 bits."""
@@ -95,6 +104,17 @@ def op8(t: Tables) -> DataFrame:
     return quality_report(t.documents)
 
 
+@query("op9_mixing_rates")
+def op9(t: Tables) -> DataFrame:
+    """Tokens, domain posteriors, fitted rate and number of copies of every document."""
+    out = mixing.mixed(t.documents, t.labels, MIXTURE)
+    shares = [F.col("_p")[i].alias(f"p_{d}") for i, d in enumerate(MIXTURE)]
+    return out.select(
+        F.col("_row.doc_id").alias("doc_id"), F.col("_tokens").alias("n_tokens"), *shares,
+        F.col("_rate").alias("rate"), F.col("_copies").alias("copies"),
+    )
+
+
 @query("op10_personal_data")
 def op10(t: Tables) -> DataFrame:
     """Spans of personal data: exact ones and those that weak supervision adds."""
