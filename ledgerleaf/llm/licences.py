@@ -91,7 +91,8 @@ def scan_licences(docs: DataFrame, known: DataFrame, key: str = "doc_id", text:
 
     Null texts have a null digest and no notices; texts without letters and digits have the digest of the
     empty text and match nothing. Rows are kept as they are, repeated ones too; other columns are ignored;
-    an empty table gives an empty result. ``known`` has ``(license, digest)``, digests once.
+    an empty table gives an empty result. ``known`` has ``(license, digest)``, digests once; it is a list of
+    licences, small enough for the driver.
     """
     body = F.col(text).cast("string")
     slim = docs.select(F.col(key), body.alias("_text"))
@@ -101,13 +102,12 @@ def scan_licences(docs: DataFrame, known: DataFrame, key: str = "doc_id", text:
     marked = slim.select(key, F.sha2(canonical(F.col("_text")), 256).alias("digest"), lines.alias("_lines"))
     names = known.where(F.col("digest") != F.sha2(F.lit(""), 256)).select(F.col("digest").alias("_digest"), "license")
     found = marked.join(names, F.col("digest") == F.col("_digest"), "left").drop("_digest")
-    # The notices of a row are looked up in the few known digests, which the driver's list of texts bounds.
-    table = names.agg(F.map_from_entries(F.collect_list(F.struct("_digest", "license"))).alias("_names"))
-    notices = F.filter(F.transform("_lines", lambda x: F.element_at("_names", x)), lambda x: x.isNotNull())
+    # The digests of a row's lines are looked up in a map of the known ones, which the list of licences bounds.
+    entries = [F.lit(v) for r in names.collect() for v in (r["_digest"], r["license"])]
+    table = F.create_map(*entries) if entries else F.create_map().cast("map<string,string>")
+    notices = F.filter(F.transform("_lines", lambda x: F.element_at(table, x)), lambda x: x.isNotNull())
     notices = F.coalesce(F.array_sort(F.array_distinct(notices)), F.array().cast("array<string>"))
-    return found.join(F.broadcast(table)).select(
-        key, "digest", "license", F.array_join(notices, ",").alias("notices")
-    )
+    return found.select(key, "digest", "license", F.array_join(notices, ",").alias("notices"))
 
 
 def sql(known: list[tuple[str, str]] = KNOWN) -> str:

@@ -21,7 +21,7 @@ from ledgerleaf.llm.tables import stored
 
 CELLS = 1 << 15  # of each of the three hashed word features
 DIGITS = 2  # to which posteriors are rounded
-PULL = 0.01  # weight of the pull of the rates towards 1
+PULL = 0.003  # weight of the pull of the rates towards 1
 
 
 def word_cells(words: list[bytes]) -> np.ndarray:
@@ -229,7 +229,7 @@ def fitted_steps(marked: DataFrame, weights: np.ndarray, total: str, rounds: int
 
 def mixed(
     docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: Column | None = None, total: str = "all",
-    key: str = "doc_id", text: str = "text", rounds: int = 80, tolerance: float = 1e-5,
+    key: str = "doc_id", text: str = "text", rounds: int = 100, tolerance: float = 2e-5,
 ) -> DataFrame:
     """Per row of ``docs``: the row in a struct ``_row``, ``_tokens``, ``_p`` (posterior per target, in the
     order of ``targets``), ``_rate`` and ``_copies``.
