@@ -22,16 +22,17 @@ from ledgerleaf.llm.tables import stored
 KINDS = ["email", "ip", "card", "phone"]
 #: The exact patterns of the contract. What stands before a run cannot belong to a match unless
 #: the last match ended there, which the anchors say so that long runs are not tried from each character.
+#: Repetitions are possessive, which changes no match here: others use up the stack on very long runs.
 EXACT = {
-    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:(?<![0-9])|\G)[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
-    "card": r"[0-9]([\x20-]?[0-9])+",
+    "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 #: Looser forms: written-out signs, dots in brackets, numbers in groups, numbers without country code.
 LOOSE = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++ ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]+"
-    r"(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?[A-Za-z0-9-]+)+",
+    r"(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]{1,3}(?:(?:\[\.\]|\(\.\))[0-9]{1,3}){3}(?![0-9])",
     "card": r"(?<![0-9.])[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}(?![0-9])",
     "phone": r"(?<![0-9+.(-])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9])",
