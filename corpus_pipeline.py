@@ -29,7 +29,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn at rates that bring the domains to their weights; none is drawn twice."""
-    drawn = mixing.mixed(docs, Tables(spark, sf_dir).labels, MIXTURE, total="available")
+    drawn = mixing.mixed(docs, Tables(spark, sf_dir).labels, MIXTURE, total="largest", slack=0.15)
     return drawn.where("_copies >= 1").select("_row.*")
 
 

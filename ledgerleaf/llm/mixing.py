@@ -62,7 +62,7 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def trained(texts: list[str | None], domain: np.ndarray, share: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray]:
+def trained(texts: list[str | None], domain: np.ndarray, share: np.ndarray, rounds: int = 120) -> tuple[np.ndarray, np.ndarray]:
     """Weights and bias of the classifier, for domains that make up ``share`` of all labelled rows."""
     data, k = Texts(texts), len(share)
     weights, bias = np.zeros((3 * CELLS + 10, k)), np.zeros(k)
@@ -94,7 +94,7 @@ def label_domain() -> Column:
 
 def posteriors(
     docs: DataFrame, labels: DataFrame, domain: Column, domains: list[str], key: str = "doc_id", text: str = "text",
-    per_domain: int = 1000, longest: int = 10_000,
+    per_domain: int = 1500, longest: int = 10_000,
 ) -> DataFrame:
     """``docs`` with ``_tokens`` (words) and ``_p``, the rounded posterior of each of ``domains``.
 
@@ -185,8 +185,8 @@ def rates_of(p: np.ndarray, steps: list[np.ndarray], size: float) -> tuple[np.nd
 def fitted_steps(marked: DataFrame, weights: np.ndarray, total: str, rounds: int, tolerance: float):
     """The residuals of the steps of the projected gradient, and the step size.
 
-    ``total`` says how many tokens the targets make up: ``"all"`` of the corpus, or the ``"available"``
-    ones, the most that the weights allow without a domain giving more than it has.
+    ``total`` says how many tokens the targets make up: ``"all"`` of the corpus, or as many as go with the
+    whole of the domain of the ``"largest"`` weight.
     """
     k = len(weights)
     cells = stored(marked.groupBy("_p").agg(F.sum("_tokens").cast("double").alias("_tokens")), "posteriors")
@@ -213,8 +213,8 @@ def fitted_steps(marked: DataFrame, weights: np.ndarray, total: str, rounds: int
         return [], size
     goal = weights * (have > 0)
     goal = goal / goal.sum() if goal.sum() else have / every
-    asked = goal > 0
-    wanted = goal * (every if total == "all" else (have[asked] / goal[asked]).min())
+    main = int(np.argmax(goal))
+    wanted = goal * (every if total == "all" else have[main] / goal[main])
     steps: list[np.ndarray] = []
     residual = (have - wanted) / every
     for _ in range(rounds):
@@ -229,12 +229,13 @@ def fitted_steps(marked: DataFrame, weights: np.ndarray, total: str, rounds: int
 
 def mixed(
     docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: Column | None = None, total: str = "all",
-    key: str = "doc_id", text: str = "text", rounds: int = 100, tolerance: float = 2e-5,
+    key: str = "doc_id", text: str = "text", rounds: int = 100, tolerance: float = 2e-5, slack: float = 0.0,
 ) -> DataFrame:
     """Per row of ``docs``: the row in a struct ``_row``, ``_tokens``, ``_p`` (posterior per target, in the
     order of ``targets``), ``_rate`` and ``_copies``.
 
-    ``_copies`` is the rate rounded up or down by a hash of the row, so that its mean over rows is the rate.
+    ``_copies`` is the rate rounded up or down by a hash of the row, so that its mean over rows is the rate;
+    a rate within ``slack`` of a whole number is rounded to that.
     Tokens are maximal runs of other characters than ASCII white space. Null and empty texts have none and
     the posterior of a text without words. A target without labelled rows is left out and the others
     scaled up; without tokens all rates are 1. Repeated rows share a rate and a number of copies. An empty
@@ -257,4 +258,6 @@ def mixed(
     schema = T.StructType([*marked.schema.fields, T.StructField("_rate", T.DoubleType())])
     rated = marked.mapInArrow(add, schema)
     dice = F.pmod(F.xxhash64(F.lit("copies"), F.col(f"_row.{key}"), F.xxhash64(f"_row.{text}")), F.lit(1 << 20)) / float(1 << 20)
-    return rated.withColumn("_copies", F.floor(F.col("_rate") + 1e-9 + dice).cast("int"))
+    whole = F.abs(F.col("_rate") - F.round("_rate")) <= slack
+    copies = F.when(whole, F.round("_rate")).otherwise(F.floor(F.col("_rate") + dice))
+    return rated.withColumn("_copies", copies.cast("int"))
