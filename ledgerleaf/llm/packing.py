@@ -53,11 +53,11 @@ class WordIds(dict):
         return found
 
 
-def encoder(path: str, end: int, known: int = 800_000):
+def encoder(path: str, end: int, known: int = 200_000, parts: int = 900_000):
     """A function from a text to its ids as little-endian 32-bit bytes, ``end`` appended.
 
-    The tokenizer never joins what ASCII white space separates, so words are encoded one by one and
-    up to ``known`` of them remembered. A worker keeps what it knows for its next task.
+    The tokenizer never joins what ASCII white space separates, so words are encoded one by one; up to
+    ``known`` words and ``parts`` of words are remembered. A worker keeps what it knows for its next task.
     """
     kept = sys.modules.setdefault("ledgerleaf_worker_words", types.ModuleType("ledgerleaf_worker_words"))
     if getattr(kept, "path", None) != path:
@@ -67,6 +67,7 @@ def encoder(path: str, end: int, known: int = 800_000):
     def encode(text: str | None) -> bytes:
         if len(ids) > known:
             ids.clear()
+        if len(ids.parts) > parts:
             ids.parts.clear()
         return b"".join(map(ids.__getitem__, (text or "").encode("utf-8", "replace").split())) + tail
 
