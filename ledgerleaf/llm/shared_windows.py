@@ -416,7 +416,7 @@ def repeated(
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(answered, f"{key} long, {schema}")
 
 
-def slices(order: np.ndarray, hashes: np.ndarray, sizes: list[int], limit: int = 3 << 20) -> Iterator[np.ndarray]:
+def slices(order: np.ndarray, hashes: np.ndarray, sizes: list[int], limit: int = 1 << 20) -> Iterator[np.ndarray]:
     """Consecutive parts of ``order`` of about ``limit`` bytes that never separate equal hashes."""
     start = size = 0
     for i, own in enumerate(sizes):
