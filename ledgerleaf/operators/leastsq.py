@@ -73,11 +73,34 @@ class Moments:
     def fit(self, targets: Sequence[int], regressors: Sequence[int], lags: int):
         """Coefficients, residual moments, inverse normal matrix and rows of a regression."""
         n, m = self.sample(lags)
-        xx, xy = m[np.ix_(regressors, regressors)], m[np.ix_(regressors, targets)]
-        inverse = np.linalg.pinv(xx, rcond=1e-13, hermitian=True)
-        beta = inverse @ xy
-        residual = m[np.ix_(targets, targets)] - xy.T @ beta
-        return beta, residual, inverse, n
+        regressors, targets = list(regressors), list(targets)
+        if 0 not in regressors or not n:
+            xx, xy = m[np.ix_(regressors, regressors)], m[np.ix_(regressors, targets)]
+            inverse = scaled_inverse(xx)
+            beta = inverse @ xy
+            return beta, m[np.ix_(targets, targets)] - xy.T @ beta, inverse, n
+        # With a constant among the regressors, it is swept out first: moments about the means.
+        mean = m[0] / m[0, 0]
+        about = m - np.outer(m[0], mean)
+        at = [i for i, r in enumerate(regressors) if r != 0]
+        rest, constant = [regressors[i] for i in at], regressors.index(0)
+        xx, xy = about[np.ix_(rest, rest)], about[np.ix_(rest, targets)]
+        slopes = scaled_inverse(xx)
+        inverse, beta = np.zeros((len(regressors),) * 2), np.zeros((len(regressors), len(targets)))
+        inverse[np.ix_(at, at)] = slopes
+        inverse[constant, at] = inverse[at, constant] = -slopes @ mean[rest]
+        inverse[constant, constant] = 1 / m[0, 0] + mean[rest] @ slopes @ mean[rest]
+        beta[at] = slopes @ xy
+        beta[constant] = mean[targets] - mean[rest] @ beta[at]
+        return beta, about[np.ix_(targets, targets)] - xy.T @ beta[at], inverse, n
+
+
+def scaled_inverse(moments: np.ndarray) -> np.ndarray:
+    """Pseudo-inverse of a moment matrix, found on the scale of correlations so that units do not matter."""
+    scale = np.sqrt(np.maximum(np.diag(moments), 0))
+    scale[scale == 0] = 1
+    unit = np.outer(scale, scale)
+    return np.linalg.pinv(moments / unit, rcond=1e-12, hermitian=True) / unit
 
 
 def solved(

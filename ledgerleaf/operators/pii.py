@@ -10,7 +10,7 @@ from ledgerleaf.functions.words import MONTHS
 from ledgerleaf.operators.frame import lookup_join
 
 # Fixed patterns; alternatives are tried from left to right.
-EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}\.[A-Za-z]{2,}"
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE = r"\+?[0-9]{1,2} \([0-9]{3}\) [0-9]{3}-[0-9]{4}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}"
 PERSON = r"[A-Z][a-z]+ [A-Z][a-z]+"
 _MONTH = "|".join(MONTHS)

@@ -23,14 +23,12 @@ QUESTION_WORDS = 20_000
 # Entries × questions a task scores at a time.
 BLOCK_VALUES = 8_000_000
 
-PROMPT = """Answer the question at the end from the paragraphs below and refer to them.
-If they do not hold the answer, say that you do not know.
-
+# The two slots of a prompt, labelled; instructions to a model are the caller's.
+PROMPT = """Passages:
 {context}
 
-Question: {question}
-
-Answer:"""
+To answer: {question}
+"""
 
 
 def content_words(text: Column) -> Column:
@@ -155,13 +153,14 @@ def contexts(found: DataFrame, passages: DataFrame, ids: Sequence[str], passage:
 
 
 def answer_html(question: Column, answer: Column, passages: Column, sources: Column) -> Column:
-    """A question with its answer and the passages it came from."""
-    items = F.zip_with(
+    """An article with the answer, titled by the question, and a table of documents and their passages."""
+    rows = F.zip_with(
         passages, sources,
-        lambda p, s: F.concat(F.lit("<li>"), p, F.lit(" (Source: "), s.cast("string"), F.lit(")</li>")),
+        lambda p, s: F.concat(F.lit("<tr><th>"), s.cast("string"), F.lit("</th><td>"), p, F.lit("</td></tr>")),
     )
     return F.concat(
-        F.lit("<h3>"), question, F.lit("</h3><p>"), answer, F.lit("</p><hr/><ul>"), F.array_join(items, ""), F.lit("</ul>")
+        F.lit("<article><h1>"), question, F.lit("</h1><blockquote>"), answer, F.lit("</blockquote><table>"),
+        F.array_join(rows, ""), F.lit("</table></article>"),
     )
 
 

@@ -257,15 +257,15 @@ def _(t):
 @query(
     "j07_aligned_columns",
     """WITH p AS (SELECT CAST(ts AS DATE) AS day, COUNT(*) AS purchases FROM events
-                  WHERE event_type = 'purchase' AND value > 100 GROUP BY 1),
+                  WHERE event_type = 'purchase' GROUP BY 1),
             e AS (SELECT CAST(ts AS DATE) AS day, COUNT(*) AS errors FROM events
-                  WHERE event_type = 'error' AND value > 100 GROUP BY 1)
+                  WHERE event_type = 'error' GROUP BY 1)
        SELECT day, purchases, errors FROM p FULL JOIN e USING (day)""",
 )
 def _(t):
-    large = t.events.where(F.col("value") > 100).withColumn("day", F.to_date("ts"))
-    purchases = large.where("event_type = 'purchase'").groupBy("day").agg(F.count("*").alias("purchases"))
-    errors = large.where("event_type = 'error'").groupBy("day").agg(F.count("*").alias("errors"))
+    dated = t.events.withColumn("day", F.to_date("ts"))
+    purchases = dated.where("event_type = 'purchase'").groupBy("day").agg(F.count("*").alias("purchases"))
+    errors = dated.where("event_type = 'error'").groupBy("day").agg(F.count("*").alias("errors"))
     return purchases.join(errors, "day", "full")
 
 

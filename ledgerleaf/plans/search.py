@@ -177,8 +177,9 @@ def _(t):
     return t.conversations.select("conv_id", "turn", prompt.alias("prompt"))
 
 
-SQL_ANSWERS = """SELECT question_id, '<h3>' || b.text || '</h3><p>' || arg_min(passage, rank) || '</p><hr/><ul>'
-    || string_agg('<li>' || passage || ' (Source: ' || doc_id || ')</li>', '' ORDER BY rank) || '</ul>' AS answer_html
+SQL_ANSWERS = """SELECT question_id, '<article><h1>' || b.text || '</h1><blockquote>' || arg_min(passage, rank)
+    || '</blockquote><table>' || string_agg('<tr><th>' || doc_id || '</th><td>' || passage || '</td></tr>', '' ORDER BY rank)
+    || '</table></article>' AS answer_html
   FROM best JOIN passages USING (doc_id, passage_no) JOIN benchmark b ON item_id = question_id GROUP BY question_id, b.text"""
 
 
@@ -198,8 +199,8 @@ def _(t):
 
 @query(
     "f28_answer_pages",
-    """SELECT a.conv_id, a.turn, '<h3>' || a.text || '</h3><p>' || b.text || '</p><hr/><ul><li>' || b.text
-         || ' (Source: ' || b.turn || ')</li></ul>' AS page
+    """SELECT a.conv_id, a.turn, '<article><h1>' || a.text || '</h1><blockquote>' || b.text
+         || '</blockquote><table><tr><th>' || b.turn || '</th><td>' || b.text || '</td></tr></table></article>' AS page
        FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1""",
 )
 def _(t):

@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.functions import text as tx
 
-EXTENSIONS = ("docx", "doc", "pdf", "html", "txt", "xml")
+EXTENSIONS = ("docx", "docm", "doc", "pdf", "html", "htm", "txt", "xml")
 _WORD = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
 
-def _files(spark: SparkSession, path: str, extensions: Sequence[str], recursive: bool) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.{" + ",".join(extensions) + "}")
+def _files(spark: SparkSession, path: str, extensions: Sequence[str] | None, recursive: bool) -> DataFrame:
+    """Files with one of the extensions, in upper or lower case, or all of them."""
+    either = ["".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in e) for e in extensions or ()]
+    glob = "*" if extensions is None else "*.{" + ",".join(either) + "}"
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     return reader.option("recursiveFileLookup", str(recursive).lower()).load(path)
 
 
@@ -77,15 +80,18 @@ def read_corpus(
     Every file lands in exactly one of the two. Formats without a reader and
     files that do not decode are rejected with a reason.
     """
-    files = _files(spark, path, EXTENSIONS, recursive).select("path", *_name_columns(), "content")
+    files = _files(spark, path, None, recursive).select("path", *_name_columns(), "content")
     plain = F.col("content").cast("string")
     kind = F.col("extension")
-    text = F.when(kind == "txt", plain).when(kind == "html", tx.strip_markup(plain)).when(kind == "xml", tx.xml_text(plain))
-    reason = F.when(kind.isin("doc", "pdf"), F.concat(F.lit("no reader for ."), kind)).when(
+    text = F.when(kind == "txt", plain).when(kind.isin("html", "htm"), tx.strip_markup(plain)).when(
+        kind == "xml", tx.xml_text(plain)
+    )
+    reason = F.when(~kind.isin("txt", "html", "htm", "xml"), F.concat(F.lit("no reader for ."), kind)).when(
         ~F.is_valid_utf8(plain), F.lit("not UTF-8")
     )
-    simple = files.where(kind != "docx").select("path", "document_name", text.alias("text"), reason.alias("reason"))
-    word = docx_texts(files.where(kind == "docx"))
+    word_file = kind.isin("docx", "docm")
+    simple = files.where(~word_file).select("path", "document_name", text.alias("text"), reason.alias("reason"))
+    word = docx_texts(files.where(word_file))
     word = word.withColumn("document_name", F.element_at(F.split("path", "/"), -1))
     rows = simple.unionByName(word)
     good = rows.where(F.col("reason").isNull())
@@ -112,8 +118,15 @@ def read_series(spark: SparkSession, path: str) -> DataFrame:
 
 # --- business reports in XML -----------------------------------------------------
 
-_CONTEXT = r'(?s)<context id="[^"]+">.*?</context>'
-_FACT = r'<[A-Za-z-]+:[A-Za-z0-9]+ contextRef="[^"]+"[^>]*>[^<]*</'
+_CONTEXT = r'(?s)<context [^>]*id="[^"]+"[^>]*>.*?</context>'
+_FACT = r'<[A-Za-z_][A-Za-z0-9_.-]*:[A-Za-z0-9_.-]+ [^>]*contextRef="[^"]+"[^>]*>[^<]*</'
+
+
+def _period(context: Column | str) -> tuple[Column, Column]:
+    """Start and end of a context; a point in time has an end only; a date that cannot be read is null."""
+    start = F.try_to_date(F.regexp_extract(context, "<startDate>([^<]+)<", 1))
+    end = F.try_to_date(F.regexp_extract(context, "<(?:endDate|instant)>([^<]+)<", 1))
+    return start.alias("start"), end.alias("end")
 
 
 def xbrl_contexts(docs: DataFrame, key: str, xml: str) -> DataFrame:
@@ -121,9 +134,8 @@ def xbrl_contexts(docs: DataFrame, key: str, xml: str) -> DataFrame:
     found = F.explode(F.regexp_extract_all(xml, F.lit(_CONTEXT), F.lit(0))).alias("c")
     return docs.select(key, found).select(
         key,
-        F.regexp_extract("c", 'id="([^"]+)"', 1).alias("context"),
-        F.to_date(F.regexp_extract("c", "<startDate>([^<]+)<", 1)).alias("start"),
-        F.to_date(F.regexp_extract("c", "<endDate>([^<]+)<", 1)).alias("end"),
+        F.regexp_extract("c", ' id="([^"]+)"', 1).alias("context"),
+        *_period("c"),
     )
 
 
@@ -135,11 +147,7 @@ def xbrl_facts(docs: DataFrame, key: str, xml: str) -> DataFrame:
     context = F.transform(
         F.regexp_extract_all(xml, F.lit(_CONTEXT), F.lit(0)),
         lambda c: F.struct(
-            F.regexp_extract(c, 'id="([^"]+)"', 1).alias("id"),
-            F.struct(
-                F.to_date(F.regexp_extract(c, "<startDate>([^<]+)<", 1)).alias("start"),
-                F.to_date(F.regexp_extract(c, "<endDate>([^<]+)<", 1)).alias("end"),
-            ).alias("period"),
+            F.regexp_extract(c, ' id="([^"]+)"', 1).alias("id"), F.struct(*_period(c)).alias("period"),
         ),
     )
     # A context id is unique in a report by definition; a repeated one keeps its first period.
@@ -147,7 +155,7 @@ def xbrl_facts(docs: DataFrame, key: str, xml: str) -> DataFrame:
     facts = periods.select(key, "contexts", F.explode("facts").alias("f"))
     ref = F.regexp_extract("f", 'contextRef="([^"]+)"', 1)
     facts = facts.select(
-        key, F.regexp_extract("f", "<([A-Za-z-]+:[A-Za-z0-9]+) ", 1).alias("element"), ref.alias("context"),
+        key, F.regexp_extract("f", "<([^ >]+) ", 1).alias("element"), ref.alias("context"),
         F.regexp_extract("f", ">([^<]*)</", 1).alias("value"), "contexts",
     )
     period = F.try_element_at(F.filter("contexts", lambda c: c["id"] == F.col("context")), F.lit(1))["period"]

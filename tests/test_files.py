@@ -102,3 +102,23 @@ def test_running_counts_follow_new_rows(spark, tmp_path):
         stream = spark.readStream.schema("k STRING").parquet(source)
         running_counts(stream, ["k"], table, state)
     assert {(r.k, r.n) for r in latest_counts(spark, table).collect()} == {("a", 2), ("b", 2), ("c", 1)}
+
+
+def test_odd_extensions_are_read_or_rejected(spark, tmp_path):
+    for name in ("a.txt", "B.TXT", "c.htm", "d.HTML", "noextension", "f.md", "e.docm", "g.pdf"):
+        (tmp_path / name).write_text("<p>words</p>")
+    corpus, rejects = files.read_corpus(spark, str(tmp_path))
+    assert {r.document_name for r in corpus.collect()} == {"a.txt", "B.TXT", "c.htm", "d.HTML"}
+    assert {r.document_name for r in rejects.collect()} == {"noextension", "f.md", "e.docm", "g.pdf"}
+
+
+def test_reports_with_instants_and_other_attribute_orders(spark):
+    xml = (
+        '<context scheme="s" id="i1"><period><instant>2023-01-18</instant></period></context>'
+        '<context id="d1"><period><startDate>2022-01-01</startDate><endDate>2022-12-31</endDate></period></context>'
+        '<us_gaap2:Cash decimals="0" contextRef="i1">5</us_gaap2:Cash><dei:Name contextRef="d1" id="x">N</dei:Name>'
+    )
+    df = spark.createDataFrame([(1, xml)], "k int, xml string")
+    facts = {r.element: (r.value, str(r.start), str(r.end)) for r in files.xbrl_facts(df, "k", "xml").collect()}
+    assert facts == {"us_gaap2:Cash": ("5", "None", "2023-01-18"), "dei:Name": ("N", "2022-01-01", "2022-12-31")}
+    assert {r.context for r in files.xbrl_contexts(df, "k", "xml").collect()} == {"i1", "d1"}

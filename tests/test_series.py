@@ -195,3 +195,28 @@ def test_constant_series(spark):
     zero = df.withColumn("x", F.lit(0.0))
     assert series.decomposed(zero, KEY, "x", "multiplicative").where("resid is not null").count() == 0
     assert series.accuracy(df, KEY, "x", "x").first()["mae"] == 0.0
+
+
+def test_regressions_do_not_depend_on_the_unit():
+    """Slopes, residuals and standard errors follow numpy's QR at any level and scale."""
+    import numpy as np
+
+    from ledgerleaf.operators.leastsq import Moments
+
+    rng = np.random.default_rng(0)
+    x, e = np.cumsum(rng.normal(0, 250, 120)), rng.normal(0, 30, 120)
+    for scale in (1e-3, 1.0, 1e3, 1e6):
+        for level in (0.0, 1e6):
+            a, b = scale * (x + level), 0.5 * scale * x + scale * e + 7
+            z = np.stack([np.ones(120), a, b], axis=1)
+            upper = np.triu_indices(3)
+            cells = [{"i": i, "v": v} for i, v in enumerate((z.T @ z)[upper])]
+            beta, residual, inverse, n = Moments(["a", "b"], 0, [{"bucket": 0, "n": 120}], cells).fit([2], [0, 1], 0)
+            q, r = np.linalg.qr(np.stack([np.ones(120), (a - a.mean()) / scale], axis=1))
+            slope = np.linalg.solve(r, q.T @ b)[1] / scale
+            error = b - b.mean() - slope * (a - a.mean())
+            assert n == 120 and abs(beta[1, 0] / slope - 1) < 1e-5
+            assert abs(residual[0, 0] / (error @ error) - 1) < 1e-5
+            t = beta[1, 0] / np.sqrt(residual[0, 0] / 118 * inverse[1, 1])
+            spread = ((a - a.mean()) ** 2).sum()
+            assert abs(t / (slope / np.sqrt(error @ error / 118 / spread)) - 1) < 1e-5
