@@ -130,7 +130,9 @@ def shortened_parts(parted: DataFrame, idf: DataFrame, key: str = "doc_id", budg
     chosen = per_part.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("part_no", "s"))).alias("_chosen"))
     # Every part holds a sentence and keeps one, so the chosen parts line up with the parts.
     picked = F.zip_with("parts", "_chosen", lambda part, c: F.transform(c["s"], lambda i: F.get(part, i)))
-    return parted.join(chosen, key).select(key, picked.alias("parts"))
+    # A document without a sentence keeps its row.
+    none = F.array().cast("array<array<string>>")
+    return parted.join(chosen, key, "left").select(key, F.coalesce(picked, none).alias("parts"))
 
 
 def summary_text(parted: DataFrame, key: str = "doc_id", name: str = "summary") -> DataFrame:

@@ -11,8 +11,16 @@ from pyspark.sql import functions as F
 from ledgerleaf.operators.ordered import code_table, exact_quantiles
 
 
-# Largest lookup that is sent to every executor; a row is a key and a few numbers, about 100 bytes.
+# Largest lookup that is sent to every executor: rows, and characters of all its values written out.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_CHARS = 64_000_000
+
+
+def fits_broadcast(lookup: DataFrame) -> bool:
+    """Whether a lookup is small enough to be broadcast; at most ``BROADCAST_ROWS`` rows are looked at."""
+    width = F.length(F.to_json(F.struct("*")))
+    rows, chars = lookup.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.sum(width)).first()
+    return rows <= BROADCAST_ROWS and (chars or 0) <= BROADCAST_CHARS
 
 
 # --- predicates and cells -------------------------------------------------
@@ -68,7 +76,7 @@ def null_safe_left_join(left: DataFrame, right: DataFrame, column: str, spread:
     """
     lookup = right.withColumnRenamed(column, "_key")
     same = F.col(column).eqNullSafe(F.col("_key"))
-    if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if fits_broadcast(lookup):
         return left.join(F.broadcast(lookup), same, "left").drop("_key")
     offered = lookup.withColumn("_offer", F.explode(F.sequence(F.lit(0), F.lit(15))))
     picked = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(16)).cast("int"))
@@ -93,11 +101,11 @@ def salted_join(
 def lookup_join(facts: DataFrame, lookup: DataFrame, on: str, spread: Column, how: str = "inner") -> DataFrame:
     """Join facts with a lookup that has one row per key.
 
-    The lookup is broadcast when its counted rows stay below ``BROADCAST_ROWS``;
+    The lookup is broadcast when its measured size stays below the bounds above;
     a larger one is joined by shuffle with salted keys (unmatched facts of a left
     join keep their row).
     """
-    if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if fits_broadcast(lookup):
         return facts.join(F.broadcast(lookup), on, how)
     return salted_join(facts, lookup, on, spread, how=how)
 
@@ -124,8 +132,10 @@ def share_within(df: DataFrame, group: str, category: str) -> DataFrame:
 
 
 def pivot_counts(df: DataFrame, group: str, category: str, values: Sequence[str]) -> DataFrame:
-    """One row per group, one count column per listed category."""
-    columns = [F.sum((F.col(category) == v).cast("bigint")).alias(v) for v in values]
+    """One row per group, one count column per listed category and ``other`` for all remaining rows."""
+    columns = [F.count(F.when(F.col(category) == v, 1)).alias(v) for v in values]
+    listed = F.coalesce(F.col(category).isin(list(values)), F.lit(False))
+    columns.append(F.count(F.when(~listed, 1)).alias("other"))
     return df.groupBy(group).agg(*columns)
 
 
@@ -190,8 +200,9 @@ def rare_bucketed(df: DataFrame, value: str, most: int, name: str, also: Sequenc
 
 
 def one_hot(df: DataFrame, column: str, values: Sequence[str], prefix: str) -> DataFrame:
-    """An indicator column per listed value; the source column goes away."""
+    """An indicator column per listed value and one for all others; the source column goes away."""
     flags = {f"{prefix}_{i}": F.coalesce((F.col(column) == v).cast("int"), F.lit(0)) for i, v in enumerate(values)}
+    flags[f"{prefix}_other"] = 1 - F.coalesce(F.col(column).isin(list(values)).cast("int"), F.lit(0))
     return df.withColumns(flags).drop(column)
 
 

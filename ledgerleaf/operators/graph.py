@@ -11,7 +11,6 @@ from ledgerleaf.session import checkpointed
 
 # A run of capitalised words; letters of any alphabet.
 NAME_SPAN = r"\p{Lu}[\p{Ll}]+(?: \p{Lu}[\p{Ll}]+)*"
-PAGE_SIZE = 500
 
 
 def entity_edges(spans: DataFrame, key: str) -> DataFrame:
@@ -52,23 +51,19 @@ def _page(neighbour: Column, pages: Column) -> Column:
     return F.conv(F.substring(F.md5(neighbour), 1, 8), 16, 10).cast("bigint") % pages
 
 
-def adjacency_titles(edges: DataFrame) -> DataFrame:
+def adjacency_titles(edges: DataFrame, page_size: int = 500, heading: str = ": ", separator: str = "; ") -> DataFrame:
     """``node, page, degree, title``: every node with the text that lists its neighbours.
 
-    A node with up to 500 neighbours has one page. The list of a larger one is
-    spread over as many pages as it needs, so no task holds a hub's whole list.
+    The list of a node is dealt to ``degree / page_size`` pages, rounded up, so no task holds a hub's whole list.
     """
     pairs = checkpointed(neighbours(edges))
-    hubs = pairs.groupBy("node").agg(F.count("*").alias("_size")).where(F.col("_size") > PAGE_SIZE)
-    pages = F.ceil(F.col("_size") / F.lit(PAGE_SIZE)).cast("bigint").alias("_pages")
-    hubs = checkpointed(hubs.select("node", "_size", pages))
-    marked = lookup_join(pairs, hubs, "node", F.col("neighbour"), "left")
-    page = F.when(F.col("_pages").isNull(), F.lit(0)).otherwise(_page(F.col("neighbour"), F.col("_pages")))
-    paged = marked.withColumn("page", page.cast("bigint"))
-    listed = paged.groupBy("node", "_size", "page").agg(F.array_sort(F.collect_list("neighbour")).alias("_n"))
-    degree = F.coalesce("_size", F.size("_n")).cast("bigint")
-    title = F.concat(F.col("node"), F.lit(" Neighbors:<br>"), F.array_join("_n", "<br>"))
-    return listed.select("node", "page", degree.alias("degree"), title.alias("title"))
+    sizes = checkpointed(pairs.groupBy("node").agg(F.count("*").alias("degree")))
+    marked = lookup_join(pairs, sizes, "node", F.col("neighbour"))
+    pages = F.ceil(F.col("degree") / F.lit(page_size)).cast("bigint")
+    paged = marked.withColumn("page", _page(F.col("neighbour"), pages))
+    listed = paged.groupBy("node", "degree", "page").agg(F.array_sort(F.collect_list("neighbour")).alias("_n"))
+    title = F.concat(F.col("node"), F.lit(heading), F.array_join("_n", separator))
+    return listed.select("node", "page", "degree", title.alias("title"))
 
 
 def triples(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -32,6 +32,7 @@ from ledgerleaf.functions import text as tx
 from ledgerleaf.functions.words import STOP_WORDS
 from ledgerleaf.operators.corpus import content_tokens
 from ledgerleaf.operators.topics import class_terms
+from ledgerleaf.session import checkpointed
 
 
 # --- splits -----------------------------------------------------------------------
@@ -136,7 +137,7 @@ def text_features(size: int = 1 << 14) -> list:
     return [
         StopWordsRemover(inputCol="tokens", outputCol="content", stopWords=STOP_WORDS),
         HashingTF(inputCol="content", outputCol="tf", numFeatures=size),
-        IDF(inputCol="tf", outputCol="features", minDocFreq=2),
+        IDF(inputCol="tf", outputCol="features"),
     ]
 
 
@@ -149,20 +150,33 @@ def fit_text_classifier(train: DataFrame, label: str, size: int = 1 << 14) -> Pi
 
 # --- topics by clustering ---------------------------------------------------------------------
 
-def topic_model(docs: DataFrame, k: int, top: int = 10, vocabulary: int = 5000, seed: int = 100):
-    """Corpus-wide latent topics: ``topic, rank, token, weight`` and the fitted stages."""
-    prepared = with_tokens(docs)
+def topic_model(docs: DataFrame, k: int, top: int = 10, cells: int = 1 << 16, seed: int = 100):
+    """Corpus-wide latent topics: ``topic, rank, token, weight`` and the fitted stages.
+
+    Every word counts: words are filed in ``cells`` cells by hash, and a topic's cell is called
+    by its most frequent word, so that neither the model nor the driver grows with the vocabulary.
+    """
+    content = F.filter("tokens", lambda w: ~w.isin(STOP_WORDS))
+    filed = F.transform(content, lambda w: F.pmod(F.xxhash64(w), F.lit(cells)).cast("string"))
+    prepared = checkpointed(with_tokens(docs).select(content.alias("content"), filed.alias("filed")))
     stages = [
-        StopWordsRemover(inputCol="tokens", outputCol="content", stopWords=STOP_WORDS),
-        CountVectorizer(inputCol="content", outputCol="features", vocabSize=vocabulary, minDF=2.0),
+        CountVectorizer(inputCol="filed", outputCol="features", vocabSize=cells, minDF=1.0),
         LDA(k=k, seed=seed, optimizer="online", maxIter=10),
     ]
     model = Pipeline(stages=stages).fit(prepared)
-    described = model.stages[2].describeTopics(top)
+    described = model.stages[1].describeTopics(top)
     rows = described.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("i", "t"))
-    # The vocabulary is bounded by its parameter.
-    names = docs.sparkSession.createDataFrame(list(enumerate(model.stages[1].vocabulary)), "index int, token string")
-    named = rows.join(names, F.col("t.termIndices") == F.col("index"))
+    # Both tables are bounded by parameters: the cells, and k times the leading terms.
+    numbers = docs.sparkSession.createDataFrame(list(enumerate(model.stages[0].vocabulary)), "index int, cell string")
+    leading = rows.join(numbers, F.col("t.termIndices") == F.col("index"))
+    words = prepared.select(F.explode(F.arrays_zip("filed", "content")).alias("w")).select(
+        F.col("w.filed").alias("cell"), F.col("w.content").alias("token")
+    )
+    counts = words.join(F.broadcast(leading.select("cell").distinct()), "cell").groupBy("cell", "token").agg(
+        F.count("*").alias("n")
+    )
+    names = counts.groupBy("cell").agg(F.max_by("token", F.struct("n", "token")).alias("token"))
+    named = leading.join(names, "cell")
     return named.select("topic", (F.col("i") + 1).alias("rank"), "token", F.col("t.termWeights").alias("weight")), model
 
 
@@ -187,9 +201,10 @@ def centre_distance(model: PipelineModel, scored: DataFrame) -> DataFrame:
     return met.withColumn("distance", distance).drop("_centre")
 
 
-def with_outliers(scored: DataFrame, share: float = 0.05) -> DataFrame:
-    """Adds ``topic``: the cluster, or −1 for the ``share`` of rows farthest from their centre."""
-    border = scored.agg(F.percentile_approx("distance", F.lit(1 - share), F.lit(10000)).alias("b")).scalar()
+def with_outliers(scored: DataFrame, known: DataFrame | None = None, share: float = 0.05) -> DataFrame:
+    """Adds ``topic``: the cluster, or −1 beyond the distance to their centre that the ``share`` of the rows of
+    ``known`` (``scored`` itself by default) exceed."""
+    border = (scored if known is None else known).agg(F.percentile_approx("distance", F.lit(1 - share), F.lit(10000)).alias("b")).scalar()
     return scored.withColumn("topic", F.when(F.col("distance") > border, F.lit(-1)).otherwise(F.col("cluster")))
 
 

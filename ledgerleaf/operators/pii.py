@@ -12,7 +12,8 @@ from ledgerleaf.operators.frame import lookup_join
 # Fixed patterns; alternatives are tried from left to right.
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE = r"\+?[0-9]{1,2} \([0-9]{3}\) [0-9]{3}-[0-9]{4}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}"
-PERSON = r"[A-Z][a-z]+ [A-Z][a-z]+"
+# A heuristic: two capitalised words in a row, letters of any alphabet.
+PERSON = r"\p{Lu}\p{Ll}+ \p{Lu}\p{Ll}+"
 _MONTH = "|".join(MONTHS)
 DATE = (
     rf"(?:{_MONTH}) [0-9]{{1,2}}, [0-9]{{4}}|[0-9]{{1,2}} (?:{_MONTH}) [0-9]{{4}}"
@@ -41,9 +42,15 @@ def spans_of(
     return rows.select(key, *([text] if keep_text else []), *columns)
 
 
-def place_spans(df: DataFrame, key: str, text: str, places: DataFrame, candidate: str) -> DataFrame:
-    """LOCATION spans: candidate words that occur in the ``place`` column of a gazetteer."""
-    candidates = spans_of(df, key, text, {"LOCATION": candidate})
-    names = places.select(F.col("place").alias("entity")).distinct()
-    met = lookup_join(candidates, names, "entity", F.struct(key, "start"))
-    return met.select(key, "entity_type", "entity", "start", "end")
+def spans_with_places(
+    df: DataFrame, key: str, text: str, places: DataFrame, candidate: str, patterns: dict[str, str] | None = None
+) -> DataFrame:
+    """:func:`spans_of`, and as LOCATION the matches of ``candidate`` that the ``place`` column of a gazetteer holds.
+
+    Upper and lower case do not matter to the gazetteer.
+    """
+    found = spans_of(df, key, text, {**(patterns or PATTERNS), "LOCATION": candidate})
+    found = found.withColumn("_place", F.when(F.col("entity_type") == "LOCATION", F.upper("entity")))
+    names = places.where(F.col("place").isNotNull()).select(F.upper("place").alias("_place"), F.lit(True).alias("_known"))
+    met = lookup_join(found, names.distinct(), "_place", F.struct(key, "start"), "left")
+    return met.where("_place IS NULL OR _known").select(key, "entity_type", "entity", "start", "end")

@@ -53,8 +53,8 @@ def ranked_passages(
     Only the questions' words of each passage are kept after the first scan. A
     task scores its passages against all questions at once and sends on its k
     best per question, so no question-passage pairs are shuffled. A question list
-    with more words than fit is cut into stripes of questions; each scans the
-    passages once.
+    with more words than fit is cut into stripes of questions; the passages' words
+    are then prepared once and scanned by each.
     """
     asked = questions.select(F.col(question_key).alias("question_id"), content_words(F.col(question)).alias("terms"))
     wanted = asked.select("question_id", F.explode(F.array_distinct("terms")).alias("token"))
@@ -62,6 +62,7 @@ def ranked_passages(
     rows = wanted.limit(QUESTION_WORDS + 1).collect()
     if len(rows) <= QUESTION_WORDS:
         return _best(_scored(prepared, ids, rows, asked.schema["question_id"].dataType.simpleString(), k), ids, k)
+    prepared = checkpointed(prepared)
     stripes = 2 * -(-wanted.count() // QUESTION_WORDS)
     stripe = F.pmod(F.xxhash64("question_id"), F.lit(stripes))
     scores = None

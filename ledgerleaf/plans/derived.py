@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.functions.calendar import fiscal_year, post_period
 from ledgerleaf.functions.text import Rules
+from ledgerleaf.operators.frame import lookup_join
 from ledgerleaf.sources.tables import Tables, spread
 
 
@@ -125,11 +126,9 @@ SQL_MONTHLY = f"""{SQL_BILLED_ORDERS}, monthly AS (
 def order_notes(t: Tables) -> DataFrame:
     """note_id, note: prose with places, dates, links and addresses, written from each order."""
     orders = spread(t.orders, "o_orderkey").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
-    customers = t.customer.select("c_custkey", "c_name", "c_nationkey")
-    nations = t.nation.select("n_nationkey", "n_name")
-    joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
-        nations, F.col("c_nationkey") == F.col("n_nationkey")
-    )
+    nations = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    customers = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey").join(nations, "c_nationkey")
+    joined = lookup_join(orders, customers, "o_custkey", F.col("o_orderkey"))
     key = F.col("o_orderkey").cast("string")
     note = F.concat(
         F.lit("Order "), key, F.lit(" for "), F.col("c_name"), F.lit(" of "), F.col("n_name"),

@@ -168,28 +168,28 @@ def sql_summary_ctes(source: str, key: str) -> str:
     return f"{rows}, {sql_extract('one', 'sents', 'idf')}"
 
 
-SQL_SUMMARY_TEXT = "' ' || string_agg(sentence, ' ' ORDER BY part_no, sent_no)"
+SQL_SUMMARY_TEXT = "' ' || COALESCE(string_agg(sentence, ' ' ORDER BY part_no, sent_no), '')"
 
 
 @query(
     "d06_summaries",
     f"WITH {sql_summary_ctes('documents', 'doc_id')} SELECT doc_id, {SQL_SUMMARY_TEXT} AS summary "
-    "FROM one_kept GROUP BY doc_id",
+    "FROM documents LEFT JOIN one_kept USING (doc_id) GROUP BY doc_id",
 )
 def _(t):
-    return dc.summaries(t.texts).where("summary <> ' '")
+    return dc.summaries(t.texts)
 
 
 @query(
     "d06_contribution_summaries",
     f"""WITH talks AS (SELECT conv_id || '-' || turn AS talk, text FROM conversations),
-        {sql_summary_ctes('talks', 'talk')} SELECT doc_id AS talk, {SQL_SUMMARY_TEXT} AS summary
-        FROM one_kept GROUP BY doc_id""",
+        {sql_summary_ctes('talks', 'talk')} SELECT talk, {SQL_SUMMARY_TEXT} AS summary
+        FROM talks LEFT JOIN one_kept ON talk = doc_id GROUP BY talk""",
 )
 def _(t):
     """Every contribution to a conversation summarised like a meeting's note."""
     talks = t.conversations.select(F.concat_ws("-", "conv_id", "turn").alias("talk"), "text")
-    return dc.summaries(talks, "talk").where("summary <> ' '")
+    return dc.summaries(talks, "talk")
 
 
 SQL_SECOND_LEVEL = f"""twos AS (SELECT doc_id, part_no // 10 AS part_no,
@@ -200,10 +200,11 @@ SQL_SECOND_LEVEL = f"""twos AS (SELECT doc_id, part_no // 10 AS part_no,
 @query(
     "r06_tree_summaries",
     f"WITH {sql_summary_ctes('documents', 'doc_id')}, {SQL_SECOND_LEVEL} "
-    f"SELECT doc_id, {SQL_SUMMARY_TEXT} AS summary FROM two_kept GROUP BY doc_id",
+    f"SELECT doc_id, {SQL_SUMMARY_TEXT} AS summary "
+    "FROM documents LEFT JOIN two_kept USING (doc_id) GROUP BY doc_id",
 )
 def _(t):
-    return dc.tree_summaries(t.texts).where("summary <> ' '")
+    return dc.tree_summaries(t.texts)
 
 
 # --- personal data -----------------------------------------------------------------------
@@ -222,13 +223,22 @@ def sql_spans(source: str, key: str, text: str, patterns: dict[str, str]) -> str
 
 
 PII_TEXT = sql_rules("text", tx.NEWLINES)
-DOC_PATTERNS = {k: pii.PATTERNS[k] for k in ("EMAIL_ADDRESS", "PHONE_NUMBER", "PERSON")}
-SQL_PII = f"pii AS ({sql_spans(f'(SELECT doc_id, {PII_TEXT} AS text FROM documents)', 'doc_id', 'text', DOC_PATTERNS)})"
+PLACE = r"\p{Lu}[\p{L}\p{N}_]+"
+
+
+def sql_pii(source: str, key: str, text: str, patterns: dict[str, str]) -> str:
+    """All spans of the patterns, and the words that the nations' names list."""
+    spans = sql_spans(source, key, text, {**patterns, "LOCATION": PLACE})
+    return f"""SELECT * FROM ({spans})
+      WHERE entity_type <> 'LOCATION' OR upper(entity) IN (SELECT upper(n_name) FROM nation)"""
+
+
+SQL_PII = f"pii AS ({sql_pii(f'(SELECT doc_id, {PII_TEXT} AS text FROM documents)', 'doc_id', 'text', pii.PATTERNS)})"
 
 
 def document_pii(t):
     flat = t.texts.select("doc_id", tx.apply_rules(F.col("text"), tx.NEWLINES).alias("text"))
-    return pii.spans_of(flat, "doc_id", "text", DOC_PATTERNS)
+    return pii.spans_with_places(flat, "doc_id", "text", t.nation.select(F.col("n_name").alias("place")), PLACE)
 
 
 @query("d07_pii_spans", f"WITH {SQL_PII} SELECT * FROM pii")
@@ -236,21 +246,17 @@ def _(t):
     return document_pii(t)
 
 
-PLACE = "[A-Z][A-Z_0-9]+"
-SQL_PLACES = f"""places AS (SELECT s.* FROM ({sql_spans('notes', 'note_id', 'note', {'LOCATION': PLACE})}) s
-    WHERE entity IN (SELECT n_name FROM nation))"""
 NOTE_PATTERNS = {k: pii.PATTERNS[k] for k in ("EMAIL_ADDRESS", "DATE")}
 
 
 @query(
     "d07_pii_dates_and_places",
-    f"WITH {SQL_NOTES}, {SQL_PLACES} {sql_spans('notes', 'note_id', 'note', NOTE_PATTERNS)} UNION ALL SELECT * FROM places",
+    f"WITH {SQL_NOTES} {sql_pii('notes', 'note_id', 'note', NOTE_PATTERNS)}",
 )
 def _(t):
     notes = order_notes(t).select("note_id", "note")
-    found = pii.spans_of(notes, "note_id", "note", NOTE_PATTERNS)
     places = t.nation.select(F.col("n_name").alias("place"))
-    return found.unionByName(pii.place_spans(notes, "note_id", "note", places, PLACE))
+    return pii.spans_with_places(notes, "note_id", "note", places, PLACE, NOTE_PATTERNS)
 
 
 @query(
@@ -342,12 +348,12 @@ def _(t):
     f"""WITH {SQL_TOPIC_WORDS}, w AS (SELECT doc_id, string_agg(token, ', ' ORDER BY rank) AS words
                                      FROM topic_words GROUP BY doc_id),
         {sql_summary_ctes('documents', 'doc_id')}, s AS (
-          SELECT doc_id, {SQL_SUMMARY_TEXT} AS summary FROM one_kept GROUP BY doc_id)
-        SELECT doc_id, summary, words FROM s JOIN w USING (doc_id)""",
+          SELECT doc_id, {SQL_SUMMARY_TEXT} AS summary FROM documents LEFT JOIN one_kept USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, summary, words FROM s LEFT JOIN w USING (doc_id)""",
 )
 def _(t):
     words = topics.words_per_topic(topics.topic_words(t.texts), ["doc_id"])
-    return dc.summaries(t.texts).where("summary <> ' '").join(words, "doc_id")
+    return dc.summaries(t.texts).join(words, "doc_id", "left")
 
 
 # --- translation ------------------------------------------------------------------------------

@@ -36,7 +36,7 @@ SQL_PAIRS = f"""{SQL_EDGES}, pairs AS (SELECT source AS node, target AS neighbou
     f"""WITH {SQL_PAIRS}, d AS (SELECT node, COUNT(*) AS degree FROM pairs GROUP BY node),
         p AS (SELECT node, degree, neighbour, CAST(('0x' || substr(md5(neighbour), 1, 8)) AS BIGINT)
                 % CAST(ceil(degree / 500) AS BIGINT) AS page FROM pairs JOIN d USING (node))
-        SELECT node, page, degree, node || ' Neighbors:<br>' || string_agg(neighbour, '<br>' ORDER BY neighbour) AS title
+        SELECT node, page, degree, node || ': ' || string_agg(neighbour, '; ' ORDER BY neighbour) AS title
         FROM p GROUP BY node, page, degree""",
 )
 def _(t):

@@ -55,13 +55,11 @@ def panel(t):
         {
             "month": F.month("ts").cast("double"),
             "year": F.year("ts").cast("double"),
-            "vec_id": F.col("c_nationkey").cast("bigint") * 1_000_000 + F.year("ts") * 1000 + F.month("ts") * 10
-            + F.array_position(F.array(*[F.lit(s) for s in SEGMENTS]), F.col("c_mktsegment")),
+            "vec_id": F.concat_ws("-", "c_mktsegment", "c_nationkey", "ts"),
         }
     )
 
 
-SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 FEATURES = ["n_requests", "n_orgs", "month", "year"]
 SQL_PANEL = f"""{SQL_BILLED_ORDERS}, pm AS (
     SELECT c_mktsegment, c_nationkey, last_day(day) AS ts, CAST(SUM(billed) AS DOUBLE) / 1e6 AS amount,
@@ -69,8 +67,7 @@ SQL_PANEL = f"""{SQL_BILLED_ORDERS}, pm AS (
   panel AS (SELECT *, month(ts) AS month, year(ts) AS year,
       CASE WHEN ROW_NUMBER() OVER (PARTITION BY c_mktsegment, c_nationkey ORDER BY ts DESC) <= 12
            THEN 'test' ELSE 'train' END AS part,
-      CAST(c_nationkey AS BIGINT) * 1000000 + year(ts) * 1000 + month(ts) * 10
-        + list_position(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'], c_mktsegment) AS vec_id
+      c_mktsegment || '-' || c_nationkey || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS vec_id
     FROM pm)"""
 
 SQL_SCALED_LINE = f"""{SQL_MONTHLY}, m AS (SELECT series_id, MIN(amount) AS lo, MAX(amount) AS hi FROM monthly GROUP BY series_id),
@@ -292,18 +289,18 @@ def clustered(t):
     docs = checkpointed(learn.with_tokens(t.texts.select("doc_id", "text", "source", "lang")))
     model = learn.fit_clusters(docs, k=8)
     scored = learn.centre_distance(model, model.transform(docs))
-    return model, learn.with_outliers(scored)
+    return model, scored
 
 
 @query("d13_cluster_topics")
 def _(t):
-    return learn.topic_info(clustered(t)[1].select("topic", "text"))
+    return learn.topic_info(learn.with_outliers(clustered(t)[1]).select("topic", "text"))
 
 
 @query("d14_topics_of_new_texts")
 def _(t):
-    """Texts the model was not fitted on, placed in its topics and counted per line."""
-    model, _assigned = clustered(t)
+    """Texts the model was not fitted on, in its topics or in none (-1), counted per line."""
+    model, known = clustered(t)
     turns = learn.with_tokens(t.conversations.select("conv_id", "turn", "role", "text"))
-    placed = model.transform(turns)
-    return placed.groupBy("role").agg(F.count("*").alias("n"), F.count_distinct("cluster").alias("topics"))
+    placed = learn.with_outliers(learn.centre_distance(model, model.transform(turns)), known)
+    return placed.groupBy("role", "topic").agg(F.count("*").alias("n"))

@@ -187,8 +187,10 @@ def _(t):
     "SELECT o_orderkey, c_custkey, c_mktsegment, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey",
 )
 def _(t):
-    joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return joined.select("o_orderkey", "c_custkey", "c_mktsegment", "o_totalprice")
+    """A customer may hold any share of the orders, so the customers are looked up."""
+    customers = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    joined = frame.lookup_join(t.orders, customers, "o_custkey", F.col("o_orderkey"))
+    return joined.select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "c_mktsegment", "o_totalprice")
 
 
 @query(
@@ -403,6 +405,7 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
     "a07_pivot_counts",
     "SELECT user_id, "
     + ", ".join(f"COUNT(*) FILTER (event_type = '{e}') AS \"{e}\"" for e in EVENT_TYPES)
+    + f", COUNT(*) FILTER (event_type IS NULL OR event_type NOT IN ({sql_list(EVENT_TYPES)})) AS other"
     + " FROM events GROUP BY user_id",
 )
 def _(t):
@@ -714,7 +717,7 @@ FISCAL_YEARS = [f"{y}-{y + 1}" for y in range(1994, 2002)]
     "f29_one_hot",
     f"WITH x AS (SELECT o_orderkey, {ORDER_FY} AS fy FROM orders) SELECT o_orderkey, "
     + ", ".join(f"CAST(fy = '{v}' AS INTEGER) AS fy_{i}" for i, v in enumerate(FISCAL_YEARS))
-    + " FROM x",
+    + f", CAST(fy IS NULL OR fy NOT IN ({sql_list(FISCAL_YEARS)}) AS INTEGER) AS fy_other FROM x",
 )
 def _(t):
     keyed = t.orders.select("o_orderkey", fiscal_year(F.col("o_orderdate")).alias("fy"))
@@ -763,6 +766,7 @@ def _(t):
 def _(t):
     from ledgerleaf.functions.calendar import future_month_ends
 
-    orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    last = orders.groupBy(F.col("c_mktsegment").alias("series_id")).agg(F.max(F.last_day("o_orderdate")).alias("ts"))
+    latest = t.orders.groupBy("o_custkey").agg(F.max(F.last_day("o_orderdate")).alias("ts"))
+    orders = latest.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    last = orders.groupBy(F.col("c_mktsegment").alias("series_id")).agg(F.max("ts").alias("ts"))
     return future_month_ends(last, ["series_id"], "ts", 12)

@@ -8,10 +8,11 @@ from pyspark.sql.types import StringType, StructField, StructType, DoubleType
 
 from ledgerleaf.functions import text as tx
 from ledgerleaf.functions.words import STOP_WORDS
-from ledgerleaf.operators import models, retrieval
+from ledgerleaf.operators import models, pii, retrieval
 from ledgerleaf.operators.search import nearest
 from ledgerleaf.plans.derived import sql_list, sql_text
-from ledgerleaf.plans.registry import query
+from ledgerleaf.plans.documents import sql_spans
+from ledgerleaf.plans.registry import ORACLES, query
 from ledgerleaf.plans.texts import sql_chunks, sql_sentences, sql_tokens, sql_words
 from ledgerleaf.session import checkpointed, shared_dir
 from ledgerleaf.sources.tables import overwrite_table
@@ -62,22 +63,6 @@ def _(t):
     return retrieval.approximate_nearest(stored(t), "vec_id", class_means(t), "query_id", k=5, radius=1.5)
 
 
-@query("v02_embedded_chunks")
-def _(t):
-    chunks = retrieval.index_passages(t.texts)
-    vectors, _model = retrieval.embedded(chunks)
-    squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
-    return vectors.select("doc_id", "passage_no", F.size("vector").alias("width"), F.sqrt(squares).alias("length"))
-
-
-@query("r01_persisted_index")
-def _(t):
-    """Chunked, embedded, written to the shared folder and read back."""
-    vectors, _model = retrieval.embedded(retrieval.index_passages(t.texts))
-    index = overwrite_table(vectors.select("doc_id", "passage_no", "passage", "vector"), shared_dir(t.spark, "index"))
-    return index.groupBy("doc_id").agg(F.count("*").alias("passages"), F.sum(F.size("vector")).alias("cells"))
-
-
 # --- questions -----------------------------------------------------------------------------
 
 STOP = sql_list(STOP_WORDS)
@@ -112,14 +97,45 @@ SENTENCES = f"""SELECT doc_id, CAST(generate_subscripts(s, 1) - 1 AS INTEGER) AS
 IDS = ["doc_id", "passage_no"]
 
 
+@query(
+    "v02_embedded_chunks",
+    f"""SELECT doc_id, passage_no, 256 AS width,
+          CASE WHEN len({SQL_CONTENT.format(sql_tokens('passage'))}) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS length
+        FROM ({PASSAGES})""",
+)
+def _(t):
+    chunks = retrieval.index_passages(t.texts)
+    vectors, _model = retrieval.embedded(chunks)
+    squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
+    return vectors.select("doc_id", "passage_no", F.size("vector").alias("width"), F.round(F.sqrt(squares), 4).alias("length"))
+
+
+@query(
+    "r01_persisted_index",
+    f"SELECT doc_id, COUNT(*) AS passages, CAST(256 * COUNT(*) AS BIGINT) AS cells FROM ({PASSAGES}) GROUP BY doc_id",
+)
+def _(t):
+    """Chunked, embedded, written to the shared folder and read back."""
+    vectors, _model = retrieval.embedded(retrieval.index_passages(t.texts))
+    index = overwrite_table(vectors.select("doc_id", "passage_no", "passage", "vector"), shared_dir(t.spark, "index"))
+    return index.groupBy("doc_id").agg(F.count("*").alias("passages"), F.sum(F.size("vector")).alias("cells"))
+
+
 def found_passages(t, k):
     passages = retrieval.index_passages(t.texts)
-    return passages, retrieval.ranked_passages(passages, IDS, "passage", t.benchmark, "item_id", "text", k)
+    return retrieval.ranked_passages(passages, IDS, "passage", t.benchmark, "item_id", "text", k)
+
+
+def found_texts(t, k):
+    """The found passages with their texts; only documents that were found are cut again."""
+    found = checkpointed(found_passages(t, k))
+    docs = t.texts.join(found.select("doc_id").distinct(), "doc_id", "left_semi")
+    return retrieval.index_passages(docs), found
 
 
 @query("r02_passages_per_question", f"WITH {sql_bm25(PASSAGES, 3)} SELECT * FROM best")
 def _(t):
-    return found_passages(t, 3)[1]
+    return found_passages(t, 3)
 
 
 @query(
@@ -154,7 +170,7 @@ SQL_PROMPTS = f"""prompts AS (SELECT question_id, {sql_text(BEFORE)} || context
 
 
 def prompts_of(t, k=2):
-    passages, found = found_passages(t, k)
+    passages, found = found_texts(t, k)
     questions = t.benchmark.select(F.col("item_id").alias("question_id"), F.col("text").alias("question"))
     joined = retrieval.contexts(found, passages, IDS).join(questions, "question_id")
     prompt = retrieval.filled_prompt(F.col("context"), F.col("question"))
@@ -186,7 +202,7 @@ SQL_ANSWERS = """SELECT question_id, '<article><h1>' || b.text || '</h1><blockqu
 @query("r05_answers_with_sources", f"WITH {sql_bm25(PASSAGES, 2)} {SQL_ANSWERS}")
 def _(t):
     """Without an attached generator the best passage is the answer."""
-    passages, found = found_passages(t, 2)
+    passages, found = found_texts(t, 2)
     texts = found.join(passages, IDS).groupBy("question_id").agg(
         F.array_sort(F.collect_list(F.struct("rank", "passage", "doc_id"))).alias("p")
     )
@@ -257,12 +273,27 @@ def _(t):
     return answered.select("conv_id", "turn", reply.alias("reply"))
 
 
-@query("u02_registered_tasks")
+TASK_TEXTS = {
+    "sentiment-analysis": ("sentences", ORACLES["d02_sentence_sentiment"]),
+    "summarization": ("summary", ORACLES["d06_summaries"]),
+    "translation": ("translation", ORACLES["d15_translation"]),
+    "token-classification": ("entity", sql_spans("documents", "doc_id", "text", pii.PATTERNS)),
+}
+
+
+@query(
+    "u02_registered_tasks",
+    " UNION ALL ".join(
+        f"SELECT '{task}' AS task, COUNT(*) AS n, CAST(COALESCE(SUM(length({column})), 0) AS BIGINT) AS chars FROM ({sql})"
+        for task, (column, sql) in TASK_TEXTS.items()
+    ),
+)
 def _(t):
-    """Every registered task run by name over all documents, with the number of rows it returns."""
+    """Every registered task run by name over all documents: its rows, and the characters of what it found or wrote."""
     docs = checkpointed(t.texts.select("doc_id", "text"))
     counted = None
-    for name in models.TASKS:
-        one = models.run_task(name, docs).agg(F.lit(name).alias("task"), F.count("*").alias("n"))
+    for name in TASK_TEXTS:
+        chars = F.coalesce(F.sum(F.length(TASK_TEXTS[name][0])), F.lit(0)).alias("chars")
+        one = models.run_task(name, docs).agg(F.lit(name).alias("task"), F.count("*").alias("n"), chars)
         counted = one if counted is None else counted.unionByName(one)
     return counted
