@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.functions import text as tx
 from ledgerleaf.functions.words import STOP_WORDS
+from ledgerleaf.operators.search import nearest
 from ledgerleaf.session import checkpointed
 
 # Standard parameters of the BM25 weighting.
@@ -178,16 +179,33 @@ def embedded(passages: DataFrame, text: str = "passage", size: int = 256):
     return scored.drop("_w", "_tf", "_idf", "_unit"), model
 
 
+def reach(corpus: DataFrame, queries: DataFrame, k: int, sample: int) -> float:
+    """A distance within which every query has k vectors, from an exact search of at most ``sample`` of them."""
+    some = corpus.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample)
+    farthest = nearest(some, "vec_id", queries, "query_id", k).agg(F.max("distance")).first()[0]
+    # Squared distances are rounded to six decimals.
+    return float(np.sqrt((farthest or 0.0) + 1e-6))
+
+
 def approximate_nearest(
-    corpus: DataFrame, id_column: str, queries: DataFrame, query_column: str, k: int, radius: float,
-    bucket: float = 0.5, tables: int = 4,
+    corpus: DataFrame, id_column: str, queries: DataFrame, query_column: str, k: int, radius: float | None = None,
+    bucket: float | None = None, tables: int = 4, sample: int = 4096,
 ) -> DataFrame:
-    """``query_id, vec_id, distance, rank`` by locality-sensitive hashing within ``radius``."""
+    """``query_id, vec_id, distance, rank`` by locality-sensitive hashing within ``radius``.
+
+    Without a radius it is measured on a sample, so that pairs beyond every query's k nearest are not
+    passed on; without a bucket length it is two deviations of a projection of vectors that far apart.
+    """
+    known = corpus.select(F.col(id_column).alias("vec_id"), "vector")
+    wanted = queries.select(F.col(query_column).alias("query_id"), "vector")
+    radius = reach(known, wanted, k, sample) if radius is None else radius
+    first = wanted.first()
+    width = max(1, len(first["vector"])) if first else 1
     lsh = BucketedRandomProjectionLSH(
-        inputCol="features", outputCol="hashes", bucketLength=bucket, numHashTables=tables, seed=42
+        inputCol="features", outputCol="hashes", bucketLength=bucket or 2 * radius / width**0.5, numHashTables=tables, seed=42
     )
-    stored = corpus.select(F.col(id_column).alias("vec_id"), array_to_vector("vector").alias("features"))
-    asked = queries.select(F.col(query_column).alias("query_id"), array_to_vector("vector").alias("features"))
+    stored = known.select("vec_id", array_to_vector("vector").alias("features"))
+    asked = wanted.select("query_id", array_to_vector("vector").alias("features"))
     model = lsh.fit(stored)
     near = model.approxSimilarityJoin(asked, stored, radius, distCol="distance")
     rows = near.select("datasetA.query_id", "datasetB.vec_id", "distance")

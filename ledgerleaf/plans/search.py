@@ -60,7 +60,7 @@ def _(t):
 
 @query("v05_approximate_search")
 def _(t):
-    return retrieval.approximate_nearest(stored(t), "vec_id", class_means(t), "query_id", k=5, radius=1.5)
+    return retrieval.approximate_nearest(stored(t), "vec_id", class_means(t), "query_id", k=5)
 
 
 # --- questions -----------------------------------------------------------------------------

@@ -47,6 +47,21 @@ def test_approximate_is_a_subset_of_the_corpus(vectors):
     assert {(r.query_id, r.vec_id) for r in found} <= exact and found
 
 
+def test_approximate_search_prunes_and_finds(spark):
+    """On clustered vectors the measured radius leaves a few of all pairs, and nearly all neighbours are found."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(20, 16)) * 8
+    corpus = (centres[:, None] + rng.normal(size=(20, 30, 16))).reshape(-1, 16)
+    queries = centres + rng.normal(size=(20, 16))
+    to_df = lambda m: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id BIGINT, vector ARRAY<DOUBLE>")
+    c, q = to_df(corpus).repartition(4), to_df(queries)
+    got = {(r.query_id, r.vec_id) for r in retrieval.approximate_nearest(c, "id", q, "id", 5).collect()}
+    assert len(got & brute(corpus, queries, 5, "l2")) >= 90
+    radius = retrieval.reach(c.withColumnRenamed("id", "vec_id"), q.withColumnRenamed("id", "query_id"), 5, 200)
+    distance = np.sqrt(((queries[:, None] - corpus[None]) ** 2).sum(-1))
+    assert (np.sort(distance, axis=1)[:, 4] <= radius).all() and (distance <= radius).mean() < 0.1
+
+
 @pytest.fixture(scope="module")
 def passages(spark):
     rng = np.random.default_rng(5)
