@@ -6,7 +6,8 @@ documents is ever formed; four steps pass compact rows:
 1. *Anchors.* The smallest gram hash inside a window is a function of the window's
    content alone. Each block of documents sends its distinct anchors.
 2. *Shared anchors.* Per range of hashes, anchors that occur once are told apart from
-   those that recur; each block gets its recurring anchors back.
+   those that recur; each block gets its recurring anchors back. Where repeats inside one
+   text count, an anchor recurs if its gram stands at two positions, be it in one run.
 3. *Segments.* A maximal run of windows with the same recurring anchor is one segment.
    A block sends each distinct segment once, so copies shrink before the shuffle. Equal
    windows have equal anchors, hence they meet in one place, where ``resolve`` (the
@@ -131,13 +132,15 @@ class Runs:
 
 def runs_of(
     spec: Windows, texts: list[bytes], keep: np.ndarray | None = None, hot: np.ndarray | None = None,
-    every_hot: bool = False,
+    every_hot: bool = False, grams: bool = False,
 ):
     """Chunk by chunk, ``(symbols per document, Runs)``; only runs whose hash is in ``keep``, if given.
 
     Windows under an anchor of ``hot`` become runs of one window, under the hash of its content,
-    all of them if ``every_hot``.
+    all of them if ``every_hot``. With ``grams`` there is instead one entry per position at which
+    an anchor's gram stands.
     """
+    span = spec.width - spec.gram + 1  # grams of a window
     batch: list[tuple[int, int, object]] = []
     size = 0
     symbols: dict[int, object] = {}
@@ -150,7 +153,8 @@ def runs_of(
             units = np.fromiter((digest(w) for p in pieces for w in p), np.uint64, int(lengths.sum()))
         else:
             units = np.frombuffer(b"".join(pieces), np.uint8)
-        least = sliding_min(gram_hashes(units, spec.gram), spec.width - spec.gram + 1)
+        own = gram_hashes(units, spec.gram)
+        least = sliding_min(own, span)
         begin = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
         last = begin + lengths - spec.width
         fits = last >= begin
@@ -164,6 +168,14 @@ def runs_of(
         ends = np.append(at[1:], len(least))
         good = at <= last[piece]
         at, ends, piece = at[good], ends[good], piece[good]
+        if grams:
+            # A gram is an anchor where the greatest of the anchors of the windows around it is itself.
+            whole = np.zeros(len(least) + 2 * (span - 1), np.uint64)
+            inside = np.repeat(at, ends - at) + ranges(ends - at)
+            whole[inside + span - 1] = least[inside]
+            at = np.flatnonzero(~sliding_min(~whole, span) == own) if len(least) else at
+            piece = np.searchsorted(begin, at, "right") - 1
+            return Runs(own[at], doc_of[piece], at - begin[piece] + base_of[piece], np.ones(len(at), np.int64))
         hashes, counts = least[at], ends - at
         if hot is not None and len(hot):
             burning = member(hashes, hot)
@@ -260,7 +272,7 @@ def repeated(
     def anchors(key, table):
         hashes, holders = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         place = places(table)
-        for _, runs in runs_of(spec, texts_of(table)):
+        for _, runs in runs_of(spec, texts_of(table), grams=not spec.other_document):
             hashes.append(runs.hashes)
             holders.append(place[runs.docs])
         hashes, holders = np.concatenate(hashes), np.concatenate(holders)

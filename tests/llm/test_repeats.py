@@ -91,6 +91,17 @@ def test_words_equal_brute_force(spark, rows, width, gram, hot):
     assert got_words(parsing.remove_repeated_windows(df, width, gram, hot=hot)) == brute_words(rows, width)
 
 
+@pytest.mark.parametrize("hot", [10**9, 20])
+def test_words_repeated_back_to_back_in_one_document(spark, hot):
+    rows = [(0, " ".join(f"u{i}" for i in range(80)))]
+    for period in (1, 2, 7, 9, 28, 29, 40):
+        line = " ".join(f"p{period}w{i}" for i in range(period))
+        rows.append((period, "\n".join(["head", *[line] * (90 // period + 2), "tail"])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = got_words(parsing.remove_repeated_windows(df, 35, 8, hot=hot))
+    assert got == brute_words(rows, 35) and all((r[2] > 0) == (r[0] > 0) for r in got)
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert suffixes.remove_repeated_substrings(empty).count() == 0
