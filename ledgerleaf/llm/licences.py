@@ -1,8 +1,8 @@
 """Licence scans by canonical digests, in DataFrame functions only.
 
-A text is put into canonical form: lower case, no copyright lines, one spelling for words that
-licences spell differently, and nothing but single spaces between letters and digits. Its digest
-is then joined with those of known licences and notices. Whole texts are looked up, and whole lines.
+A text is put into canonical form: lower case, no copyright notices, nothing but single spaces between
+letters and digits, and one spelling for words that licences spell differently, however lines are wrapped.
+Its digest is then joined with those of known licences and notices. Whole texts are looked up, and whole lines.
 """
 
 from __future__ import annotations
@@ -10,7 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Copyright lines as the SQL spells them.
 COPYRIGHT = r"(^|\n)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+#: What the scan drops: lines whose "copyright" has a sign or year after it, also behind comment signs.
+NOTICE = (
+    r"(^|\n)[ \t#*/;%>|!<\"'-]*(copyright[ \t:]*(\(c\)|©|&copy;|[\[<{]|[0-9]{4})|\(c\)[ \t]*[0-9]{4}|©|&copy;)[^\n]*"
+)
 #: Spellings that count as equal, each by the one that replaces it.
 SPELLINGS = {
     "licence": "license", "sub-licen": "sublicen", "sub licen": "sublicen", "non-infringement": "noninfringement",
@@ -66,17 +71,19 @@ KNOWN = [
 def canonical(text: Column) -> Column:
     """The canonical form of a text."""
     lowered = F.lower(text)
-    has_mark = lowered.rlike(r"copyright|\(c\)|©|all rights")
-    lowered = F.when(has_mark, F.regexp_replace(lowered, COPYRIGHT, "$1")).otherwise(lowered)
+    has_mark = lowered.rlike(r"copyright|\(c\)|©|&copy;")
+    lowered = F.when(has_mark, F.regexp_replace(lowered, NOTICE, "$1")).otherwise(lowered)
+    joined = F.regexp_replace(lowered, r"[^\p{L}\p{N}]+", " ")
+    spellings = {old.replace("-", " "): new for old, new in SPELLINGS.items()} | {"all rights reserved": ""}
 
     def spelled(t):
         out = t
-        for old, new in SPELLINGS.items():
+        for old, new in spellings.items():
             out = F.replace(out, F.lit(old), F.lit(new))
-        return F.when(t.rlike("|".join(SPELLINGS)), out).otherwise(t)
+        out = F.regexp_replace(out, " +", " ")
+        return F.when(t.rlike("|".join(spellings)), out).otherwise(t)
 
-    one_spelling = F.transform(F.array(lowered), spelled)[0]
-    return F.trim(F.regexp_replace(one_spelling, r"[^\p{L}\p{N}]+", " "))
+    return F.trim(F.transform(F.array(joined), spelled)[0])
 
 
 def known_digests(spark: SparkSession) -> DataFrame:

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import textwrap
 
 import duckdb
 import pytest
@@ -138,6 +139,24 @@ def test_licences_in_all_spellings(spark):
                      (6, "ISC", ""): 1, (6, None, ""): 1}
 
 
+def test_licences_however_wrapped(spark):
+    whole = {"MIT": licences.MIT, "ISC": licences.ISC + licences.NO_WARRANTY, "0BSD": licences.ZERO_CLAUSE + licences.NO_WARRANTY}
+    rows = []
+    for name, text in whole.items():
+        paragraphs = [" ".join(p.split()) for p in text.split("\n\n")]
+        rows.append((name, " ".join(paragraphs)))
+        for width in (20, 40, 60, 72, 78, 100, 10**6):
+            lines = "\n\n".join(textwrap.fill(p, width) for p in paragraphs)
+            rows += [(name, lines), (name, "Copyright (c) 2020 Someone\n\n" + lines)]
+            for sign in ("# ", " * ", "// "):
+                rows.append((name, "".join(sign + x + "\n" for x in ["Copyright 2020 Someone", "All rights reserved.", *lines.split("\n")])))
+    rows += [("MIT", licences.MIT.replace("sublicense", "sub-\nlicence")), (None, "\nCopyright holders decide.")]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r for r in licences.scan_licences(df, licences.known_digests(spark)).collect()}
+    assert [got[i].license for i in range(len(rows))] == [n for n, _ in rows]
+    assert got[len(rows) - 1].digest == hashlib.sha256(b"copyright holders decide").hexdigest()
+
+
 def test_licence_oracle(spark, sf_dir):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_dir}/documents.parquet')")
