@@ -28,9 +28,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn at rates that bring the domains to their weights; none is drawn twice."""
-    drawn = mixing.mixed(docs, Tables(spark, sf_dir).labels, MIXTURE, total="largest", slack=0.15)
-    return drawn.where("_copies >= 1").select("_row.*")
+    """Documents drawn at rates that bring the domains to their weights, each as often as its copies say."""
+    drawn = mixing.mixed(docs, Tables(spark, sf_dir).labels, MIXTURE, total="largest").where("_copies >= 1")
+    return drawn.select("_row", F.explode(F.sequence(F.lit(1), "_copies"))).select("_row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

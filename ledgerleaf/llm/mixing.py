@@ -3,14 +3,16 @@
 A softmax classifier, fitted on a bounded sample of labelled rows, gives every document a posterior
 over domains. Nonnegative rates of the documents are then fitted by least squares, so that the tokens
 expected per domain meet the targets, with a weak pull of every rate towards 1 that makes the answer
-unique. The fit is a projected gradient with momentum: each step is one distributed sum over the
-posteriors; the driver sees one total per domain. A document's rate follows from its posterior and
-the steps taken, so no step keeps a table of rates.
+unique and is small against the smallest target and share. The fit is a projected gradient with momentum,
+scaled by the shares of a document's domains: each step is one distributed sum over the posteriors; the
+driver sees one total per domain. A document's rate follows from its posterior and the steps taken, so no
+step keeps a table of rates.
 """
 
 from __future__ import annotations
 
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,8 @@ from ledgerleaf.llm.tables import stored
 
 CELLS = 1 << 15  # of each of the three hashed word features
 DIGITS = 2  # to which posteriors are rounded
-PULL = 0.003  # weight of the pull of the rates towards 1
+PULL = 0.003  # greatest weight of the pull of the rates towards 1
+MISSED = 0.02  # part of its target by which the pull may move a domain whose posteriors are 0 and 1
 
 
 def word_cells(words: list[bytes]) -> np.ndarray:
@@ -167,23 +170,38 @@ def _schema(whole: DataFrame, row: str):
     ])
 
 
-def rates_of(p: np.ndarray, steps: list[np.ndarray], size: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rates after the given steps for posteriors ``p``, and the point where the next gradient is taken.
+@dataclass(frozen=True)
+class Fit:
+    """Residuals of the steps taken (in shares of all tokens), the domains' shares before, weight of the pull."""
 
-    ``steps`` holds the residuals of the domain totals (in shares of all tokens) at each such point.
-    """
+    steps: list[np.ndarray]
+    shares: np.ndarray
+    pull: float
+
+
+def rates_of(p: np.ndarray, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
+    """Rates after the steps of ``fit`` for posteriors ``p``, and the point where the next gradient is taken."""
     rate = point = np.ones(len(p))
     momentum = 1.0
-    for residual in steps:
-        moved = np.maximum(point - size * (p @ residual + PULL * (point - 1)), 0.0)
+    # The curvature along a document's rate is at most the share of its domains, weighed by its posterior.
+    size = 1 / (p @ fit.shares + fit.pull)
+    for residual in fit.steps:
+        moved = np.maximum(point - size * (p @ residual + fit.pull * (point - 1)), 0.0)
         following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         point = moved + (momentum - 1) / following * (moved - rate)
         rate, momentum = moved, following
     return rate, point
 
 
+def pull_for(shares: np.ndarray, wanted: np.ndarray) -> float:
+    """The weight of the pull with which no domain misses its target by more than ``MISSED`` of it."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        bound = MISSED * shares * wanted / np.abs(shares - wanted)
+    return float(min([PULL, *bound[(wanted > 0) & (shares > 0) & (shares != wanted)]]))
+
+
 def fitted_steps(marked: DataFrame, weights: np.ndarray, total: str, rounds: int, tolerance: float):
-    """The residuals of the steps of the projected gradient, and the step size.
+    """The fit by projected gradient.
 
     ``total`` says how many tokens the targets make up: ``"all"`` of the corpus, or as many as go with the
     whole of the domain of the ``"largest"`` weight.
@@ -191,11 +209,11 @@ def fitted_steps(marked: DataFrame, weights: np.ndarray, total: str, rounds: int
     k = len(weights)
     cells = stored(marked.groupBy("_p").agg(F.sum("_tokens").cast("double").alias("_tokens")), "posteriors")
 
-    def totals(steps, size):
+    def totals(fit):
         def part(batches):
             for batch in batches:
                 p = np.asarray(batch.column(0).flatten(), float).reshape(-1, k)
-                point = rates_of(p, steps, size)[1]
+                point = rates_of(p, fit)[1]
                 own = (point * batch.column(1).to_numpy()) @ p
                 yield pa.RecordBatch.from_pydict({"domain": pa.array(np.arange(k)), "tokens": pa.array(own)})
 
@@ -206,36 +224,34 @@ def fitted_steps(marked: DataFrame, weights: np.ndarray, total: str, rounds: int
             out[r["domain"]] = r["tokens"]
         return out
 
-    size = 1 / (1 + PULL)
-    have = totals([], size)
+    have = totals(Fit([], np.ones(k), PULL))
     every = have.sum()
     if not every:
-        return [], size
+        return Fit([], np.ones(k), PULL)
     goal = weights * (have > 0)
     goal = goal / goal.sum() if goal.sum() else have / every
     main = int(np.argmax(goal))
     wanted = goal * (every if total == "all" else have[main] / goal[main])
-    steps: list[np.ndarray] = []
+    fit = Fit([], have / every, pull_for(have / every, wanted / every))
     residual = (have - wanted) / every
     for _ in range(rounds):
-        steps.append(residual)
-        following = (totals(steps, size) - wanted) / every
-        settled = np.abs(following - residual).max() < tolerance
+        fit.steps.append(residual)
+        following = (totals(fit) - wanted) / every
+        settled = np.abs(following - residual).max() < tolerance * fit.pull / PULL
         residual = following
         if settled:
             break
-    return steps, size
+    return fit
 
 
 def mixed(
     docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: Column | None = None, total: str = "all",
-    key: str = "doc_id", text: str = "text", rounds: int = 100, tolerance: float = 2e-5, slack: float = 0.0,
+    key: str = "doc_id", text: str = "text", rounds: int = 100, tolerance: float = 2e-5,
 ) -> DataFrame:
     """Per row of ``docs``: the row in a struct ``_row``, ``_tokens``, ``_p`` (posterior per target, in the
     order of ``targets``), ``_rate`` and ``_copies``.
 
-    ``_copies`` is the rate rounded up or down by a hash of the row, so that its mean over rows is the rate;
-    a rate within ``slack`` of a whole number is rounded to that.
+    ``_copies`` is the rate rounded up or down by a hash of the row, so that its mean over rows is the rate.
     Tokens are maximal runs of other characters than ASCII white space. Null and empty texts have none and
     the posterior of a text without words. A target without labelled rows is left out and the others
     scaled up; without tokens all rates are 1. Repeated rows share a rate and a number of copies. An empty
@@ -243,14 +259,14 @@ def mixed(
     """
     domain = label_domain() if domain is None else domain
     marked = stored(posteriors(docs, labels, domain, list(targets), key, text), "posteriors")
-    steps, size = fitted_steps(marked, np.array(list(targets.values()), float), total, rounds, tolerance)
+    fit = fitted_steps(marked, np.array(list(targets.values()), float), total, rounds, tolerance)
     k = len(targets)
 
     def add(batches):
         for batch in batches:
             p = np.asarray(batch.column(2).flatten(), float).reshape(-1, k)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(rates_of(p, steps, size)[0])], [*batch.schema.names, "_rate"]
+                [*batch.columns, pa.array(rates_of(p, fit)[0])], [*batch.schema.names, "_rate"]
             )
 
     from pyspark.sql import types as T
@@ -258,6 +274,4 @@ def mixed(
     schema = T.StructType([*marked.schema.fields, T.StructField("_rate", T.DoubleType())])
     rated = marked.mapInArrow(add, schema)
     dice = F.pmod(F.xxhash64(F.lit("copies"), F.col(f"_row.{key}"), F.xxhash64(f"_row.{text}")), F.lit(1 << 20)) / float(1 << 20)
-    whole = F.abs(F.col("_rate") - F.round("_rate")) <= slack
-    copies = F.when(whole, F.round("_rate")).otherwise(F.floor(F.col("_rate") + dice))
-    return rated.withColumn("_copies", copies.cast("int"))
+    return rated.withColumn("_copies", F.floor(F.col("_rate") + dice).cast("int"))

@@ -101,6 +101,29 @@ def test_rates_meet_the_targets(spark):
     assert out[0]._row.asDict().keys() == {"doc_id", "text", "_p"}
 
 
+@pytest.mark.parametrize("total", ["all", "largest"])
+def test_rare_domains_meet_their_targets_when_drawn(spark, tmp_path, total):
+    rng = np.random.default_rng(8)
+    names = ["prime", "rough", "toxic"]
+    domain = np.repeat([0, 1, 2], [2000, 12, 1000])  # rough is rare, of toxic documents a small part is wanted
+    rows = [(i, " ".join(f"d{d}w{rng.integers(40)}" for _ in range(rng.integers(20, 60)))) for i, d in enumerate(domain)]
+    labels = [(i, int(d != 1), int(d == 2)) for i, d in enumerate(domain) if d == 1 or i % 4 == 0]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    targets = np.array(list(queries.MIXTURE.values()))
+    out = mixing.mixed(df, labels, queries.MIXTURE, total=total).collect()
+    tokens, own = np.array([r._tokens for r in out], float), domain[[r._row.doc_id for r in out]]
+    p, rate = np.array([r._p for r in out]), np.array([r._rate for r in out])
+    expected = (rate * tokens) @ p
+    assert np.abs(expected / expected.sum() / targets - 1).max() < 0.03
+    drawn = np.bincount(own, tokens * [r._copies for r in out], 3)
+    assert np.abs(drawn / drawn.sum() / targets - 1).max() < 0.5
+    if total == "largest":
+        labels.write.parquet(str(tmp_path / "labels.parquet"))
+        kept = collections.Counter(r.doc_id for r in corpus_pipeline.mixing_to_targets(spark, df, str(tmp_path)).collect())
+        assert kept == {r._row.doc_id: r._copies for r in out if r._copies}
+
+
 def test_mixing_without_labels_or_rows(spark):
     df = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
