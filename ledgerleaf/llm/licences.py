@@ -7,6 +7,8 @@ Its digest is then joined with those of known licences and notices. Whole texts
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +69,54 @@ KNOWN = [
     ("CC0-1.0", "Licensed under CC0 1.0."),
 ]
 
+BSD_2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution."""
+BSD_3 = BSD_2 + """
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission."""
+BSD_WARRANTY = """
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+#: Whole licences beside those of the SQL; lists of conditions stand with and without numbers.
+TEXTS = [
+    (name, title + text)
+    for name, heading, body in [("BSD-2-Clause", "BSD 2-Clause License", BSD_2), ("BSD-3-Clause", "BSD 3-Clause License", BSD_3)]
+    for title in ("", heading + "\n\n")
+    for text in (body + BSD_WARRANTY, re.sub(r"(?m)^[1-3][.] ", "* ", body) + BSD_WARRANTY)
+]
+#: Digests of the canonical forms of long licences: the whole text, and up to the end of its terms.
+WHOLE = [
+    ("Apache-2.0", "04e64e0427d80fdde16fa8415931bf2c09bc943f13ec322a09df188bf23a3543"),
+    ("Apache-2.0", "119e2da0e9ec849d113a40405b338c1bbbd2ef9194c22bf2740fa4e195411c40"),
+    ("CC0-1.0", "cccf7894e1b9f4ba9f97728bf0c5baf9e07bc2ac93da7a51556451b1fb2b868e"),
+    ("GPL-1.0", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("GPL-1.0", "6375a768fd262bf5281905a9585411d2d0fb4ea15cb08cfcba49f73fedb82abc"),
+    ("GPL-2.0", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-2.0", "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34"),
+    ("GPL-3.0", "a8cd54d6683aa630f0b8d05d56184ad91dc486756da2df61c94d3e4e8d5ecb68"),
+    ("GPL-3.0", "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636"),
+    ("LGPL-2.0", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.0", "504542bce5421b0f5a7e63ddb55443ccb300b27a65ba6bfc1370fed16a3af260"),
+    ("LGPL-2.1", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-2.1", "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "26ba73e836ecb04fe87d5eca80ca27cff1afa2d7683455be1517bd23b8d27986"),
+    ("MPL-2.0", "6fedd8db6adb0e102fc0f69b9e1501d2edaf25940e34910831cab46f9f5d4e4d"),
+]
+
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text."""
@@ -88,8 +138,10 @@ def canonical(text: Column) -> Column:
 
 def known_digests(spark: SparkSession) -> DataFrame:
     """``(license, digest)`` of the known texts; a digest belongs to one licence."""
-    rows = spark.createDataFrame(KNOWN, "license string, text string")
-    return rows.groupBy(F.sha2(canonical(F.col("text")), 256).alias("digest")).agg(F.min("license").alias("license"))
+    rows = spark.createDataFrame(KNOWN + TEXTS, "license string, text string")
+    rows = rows.select("license", F.sha2(canonical(F.col("text")), 256).alias("digest"))
+    rows = rows.unionByName(spark.createDataFrame(WHOLE, "license string, digest string"))
+    return rows.groupBy("digest").agg(F.min("license").alias("license"))
 
 
 def scan_licences(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -103,8 +155,7 @@ def scan_licences(docs: DataFrame, known: DataFrame, key: str = "doc_id", text:
     """
     body = F.col(text).cast("string")
     slim = docs.select(F.col(key), body.alias("_text"))
-    # A line without one of the words of the known notices cannot be one; only few lines are digested.
-    lines = F.filter(F.split("_text", "\n", -1), lambda x: F.lower(x).rlike("licen|spdx|released under|free software"))
+    lines = F.array_distinct(F.split("_text", "\n", -1))
     lines = F.array_distinct(F.transform(lines, lambda x: F.sha2(canonical(x), 256)))
     marked = slim.select(key, F.sha2(canonical(F.col("_text")), 256).alias("digest"), lines.alias("_lines"))
     names = known.where(F.col("digest") != F.sha2(F.lit(""), 256)).select(F.col("digest").alias("_digest"), "license")

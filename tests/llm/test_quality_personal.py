@@ -4,6 +4,7 @@ import collections
 import hashlib
 import re
 import textwrap
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -157,6 +158,27 @@ def test_licences_however_wrapped(spark):
     assert got[len(rows) - 1].digest == hashlib.sha256(b"copyright holders decide").hexdigest()
 
 
+def test_whole_texts_of_common_licences(spark):
+    folder = Path("/usr/share/common-licenses")
+    files = {"Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1",
+             "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0"}
+    rows = [(name, (folder / f).read_text()) for f, name in files.items() if (folder / f).exists()]
+    for name, t in list(rows):
+        paragraphs = [p if re.search(r"(?i)copyright (\(c\)|\[|<)", p) else textwrap.fill(p, 60) for p in t.split("\n\n")]
+        rows.append((name, "\n\n".join(paragraphs)))
+    rows += [("BSD-2-Clause", "Copyright (c) 2020, Someone\nAll rights reserved.\n\n" + licences.BSD_2 + licences.BSD_WARRANTY),
+             ("BSD-3-Clause", textwrap.fill(licences.BSD_3 + licences.BSD_WARRANTY, 70))]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.license for r in licences.scan_licences(df, licences.known_digests(spark)).collect()}
+    assert [got[i] for i in range(len(rows))] == [n for n, _ in rows]
+
+
+def test_notices_of_the_caller(spark):
+    known = spark.createDataFrame([("PD", hashlib.sha256(b"public domain").hexdigest())], "license string, digest string")
+    df = spark.createDataFrame([(1, "a\nPublic domain.\nb")], "doc_id long, text string")
+    assert [r.notices for r in licences.scan_licences(df, known).collect()] == ["PD"]
+
+
 def test_licence_oracle(spark, sf_dir):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_dir}/documents.parquet')")
