@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm import licences, mixing, personal, toxicity
+from ledgerleaf.llm import byte_bpe, filter_audit, licences, mixing, personal, spelling, toxicity
 from ledgerleaf.llm.neighbours import nearest
 from ledgerleaf.llm.packing import pack
 from ledgerleaf.llm.parsing import remove_repeated_windows
@@ -129,3 +129,30 @@ def op10(t: Tables) -> DataFrame:
         "doc_id", *counts, F.sha2(personal.listed(exact), 256).alias("base_sha256"),
         personal.listed(F.col("spans")).alias("spans"),
     )
+
+
+@query("op11_byte_bpe")
+def op11(t: Tables) -> DataFrame:
+    """Byte-level BPE ids of every whole document, and the bytes that they decode to."""
+    import public_tokenizers
+
+    model = byte_bpe.shipped(t.spark, byte_bpe.read_ranks(str(public_tokenizers.path("byte_bpe_50k.tiktoken"))))
+    pattern = public_tokenizers.PATTERN
+    encoded = byte_bpe.encode(t.documents.select("doc_id", "text"), model, pattern)
+    decoded = byte_bpe.decode(encoded, model, pattern)
+    return decoded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op12_filter_audit", filter_audit.sql())
+def op12(t: Tables) -> DataFrame:
+    """Five filters in all orders, per source: what every step keeps, removes and loses."""
+    return filter_audit.audit_filters(t.documents, t.labels)
+
+
+@query("op13_spelling_variants")
+def op13(t: Tables) -> DataFrame:
+    """Words of the corpus with the form and root that their near words give them."""
+    return spelling.group_variants(t.documents).select("word", "form", "root", "n", "n_near", "form_n")
