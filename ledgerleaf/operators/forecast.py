@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerleaf.operators.leastsq import Moments, lag_moments, log_likelihood_aic, solved
+from ledgerleaf.operators.leastsq import Moments, lag_moments, log_likelihood_aic, scaled_inverse, solved
 from ledgerleaf.operators.series import in_time
 
 # Response surface b0 + b1/n + b2/n² + b3/n³ of the Dickey-Fuller
@@ -134,9 +134,20 @@ def granger_matrix(df: DataFrame, keys: Sequence[str], columns: Sequence[str], m
     return solved(lag_moments(df, keys, columns, max_lag), keys, columns, max_lag, schema, solve)
 
 
-def johansen_trace(df: DataFrame, keys: Sequence[str], columns: Sequence[str], lags: int = 5) -> DataFrame:
-    """``rank, trace, crit_95, cointegrated`` per hypothesis of at most ``rank`` relations."""
+def johansen_trace(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], lags: int = 5, origin: str = "zero"
+) -> DataFrame:
+    """``rank, trace, crit_95, cointegrated`` per hypothesis of at most ``rank`` relations.
+
+    The model has no constant, so the result depends on the levels as they stand. With
+    ``origin="first"`` they are measured from each series' first value and adding a
+    number to a series changes nothing.
+    """
+    if origin not in ("first", "zero"):
+        raise ValueError(origin)
     w = in_time(keys)
+    if origin == "first":
+        df = df.withColumns({c: F.col(c) - F.first(c).over(w) for c in columns})
     changes = {f"d_{c}": F.col(c) - F.lag(c).over(w) for c in columns}
     steps = df.withColumns(changes).where(F.col(f"d_{columns[0]}").isNotNull())
     names = [*changes, *columns]
@@ -147,11 +158,28 @@ def johansen_trace(df: DataFrame, keys: Sequence[str], columns: Sequence[str], l
         level = [m.at(c, lags) for c in columns]
         past = [m.at(f"d_{c}", k) for c in columns for k in range(1, lags + 1)]
         size = len(columns)
-        _, residual, _, n = m.fit(own + level, past, lags)
+        n, products = m.sample(lags)
         if n <= len(past) + size:
             return []
+        rows = np.eye(len(products))[own + level + past]
+        rows[:, 0] += m.about[own + level + past]
+        # The roots are the same for any combinations of the levels: one level carries the large constant, on
+        # the scale of one, and the others lose theirs, so no digits are lost to it.
+        start = m.about[level]
+        pivot = int(np.argmax(np.abs(start)))
+        if start[pivot] != 0:
+            levels = rows[size : 2 * size]
+            others = [i for i in range(size) if i != pivot]
+            levels[others] -= np.outer(start[others] / start[pivot], levels[pivot])
+            levels[others, 0] = 0.0
+            levels[pivot] /= abs(start[pivot])
+        products = rows @ products @ rows.T
+        xx, xy = products[2 * size :, 2 * size :], products[2 * size :, : 2 * size]
+        residual = products[: 2 * size, : 2 * size] - xy.T @ scaled_inverse(xx) @ xy
         s = residual / n
         s00, s0k, skk = s[:size, :size], s[:size, size:], s[size:, size:]
+        scale = np.sqrt(np.maximum(np.diag(skk), 1e-300))
+        s0k, skk = s0k / scale, skk / np.outer(scale, scale)
         roots = np.linalg.eigvals(np.linalg.solve(skk, s0k.T @ np.linalg.solve(s00, s0k)))
         roots = np.clip(np.sort(roots.real)[::-1], 0.0, 1 - 1e-15)
         out = []

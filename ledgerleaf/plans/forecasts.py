@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerleaf.operators import forecast, series
+from ledgerleaf.operators import arima, changepoints, forecast, series
 from ledgerleaf.plans.derived import monthly_series
 from ledgerleaf.plans.registry import query
 from ledgerleaf.plans.series import KEY
@@ -56,6 +56,24 @@ def _(t):
     return forecast.seasonal_ar_forecast(monthly_series(t), KEY, "amount")
 
 
+@query("z12_seasonal_arima")
+def _(t):
+    """Orders found by tests and a stepwise search, moving averages included."""
+    return arima.seasonal_arima_forecast(monthly_series(t), KEY, "amount")
+
+
+@query("z13_changepoint_forecast")
+def _(t):
+    """A trend whose slope may change, the season, and a band of simulated changes to come."""
+    return changepoints.changepoint_forecast(monthly_series(t), KEY, "amount")
+
+
+@query("z13_trend_breaks")
+def _(t):
+    """When the slope of a series changed, and by how much a month."""
+    return changepoints.trend_breaks(monthly_series(t), KEY, "amount")
+
+
 @query("z13_trend_season_forecast")
 def _(t):
     return forecast.trend_season_forecast(monthly_series(t), KEY, "amount")
