@@ -1,7 +1,7 @@
 """Packing token sequences, shortest pack first over the histogram of lengths.
 
-Lengths are placed longest first. A length goes into the open patterns with the least room
-left that still holds it; patterns are counted, not listed, so the work depends on the number
+Lengths are placed longest first. A length goes into the open patterns with the most room
+left, the shortest packs; patterns are counted, not listed, so the work depends on the number
 of different lengths only. Pieces of a length are then ranked, and rank intervals tell each
 piece its sequence and offset.
 """
@@ -15,6 +15,7 @@ import sys
 import types
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,54 +23,101 @@ from pyspark.sql.window import Window as W
 
 from ledgerleaf.llm.tables import stored
 
-#: Letters of one code point that lower-case to one, then signs: the tokenizer splits between the two.
-PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?;:|$%&*#]*)")
+#: How the tokenizer cuts Latin-1 texts, once lower-cased: runs of letters, single numerals, short endings, runs of signs.
+LATIN = re.compile("[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|'(?:s|t|re|ve|m|ll|d)|"
+                   "[^\\t-\\r \x85\xa00-9a-z\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\xff]+")
 
 
-class WordIds(dict):
-    """The ids of a word, as little-endian 32-bit bytes; unknown words are looked up part by part."""
+SPACE = re.compile("[\\t-\\r ]+")
+
+
+class Known(dict):
+    """What is known of parts; ``new`` lists the lookups that found nothing, in order."""
+
+    new: list[str] = []
+
+    def __missing__(self, part: str) -> None:
+        self.new.append(part)
+
+
+class PartIds:
+    """The ids of parts of texts, as little-endian 32-bit bytes.
+
+    A text of Latin-1 characters is cut into parts here, of which the tokenizer never joins two; parts not met
+    before are tokenized as one text, which falls into parts again where a token ends a word. Of other texts
+    the words between ASCII white space are the parts, tokenized one by one.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts: dict[str, bytes] = {}
-
-    def __missing__(self, word: bytes) -> bytes:
-        text = word.decode()
-        plain = PLAIN.fullmatch(text)
-        found = self[word] = b"".join(
-            [self.part(p) for p in (plain[1].lower(), plain[2]) if p] if plain else [self.part(text)]
-        )
-        return found
-
-    def part(self, text: str) -> bytes:
-        found = self.parts.get(text)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.parts = Known()
+        self.words: dict[str, bytes] = {}
+
+    def learn(self, new: list[str]) -> None:
+        for i in range(0, len(new), 4096):
+            some = new[i : i + 4096]
+            found = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, "<u4")
+            raw, cuts = ids.tobytes(), ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(cuts) != len(some):
+                raise ValueError("the tokenizer joins parts")
+            self.parts.update(zip(some, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
+
+    def word(self, text: str) -> bytes:
+        found = self.words.get(text)
         if found is None:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            found = self.parts[text] = struct.pack(f"<{len(ids)}I", *ids)
+            found = self.words[text] = struct.pack(f"<{len(ids)}I", *ids)
         return found
 
-
-def encoder(path: str, end: int, known: int = 200_000, parts: int = 900_000):
-    """A function from a text to its ids as little-endian 32-bit bytes, ``end`` appended.
-
-    The tokenizer never joins what ASCII white space separates, so words are encoded one by one; up to
-    ``known`` words and ``parts`` of words are remembered. A worker keeps what it knows for its next task.
+    def encode(self, texts: list[str], most: int) -> list[bytes]:
+        cut: list[list[str] | None] = []
+        for text in texts:
+            plain = "<|" not in text  # its special tokens are found in whole words
+            if plain and not text.isascii():
+                try:
+                    text.encode("latin-1")
+                except UnicodeEncodeError:
+                    plain = False
+            cut.append(LATIN.findall(text.lower()) if plain else None)
+        parts = self.parts
+        if len(parts) > most:  # forget the older half
+            for old in list(parts)[: len(parts) // 2]:
+                del parts[old]
+        if len(self.words) > most // 4:
+            self.words.clear()
+        parts.new = []
+        found = [list(map(parts.__getitem__, c)) if c is not None else None for c in cut]
+        if parts.new:
+            self.learn(list(dict.fromkeys(parts.new)))
+            rest = map(parts.__getitem__, parts.new)
+            found = [f and [next(rest) if raw is None else raw for raw in f] for f in found]
+        return [
+            b"".join(f) if f is not None else b"".join(map(self.word, SPACE.split(text)))
+            for text, f in zip(texts, found)
+        ]
+
+
+def encoder(path: str, end: int, known: int = 400_000):
+    """A function from texts to their ids as little-endian 32-bit bytes, ``end`` appended.
+
+    Up to ``known`` parts are remembered beside those of the texts at hand. A worker keeps what it knows for
+    its next task.
     """
     kept = sys.modules.setdefault("ledgerleaf_worker_words", types.ModuleType("ledgerleaf_worker_words"))
     if getattr(kept, "path", None) != path:
-        kept.path, kept.ids = path, WordIds(path)
+        kept.path, kept.ids = path, PartIds(path)
     ids, tail = kept.ids, struct.pack("<I", end)
 
-    def encode(text: str | None) -> bytes:
-        if len(ids) > known:
-            ids.clear()
-        if len(ids.parts) > parts:
-            ids.parts.clear()
-        return b"".join(map(ids.__getitem__, (text or "").encode("utf-8", "replace").split())) + tail
+    def encode(texts: list[str | None]) -> list[bytes]:
+        clean = [(t or "").encode("utf-8", "replace").decode() for t in texts]
+        return [raw + tail for raw in ids.encode(clean, known)]
 
     return encode
 
@@ -82,7 +130,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, end: int, longest: int, key: str,
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
             for i in range(0, len(texts), 64):
-                encoded = [encode(t) for t in texts[i : i + 64]]
+                encoded = encode(texts[i : i + 64])
                 rows = [
                     (i + j, start, raw[4 * start : 4 * (start + longest)], len(raw) // 4)
                     for j, raw in enumerate(encoded) for start in range(0, len(raw) // 4, longest)
@@ -102,32 +150,35 @@ def pieces_of(docs: DataFrame, tokenizer: str, end: int, longest: int, key: str,
 
 
 def patterns(histogram: dict[int, int], room: int) -> list[tuple[tuple[int, ...], int]]:
-    """``(lengths of a pattern, how many sequences have it)`` for the counted lengths."""
+    """``(lengths of a pattern, how many sequences have it)`` for the counted lengths, shortest pack first.
+
+    Lengths are placed longest first, each into the open patterns with the most room left; a new one is
+    opened only where none has room.
+    """
     open_: list[dict[tuple[int, ...], int]] = [{} for _ in range(room + 1)]  # by room left
 
     def put(pattern: tuple[int, ...], left: int, count: int) -> None:
         if count:
             open_[left][pattern] = open_[left].get(pattern, 0) + count
 
+    most = 0  # no open pattern has more room left
     for length in sorted(histogram, reverse=True):
-        todo, left = histogram[length], length
-        while todo:
-            while left <= room and not open_[left]:
-                left += 1
-            if left > room:
-                fits = room // length
-                put((length,) * fits, room - fits * length, todo // fits)
-                rest = todo % fits
-                put((length,) * rest, room - rest * length, int(rest > 0))
-                break
+        todo, left = histogram[length], most
+        while todo and left >= length:
+            if not open_[left]:
+                most = left - 1 if left == most else most
+                left -= 1
+                continue
             pattern, count = open_[left].popitem()
-            fits = max(1, min(left // length, todo // count))
             used = min(count, todo)
             put(pattern, left, count - used)
-            put(pattern + (length,) * fits, left - fits * length, used)
-            todo -= used * fits
-            if left - fits * length >= length:
-                left -= fits * length
+            put(pattern + (length,), left - length, used)
+            todo -= used
+        if todo:
+            fits = room // length
+            put((length,) * fits, room - fits * length, todo // fits)
+            put((length,) * (todo % fits), room - todo % fits * length, int(todo % fits > 0))
+            most = room
     return [(p, c) for bins in open_ for p, c in bins.items()]
 
 
