@@ -215,15 +215,16 @@ def nearest(
     probe = wanted.orderBy(by_hash).limit(probes).select("x").toArrow().column(0)
     probe = matrix(probe, width) if len(probe) else np.zeros((0, width))
     budget = leaf_budget(forest, probe, exact_neighbours(points, probe, k + 1, width), recall)
-    asking = wanted.count()
-    per_leaf = asking * budget / (trees * 2**levels)
-    chunks = max(int(np.ceil(per_leaf / 16_384)), 1)  # a leaf that very many queries visit is searched in parts
-    shipped = spark.sparkContext.broadcast(forest)
+    # Plain arrays: a broadcast object of a class of this package would ask the workers for the package.
+    shipped = spark.sparkContext.broadcast(
+        (forest.planes, forest.offsets, forest.directions, forest.centres, forest.length)
+    )
 
-    def file(batches):
+    def file(batches, chunks):
+        own = Forest(*shipped.value)
         for batch in batches:
             ids, x = batch.column(0).to_numpy(), matrix(batch.column(1), width)
-            cells = shipped.value.cells(x)
+            cells = own.cells(x)
             raw = [row.tobytes() for row in x]
             for chunk in range(chunks):
                 yield pa.RecordBatch.from_pydict({
@@ -231,14 +232,15 @@ def nearest(
                     "id": pa.array(np.tile(ids, trees)), "raw": pa.array(raw * trees, pa.binary()),
                 })
 
-    def ask(batches):
+    def ask(batches, budget, chunks):
+        own = Forest(*shipped.value)
         for batch in batches:
             ids, x = batch.column(0).to_pylist(), matrix(batch.column(1), width)
             for start in range(0, len(ids), 256):
                 rows = [
                     (c, i % chunks, i, q.tobytes())
                     for i, q in zip(ids[start : start + 256], x[start : start + 256])
-                    for c in shipped.value.visits(q, budget)
+                    for c in own.visits(q, budget)
                 ]
                 yield pa.RecordBatch.from_pydict(
                     {n: pa.array(v) for n, v in zip(("cell", "chunk", "id", "raw"), zip(*rows))}
@@ -275,10 +277,25 @@ def nearest(
         })
 
     layout = "cell long, chunk long, id long, raw binary"
-    filed = points.select("rep", "x").mapInArrow(file, layout).groupBy("cell", "chunk")
-    asks = wanted.select("rep", "x").mapInArrow(ask, layout).groupBy("cell", "chunk")
-    found = asks.cogroup(filed).applyInArrow(search, "id long, near binary")
-    found = found.groupBy("id").applyInArrow(merge, "query long, rep long, score double")
+
+    def searched(asking: DataFrame, budget: int) -> DataFrame:
+        per_leaf = asking.count() * budget / (trees * 2**levels)
+        chunks = max(int(np.ceil(per_leaf / 16_384)), 1)  # a leaf that very many queries visit is searched in parts
+        filed = points.select("rep", "x").mapInArrow(lambda b: file(b, chunks), layout).groupBy("cell", "chunk")
+        asks = asking.select("rep", "x").mapInArrow(lambda b: ask(b, budget, chunks), layout).groupBy("cell", "chunk")
+        found = asks.cogroup(filed).applyInArrow(search, "id long, near binary")
+        return stored(found.groupBy("id").applyInArrow(merge, "query long, rep long, score double"), "found")
+
+    # Where the leaves of the budget hold fewer rows than are wanted, a query goes on to more leaves.
+    found, leaves, enough = searched(wanted, budget), trees * 2**levels, min(k + 1, stats["n"])
+    while budget < leaves:
+        full = found.groupBy("query").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") >= enough)
+        short = wanted.join(full, F.col("rep") == F.col("query"), "left_anti")
+        if short.isEmpty():
+            break
+        budget = min(4 * budget, leaves)
+        again = searched(stored(short, "short"), budget)
+        found = found.join(again.select("query").distinct(), "query", "left_anti").unionByName(again)
     # From classes of equal vectors to their rows, then from each class that asks to the queries in it.
     order = W.partitionBy("query").orderBy(F.desc("score"), "id")
     answers = found.join(members.select("rep", "id"), "rep").withColumn("_place", F.row_number().over(order))
