@@ -12,9 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Copyright lines as the SQL spells them.
-COPYRIGHT = r"(^|\n)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
-#: What the scan drops: lines whose "copyright" has a sign or year after it, also behind comment signs.
+#: Copyright lines: "copyright" has a sign or year after it; comment signs may stand before it.
 NOTICE = (
     r"(^|\n)[ \t#*/;%>|!<\"'-]*(copyright[ \t:]*(\(c\)|©|&copy;|[\[<{]|[0-9]{4})|\(c\)[ \t]*[0-9]{4}|©|&copy;)[^\n]*"
 )
@@ -54,21 +52,54 @@ KNOWN = [
     ("ISC", "ISC License\n\n" + ISC + NO_WARRANTY),
     ("0BSD", ZERO_CLAUSE + NO_WARRANTY),
     ("0BSD", "BSD Zero Clause License\n\n" + ZERO_CLAUSE + NO_WARRANTY),
-    ("MIT", "Licensed under the MIT License."),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "SPDX-License-Identifier: MIT"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
-    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
-    ("GPL-3.0", "Licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software under the GNU General Public License, version 3."),
-    ("GPL-2.0", "Licensed under the GNU General Public License, version 2."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC0-1.0", "Licensed under CC0 1.0."),
 ]
 
+#: Ways to say under which licence something is, after the canonical form; all count as "licensed under".
+THINGS = (
+    "article|book|code|content|data|database|dataset|distribution|document|documentation|file|image|library|material|module|"
+    "package|page|program|project|repository|script|software|source code|text|tool|website|work"
+)
+VERBS = "available|distributed|licensed|made available|offered|provided|published|released"
+FRAME = (
+    f"^(this |the |these )?(({THINGS})s? )?((is|are) )?(free software )?((is|are) )?(also |hereby )?"
+    f"(({VERBS}) )?(under|subject to|according to) (the )?(terms (and conditions )?of )?(the |a |an )?"
+)
+#: What may follow the name of a licence.
+TAIL = " (only|license only|see license for details|see the license file for details|as published by the free software foundation)$"
+#: Names of licences as notices spell them; versions are spelled in every usual way.
+NAMES = {
+    "MIT": (["MIT", "MIT License", "Expat License", "MIT/Expat License"], []),
+    "ISC": (["ISC", "ISC License"], []),
+    "Apache-2.0": (["Apache", "Apache License", "Apache Software License", "Apache Public License"], ["2", "2.0"]),
+    "BSD-2-Clause": (["BSD 2-Clause", "BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License", "FreeBSD License"], []),
+    "BSD-3-Clause": (["BSD 3-Clause", "BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License"], []),
+    "GPL-2.0": (["GPL", "GNU GPL", "GNU General Public License", "General Public License", "GNU General Public License (GPL)"], ["2", "2.0"]),
+    "GPL-3.0": (["GPL", "GNU GPL", "GNU General Public License", "General Public License", "GNU General Public License (GPL)"], ["3", "3.0"]),
+    "LGPL-2.1": (["LGPL", "GNU LGPL", "GNU Lesser General Public License", "Lesser General Public License"], ["2.1"]),
+    "LGPL-3.0": (["LGPL", "GNU LGPL", "GNU Lesser General Public License", "Lesser General Public License"], ["3", "3.0"]),
+    "AGPL-3.0": (["AGPL", "GNU AGPL", "GNU Affero General Public License", "Affero General Public License"], ["3", "3.0"]),
+    "MPL-2.0": (["MPL", "Mozilla Public License"], ["2", "2.0"]),
+    "CC-BY-4.0": (["CC BY", "Creative Commons Attribution", "Creative Commons Attribution International License"], ["4.0"]),
+    "CC-BY-SA-4.0": (["CC BY-SA", "Creative Commons Attribution-ShareAlike", "Creative Commons Attribution Share Alike"], ["4.0"]),
+    "CC-BY-NC-4.0": (["CC BY-NC", "Creative Commons Attribution-NonCommercial", "Creative Commons Attribution Non Commercial"], ["4.0"]),
+    "CC0-1.0": (["CC0", "Creative Commons Zero", "CC0 Universal"], ["1.0"]),
+    "Unlicense": (["Unlicense"], []),
+}
+
+
+def notices() -> list[tuple[str, str]]:
+    """Every known notice: a licence's name and version in all spellings, and its identifier."""
+    out = []
+    for license, (names, versions) in NAMES.items():
+        spelled = {form for name in names for v in versions for form in (
+            f"{name} {v}", f"{name} v{v}", f"{name} version {v}", f"{name} {v} License", f"{name} v. {v}",
+            f"{name} {v} International", f"{name} {v} International License", f"{name} {v} Universal",
+        )} if versions else set(names)
+        out += [(license, f"Licensed under {form}") for form in sorted(spelled)]
+        out += [(license, f"SPDX-License-Identifier: {license}{ending}") for ending in ("", "-only")]
+    return out
+
+
 BSD_2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
 following conditions are met:
 
@@ -97,7 +128,10 @@ TEXTS = [
     for title in ("", heading + "\n\n")
     for text in (body + BSD_WARRANTY, re.sub(r"(?m)^[1-3][.] ", "* ", body) + BSD_WARRANTY)
 ]
-#: Digests of the canonical forms of long licences: the whole text, and up to the end of its terms.
+#: Digests of the canonical forms of long licences as their publishers print them. Where a licence
+#: has two, the first is of the whole text with its appendix on how to apply it, the second of its terms alone.
+#: Apache Software Foundation 2004; Creative Commons 2009; Free Software Foundation 1989 (GPL 1), 1991 (GPL 2,
+#: Library GPL 2), 1999 (LGPL 2.1), 2007 (GPL 3, LGPL 3); Mozilla 1998 (MPL 1.1) and 2012 (MPL 2.0).
 WHOLE = [
     ("Apache-2.0", "04e64e0427d80fdde16fa8415931bf2c09bc943f13ec322a09df188bf23a3543"),
     ("Apache-2.0", "119e2da0e9ec849d113a40405b338c1bbbd2ef9194c22bf2740fa4e195411c40"),
@@ -124,21 +158,29 @@ def canonical(text: Column) -> Column:
     has_mark = lowered.rlike(r"copyright|\(c\)|©|&copy;")
     lowered = F.when(has_mark, F.regexp_replace(lowered, NOTICE, "$1")).otherwise(lowered)
     joined = F.regexp_replace(lowered, r"[^\p{L}\p{N}]+", " ")
-    spellings = {old.replace("-", " "): new for old, new in SPELLINGS.items()} | {"all rights reserved": ""}
 
     def spelled(t):
         out = t
-        for old, new in spellings.items():
+        for old, new in spellings().items():
             out = F.replace(out, F.lit(old), F.lit(new))
         out = F.regexp_replace(out, " +", " ")
-        return F.when(t.rlike("|".join(spellings)), out).otherwise(t)
+        return F.when(t.rlike("|".join(spellings())), out).otherwise(t)
 
-    return F.trim(F.transform(F.array(joined), spelled)[0])
+    def framed(t):
+        plain = F.regexp_replace(F.regexp_replace(t, FRAME, "licensed under "), TAIL, "")
+        return F.when((F.length(t) <= 300) & t.rlike("under |subject to |according to "), plain).otherwise(t)
+
+    trimmed = F.transform(F.transform(F.array(joined), spelled), lambda t: F.trim(t))
+    return F.transform(trimmed, framed)[0]
+
+
+def spellings() -> dict[str, str]:
+    return {old.replace("-", " "): new for old, new in SPELLINGS.items()} | {"all rights reserved": ""}
 
 
 def known_digests(spark: SparkSession) -> DataFrame:
     """``(license, digest)`` of the known texts; a digest belongs to one licence."""
-    rows = spark.createDataFrame(KNOWN + TEXTS, "license string, text string")
+    rows = spark.createDataFrame(KNOWN + notices() + TEXTS, "license string, text string")
     rows = rows.select("license", F.sha2(canonical(F.col("text")), 256).alias("digest"))
     rows = rows.unionByName(spark.createDataFrame(WHOLE, "license string, digest string"))
     return rows.groupBy("digest").agg(F.min("license").alias("license"))
@@ -160,35 +202,51 @@ def scan_licences(docs: DataFrame, known: DataFrame, key: str = "doc_id", text:
     marked = slim.select(key, F.sha2(canonical(F.col("_text")), 256).alias("digest"), lines.alias("_lines"))
     names = known.where(F.col("digest") != F.sha2(F.lit(""), 256)).select(F.col("digest").alias("_digest"), "license")
     found = marked.join(names, F.col("digest") == F.col("_digest"), "left").drop("_digest")
-    # The digests of a row's lines are looked up in a map of the known ones, which the list of licences bounds.
-    entries = [F.lit(v) for r in names.collect() for v in (r["_digest"], r["license"])]
-    table = F.create_map(*entries) if entries else F.create_map().cast("map<string,string>")
-    notices = F.filter(F.transform("_lines", lambda x: F.element_at(table, x)), lambda x: x.isNotNull())
-    notices = F.coalesce(F.array_sort(F.array_distinct(notices)), F.array().cast("array<string>"))
-    return found.select(key, "digest", "license", F.array_join(notices, ",").alias("notices"))
-
-
-def sql(known: list[tuple[str, str]] = KNOWN) -> str:
-    """The scan of ``documents`` in ANSI SQL (DuckDB's functions)."""
+    # The digests of a row's lines are compared with the known ones as sets, and only hits looked up in a map;
+    # both are as large as the list of licences.
+    entries = names.collect()
+    table = F.create_map(*[F.lit(v) for r in entries for v in (r["_digest"], r["license"])]) if entries else F.create_map().cast("map<string,string>")
+    hits = F.array_intersect("_lines", F.array(*[F.lit(r["_digest"]) for r in entries]).cast("array<string>"))
+    found_notices = F.transform(hits, lambda x: F.element_at(table, x))
+    found_notices = F.coalesce(F.array_sort(F.array_distinct(found_notices)), F.array().cast("array<string>"))
+    return found.select(key, "digest", "license", F.array_join(found_notices, ",").alias("notices"))
+
+
+def sql() -> str:
+    """The scan of ``documents`` in ANSI SQL (DuckDB's functions), by the same rule."""
     def quoted(s: str) -> str:
         return "'" + s.replace("'", "''") + "'"
 
-    def form(column: str) -> str:
-        out = f"regexp_replace(lower({column}), {quoted(COPYRIGHT)}, '\\1', 'g')"
-        for old, new in SPELLINGS.items():
-            out = f"replace({out}, {quoted(old)}, {quoted(new)})"
-        return rf"sha256(trim(regexp_replace({out}, '[^\p{{L}}\p{{N}}]+', ' ', 'g')))"
-
-    rows = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in known)
+    def joined(column: str) -> str:
+        return rf"regexp_replace(regexp_replace(lower({column}), {quoted(NOTICE)}, '\1', 'g'), '[^\p{{L}}\p{{N}}]+', ' ', 'g')"
+
+    def form(source: str, key: str, column: str) -> str:
+        """``key`` and the digest of ``column`` in the canonical form, step by step."""
+        spelled = "t"
+        for old, new in spellings().items():
+            spelled = f"replace({spelled}, {quoted(old)}, {quoted(new)})"
+        any_ = quoted("|".join(spellings()))
+        step = f"SELECT {key}, {joined(column)} AS t FROM {source}"
+        step = f"SELECT {key}, trim(CASE WHEN regexp_matches(t, {any_}) THEN regexp_replace({spelled}, ' +', ' ', 'g') ELSE t END) AS t FROM ({step})"
+        plain = f"regexp_replace(regexp_replace(t, {quoted(FRAME)}, 'licensed under '), {quoted(TAIL)}, '')"
+        return (
+            f"SELECT {key}, sha256(CASE WHEN length(t) <= 300 AND regexp_matches(t, 'under |subject to |according to ') "
+            f"THEN {plain} ELSE t END) AS digest FROM ({step})"
+        )
+
+    rows = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in KNOWN + notices() + TEXTS)
+    digests = ", ".join(f"({quoted(n)}, {quoted(d)})" for n, d in WHOLE)
     return f"""
-    WITH known AS (
-      SELECT {form('text')} AS digest, min(name) AS license FROM (VALUES {rows}) AS k(name, text) GROUP BY 1
+    WITH listed(name, text) AS (VALUES {rows}), whole(name, digest) AS (VALUES {digests}),
+    known AS (
+      SELECT digest, min(name) AS license FROM ({form("listed", "name", "text")} UNION ALL SELECT name, digest FROM whole)
+      WHERE digest <> sha256('') GROUP BY digest
     ), lines AS (
       SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents
     ), notices AS (
       SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS notices
-      FROM lines JOIN known ON known.digest = {form('line')} GROUP BY doc_id
-    )
-    SELECT d.doc_id, {form('d.text')} AS digest, k.license, coalesce(n.notices, '') AS notices
-    FROM documents d LEFT JOIN known k ON k.digest = {form('d.text')} LEFT JOIN notices n ON n.doc_id = d.doc_id
+      FROM ({form("lines", "doc_id", "line")}) JOIN known USING (digest) GROUP BY doc_id
+    ), texts AS ({form("documents", "doc_id", "text")})
+    SELECT d.doc_id, d.digest, k.license, coalesce(n.notices, '') AS notices
+    FROM texts d LEFT JOIN known k ON k.digest = d.digest LEFT JOIN notices n ON n.doc_id = d.doc_id
     """
