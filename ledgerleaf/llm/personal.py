@@ -1,11 +1,14 @@
 """Personal data by weak supervision, in DataFrame functions only.
 
-Candidate spans come from exact patterns and from looser ones. Labelers vote on each: two on
-its form (patterns), one on known names and numbers (gazetteers), one on the words before it
-(context). Expectation-maximisation over the counted vote patterns estimates how reliable each
+Candidate spans come from exact patterns, from matches of these that fail their check (a wrong
+check digit, a part over 255, too many digits), and from looser forms, many of them wrong: bare
+runs of digits, versions, order numbers. Labelers vote on each: on its form and shape (patterns),
+on known names and numbers (gazetteers), on the words before it (context for and against), and on
+its digits. Expectation-maximisation over the counted vote patterns estimates how reliable each
 labeler is for each kind, and so how likely each candidate is personal data. A logistic span
-classifier is trained on these likelihoods and decides about the looser candidates. Spans of
-the exact patterns always stay.
+classifier is trained on these likelihoods; beside the votes it sees the span's length, its
+separators and the hashed word before it. It decides about all but the spans of the exact
+patterns, which always stay.
 """
 
 from __future__ import annotations
@@ -32,14 +35,18 @@ EXACT = {
 #: Looser forms: written-out signs, dots in brackets, numbers in groups, numbers without country code.
 LOOSE = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++ ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]+"
-    r"(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?[A-Za-z0-9-]++)++",
+    r"(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?[A-Za-z0-9-]++)++"
+    r"|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ at [A-Za-z0-9-]++(?: dot [A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]{1,3}(?:(?:\[\.\]|\(\.\))[0-9]{1,3}){3}(?![0-9])",
     "card": r"(?<![0-9.])[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}(?![0-9])",
-    "phone": r"(?<![0-9+.(-])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9])",
+    "phone": r"(?<![0-9+.(-])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9])"
+    r"|(?<![0-9+.(A-Za-z#-])[0-9]{10,11}(?![0-9A-Za-z]|[.-][0-9])",
 }
+#: Matches of the exact patterns that fail their check are candidates if they have so many digits.
+FAILING = {"email": None, "ip": (4, 12), "card": (12, 19), "phone": (7, 16)}
 #: Without one of these signs there is no match.
 SIGNS = {"email": ["@"], "ip": ["."], "card": [""], "phone": ["+"]}
-LOOSE_SIGNS = {"email": ["(at)", "[at]", "{at}"], "ip": ["[.]", "(.)"], "card": [""], "phone": [""]}
+LOOSE_SIGNS = {"email": ["(at)", "[at]", "{at}", " dot "], "ip": ["[.]", "(.)"], "card": [""], "phone": [""]}
 #: Gazetteers: ends of host names, first digits of card issuers, country codes.
 DOMAINS = ["com", "org", "net", "edu", "gov", "int", "info", "biz", "io", "eu", "de", "fr", "es", "it", "uk", "nl", "ch", "at", "us"]
 ISSUERS = r"^(4|5[1-5]|2[2-7]|3[47]|36|38|35|6011|64|65)"
@@ -50,9 +57,15 @@ CONTEXT = {
     "card": "card|visa|master|credit|payment|carte|tarjeta|karte",
     "phone": r"phone|tel\b|tel\.|call|mobile|fax|rufen|appele|llame",
 }
-AGAINST = r"version|v\.|isbn|order|section|invoice|token|key|sha|md5|serial|part no"
-VOTES = ["form", "shape", "gazetteer", "context"]
-SPAN = "array<struct<kind:int,start:int,end:int,exact:boolean,votes:array<int>>>"
+AGAINST = (
+    r"version|\bv\.|release|isbn|issn|order|section|chapter|invoice|token|key|sha|md5|serial|part no|item|ticket|batch|"
+    r"build|model|total|population|page|reference|\bref\b|\bno\.|\bid\b|#$"
+)
+VOTES = ["form", "shape", "gazetteer", "context", "against", "digits"]
+#: Further traits of a span and how many values each has: its length, its separators, the word before it (hashed).
+TRAITS = {"length": 6, "separators": 5, "before": 8}
+FAILED = 0.02  # likelihood of a candidate that fails its check
+SPAN = "array<struct<kind:int,start:int,end:int,exact:boolean,votes:array<int>,traits:array<int>>>"
 
 
 def vote(positive: Column, negative: Column | None = None) -> Column:
@@ -90,28 +103,48 @@ def valid(kind: str, entity: Column) -> Column:
     return F.lit(True)
 
 
-def votes(kind: str, text: Column, span: Column, exact: bool) -> Column:
-    """The votes of the labelers on one candidate: 1 for, -1 against, 0 none."""
+def before_span(text: Column, span: Column) -> Column:
+    """The 30 characters before a span, in lower case."""
+    return F.lower(F.substring(text, F.greatest(span["start"] - 29, F.lit(1)), F.least(span["start"], F.lit(30))))
+
+
+def votes(kind: str, text: Column, span: Column, form: int) -> Column:
+    """The votes of the labelers on one candidate: 1 for, -1 against, 0 none. ``form`` is 1 for an exact span,
+    -1 for one that fails its check, 0 for a looser form."""
     entity = span["entity"]
     number = digits(entity)
-    form = F.lit(int(exact))
-    if kind == "card" and not exact:
-        form = vote(luhn(number), F.lit(True))
-    before = F.lower(F.substring(text, F.greatest(span["start"] - 29, F.lit(1)), F.least(span["start"], F.lit(30))))
+    before = before_span(text, span)
+    by_form = vote(luhn(number), F.lit(True)) if kind == "card" else F.lit(form)
+    odd = number.rlike(r"^([0-9])\1*$|0123456|1234567|9876543|0{5}|^(00|99)")
     if kind == "email":
-        plain = F.regexp_replace(entity, r" ?[\[({](?:at|dot)[\])}] ?", ".")
+        plain = F.regexp_replace(entity, r" ?[\[({](?:at|dot)[\])}] ?| dot ", ".")
         shape = vote(entity.rlike(r"^[A-Za-z][^ ]*$"), entity.rlike(r"\.\.|^[.%+-]"))
         known = vote(F.lower(F.element_at(F.split(plain, r"\."), -1)).isin(DOMAINS), F.lit(True))
+        odd = entity.rlike(r"(?i)^[a-z]?(@| at )|^(noreply|no-reply|example|user|name)[@ ]|@(localhost|example)")
     elif kind == "ip":
         shape = vote(~entity.rlike(r"(^|[^0-9])0[0-9]|[0-9]{4}"), F.lit(True))
         known = vote(~entity.rlike(r"^(0|127|22[4-9]|23[0-9]|24[0-9]|25[0-5])[^0-9]"), F.lit(True))
+        odd = entity.rlike(r"^[0-9][^0-9]+[0-9][^0-9]+[0-9][^0-9]+[0-9]$")  # as versions are
     elif kind == "card":
         shape = vote(F.length(number) == 16, ~F.length(number).between(14, 16))
         known = vote(number.rlike(ISSUERS), F.lit(True))
     else:
-        shape = vote(F.length(number).between(10, 12), F.length(number) < 9)
-        known = vote(entity.rlike(COUNTRIES)) if exact else vote(number.rlike("^[2-9]"), F.lit(True))
-    return F.array(form, shape, known, vote(before.rlike(CONTEXT[kind]), before.rlike(AGAINST)))
+        shape = vote(F.length(number).between(10, 12) & entity.rlike(r"[^0-9+]"), ~F.length(number).between(9, 15))
+        known = vote(entity.rlike(COUNTRIES)) if form else vote(number.rlike("^[02-9]"), F.lit(True))
+    against = vote(F.lit(False), before.rlike(AGAINST))
+    return F.array(by_form, shape, known, vote(before.rlike(CONTEXT[kind])), against, vote(F.lit(False), odd))
+
+
+def traits(kind: str, text: Column, span: Column) -> Column:
+    """Length, separators and the word before, each as a small number."""
+    entity = span["entity"]
+    length = F.length(entity) if kind == "email" else F.length(digits(entity))
+    short = F.least(F.floor(length / (6 if kind == "email" else 3)), F.lit(TRAITS["length"] - 1)).cast("int")
+    signs = F.regexp_replace(entity, "[A-Za-z0-9+]", "")
+    classes = F.when(signs == "", 0).when(signs.rlike("^ +$"), 1).when(signs.rlike("^-+$"), 2).when(signs.rlike(r"^[.@]+$"), 3)
+    word = F.regexp_extract(before_span(text, span), r"([\p{L}]+)[^\p{L}]*$", 1)
+    hashed = F.when(word == "", 0).otherwise(1 + F.pmod(F.xxhash64(word), F.lit(TRAITS["before"] - 1))).cast("int")
+    return F.array(short, classes.otherwise(4), hashed)
 
 
 def gated(text: Column, signs: list[str], digit: Column) -> Column:
@@ -122,45 +155,62 @@ def gated(text: Column, signs: list[str], digit: Column) -> Column:
 
 
 def candidates(text: Column, has_digit: Column, kind: str) -> Column:
-    """Exact spans of a kind, and looser ones that touch none of them."""
+    """Exact spans of a kind, matches that fail their check, and looser spans that touch none of the exact ones."""
     number = F.lit(KINDS.index(kind))
     digit = F.lit(True) if kind == "email" else has_digit
     none = F.expr(f"cast(array() as {SPAN})")
 
-    def as_spans(found, exact):
+    def as_spans(found, form):
         return F.transform(found, lambda s: F.struct(
-            number.alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit(exact).alias("exact"),
-            votes(kind, text, s, exact).alias("votes"),
+            number.alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit(form == 1).alias("exact"),
+            votes(kind, text, s, form).alias("votes"), traits(kind, text, s).alias("traits"),
         ))
 
-    good = F.filter(match_spans(text, EXACT[kind]), lambda s: valid(kind, s["entity"]))
-    exact = F.when(gated(text, SIGNS[kind], digit), as_spans(good, True)).otherwise(none)
-    loose = match_spans(text, LOOSE[kind])
-    loose = F.when(gated(text, LOOSE_SIGNS[kind], digit), as_spans(loose, False)).otherwise(none)
-
-    def merged(pair):
-        own, other = pair["own"], pair["other"]
-        free = F.filter(other, lambda o: ~F.exists(own, lambda s: (s["start"] < o["end"]) & (o["start"] < s["end"])))
-        return F.concat(own, free)
+    def split(matches):
+        good = as_spans(F.filter(matches, lambda s: valid(kind, s["entity"])), 1)
+        if FAILING[kind] is None:
+            return good
+        bad = F.filter(
+            matches, lambda s: F.length(digits(s["entity"])).between(*FAILING[kind]) & ~valid(kind, s["entity"])
+        )
+        return F.concat(good, as_spans(bad, -1))
 
-    pair = F.struct(exact.alias("own"), loose.alias("other"))
-    return F.transform(F.array(pair), merged)[0]
+    own = F.transform(F.array(match_spans(text, EXACT[kind])), split)[0]
+    own = F.when(gated(text, SIGNS[kind], digit), own).otherwise(none)
+    loose = as_spans(match_spans(text, LOOSE[kind]), 0)
+    loose = F.when(gated(text, LOOSE_SIGNS[kind], digit), loose).otherwise(none)
+    return F.concat(own, loose)
 
 
 def spotted(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with an array ``_spans`` of candidates with votes."""
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    def apart(spans):
+        """Without looser or failing spans that touch an exact one, of any kind, or a failing one of their kind."""
+        def touched(s):
+            near = lambda e: (e["start"] < s["end"]) & (s["start"] < e["end"])
+            failing = lambda e: (e["kind"] == s["kind"]) & (e["votes"][0] < 0) & (s["votes"][0] >= 0)
+            return F.exists(spans, lambda e: near(e) & (e["exact"] | failing(e)))
+
+        return F.filter(spans, lambda s: s["exact"] | ~touched(s))
+
     found = F.concat(*[candidates(value, value.rlike("[0-9]"), k) for k in KINDS])
+    found = F.transform(F.array(found), apart)[0]
     # A text without a digit or a sign of an address is not looked at again.
-    needed = value.rlike(r"[0-9@]|[\[({]at[\])}]")
+    needed = value.rlike(r"[0-9@]|[\[({]at[\])}]| dot ")
     return docs.select("*", F.when(needed, found).otherwise(F.expr(f"cast(array() as {SPAN})")).alias("_spans"))
 
 
 def reliabilities(patterns: dict[tuple[int, ...], float], rounds: int = 50) -> dict[tuple[int, ...], float]:
-    """Likelihood of each vote pattern by expectation-maximisation with one reliability per labeler and vote."""
+    """Likelihood of each vote pattern by expectation-maximisation with one reliability per labeler and vote.
+
+    Candidates that fail their check (first vote against) are known negatives: how often the other labelers
+    speak for them says how little these can be relied on.
+    """
     keys = np.array(list(patterns))
     count = np.array(list(patterns.values()), float)
-    belief = 1 / (1 + np.exp(-1.5 * keys.sum(axis=1)))
+    failed = keys[:, 0] < 0
+    belief = np.where(failed, FAILED, 1 / (1 + np.exp(-1.5 * keys.sum(axis=1))))
     for _ in range(rounds):
         mass = np.stack([count * (1 - belief), count * belief])
         log = np.log((mass.sum(axis=1) + 1) / (count.sum() + 2))[:, None].repeat(len(keys), axis=1)
@@ -171,32 +221,49 @@ def reliabilities(patterns: dict[tuple[int, ...], float], rounds: int = 50) -> d
                 start = np.array([1.5 if v < 0 else 1.0, 1.5 if v > 0 else 1.0])
                 share = (mass[:, here].sum(axis=1) + start) / (mass.sum(axis=1) + 3.5)
                 log[:, here] += np.log(share)[:, None]
-        belief = 1 / (1 + np.exp(np.clip(log[0] - log[1], -50, 50)))
+        belief = np.where(failed, FAILED, 1 / (1 + np.exp(np.clip(log[0] - log[1], -50, 50))))
     return dict(zip(patterns, belief.tolist()))
 
 
-def classifier(patterns: dict[tuple[int, ...], float], belief: dict[tuple[int, ...], float]) -> list[float]:
-    """Weights of a logistic classifier of votes, one for and one against per labeler, and a constant."""
-    keys = np.array(list(patterns))
-    x = np.concatenate([keys > 0, keys < 0, np.ones((len(keys), 1))], axis=1).astype(float)
-    y, n = np.array([belief[k] for k in patterns]), np.array(list(patterns.values()), float)
+def features(votes_: np.ndarray, traits_: np.ndarray) -> np.ndarray:
+    """One for and one against per labeler, one per value of each trait, and a constant."""
+    parts = [votes_ > 0, votes_ < 0]
+    parts += [traits_[:, [j]] == np.arange(n) for j, n in enumerate(TRAITS.values())]
+    return np.concatenate([*parts, np.ones((len(votes_), 1))], axis=1).astype(float)
+
+
+def classifier(counts: dict[tuple, float], belief: dict[tuple[int, ...], float]) -> list[float]:
+    """Weights of a logistic classifier of :func:`features`, for counted ``(votes, traits)``."""
+    keys = list(counts)
+    x = features(np.array([k[0] for k in keys]), np.array([k[1] for k in keys]))
+    y, n = np.array([belief[k[0]] for k in keys]), np.array(list(counts.values()), float)
     n = n / n.sum()
-    w = np.zeros(x.shape[1])
+    w, pull = np.zeros(x.shape[1]), np.full(x.shape[1], 1e-3)
+    pull[2 * len(VOTES) : -1] = 1e-2  # traits correct the votes, they do not replace them
     for _ in range(100):
         q = 1 / (1 + np.exp(-x @ w))
-        curve = (x * (n * q * (1 - q))[:, None]).T @ x + 1e-3 * np.eye(len(w))
-        w += np.linalg.solve(curve, x.T @ (n * (y - q)) - 1e-3 * w)
+        curve = (x * (n * q * (1 - q))[:, None]).T @ x + np.diag(pull)
+        w += np.linalg.solve(curve, x.T @ (n * (y - q)) - pull * w)
     return w.tolist()
 
 
 def trained(marked: DataFrame) -> dict[int, list[float]]:
-    """Classifier weights per kind, from the counted vote patterns of all candidates (at most 81 per kind)."""
+    """Classifier weights per kind, from the counted votes and traits of all candidates.
+
+    The driver sees one row per combination that occurs: at most 3^6 of votes times 240 of traits a kind.
+    """
     spans = marked.select(F.explode("_spans").alias("s"))
-    rows = spans.groupBy("s.kind", "s.votes").agg(F.count(F.lit(1)).alias("n")).collect()
-    by_kind: dict[int, dict[tuple[int, ...], float]] = defaultdict(dict)
-    for r in sorted(rows, key=lambda r: (r["kind"], r["votes"])):
-        by_kind[r["kind"]][tuple(r["votes"])] = r["n"]
-    return {k: classifier(p, reliabilities(p)) for k, p in by_kind.items()}
+    rows = spans.groupBy("s.kind", "s.votes", "s.traits").agg(F.count(F.lit(1)).alias("n")).collect()
+    by_kind: dict[int, dict[tuple, float]] = defaultdict(dict)
+    for r in sorted(rows, key=lambda r: (r["kind"], r["votes"], r["traits"])):
+        by_kind[r["kind"]][tuple(r["votes"]), tuple(r["traits"])] = r["n"]
+    weights = {}
+    for kind, counts in by_kind.items():
+        patterns: dict[tuple[int, ...], float] = defaultdict(float)
+        for (pattern, _), n in counts.items():
+            patterns[pattern] += n
+        weights[kind] = classifier(counts, reliabilities(dict(patterns)))
+    return weights
 
 
 def chosen(weights: dict[int, list[float]]) -> Column:
@@ -204,10 +271,13 @@ def chosen(weights: dict[int, list[float]]) -> Column:
     def accepted(s):
         total = F.lit(False)
         for kind, w in weights.items():
-            score = F.lit(w[-1])
+            score, at = F.lit(w[-1]), 2 * len(VOTES)
             for j in range(len(VOTES)):
                 v = s["votes"][j]
                 score = score + F.when(v > 0, w[j]).when(v < 0, w[len(VOTES) + j]).otherwise(0.0)
+            for j, n in enumerate(TRAITS.values()):
+                score = score + F.get(F.array(*[F.lit(x) for x in w[at : at + n]]), s["traits"][j])
+                at += n
             total = total | ((s["kind"] == kind) & (score > 0))
         return s["exact"] | total
 
@@ -237,7 +307,8 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span of :func:`personal_data` replaced by its kind in angle brackets.
 
-    Overlapping spans are replaced together, under the kind of the first. Null texts stay null.
+    Overlapping spans are replaced together, under the kind of the first. Null texts stay null, empty ones
+    empty; repeated rows stay as often as they occur; an empty table gives an empty result.
     """
     whole = docs.select(F.struct("*").alias("_row"))
     marked = stored(spotted(whole, f"_row.{text}"), "spans")
