@@ -17,11 +17,13 @@ from ledgerleaf.llm.tables import stored
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
-#: Measure, and the steps around the median that are tolerated whatever the spread. Symbols, repeated
-#: lines and repeated words count per thousand; the word length in hundredths of a character.
-SLACK = {"symbol_rate": 100, "line_rate": 400, "repeat_rate": 300, "word_length": 120}
+#: Measure, and the steps beyond the quantiles that are tolerated even where all texts of a group are alike.
+#: Symbols, repeated lines and repeated words count per thousand; the word length in hundredths of a character.
+SLACK = {"symbol_rate": 50, "line_rate": 300, "repeat_rate": 200, "word_length": 100}
 TWO_SIDED = ("word_length",)
-SPREADS = 3  # times the distance from the lower decile to the median
+#: The upper fence lies so many times the distance from the median to the upper decile above the median, the
+#: lower one so many times the distance from the lower decile below it.
+ABOVE, BELOW = 1, 3
 ENOUGH = 40  # rows from which a group has fences of its own; below, its language's, then everyone's
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -119,7 +121,9 @@ def fences(marked: DataFrame, lang: str, source: str) -> DataFrame:
         merged = merged.withColumn("_all", F.sum("n").over(W.partitionBy(*by)))
         at = lambda q: F.min(F.when(F.col("_upto") * 10 >= F.col("_all") * q, F.col("cell")))
         return merged.groupBy(*by).agg(
-            F.struct(F.max("_all").alias("rows"), at(1).alias("low"), at(5).alias("mid")).alias(name)
+            F.struct(
+                F.max("_all").alias("rows"), at(1).alias("low"), at(5).alias("mid"), at(9).alias("high")
+            ).alias(name)
         )
 
     table = groups.select("*", F.explode(measures).alias("measure"))
@@ -133,9 +137,9 @@ def fences(marked: DataFrame, lang: str, source: str) -> DataFrame:
     chosen = chosen.when(F.col("_q_lang.rows") >= ENOUGH, F.col("_q_lang")).otherwise(F.col("_q_every"))
     table = table.select("lang", "source", "measure", chosen.alias("q"))
     slack = F.create_map(*[F.lit(x) for kv in SLACK.items() for x in kv])[F.col("measure")]
-    reach = SPREADS * (F.col("q.mid") - F.col("q.low")) + slack
-    lower = F.when(F.col("measure").isin(*TWO_SIDED), F.col("q.mid") - reach)
-    limit = F.struct(lower.alias("lower"), (F.col("q.mid") + reach).alias("upper"))
+    lower = F.col("q.mid") - BELOW * (F.col("q.mid") - F.col("q.low")) - slack
+    upper = F.col("q.mid") + ABOVE * (F.col("q.high") - F.col("q.mid")) + slack
+    limit = F.struct(F.when(F.col("measure").isin(*TWO_SIDED), lower).alias("lower"), upper.alias("upper"))
     return table.groupBy("lang", "source").agg(
         F.map_from_entries(F.collect_list(F.struct("measure", limit.alias("limit")))).alias("fence")
     )
@@ -180,7 +184,10 @@ def quality_report(
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """The rows of ``docs`` that :func:`quality_report` keeps, unchanged."""
+    """The rows of ``docs`` that :func:`quality_report` keeps, unchanged.
+
+    Null and empty texts fail and go; repeated rows stay as often as they occur; an empty table stays empty.
+    """
     whole = docs.select(F.struct("*").alias("_row"))
     marked = stored(measured(whole, f"_row.{text}"), "measured")
     return judged(marked, f"_row.{lang}", f"_row.{source}").where("_kept").select("_row.*")

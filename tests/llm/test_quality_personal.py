@@ -52,6 +52,39 @@ def test_fences_follow_the_group(spark):
     assert good.columns == wide.columns and good.count() == 119
 
 
+def test_every_fence_follows_the_upper_tail(spark):
+    """Two sources that differ in the upper tail of every measure, though not in its median, have different upper fences."""
+    def text(i, odd):
+        words = [f"w{i}x{j}" for j in range(90)]
+        lines = [" ".join(words[j : j + 6]) for j in range(0, 90, 6)]
+        if odd:
+            lines += ["# $ & #"] * 6 + ["one two three four five"] * 3 + [" ".join("verylongwordindeed" + str(j) for j in range(40))]
+        return "\n".join(lines)
+
+    # An eighth of the rows of the second source are odd: above its median, at its upper decile.
+    rows = [(i, text(i, i >= 100 and i % 8 == 0), "en", "news" if i < 100 else "code") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    fence = {r.source: r.fence for r in quality.fences(quality.measured(df), "lang", "source").collect()}
+    for measure in quality.SLACK:
+        assert fence["code"][measure]["upper"] > fence["news"][measure]["upper"], measure
+    assert all(fence["news"][m]["upper"] == s for m, s in quality.SLACK.items() if m != "word_length")
+
+
+def test_fences_differ_between_groups_of_the_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").repartition(16)
+    table = quality.fences(quality.stored(quality.measured(docs).drop("text"), "measures"), "lang", "source").collect()
+    for measure in quality.SLACK:
+        assert len({r.fence[measure]["upper"] for r in table}) > 1, measure
+
+
+def test_very_long_texts(spark):
+    rnd = "".join(chr(97 + i * i % 26) for i in range(40))
+    texts = ["x" * 2_000_000, " ".join(rnd[i % 30 :] + str(i) for i in range(200_000)), "#" * 100_000 + "\n" * 100_000]
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    for r in quality.quality_report(df).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == measures(texts[r.doc_id])
+
+
 def test_clean_documents_are_kept_and_junk_goes(spark):
     base = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{base}/labels.parquet").collect()}
@@ -118,6 +151,43 @@ def test_supervision_adds_what_the_labelers_agree_on(spark):
     assert clean[0] == "please call our phone <PHONE> or write to contact <EMAIL>" and clean[300] is None
 
 
+def test_false_forms_are_rejected_and_loose_ones_found(spark):
+    """Every kind has candidates that are right and such that are wrong; the classifier tells them apart."""
+    def number(i, digits):
+        return str(7 * 10 ** (digits - 1) + i * 7919 + 13)[:digits]
+
+    rows = []
+    for i in range(60):
+        rows += [
+            (f"right{i}", f"please call our phone (555) 423-45{i:02d} or write to contact jane{i} (at) site (dot) org, card 4111.1111.1111.1111"),
+            (f"order{i}", f"see order {number(i, 10)} and invoice {number(i, 11)}, serial {number(i, 16)} of the lot"),
+            (f"version{i}", f"upgrade from version 300.{i}.2.1 to release 4.{i}.999.1 soon, build 0123456789"),
+            (f"exact{i}", f"mail x{i}@y.com phone +1 555 423 45{i:02d} ip 10.20.30.{i + 10} card 4111 1111 1111 1111"),
+        ]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    marked = personal.spotted(df).cache()
+    tried = collections.Counter((r.doc_id.rstrip("0123456789"), s.kind) for r in marked.collect() for s in r._spans)
+    assert tried["order", 3] >= 100 and tried["order", 2] >= 30 and tried["version", 1] >= 100
+    found = {r.doc_id: r.spans for r in personal.personal_data(df).collect()}
+    for i in range(60):
+        assert {personal.KINDS[s.kind] for s in found[f"right{i}"]} >= {"phone", "email"}
+        assert not [s for s in found[f"order{i}"] + found[f"version{i}"] if not s.exact]
+        assert [personal.KINDS[s.kind] for s in found[f"exact{i}"]] == ["email", "ip", "card", "phone"]
+
+
+def test_classifier_learns_from_traits():
+    """Two spans with equal votes but different words before them are told apart where the word goes with belief."""
+    votes = {(0, 1, 1, 1, 0, 0): 0.99, (0, -1, -1, 0, -1, 0): 0.01, (0, 0, 0, 0, 0, 0): 0.5}
+    counts = {((0, 1, 1, 1, 0, 0), (3, 1, 2)): 50.0, ((0, -1, -1, 0, -1, 0), (3, 0, 5)): 50.0,
+              ((0, 0, 0, 0, 0, 0), (3, 1, 2)): 5.0, ((0, 0, 0, 0, 0, 0), (3, 0, 5)): 5.0}
+    w = personal.classifier(counts, votes)
+    import numpy as np
+
+    x = personal.features(np.array([[0] * 6, [0] * 6]), np.array([[3, 1, 2], [3, 0, 5]]))
+    right, wrong = x @ w
+    assert right > 0 > wrong
+
+
 def test_reliabilities_separate_agreeing_labelers():
     patterns = {(1, 1, 1, 0): 80.0, (0, -1, -1, -1): 70.0, (0, 1, -1, 0): 5.0}
     belief = personal.reliabilities(patterns)
@@ -179,6 +249,46 @@ def test_notices_of_the_caller(spark):
     assert [r.notices for r in licences.scan_licences(df, known).collect()] == ["PD"]
 
 
+def test_notices_in_many_frames(spark):
+    frames = ["This work is licensed under the {}.", "This program is free software under the {}", "Licensed under {}", "Released under the {}.",
+              "// Distributed under the terms of the {}.", "This file is also made available under the {}", "The source code is subject to the terms and conditions of the {}"]
+    names = {"GNU General Public License, version 3": "GPL-3.0", "GNU GPL v3": "GPL-3.0", "GPL-2.0": "GPL-2.0", "MIT License": "MIT", "MIT licence": "MIT",
+             "Apache License, Version 2.0": "Apache-2.0", "Apache 2.0 License": "Apache-2.0", "CC BY-SA 4.0": "CC-BY-SA-4.0",
+             "Creative Commons Attribution 4.0 International License": "CC-BY-4.0", "Mozilla Public License 2.0": "MPL-2.0"}
+    rows = [("some text\n" + f.format(n) + "\nmore", want) for f in frames for n, want in names.items()]
+    rows += [("SPDX-License-Identifier: LGPL-2.1-only", "LGPL-2.1"), ("This work is licensed under the GNU General Public License, version 9.", ""),
+             ("We talk about the MIT License here.", ""), ("Copyright policy is what the MIT decides\nLicensed under MIT", "MIT"), ("under the sea", "")]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.notices for r in licences.scan_licences(df, licences.known_digests(spark)).collect()}
+    assert [got[i] for i in range(len(rows))] == [want for _, want in rows]
+
+
+def test_the_oracle_has_the_same_rule(spark, tmp_path):
+    """Wrapped licences, lines about copyright, frames, odd and very long texts: the scan and its SQL agree."""
+    mit = licences.MIT
+    texts = [
+        mit, textwrap.fill(" ".join(mit.split()), 50), "Copyright (c) 2020 X\n\n" + mit, "Copyright policy of the house\n" + mit, mit.upper(),
+        "# Copyright 2020\n# Licensed under the MIT Licence.\nx", "Copyright policy: Licensed under the MIT License.", "copyright holders\nsub-licence", None, "",
+        "...", "é ß Ω\n© 2020 me\nReleased under GPL v3", "This work is licensed under the GNU General Public License, version 3.", " \n\n ",
+        licences.BSD_3 + licences.BSD_WARRANTY, "word " * 200_000, "x" * 1_000_000, "Licensed under MIT\n" * 50_000, "all rights reserved", "(c) 1999",
+        textwrap.fill(licences.ISC + licences.NO_WARRANTY, 30), "under the", "licensed under ", "a  copyright owner\tfavour",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    df.write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents/*.parquet')")
+    want = con.execute(queries.ORACLES["op6_license_digests"]).fetchall()
+    got = [tuple(r) for r in licences.scan_licences(df, licences.known_digests(spark)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert licences.scan_licences(df.limit(0), licences.known_digests(spark)).count() == 0
+
+
+def test_the_commonest_notice_of_the_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("text LIKE '%licensed under the GNU General%'")
+    found = licences.scan_licences(docs, licences.known_digests(spark)).collect()
+    assert len(found) >= 79 and all("GPL-3.0" in r.notices for r in found)
+
+
 def test_licence_oracle(spark, sf_dir):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_dir}/documents.parquet')")
