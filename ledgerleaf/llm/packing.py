@@ -104,7 +104,7 @@ class PartIds:
         ]
 
 
-def encoder(path: str, end: int, known: int = 400_000):
+def encoder(path: str, end: int, known: int = 1_000_000):
     """A function from texts to their ids as little-endian 32-bit bytes, ``end`` appended.
 
     Up to ``known`` parts are remembered beside those of the texts at hand. A worker keeps what it knows for
@@ -122,6 +122,16 @@ def encoder(path: str, end: int, known: int = 400_000):
     return encode
 
 
+def runs(texts: list[str | None], most: int = 256, characters: int = 1_000_000):
+    """``(place of the first, texts)`` of runs of texts that are encoded together; a long text may stand alone."""
+    start, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text or "")
+        if size >= characters or i + 1 - start == most or i + 1 == len(texts):
+            yield start, texts[start : i + 1]
+            start, size = i + 1, 0
+
+
 def pieces_of(docs: DataFrame, tokenizer: str, end: int, longest: int, key: str, text: str) -> DataFrame:
     """One row per piece: the key, ``start``, ``length``, ``ids_crc32``, ``doc_tokens`` and ``ids``."""
 
@@ -129,8 +139,8 @@ def pieces_of(docs: DataFrame, tokenizer: str, end: int, longest: int, key: str,
         encode = encoder(tokenizer, end)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for i in range(0, len(texts), 64):
-                encoded = encode(texts[i : i + 64])
+            for i, run in runs(texts):
+                encoded = encode(run)
                 rows = [
                     (i + j, start, raw[4 * start : 4 * (start + longest)], len(raw) // 4)
                     for j, raw in enumerate(encoded) for start in range(0, len(raw) // 4, longest)
