@@ -1,10 +1,12 @@
 """Repeated word windows, by relative Lempel-Ziv parsing.
 
-Segments that may hold a repeat (see :mod:`shared_windows`) meet in one place and form an
-indexed reference block. Each is factored greedily against the block: a factor is copied
-from another place where the next ``width`` words occur, and reaches as far as both agree,
-word by word; a word without such a place is a literal. All windows inside a factor are
-repeats. Windows that start in a factor and end beyond it are looked up one by one.
+Segments that may hold a repeat (see :mod:`shared_windows`) meet in one place and form a
+reference block. The block is indexed by seeds of a few words: the places of each seed that
+occurs twice or more, in the order of the seeds that follow, so that the places that agree
+longest are neighbours. Each segment is factored greedily against the block: a factor is copied
+from a neighbour of the place where it starts and reaches as far as both agree, word by word; a
+word whose seed occurs nowhere else is a literal. All windows inside a factor are repeats.
+Windows that start in a factor and end beyond it are looked up one by one.
 """
 
 from __future__ import annotations
@@ -27,7 +29,47 @@ def numbered(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.array(flat, np.uint64), np.array(lengths, np.int64)
 
 
-def repeats_in(segments: list[bytes], count: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class SeedIndex:
+    """For each place of a reference block the two places whose words agree with its own longest."""
+
+    def __init__(self, words: np.ndarray, starts: np.ndarray, limit: np.ndarray, width: int, seed: int):
+        self.words, self.limit = words, limit
+        noise = (words + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        seeds = gram_hashes(noise ^ (noise >> np.uint64(31)), seed)
+        order = starts[np.argsort(seeds[starts], kind="stable")]
+        own = seeds[order]
+        twice = np.zeros(len(order), bool)
+        twice[1:] = own[1:] == own[:-1]
+        twice[:-1] |= twice[1:]
+        order = order[twice]
+        # The seeds that follow, the last one ending with the window: places that share a window are neighbours.
+        further = [*range(seed, width - seed, seed), width - seed] if width > seed else []
+        order = order[np.lexsort([*[seeds[order + k] for k in reversed(further)], seeds[order]])]
+        self.before, self.after = np.full(len(words), -1, np.int64), np.full(len(words), -1, np.int64)
+        alike = np.flatnonzero(seeds[order[1:]] == seeds[order[:-1]]) if len(order) else np.zeros(0, np.int64)
+        self.after[order[alike]] = order[alike + 1]
+        self.before[order[alike + 1]] = order[alike]
+
+    def known(self) -> np.ndarray:
+        """Where a seed starts that occurs elsewhere too."""
+        return (self.before >= 0) | (self.after >= 0)
+
+    def longest(self, at: np.ndarray, most: int | None = None) -> np.ndarray:
+        """How many words from ``at`` on agree with another place, ``most`` at most."""
+        reach = np.zeros(len(at), np.int64)
+        for other in (self.before, self.after):
+            there = np.flatnonzero(other[at] >= 0)
+            here, source = at[there], other[at[there]]
+            bound = np.minimum(self.limit[here] - here, self.limit[source] - source)
+            if most is not None:
+                bound = np.minimum(bound, most)
+            reach[there] = np.maximum(reach[there], agreeing(self.words, here, source, bound))
+        return reach
+
+
+def repeats_in(
+    segments: list[bytes], count: np.ndarray, width: int, seed: int = 8
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(segment, first window, end)`` of windows that occur more than once, counting copies of segments."""
     words, lengths = numbered(segments)
     begin = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
@@ -35,45 +77,28 @@ def repeats_in(segments: list[bytes], count: np.ndarray, width: int) -> tuple[np
     windows = lengths - width + 1
     starts = np.repeat(begin, windows) + ranges(windows)
     owner = np.repeat(np.arange(len(segments)), windows)
+    limit = np.repeat(end, lengths)  # end of the segment around each word
+    index = SeedIndex(words, starts, limit, width, min(seed, width))
+    known = index.known()
 
-    # The index of the reference block: for each window, another place that holds it.
-    noise = (words + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    hashes = gram_hashes(noise ^ (noise >> np.uint64(31)), width)[starts]
-    order = np.argsort(hashes, kind="stable")
-    new = np.append(True, hashes[order][1:] != hashes[order][:-1])
-    first = np.flatnonzero(new)
-    size = np.diff(np.append(first, len(order)))
-    group = np.cumsum(new) - 1
-    source = np.full(len(words), -1, np.int64)
-    alone = size[group] == 1
-    head = starts[order[first]][group]
-    second = starts[order[np.minimum(first + 1, len(order) - 1)]][group]
-    own = starts[order]
-    other = np.where(head != own, head, second)
-    other[alone] = -1
-    copied = count[owner[order]] > 1  # the same segment stands elsewhere as a whole
-    source[own] = np.where(copied, own, other)
-
-    limit = np.zeros(len(words), np.int64)  # end of the segment around each word
-    limit[:] = np.repeat(end, lengths)
-    following = next_true(source >= 0)  # the next word at which a factor can start
     repeated_at = np.zeros(len(words) + 1, bool)
-    at = following[begin]
-    active = at < end
-    at, stop = at[active], end[active]
+    copied = np.flatnonzero(count > 1)  # such a segment stands elsewhere as a whole: one factor
+    repeated_at[np.repeat(begin[copied], windows[copied]) + ranges(windows[copied])] = True
+    single = np.flatnonzero(count <= 1)
+    following = next_true(known)  # the next word at which a factor can start
+    at, stop = following[begin[single]], end[single]
+    going = at < stop
+    at, stop = at[going], stop[going]
     while len(at):
-        src = source[at]
-        reach = matched(words, at, src, limit)
-        long = reach >= width
-        inner = np.where(long, reach - width + 1, 0)
+        reach = index.longest(at)
+        inner = np.maximum(reach - width + 1, 0)
         repeated_at[np.repeat(at, inner) + ranges(inner)] = True
-        after = at + np.where(long, reach, 1)
         # The factor's boundary: windows that start inside it and end beyond.
-        cross = np.where(long, np.minimum(width - 1, np.maximum(stop - width + 1 - (at + inner), 0)), 0)
+        cross = np.maximum(np.minimum(reach, stop - width + 1 - at) - inner, 0)
         edge = np.repeat(at + inner, cross) + ranges(cross)
-        edge = edge[source[edge] >= 0]
-        edge = edge[matched(words, edge, source[edge], np.minimum(limit[edge], edge + width)) >= width]
-        repeated_at[edge] = True
+        edge = edge[known[edge]]
+        repeated_at[edge[index.longest(edge, width) >= width]] = True
+        after = at + np.maximum(reach, 1)
         going = after < stop
         at, stop = following[after[going]], stop[going]
         going = at < stop
@@ -96,20 +121,12 @@ def next_true(flags: np.ndarray) -> np.ndarray:
     return np.append(np.minimum.accumulate(at[::-1])[::-1], n)
 
 
-def matched(words: np.ndarray, at: np.ndarray, src: np.ndarray, limit: np.ndarray) -> np.ndarray:
-    """Words that agree from ``at`` and ``src`` on, inside both segments."""
-    limits = limit[at] if len(limit) == len(words) else limit
-    bound = limits - at
-    if len(limit) == len(words):
-        bound = np.minimum(bound, limit[src] - src)
+def agreeing(words: np.ndarray, at: np.ndarray, source: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Words that agree from ``at`` and ``source`` on, up to ``bound`` of them."""
     reach = np.zeros(len(at), np.int64)
-    going = np.flatnonzero(bound > 0)
-    itself = at == src
-    reach[itself] = bound[itself]
-    going = going[~itself[going]]
-    step = 0
+    going, step = np.flatnonzero(bound > 0), 0
     while len(going):
-        same = words[at[going] + step] == words[src[going] + step]
+        same = words[at[going] + step] == words[source[going] + step]
         going = going[same]
         step += 1
         reach[going] = step
