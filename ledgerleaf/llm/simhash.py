@@ -141,6 +141,10 @@ def close_links(distinct: DataFrame, distance: int) -> DataFrame:
     return index.repartition(2 * wide, "key").mapInArrow(links, "a long, b long")
 
 
+#: In how many parts the rows of a component are joined with its least key.
+PARTS = 16
+
+
 def components_of(marked: DataFrame, key: str, distance: int) -> DataFrame:
     """``(fingerprint_bits, root, component_id)`` for the fingerprints of ``marked``."""
     distinct = marked.groupBy(F.col("fingerprint_bits").alias("bits")).agg(F.min(key).alias("least"))
@@ -149,7 +153,10 @@ def components_of(marked: DataFrame, key: str, distance: int) -> DataFrame:
         "bits", "least", F.coalesce("root", "bits").alias("root")
     )
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    return classes.join(least, "root").select(F.col("bits").alias("fingerprint_bits"), "root", "component_id")
+    # One component may hold most fingerprints: its rows meet the least key in several parts.
+    least = least.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    parts = classes.withColumn("_part", F.pmod(F.xxhash64("bits"), F.lit(PARTS)).cast("int"))
+    return parts.join(least, ["root", "_part"]).select(F.col("bits").alias("fingerprint_bits"), "root", "component_id")
 
 
 def near_duplicates(
@@ -177,7 +184,8 @@ def first_of_each(
 ) -> DataFrame:
     """One row of each class of :func:`near_duplicates`, unchanged: the smallest key, a null key last.
 
-    Among rows with that key the one with the smallest hash of its columns stays; equal rows count once.
+    Among rows with that key the one with the smallest hash of its columns stays; equal rows count once. Null and
+    empty texts are one class, like texts without words; an empty table stays empty.
     """
     whole = docs.select(F.struct("*").alias("_row"), F.xxhash64("*").alias("_hash"))
     slim = whole.select(F.col(f"_row.{key}").alias("_key"), F.col(f"_row.{text}").alias("_text"), "_hash")
@@ -189,4 +197,4 @@ def first_of_each(
     best = best.select(F.col("best.hash").alias("_hash"), F.col("best.least").alias("_least"))
     same = F.col(f"_row.{key}").eqNullSafe(F.col("_least"))
     # Equal rows are the only ones that can be found twice; they lie in one partition after the join.
-    return whole.join(best, "_hash").where(same).dropDuplicates(["_hash"]).select("_row.*")
+    return whole.join(best, "_hash").where(same).dropDuplicates(["_least", "_hash"]).select("_row.*")
