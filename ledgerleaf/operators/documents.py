@@ -169,8 +169,13 @@ def glossary_translation(text: Column) -> Column:
 
 
 def translations(docs: DataFrame, key: str = "doc_id", text: str = "text", translate=glossary_translation) -> DataFrame:
-    """``key, translation``: cleaned, cut into 100-word chunks, translated chunk by chunk and rejoined."""
-    cleaned = tx.apply_rules(F.col(text), tx.ALPHANUMERIC)
-    chunks = tx.unfolded(docs, [key], tx.chunks(tx.words(cleaned), 100), "chunk_no", "chunk")
+    """``key, translation``: cleaned, cut into 100-word chunks, translated chunk by chunk and rejoined.
+
+    A document without words has an empty translation.
+    """
+    cleaned = tx.apply_rules(F.coalesce(F.col(text), F.lit("")), tx.ALPHANUMERIC)
+    pieces = tx.bound(tx.chunks(tx.words(cleaned), 100), lambda c: F.when(F.size(c) > 0, c).otherwise(F.array(F.lit(""))))
+    chunks = tx.unfolded(docs, [key], pieces, "chunk_no", "chunk")
     done = chunks.select(key, "chunk_no", translate(F.col("chunk")).alias("chunk"))
-    return rejoined(done, [key], "chunk_no", "chunk", "translation")
+    whole = rejoined(done, [key], "chunk_no", "chunk", "translation")
+    return whole.withColumn("translation", F.when(F.trim("translation") == "", "").otherwise(F.col("translation")))

@@ -66,6 +66,29 @@ def adjacency_titles(edges: DataFrame, page_size: int = 500, heading: str = ": "
     return listed.select("node", "page", "degree", title.alias("title"))
 
 
+def connected_parts(links: DataFrame) -> DataFrame:
+    """``node, root`` for every node of ``links`` (``a, b``, whole numbers): the smallest node that can be reached.
+
+    In turn every node's larger neighbours, then its smaller ones, are linked to the smallest node it knows, until
+    all nodes are linked to a root directly. Each round is materialised; the number of rounds grows with the logarithm of the nodes.
+    """
+    links = links.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")).where("node <> root")
+    links = checkpointed(links.distinct())
+    while True:
+        both = links.unionByName(links.select(F.col("root").alias("node"), F.col("node").alias("root")))
+        least = both.groupBy("node").agg(F.least(F.min("root"), F.col("node")).alias("least"))
+        large = both.join(least, "node").where("root > node").select(F.col("root").alias("node"), F.col("least").alias("root"))
+        large = checkpointed(large.where("node <> root").distinct())
+        least = large.groupBy("node").agg(F.min("root").alias("least"))
+        small = large.join(least, "node").where("root <> least").select(F.col("root").alias("node"), F.col("least").alias("root"))
+        after = checkpointed(small.unionByName(least.select("node", F.col("least").alias("root"))).distinct())
+        roots = after.select(F.col("root").alias("node")).distinct()
+        settled = after.join(roots, "node", "left_semi").isEmpty() and after.groupBy("node").count().where("count > 1").isEmpty()
+        links = after
+        if settled:
+            return links.unionByName(roots.select("node", F.col("node").alias("root")))
+
+
 def triples(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, sent_no, source, edge, target`` per sentence.
 

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, BucketedRandomProjectionLSH, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -14,15 +13,8 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.functions import text as tx
 from ledgerleaf.functions.words import STOP_WORDS
+from ledgerleaf.operators import postings
 from ledgerleaf.operators.search import nearest
-from ledgerleaf.session import checkpointed
-
-# Standard parameters of the BM25 weighting.
-K1, B = 1.5, 0.75
-# Words of all questions scored as one matrix in every task; longer lists are scored in stripes.
-QUESTION_WORDS = 20_000
-# Entries × questions a task scores at a time.
-BLOCK_VALUES = 8_000_000
 
 # The two slots of a prompt, labelled; instructions to a model are the caller's.
 PROMPT = """Passages:
@@ -46,99 +38,23 @@ def sentence_passages(docs: DataFrame, key: str = "doc_id", text: str = "text")
     return tx.unfolded(docs, [key], tx.sentences(F.col(text)), "passage_no", "passage")
 
 
+def index_of(passages: DataFrame, ids: Sequence[str], passage: str, path: str | None = None) -> postings.Index:
+    """An inverted index of the content words of ``passages``, written at ``path``."""
+    return postings.build_index(passages, ids, content_words(F.col(passage)), path)
+
+
+def asked_words(questions: DataFrame, question_key: str, question: str) -> DataFrame:
+    """``question_id, token``: the content words of the questions."""
+    terms = F.explode(F.array_distinct(content_words(F.col(question)))).alias("token")
+    return questions.select(F.col(question_key).alias("question_id"), terms)
+
+
 def ranked_passages(
     passages: DataFrame, ids: Sequence[str], passage: str, questions: DataFrame, question_key: str, question: str, k: int
 ) -> DataFrame:
-    """``question_id, ids…, score, rank``: the k best passages per question by BM25.
-
-    Only the questions' words of each passage are kept after the first scan. A
-    task scores its passages against all questions at once and sends on its k
-    best per question, so no question-passage pairs are shuffled. A question list
-    with more words than fit is cut into stripes of questions; the passages' words
-    are then prepared once and scanned by each.
-    """
-    asked = questions.select(F.col(question_key).alias("question_id"), content_words(F.col(question)).alias("terms"))
-    wanted = asked.select("question_id", F.explode(F.array_distinct("terms")).alias("token"))
-    prepared = passages.select(*ids, content_words(F.col(passage)).alias("_w"))
-    rows = wanted.limit(QUESTION_WORDS + 1).collect()
-    if len(rows) <= QUESTION_WORDS:
-        return _best(_scored(prepared, ids, rows, asked.schema["question_id"].dataType.simpleString(), k), ids, k)
-    prepared = checkpointed(prepared)
-    stripes = 2 * -(-wanted.count() // QUESTION_WORDS)
-    stripe = F.pmod(F.xxhash64("question_id"), F.lit(stripes))
-    scores = None
-    for i in range(stripes):
-        part = wanted.where(stripe == i).collect()
-        one = _scored(prepared, ids, part, asked.schema["question_id"].dataType.simpleString(), k)
-        scores = one if scores is None else scores.unionByName(one)
-    return _best(scores, ids, k)
-
-
-def _scored(prepared: DataFrame, ids: Sequence[str], rows: list, question_type: str, k: int) -> DataFrame:
-    """Candidates ``ids…, question_id, score``: every batch's k best passages for the given question words."""
-    vocabulary = sorted({r["token"] for r in rows})
-    kept = prepared.select(
-        *ids, F.size("_w").alias("length"), F.filter("_w", lambda w: w.isin(vocabulary)).alias("terms")
-    )
-    kept = checkpointed(kept)
-    total, words = kept.agg(F.count("*"), F.sum("length")).first()
-    seen = kept.select(F.explode(F.array_distinct("terms")).alias("token")).groupBy("token").agg(F.count("*").alias("df"))
-    df = {r["token"]: r["df"] for r in seen.collect()}
-    place = {w: i for i, w in enumerate(vocabulary)}
-    counts = np.array([df.get(w, 0) for w in vocabulary], dtype=float)
-    idf = np.log(1 + (total - counts + 0.5) / (counts + 0.5))
-    names = sorted({r["question_id"] for r in rows})
-    number = {q: i for i, q in enumerate(names)}
-    matrix = np.zeros((len(vocabulary), len(names)), dtype=bool)
-    for r in rows:
-        matrix[place[r["token"]], number[r["question_id"]]] = True
-    shared = prepared.sparkSession.sparkContext.broadcast((place, idf, matrix, names, (words or 0) / max(total, 1)))
-    id_schema = ", ".join(f"{c} {prepared.schema[c].dataType.simpleString()}" for c in ids)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        place, idf, matrix, names, mean = shared.value
-        for batch in batches:
-            batch = batch[batch["terms"].map(len) > 0].reset_index(drop=True)
-            if not len(batch):
-                continue
-            # One entry per passage and distinct question term it holds.
-            flat = batch["terms"].explode()
-            codes = flat.map(place).to_numpy(dtype=np.int64)
-            held, tf = np.unique(flat.index.to_numpy() * len(place) + codes, return_counts=True)
-            row, term = held // len(place), held % len(place)
-            length = batch["length"].to_numpy()[row]
-            weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
-            starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-            best: list[pd.DataFrame] = []
-            # Blocks of whole passages, so that a block's entries × questions stay small.
-            most = max(1, BLOCK_VALUES // len(names))
-            edges = [0]
-            while edges[-1] < len(starts):
-                last = np.searchsorted(starts, starts[edges[-1]] + most)
-                edges.append(max(edges[-1] + 1, int(last)))
-            for a, b in zip(edges, edges[1:]):
-                b = min(b, len(starts))
-                lo, hi = starts[a], starts[b] if b < len(starts) else len(row)
-                parts = weight[lo:hi, None] * matrix[term[lo:hi]]
-                scores = np.round(np.add.reduceat(parts, starts[a:b] - lo, axis=0), 6)
-                border = np.sort(scores, axis=0)[-k] if len(scores) > k else np.zeros(len(names))
-                at, question = np.nonzero((scores > 0) & (scores >= border))
-                found = batch.loc[row[starts[a:b]][at], list(ids)].reset_index(drop=True)
-                found["question_id"] = [names[q] for q in question]
-                found["score"] = scores[at, question]
-                best.append(found)
-            found = pd.concat(best)
-            order = ["question_id", "score", *ids]
-            found = found.sort_values(order, ascending=[True, False, *[True] * len(ids)])
-            yield found.groupby("question_id").head(k)
-
-    return kept.mapInPandas(score, f"{id_schema}, question_id {question_type}, score double")
-
-
-def _best(scores: DataFrame, ids: Sequence[str], k: int) -> DataFrame:
-    order = Window.partitionBy("question_id").orderBy(F.desc("score"), *ids)
-    ranked = scores.select("question_id", *ids, "score", F.row_number().over(order).alias("rank"))
-    return ranked.where(F.col("rank") <= k)
+    """``question_id, ids…, score, rank``: the k best passages per question by BM25, through an index of them."""
+    index = index_of(passages, ids, passage)
+    return postings.search_index(index, asked_words(questions, question_key, question), k)
 
 
 def filled_prompt(context: Column, question: Column, template: str = PROMPT) -> Column:

@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerleaf.functions.text import lemma, tokens
+from ledgerleaf.functions.words import STOP_WORDS
 from ledgerleaf.operators.corpus import by_document, content_tokens, term_counts
 from ledgerleaf.operators.frame import lookup_join
 from ledgerleaf.session import checkpointed
 
 
+# Topic words that travel to the tasks at a time.
+TOPIC_WORDS = 50_000
+
+
 def _ranked(df: DataFrame, key: str, score: Column, top: int) -> DataFrame:
     order = Window.partitionBy(key).orderBy(score.desc(), F.asc("token"))
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
@@ -85,6 +93,82 @@ def coherence(docs: DataFrame, topics: DataFrame, topic: str, key: str = "doc_id
     return size.join(sums, topic, "left").select(topic, F.try_divide(total, F.col("_pairs")).alias("coherence"))
 
 
+def window_coherence(
+    docs: DataFrame, topics: DataFrame, topic: str, key: str = "doc_id", text: str = "text", window: int = 110,
+    lemmas: bool = True,
+) -> DataFrame:
+    """``topic, coherence``: how alike the contexts of a topic's words are.
+
+    Windows of ``window`` content words slide over every document (a shorter one is one window). Two words'
+    normalised pointwise mutual information is taken over windows that hold both; a word's context
+    vector lists its information with all words of the topic, and the coherence is the mean cosine
+    between these vectors and their sum. Words that occur nowhere have no vector. Documents without content words have no window.
+
+    ``topics`` lists a few words per topic; ``TOPIC_WORDS`` of them travel to the tasks at a time, and only counts per
+    pair of a topic's words come back.
+    """
+    content = F.filter(tokens(F.col(text)), lambda w: ~w.isin(STOP_WORDS))
+    content = F.transform(content, lambda w: lemma(w)) if lemmas else content
+    prepared = docs.select(content.alias("_w"))
+    total = prepared.where(F.size("_w") > 0).agg(F.sum(F.greatest(F.lit(1), F.size("_w") - (window - 1)))).first()[0] or 0
+    words = checkpointed(topics.select(F.col(topic).alias("topic"), "token").distinct())
+    kind = words.schema["topic"].dataType.simpleString()
+    passes = max(1, -(-words.count() // TOPIC_WORDS))
+    part = F.pmod(F.xxhash64("topic"), F.lit(passes))
+    counts = None
+    for i in range(passes):
+        listed: dict = {}
+        for r in words.where(part == i).orderBy("topic", "token").collect():
+            listed.setdefault(r["topic"], []).append(r["token"])
+        one = prepared.mapInPandas(_window_counts(listed, window), f"topic {kind}, a string, b string, n long")
+        counts = one if counts is None else counts.unionByName(one)
+    pairs = checkpointed(counts.groupBy("topic", "a", "b").agg(F.sum("n").alias("n")))
+    single = pairs.where("a = b").select("topic", "a", F.col("n").alias("_a"))
+    every = single.join(single.select("topic", F.col("a").alias("b"), F.col("_a").alias("_b")), "topic")
+    p = F.coalesce("n", F.lit(0)) / F.lit(float(total)) + 1e-12
+    information = F.ln(p / ((F.col("_a") / total) * (F.col("_b") / total))) / -F.ln(p)
+    v = every.join(pairs, ["topic", "a", "b"], "left").select("topic", "a", "b", information.alias("v"))
+    whole = v.groupBy("topic", "b").agg(F.sum("v").alias("s"))
+    cosine = F.try_divide(F.sum(F.col("v") * F.col("s")), F.sqrt(F.sum(F.col("v") * F.col("v"))) * F.sqrt(F.sum(F.col("s") * F.col("s"))))
+    met = v.join(whole, ["topic", "b"]).groupBy("topic", "a").agg(cosine.alias("c"))
+    return met.groupBy(F.col("topic").alias(topic)).agg(F.avg("c").alias("coherence"))
+
+
+def _window_counts(listed: dict, window: int):
+    """Counts, over a task's documents, of the windows that hold two words of a topic."""
+
+    def count(batches):
+        places: dict[str, list] = {}
+        for name, words in listed.items():
+            for i, w in enumerate(words):
+                places.setdefault(w, []).append((name, i))
+        sums = {name: np.zeros((len(words),) * 2, np.int64) for name, words in listed.items()}
+        for batch in batches:
+            for words in batch["_w"]:
+                found: dict = {}
+                for at, w in enumerate(words if words is not None else ()):
+                    for name, i in places.get(w, ()):
+                        found.setdefault(name, {}).setdefault(i, []).append(at)
+                last = max(len(words) - window, 0) if words is not None else 0
+                for name, hits in found.items():
+                    # Starts of the windows that hold a word: runs of starts, added up and taken as yes or no.
+                    held = np.zeros((len(hits), last + 2), np.int32)
+                    for row, at in enumerate(hits.values()):
+                        at = np.array(at)
+                        np.add.at(held[row], np.maximum(at - window + 1, 0), 1)
+                        np.add.at(held[row], np.minimum(at, last) + 1, -1)
+                    held = (np.cumsum(held, axis=1)[:, :-1] > 0).astype(np.float64)
+                    own = list(hits)
+                    sums[name][np.ix_(own, own)] += np.rint(held @ held.T).astype(np.int64)
+        rows = [
+            (name, words[i], words[j], int(sums[name][i, j]))
+            for name, words in listed.items() for i, j in zip(*np.nonzero(sums[name]))
+        ]
+        yield pd.DataFrame(rows, columns=["topic", "a", "b", "n"])
+
+    return count
+
+
 def words_per_topic(ranked: DataFrame, keys: Sequence[str], name: str = "words") -> DataFrame:
     """The ranked words of each topic as one comma-separated text."""
     ordered = F.array_sort(F.collect_list(F.struct("rank", "token")))

@@ -12,7 +12,9 @@ from ledgerleaf.operators.corpus import term_counts
 from ledgerleaf.operators.pieces import SEPARATORS, preference_pieces
 from ledgerleaf.plans.derived import SQL_NOTES, order_notes, sql_list, sql_rules, sql_text
 from ledgerleaf.plans.registry import query
-from ledgerleaf.plans.texts import SQL_TERMS, sql_chunks, sql_clean, sql_sentences, sql_squeeze, sql_tokens, sql_words
+from ledgerleaf.plans.texts import (
+    SQL_TERMS, sql_chunks, sql_clean, sql_lemma, sql_sentences, sql_squeeze, sql_tokens, sql_words,
+)
 
 # --- sentiment ----------------------------------------------------------------------
 
@@ -343,6 +345,33 @@ def _(t):
     return scored.withColumn("coherence", F.round("coherence", 6))
 
 
+@query(
+    "d11_window_coherence",
+    f"""WITH {SQL_CLASS_TERMS},
+      toks AS (SELECT doc_id, list_transform(list_filter({sql_tokens('text')}, lambda w: w NOT IN ({sql_list(STOP_WORDS)})),
+                                             lambda w: {sql_lemma('w')}) AS w FROM documents),
+      total AS (SELECT SUM(greatest(1, len(w) - 109)) AS windows FROM toks WHERE len(w) > 0),
+      pos AS (SELECT doc_id, len(w) AS n, unnest(w) AS token, generate_subscripts(w, 1) - 1 AS p FROM toks),
+      cover AS (SELECT DISTINCT doc_id, lang, token, unnest(range(greatest(0, p - 109), least(p, greatest(n - 110, 0)) + 1)) AS s
+                FROM pos JOIN class_terms USING (token)),
+      one AS (SELECT lang, token, COUNT(*) AS n FROM cover GROUP BY ALL),
+      two AS (SELECT a.lang, a.token AS a, b.token AS b, COUNT(*) AS n FROM cover a JOIN cover b USING (doc_id, lang, s) GROUP BY ALL),
+      v AS (SELECT x.lang, x.token AS a, y.token AS b,
+              ln((coalesce(two.n, 0) / windows + 1e-12) / ((x.n / windows) * (y.n / windows)))
+              / -ln(coalesce(two.n, 0) / windows + 1e-12) AS v
+            FROM one x JOIN one y ON x.lang = y.lang CROSS JOIN total
+            LEFT JOIN two ON two.lang = x.lang AND two.a = x.token AND two.b = y.token),
+      s AS (SELECT lang, b, SUM(v) AS s FROM v GROUP BY ALL),
+      cosines AS (SELECT lang, a, SUM(v * s) / (sqrt(SUM(v * v)) * sqrt(SUM(s * s))) AS c FROM v JOIN s USING (lang, b) GROUP BY ALL)
+      SELECT lang, round(AVG(c), 6) AS coherence FROM cosines GROUP BY lang""",
+)
+def _(t):
+    """The coherence by sliding windows and context vectors of each language's leading words, over all documents."""
+    terms = topics.class_terms(class_counts(t), "lang", 10).select("lang", "token")
+    scored = topics.window_coherence(t.texts.drop("lang"), terms, "lang")
+    return scored.withColumn("coherence", F.round("coherence", 6))
+
+
 @query(
     "d12_topics_with_summary",
     f"""WITH {SQL_TOPIC_WORDS}, w AS (SELECT doc_id, string_agg(token, ', ' ORDER BY rank) AS words
@@ -364,8 +393,8 @@ SQL_GLOSSARY = "CASE lower(w) " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in
 
 @query(
     "d15_translation",
-    f"""SELECT doc_id, ' ' || array_to_string(list_transform(ws, lambda w: {SQL_GLOSSARY}), ' ') AS translation
-        FROM (SELECT doc_id, {ALNUM_WORDS} AS ws FROM documents) WHERE len(ws) > 0""",
+    f"""SELECT doc_id, CASE WHEN len(ws) > 0 THEN ' ' || array_to_string(list_transform(ws, lambda w: {SQL_GLOSSARY}), ' ')
+          ELSE '' END AS translation FROM (SELECT doc_id, {ALNUM_WORDS} AS ws FROM documents)""",
 )
 def _(t):
     return dc.translations(t.texts)

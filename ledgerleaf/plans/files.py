@@ -18,6 +18,7 @@ from ledgerleaf.session import shared_dir
 from ledgerleaf.sources import files
 from ledgerleaf.sources.tables import SCHEMAS, append_table, overwrite_table, read_merged, spread
 from ledgerleaf.streaming.ingest import ingest_folder, latest_counts, running_counts
+from ledgerleaf.streaming.sessions import ingest_sessions, session_corpus
 
 SQL_SOURCE_CHARS = "SELECT source, CAST(SUM(n_chars + 1) AS BIGINT) AS chars FROM documents GROUP BY source"
 
@@ -100,6 +101,27 @@ def _(t):
     return files.xbrl_facts(reports(t), "o_orderkey", "xml")
 
 
+NAMESPACED = """concat('<?xml version="1.0"?>', chr(10), '<xbrli:xbrl xmlns:xbrli="http://www.xbrl.org/2003/instance" xmlns:o="http://orders.example.com">',
+  '<xbrli:context', chr(10), " id='c", o_orderkey, "'>", '<xbrli:entity><xbrli:identifier scheme="s">', o_custkey, '</xbrli:identifier></xbrli:entity>',
+  '<xbrli:period><xbrli:instant>', date_format(o_orderdate, 'yyyy-MM-dd'), '</xbrli:instant></xbrli:period></xbrli:context>',
+  '<o:Total', chr(10), chr(9), "decimals='2' contextRef='c", o_orderkey, "'>", cast(cast(o_totalprice as decimal(18,2)) as string), '</o:Total>',
+  '<o:Note contextRef="c', o_orderkey, '">', 'R&amp;D &lt;', o_orderpriority, '&gt;</o:Note>',
+  '<o:Closed contextRef="c', o_orderkey, '" xsi:nil="true" xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance"/></xbrli:xbrl>')"""
+
+
+@query(
+    "s07_namespaced_facts",
+    """SELECT o_orderkey, element, 'c' || o_orderkey AS context, value, NULL::DATE AS start, CAST(o_orderdate AS DATE) AS "end" FROM (
+         SELECT *, 'o:Total' AS element, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS value FROM orders
+         UNION ALL SELECT *, 'o:Note', 'R&D <' || o_orderpriority || '>' FROM orders
+         UNION ALL SELECT *, 'o:Closed', NULL FROM orders)""",
+)
+def _(t):
+    """Prefixed contexts, single quotes, line ends inside tags, entities, nil facts, amounts with all their digits."""
+    docs = spread(t.orders, "o_orderkey").select("o_orderkey", F.expr(NAMESPACED).alias("xml"))
+    return files.xbrl_facts(docs, "o_orderkey", "xml")
+
+
 @query(
     "r07_listed_dates",
     """SELECT day, COUNT(*) AS reports FROM (
@@ -166,8 +188,8 @@ def _(t):
 
 @query("d01_corpus_from_folder", SQL_SOURCE_CHARS)
 def _(t):
-    corpus, rejects = files.read_corpus(t.spark, exported_texts(t), recursive=True)
-    whole = corpus.unionByName(rejects.select("path", "document_name", F.lit("").alias("text")))
+    rows = files.read_files(t.spark, exported_texts(t), recursive=True)
+    whole = rows.select("path", F.coalesce("text", F.lit("")).alias("text"))
     return whole.groupBy(source_of("path").alias("source")).agg(F.sum(F.length("text")).alias("chars"))
 
 
@@ -184,6 +206,21 @@ def _(t):
     return corpus.groupBy(source_of("path").alias("source")).agg(F.sum(F.length("text")).alias("chars"))
 
 
+@query("s14_upload_sessions", SQL_SOURCE_CHARS)
+def _(t):
+    """One session per source: its texts arrive in two deliveries, a file of another format completes it."""
+    uploads, table, state = (shared_dir(t.spark, name) for name in ("sessions", "session-corpus", "session-state"))
+    docs = t.texts.select("text", "source", (F.col("lang") == "en").alias("english"))
+    for english in (True, False):
+        part = docs.where(F.col("english") == english).drop("english")
+        part.write.mode("append").partitionBy("source").option("maxRecordsPerFile", 50).text(uploads)
+        if not english:
+            docs.select("source").distinct().withColumn("done", F.lit(1)).write.mode("append").partitionBy("source").json(uploads)
+        ingest_sessions(t.spark, uploads, table, state, mark=r"\.json$")
+    corpus, _rejects = session_corpus(t.spark, table)
+    return corpus.groupBy(F.regexp_replace("session", "^source=", "").alias("source")).agg(F.sum(F.length("text")).alias("chars"))
+
+
 @query("st02_running_counts", "SELECT user_id, event_type, COUNT(*) AS n FROM events GROUP BY ALL")
 def _(t):
     stream = t.spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(t.base)

@@ -68,12 +68,6 @@ def _(t):
     return changepoints.changepoint_forecast(monthly_series(t), KEY, "amount")
 
 
-@query("z13_trend_breaks")
-def _(t):
-    """When the slope of a series changed, and by how much a month."""
-    return changepoints.trend_breaks(monthly_series(t), KEY, "amount")
-
-
 @query("z13_trend_season_forecast")
 def _(t):
     return forecast.trend_season_forecast(monthly_series(t), KEY, "amount")

@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions import text as tx
-from ledgerleaf.operators import frame, learn, series
+from ledgerleaf.operators import density, frame, learn, series, vectors
 from ledgerleaf.operators.documents import polarity
 from ledgerleaf.operators.search import nearest
 from ledgerleaf.plans.derived import SQL_BILLED_ORDERS, SQL_MONTHLY, billed_months, in_millions, month_totals, monthly_series
@@ -304,3 +304,40 @@ def _(t):
     turns = learn.with_tokens(t.conversations.select("conv_id", "turn", "role", "text"))
     placed = learn.with_outliers(learn.centre_distance(model, model.transform(turns)), known)
     return placed.groupBy("role", "topic").agg(F.count("*").alias("n"))
+
+
+VECTOR_SIZE = 16
+
+
+def dense_topics(t):
+    """Learned vectors of words and texts, and the topics that are dense among them."""
+    docs = checkpointed(t.texts.select(F.col("doc_id").alias("id"), "text"))
+    words = checkpointed(vectors.word_vectors(docs, size=VECTOR_SIZE))
+    texts = vectors.text_vectors(docs, words, VECTOR_SIZE, "id")
+    assigned, topics = density.fit_topics(docs.select("id").join(texts, "id", "left"), 5, 10)
+    return docs, words, assigned, topics
+
+
+@query("d13_density_topics")
+def _(t):
+    """Topics of any number by density, -1 for none: size and leading terms."""
+    docs, _words, assigned, _topics = dense_topics(t)
+    return learn.topic_info(docs.join(assigned, "id").select("topic", "text"))
+
+
+@query("d14_density_topics_of_new_texts")
+def _(t):
+    """Texts that the topics were not fitted on, placed by the same distances, counted per line."""
+    _docs, words, _assigned, topics = dense_topics(t)
+    turns = t.conversations.select(F.concat_ws("-", "conv_id", "turn").alias("id"), "role", "text")
+    texts = vectors.text_vectors(turns, words, VECTOR_SIZE, "id")
+    placed = density.place_vectors(topics, turns.select("id").join(texts, "id", "left"))
+    return turns.join(placed, "id").groupBy("role", "topic").agg(F.count("*").alias("n"))
+
+
+@query("v02_word_vectors")
+def _(t):
+    """Words with the length of their learned vectors."""
+    found = vectors.word_vectors(t.texts, size=VECTOR_SIZE)
+    squares = F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)
+    return found.select("token", F.size("x").alias("width"), F.round(F.sqrt(squares), 4).alias("length"))

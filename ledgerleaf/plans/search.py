@@ -8,7 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType, DoubleType
 
 from ledgerleaf.functions import text as tx
 from ledgerleaf.functions.words import STOP_WORDS
-from ledgerleaf.operators import models, pii, retrieval
+from ledgerleaf.operators import inverted_lists, models, pii, postings, retrieval
 from ledgerleaf.operators.search import nearest
 from ledgerleaf.plans.derived import sql_list, sql_text
 from ledgerleaf.plans.documents import sql_spans
@@ -63,6 +63,14 @@ def _(t):
     return retrieval.approximate_nearest(stored(t), "vec_id", class_means(t), "query_id", k=5)
 
 
+@query("v05_inverted_lists")
+def _(t):
+    """The nearest stored vectors of every class mean, from the lists of a persisted index that measurement asks for."""
+    path = shared_dir(t.spark, "lists")
+    inverted_lists.build_lists(stored(t), "vec_id", path)
+    return inverted_lists.search_lists(inverted_lists.open_lists(t.spark, path), class_means(t), "query_id", k=5)
+
+
 # --- questions -----------------------------------------------------------------------------
 
 STOP = sql_list(STOP_WORDS)
@@ -121,6 +129,19 @@ def _(t):
     return index.groupBy("doc_id").agg(F.count("*").alias("passages"), F.sum(F.size("vector")).alias("cells"))
 
 
+@query(
+    "r01_inverted_index",
+    f"""SELECT token, COUNT(*) AS df FROM (
+          SELECT DISTINCT doc_id, passage_no, unnest({SQL_CONTENT.format(sql_tokens('passage'))}) AS token FROM ({PASSAGES}))
+        GROUP BY token""",
+)
+def _(t):
+    """Every word of the passages with the number of passages that hold it, read from the written index alone."""
+    path = shared_dir(t.spark, "postings")
+    retrieval.index_of(retrieval.index_passages(t.texts), IDS, "passage", path)
+    return postings.document_frequencies(postings.open_index(t.spark, path))
+
+
 def found_passages(t, k):
     passages = retrieval.index_passages(t.texts)
     return retrieval.ranked_passages(passages, IDS, "passage", t.benchmark, "item_id", "text", k)

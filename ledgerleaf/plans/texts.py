@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.functions import text as tx
 from ledgerleaf.functions.words import LEMMA_EXCEPTIONS, STOP_WORDS
-from ledgerleaf.operators import corpus
+from ledgerleaf.operators import corpus, sentence_ends
 from ledgerleaf.operators.pieces import preference_pieces, rejoined, topic_text
 from ledgerleaf.operators.pii import EMAIL, spans_of
 from ledgerleaf.plans.derived import SQL_NOTES, order_notes, sql_list, sql_rules, sql_text
 from ledgerleaf.plans.registry import query
+from ledgerleaf.session import checkpointed
 
 
 def sql_strip_markup(x: str) -> str:
@@ -149,6 +150,50 @@ def _(t):
     return tx.unfolded(t.texts, ["doc_id"], tx.sentences(F.col("text")), "sent_no", "sentence")
 
 
+def sql_stripped(x: str) -> str:
+    quoted = [p.replace("'", "''") for p in (sentence_ends.OPENING, sentence_ends.CLOSING)]
+    return f"regexp_replace(regexp_replace({x}, '{quoted[0]}', ''), '{quoted[1]}', '')"
+
+
+SQL_ENDS = f"""plain AS (SELECT doc_id, {sql_words('text')} AS ws FROM documents),
+  word AS (SELECT doc_id, unnest(ws) AS raw, generate_subscripts(ws, 1) AS i FROM plain),
+  clean AS (SELECT doc_id, i, raw, {sql_stripped('raw')} AS w FROM word),
+  typed AS (SELECT *, lower(regexp_replace(w, '\\.$', '')) AS type, ends_with(w, '.') AS dot,
+              lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS before, lead(w) OVER (PARTITION BY doc_id ORDER BY i) AS after FROM clean),
+  stat AS (SELECT type, COUNT(*) FILTER (dot) AS stops, COUNT(*) FILTER (NOT dot) AS plain,
+             COUNT(*) FILTER (regexp_matches(w, '^\\p{{Ll}}')) AS small,
+             COUNT(*) FILTER (regexp_matches(w, '^\\p{{Lu}}') AND before IS NOT NULL AND NOT regexp_matches(before, '[.!?]$')) AS large
+           FROM typed WHERE type <> '' GROUP BY type),
+  share AS (SELECT SUM(stops) / SUM(stops + plain) AS p FROM stat),
+  scores AS (SELECT type, -2 * ((stops * ln(p) + plain * ln(1 - p)) - (stops * ln(0.99) + plain * ln(1 - 0.99)))
+               * exp(-(length(type) - inside + 1)) * (inside + 1) * pow(length(type) - inside + 1, -plain) AS score
+             FROM (SELECT *, length(type) - length(replace(type, '.', '')) AS inside FROM stat) CROSS JOIN share
+             WHERE stops > 0 AND p > 0 AND p < 1 AND regexp_matches(type, '\\p{{L}}') AND NOT regexp_matches(type, '[0-9]')),
+  abbreviations AS (SELECT * FROM scores WHERE score >= 0.3)"""
+
+
+@query("f14_learned_abbreviations", f"WITH {SQL_ENDS} SELECT type, round(score, 6) AS score FROM abbreviations")
+def _(t):
+    """Words whose stop is a part of them, by what the corpus says."""
+    found = sentence_ends.abbreviations(checkpointed(sentence_ends.word_statistics(t.texts)))
+    return found.withColumn("score", F.round("score", 6))
+
+
+@query(
+    "f14_learned_sentences",
+    f"""WITH {SQL_ENDS},
+      ends AS (SELECT doc_id, i, raw, regexp_matches(w, '[.!?]$') AND (NOT dot OR typed.type NOT IN (SELECT type FROM abbreviations)
+                 OR coalesce(regexp_matches(after, '^\\p{{Lu}}') AND lower(regexp_replace(after, '\\.$', ''))
+                      IN (SELECT type FROM stat WHERE small > 0 AND large = 0), false)) AS stop FROM typed),
+      placed AS (SELECT doc_id, i, raw, CAST(coalesce(SUM(stop::INT) OVER (
+                   PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS sent_no FROM ends)
+      SELECT doc_id, sent_no, string_agg(raw, ' ' ORDER BY i) AS sentence FROM placed GROUP BY doc_id, sent_no""",
+)
+def _(t):
+    """Sentences whose ends are learned from the corpus, in any language."""
+    return sentence_ends.learned_sentences(t.texts)
+
+
 @query(
     "f15_tokens",
     f"""SELECT doc_id, len({sql_words('text')}) AS words, len({sql_tokens('text')}) AS tokens,

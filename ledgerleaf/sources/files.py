@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions import text as tx
+from ledgerleaf.session import checkpointed
 
 EXTENSIONS = ("docx", "docm", "doc", "pdf", "html", "htm", "txt", "xml")
 _WORD = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
@@ -72,30 +73,57 @@ def docx_texts(files: DataFrame, key: str = "path") -> DataFrame:
     return files.select(key, "content").mapInPandas(extract, f"{key} {kind}, text string, reason string")
 
 
-def read_corpus(
-    spark: SparkSession, path: str, profile: str = "none", recursive: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """``(corpus, rejects)`` of a folder: ``path, document_name, text`` and ``path, document_name, reason``.
+def read_files(spark: SparkSession, path: str, profile: str = "none", recursive: bool = False) -> DataFrame:
+    """``path, document_name, text, reason`` of every file of a folder, in one pass over the contents.
 
-    Every file lands in exactly one of the two. Formats without a reader and
-    files that do not decode are rejected with a reason.
+    A file that is read has a text, any other one a reason.
+    """
+    return extracted(_files(spark, path, None, recursive).select("path", *_name_columns(), "content"), profile)
+
+
+def extracted(files: DataFrame, profile: str = "none", keep: Sequence[str] = ()) -> DataFrame:
+    """``path, document_name, keep…, text, reason`` of rows with ``path, document_name, extension, content``.
+
+    Formats without a reader and files that do not decode have a reason instead of a text. Word-processor
+    files pass the workers, others do not; no content is read twice.
     """
-    files = _files(spark, path, None, recursive).select("path", *_name_columns(), "content")
     plain = F.col("content").cast("string")
     kind = F.col("extension")
     text = F.when(kind == "txt", plain).when(kind.isin("html", "htm"), tx.strip_markup(plain)).when(
         kind == "xml", tx.xml_text(plain)
     )
+    word_file = kind.isin("docx", "docm")
     reason = F.when(~kind.isin("txt", "html", "htm", "xml"), F.concat(F.lit("no reader for ."), kind)).when(
         ~F.is_valid_utf8(plain), F.lit("not UTF-8")
     )
-    word_file = kind.isin("docx", "docm")
-    simple = files.where(~word_file).select("path", "document_name", text.alias("text"), reason.alias("reason"))
-    word = docx_texts(files.where(word_file))
-    word = word.withColumn("document_name", F.element_at(F.split("path", "/"), -1))
-    rows = simple.unionByName(word)
-    good = rows.where(F.col("reason").isNull())
-    corpus = good.select("path", "document_name", tx.clean_text(F.col("text"), profile).alias("text"))
+    others = files.select(
+        "path", "document_name", *keep, F.when(word_file, F.col("content")).alias("content"),
+        F.when(~word_file & reason.isNull(), text).alias("text"), F.when(~word_file, reason).alias("reason"),
+    )
+
+    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i in batch.index[batch["content"].notna()]:
+                try:
+                    batch.at[i, "text"] = docx_paragraphs(batch.at[i, "content"])
+                except (zipfile.BadZipFile, KeyError, ElementTree.ParseError) as error:
+                    batch.at[i, "reason"] = f"unreadable: {type(error).__name__}"
+            yield batch.drop(columns="content")
+
+    rows = others.mapInPandas(extract, others.drop("content").schema)
+    return rows.withColumn("text", F.when(F.col("reason").isNull(), tx.clean_text(F.col("text"), profile)))
+
+
+def read_corpus(
+    spark: SparkSession, path: str, profile: str = "none", recursive: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """``(corpus, rejects)`` of a folder: ``path, document_name, text`` and ``path, document_name, reason``.
+
+    Every file lands in exactly one of the two. Formats without a reader and
+    files that do not decode are rejected with a reason. The files are read once for both.
+    """
+    rows = checkpointed(read_files(spark, path, profile, recursive))
+    corpus = rows.where(F.col("reason").isNull()).select("path", "document_name", "text")
     return corpus, rows.where(F.col("reason").isNotNull()).select("path", "document_name", "reason")
 
 
@@ -118,45 +146,103 @@ def read_series(spark: SparkSession, path: str) -> DataFrame:
 
 # --- business reports in XML -----------------------------------------------------
 
-_CONTEXT = r'(?s)<context [^>]*id="[^"]+"[^>]*>.*?</context>'
-_FACT = r'<[A-Za-z_][A-Za-z0-9_.-]*:[A-Za-z0-9_.-]+ [^>]*contextRef="[^"]+"[^>]*>[^<]*</'
+# Put before every text and attribute value, so that the parser takes "5.10" or "007" for texts and not for numbers;
+# removed from all results.
+_MARK = "\ue000"
+_ROOT = "report"
+
+
+def _marked(xml: Column) -> Column:
+    """The elements of a report below one root, without what stands before them and without instructions."""
+    body = F.regexp_replace(xml, r"(?s)^[^<]+|<\?.*?\?>|<!DOCTYPE[^>\[]*(\[[^\]]*\])?[^>]*>", "")
+    body = F.regexp_replace(F.regexp_replace(body, ">([^<>]*)</", f">{_MARK}$1</"), "=([ \t\r\n]*[\"'])", f"=$1{_MARK}")
+    return F.concat(F.lit(f"<{_ROOT}>"), body, F.lit(f"</{_ROOT}>"))
+
+
+def parsed_xml(xml: Column) -> Column:
+    """A report as a variant; null where it is no well-formed XML."""
+
+    def parse(marked: Column) -> Column:
+        lenient = {"rowTag": _ROOT, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+        broken = F.from_xml(marked, "_corrupt_record string", lenient)["_corrupt_record"].isNotNull()
+        return F.when(~broken, F.from_xml(marked, "variant", {"rowTag": _ROOT}))
+
+    return tx.bound(F.when(F.contains(xml, F.lit("<")), _marked(xml)), lambda m: F.when(m.isNotNull(), parse(m)))
+
+
+def _children(node: Column) -> Column:
+    """``array<struct<name, node>>``: the elements and attributes of a node; repeated elements one by one."""
+    entries = F.map_entries(F.coalesce(
+        F.try_variant_get(node, "$", "map<string,variant>"), F.expr("cast(map() as map<string,variant>)")
+    ))
+
+    def listed(entry: Column) -> Column:
+        many = F.try_variant_get(entry["value"], "$", "array<variant>")
+        return F.transform(
+            F.coalesce(many, F.array(entry["value"])),
+            lambda v: F.named_struct(F.lit("name"), entry["key"], F.lit("node"), v),
+        )
+
+    return F.flatten(F.transform(entries, listed))
+
+
+def _elements(node: Column) -> Column:
+    """The children of a report and those of its root element, which may be missing."""
+    top = _children(node)
+    return tx.bound(top, lambda t: F.concat(t, F.flatten(F.transform(t, lambda c: _children(c["node"])))))
 
 
-def _period(context: Column | str) -> tuple[Column, Column]:
-    """Start and end of a context; a point in time has an end only; a date that cannot be read is null."""
-    start = F.try_to_date(F.regexp_extract(context, "<startDate>([^<]+)<", 1))
-    end = F.try_to_date(F.regexp_extract(context, "<(?:endDate|instant)>([^<]+)<", 1))
-    return start.alias("start"), end.alias("end")
+def _text(node: Column, path: str = "$") -> Column:
+    return F.translate(F.try_variant_get(node, path, "string"), _MARK, "")
+
+
+def _below(node: Column, *names: str) -> Column:
+    """The first child with one of the local names."""
+    local = lambda c: F.element_at(F.split(c["name"], ":"), -1)
+    return F.try_element_at(F.filter(_children(node), lambda c: local(c).isin(*names)), F.lit(1))["node"]
+
+
+def _value(node: Column) -> Column:
+    """The text of an element, which has attributes or not."""
+    return F.coalesce(_text(node, "$._VALUE"), _text(node))
+
+
+def _contexts(elements: Column) -> Column:
+    """``array<struct<id, period>>`` of the reporting contexts; a point in time has an end only."""
+
+    def context(element: Column) -> Column:
+        period = _below(element["node"], "period")
+        day = lambda *names: F.try_to_date(F.trim(_value(_below(period, *names))))
+        # Names given by aliases get lost in nested lambdas.
+        dates = F.named_struct(F.lit("start"), day("startDate"), F.lit("end"), day("endDate", "instant"))
+        return F.named_struct(F.lit("id"), _text(element["node"], "$._id"), F.lit("period"), dates)
+
+    named = lambda e: F.element_at(F.split(e["name"], ":"), -1) == "context"
+    return F.transform(F.filter(elements, lambda e: named(e) & _text(e["node"], "$._id").isNotNull()), context)
 
 
 def xbrl_contexts(docs: DataFrame, key: str, xml: str) -> DataFrame:
-    """``key, context, start, end`` of every reporting context."""
-    found = F.explode(F.regexp_extract_all(xml, F.lit(_CONTEXT), F.lit(0))).alias("c")
+    """``key, context, start, end`` of every reporting context; a date that cannot be read is null.
+
+    A report that is null or no well-formed XML has none.
+    """
+    found = F.explode(_contexts(_elements(parsed_xml(F.col(xml))))).alias("c")
     return docs.select(key, found).select(
-        key,
-        F.regexp_extract("c", ' id="([^"]+)"', 1).alias("context"),
-        *_period("c"),
+        key, F.col("c.id").alias("context"), F.col("c.period.start").alias("start"), F.col("c.period.end").alias("end")
     )
 
 
 def xbrl_facts(docs: DataFrame, key: str, xml: str) -> DataFrame:
     """``key, element, context, value, start, end``: facts with their context's period.
 
-    Contexts and facts of one report meet inside its row, so nothing is shuffled.
+    Contexts and facts of one report meet inside its row, so nothing is shuffled. An empty fact has an empty
+    value, a nil one null. A report that is null or no well-formed XML has no facts.
     """
-    context = F.transform(
-        F.regexp_extract_all(xml, F.lit(_CONTEXT), F.lit(0)),
-        lambda c: F.struct(
-            F.regexp_extract(c, ' id="([^"]+)"', 1).alias("id"), F.struct(*_period(c)).alias("period"),
-        ),
-    )
+    elements = docs.select(key, _elements(parsed_xml(F.col(xml))).alias("_e"))
+    facts = F.filter("_e", lambda e: F.try_variant_get(e["node"], "$._contextRef", "string").isNotNull())
     # A context id is unique in a report by definition; a repeated one keeps its first period.
-    periods = docs.select(key, context.alias("contexts"), F.regexp_extract_all(xml, F.lit(_FACT), F.lit(0)).alias("facts"))
-    facts = periods.select(key, "contexts", F.explode("facts").alias("f"))
-    ref = F.regexp_extract("f", 'contextRef="([^"]+)"', 1)
-    facts = facts.select(
-        key, F.regexp_extract("f", "<([^ >]+) ", 1).alias("element"), ref.alias("context"),
-        F.regexp_extract("f", ">([^<]*)</", 1).alias("value"), "contexts",
-    )
+    rows = elements.select(key, _contexts(F.col("_e")).alias("contexts"), F.explode(facts).alias("f"))
+    rows = rows.select(key, "contexts", F.col("f.name").alias("element"), _text(F.col("f.node"), "$._contextRef").alias("context"),
+                       _text(F.col("f.node"), "$._VALUE").alias("value"))
     period = F.try_element_at(F.filter("contexts", lambda c: c["id"] == F.col("context")), F.lit(1))["period"]
-    return facts.select(key, "element", "context", "value", period["start"].alias("start"), period["end"].alias("end"))
+    return rows.select(key, "element", "context", "value", period["start"].alias("start"), period["end"].alias("end"))

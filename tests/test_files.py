@@ -122,3 +122,38 @@ def test_reports_with_instants_and_other_attribute_orders(spark):
     facts = {r.element: (r.value, str(r.start), str(r.end)) for r in files.xbrl_facts(df, "k", "xml").collect()}
     assert facts == {"us_gaap2:Cash": ("5", "None", "2023-01-18"), "dei:Name": ("N", "2022-01-01", "2022-12-31")}
     assert {r.context for r in files.xbrl_contexts(df, "k", "xml").collect()} == {"i1", "d1"}
+
+
+def test_reports_with_namespaces_quotes_and_line_ends(spark):
+    xml = """<?xml version="1.0" encoding="utf-8"?>
+<!DOCTYPE xbrl>
+<xbrli:xbrl xmlns:xbrli="http://www.xbrl.org/2003/instance" xmlns:dei="d" xmlns:xsi="x">
+<!-- a comment with <dei:Lost contextRef="c1">1</dei:Lost> -->
+<xbrli:context
+   id='c1'><xbrli:period><xbrli:startDate> 2022-01-01 </xbrli:startDate><xbrli:endDate>2022-12-31</xbrli:endDate></xbrli:period></xbrli:context>
+<xbrli:context id="007"><xbrli:period><xbrli:instant>2023-01-18</xbrli:instant></xbrli:period></xbrli:context>
+<xbrli:context id="odd"><xbrli:period><xbrli:instant>soon</xbrli:instant></xbrli:period></xbrli:context>
+<dei:Name
+   contextRef='c1'
+   id="z">A &amp; B &lt;x&gt; &#233;</dei:Name><dei:Num decimals="2" contextRef="007">5.10</dei:Num><dei:Num contextRef="c1">0012</dei:Num>
+<dei:Nil contextRef="c1" xsi:nil="true"/><dei:Empty contextRef="odd"></dei:Empty><dei:Quote contextRef="c1" note="a>b">say "x='y'"</dei:Quote>
+</xbrli:xbrl>"""
+    rows = [(1, xml), (2, "no xml <a"), (3, None), (4, ""), (5, "<a><b></a>"), (6, "just words")]
+    df = spark.createDataFrame(rows, "k int, xml string")
+    facts = sorted((r.k, r.element, r.context, r.value, str(r.start), str(r.end)) for r in files.xbrl_facts(df, "k", "xml").where("value is not null").collect())
+    assert facts == [
+        (1, "dei:Empty", "odd", "", "None", "None"), (1, "dei:Name", "c1", "A & B <x> é", "2022-01-01", "2022-12-31"),
+        (1, "dei:Num", "007", "5.10", "None", "2023-01-18"), (1, "dei:Num", "c1", "0012", "2022-01-01", "2022-12-31"),
+        (1, "dei:Quote", "c1", "say \"x='y'\"", "2022-01-01", "2022-12-31"),
+    ]
+    assert [(r.element, r.context) for r in files.xbrl_facts(df, "k", "xml").where("value is null").collect()] == [("dei:Nil", "c1")]
+    contexts = {(r.k, r.context, str(r.start), str(r.end)) for r in files.xbrl_contexts(df, "k", "xml").collect()}
+    assert contexts == {(1, "c1", "2022-01-01", "2022-12-31"), (1, "007", "None", "2023-01-18"), (1, "odd", "None", "None")}
+
+
+def test_files_are_read_once(spark, folder):
+    """Corpus and rejects come from one frame with a reason."""
+    rows = files.read_files(spark, str(folder), recursive=True).collect()
+    assert len(rows) == 8 and all((r.text is None) == (r.reason is not None) for r in rows)
+    plan = files.read_files(spark, str(folder), recursive=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("binaryFile") <= 2 and plan.count("MapInPandas") == 1  # one scan, named with its format

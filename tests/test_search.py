@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions.words import STOP_WORDS
-from ledgerleaf.operators import learn, models, retrieval, search
+from ledgerleaf.operators import learn, models, postings, retrieval, search
 
 
 @pytest.fixture(scope="module")
@@ -90,11 +90,11 @@ def bm25(texts, question, k):
     return {(i, -s) for s, i in sorted(scores)[:k]}
 
 
-@pytest.mark.parametrize("block, limit", [(retrieval.BLOCK_VALUES, retrieval.QUESTION_WORDS), (4, 3), (40, 3)])
-def test_ranked_passages_against_brute_force(passages, monkeypatch, block, limit):
+@pytest.mark.parametrize("slot, first", [(postings.SLOT_PASSAGES, postings.FIRST_SLOTS), (4, 3), (40, 1), (1, 2)])
+def test_ranked_passages_against_brute_force(passages, monkeypatch, slot, first):
     p, q = passages
-    monkeypatch.setattr(retrieval, "BLOCK_VALUES", block)
-    monkeypatch.setattr(retrieval, "QUESTION_WORDS", limit)
+    monkeypatch.setattr(postings, "SLOT_PASSAGES", slot)
+    monkeypatch.setattr(postings, "FIRST_SLOTS", first)
     found = retrieval.ranked_passages(p, ["doc_id", "passage_no"], "passage", q, "id", "text", 4).collect()
     texts = [r.passage for r in p.orderBy("doc_id").collect()]
     for question in q.collect():

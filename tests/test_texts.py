@@ -137,3 +137,71 @@ def test_translation_hook(spark):
     rows = spark.createDataFrame([(1, "The house of this man!")], "doc_id INT, text STRING")
     assert dc.translations(rows).first()["translation"] == " le house de ceci man"
     assert dc.translations(rows, translate=F.upper).first()["translation"] == " THE HOUSE OF THIS MAN"
+
+
+def test_documents_without_words_have_an_empty_translation(spark):
+    from ledgerleaf.operators import documents as dc
+
+    df = spark.createDataFrame([(1, ""), (2, None), (3, " !? "), (4, "the best")], "doc_id INT, text STRING")
+    got = {r.doc_id: r.translation for r in dc.translations(df).collect()}
+    assert got == {1: "", 2: "", 3: "", 4: " le meilleur"}
+
+
+def test_window_coherence_equals_plain_python(spark, monkeypatch):
+    import math
+    import random
+
+    import numpy as np
+
+    from ledgerleaf.operators import topics
+
+    rnd = random.Random(3)
+    vocabulary = [f"{a}{b}" for a in "bdfgk" for b in ("alo", "emi", "otu", "uva")]
+    docs = [[rnd.choice(vocabulary[: rnd.choice([5, 20])]) for _ in range(rnd.choice([0, 3, 12, 40, 200]))] for _ in range(50)]
+    listed = {"x": vocabulary[:5], "y": vocabulary[3:11], "z": [*vocabulary[15:18], "absent"]}
+    window = 10
+    windows = [set(d[i : i + window]) for d in docs if d for i in range(max(1, len(d) - window + 1))]
+    want = {}
+    for name, words in listed.items():
+        p = lambda *w: sum(all(x in s for x in w) for s in windows) / len(windows)  # noqa: E731, B023
+        words = [w for w in words if p(w)]
+        v = np.array([[math.log((p(a, b) + 1e-12) / (p(a) * p(b))) / -math.log(p(a, b) + 1e-12) for b in words] for a in words])
+        s = v.sum(axis=0)
+        want[name] = np.mean([row @ s / np.linalg.norm(row) / np.linalg.norm(s) for row in v])
+    df = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)] + [(99, None)], "doc_id INT, text STRING")
+    rows = spark.createDataFrame([(n, w) for n, ws in listed.items() for w in ws], "topic STRING, token STRING")
+    for words in (topics.TOPIC_WORDS, 6):
+        monkeypatch.setattr(topics, "TOPIC_WORDS", words)
+        got = {r.topic: r.coherence for r in topics.window_coherence(df, rows, "topic", window=window, lemmas=False).collect()}
+        assert got == pytest.approx(want, abs=1e-6)
+
+
+def test_abbreviations_of_four_languages_are_learned(spark):
+    import random
+
+    from ledgerleaf.operators import sentence_ends
+
+    rnd = random.Random(8)
+    vocabulary = ["".join(rnd.choice("aeioulmnrst") for _ in range(rnd.randint(4, 9))) for _ in range(300)]
+    planted = ["Dr", "bzw", "env", "pág", "z.B"]
+    docs, truth = [], {}
+    for i in range(150):
+        wanted = []
+        for _ in range(rnd.randint(2, 9)):
+            words = [rnd.choice(vocabulary) for _ in range(rnd.randint(4, 10))]
+            if rnd.random() < 0.4:
+                words.insert(rnd.randint(1, len(words) - 1), rnd.choice(planted) + ".")
+            wanted.append(" ".join([words[0].capitalize(), *words[1:]]) + rnd.choice([".", ".", ".", "?", "!", '."', ".)"]))
+        docs.append((i, rnd.choice([" ", "\n", "  "]).join(wanted)))
+        truth[i] = wanted
+    df = spark.createDataFrame([*docs, (900, ""), (901, None), (902, "no end")], "doc_id INT, text STRING")
+    statistics = sentence_ends.word_statistics(df)
+    found = {r.type for r in sentence_ends.abbreviations(statistics).collect()}
+    assert found == {p.lower() for p in planted}
+    got = {}
+    for r in sentence_ends.learned_sentences(df).orderBy("doc_id", "sent_no").collect():
+        assert r.sent_no == len(got.setdefault(r.doc_id, []))
+        got[r.doc_id].append(r.sentence)
+    assert got.pop(902) == ["no end"]
+    assert got == truth
+    assert sentence_ends.learned_sentences(df.limit(0)).count() == 0
