@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_base: dict[str, str] = {}
+_own_folder: dict[str, str] = {}
 
 
 def build_session(name: str = "ledgerleaf", cores: str = "*", **conf: str) -> SparkSession:
@@ -43,9 +44,22 @@ def shared_base(spark: SparkSession) -> str:
     return _local_base[app]
 
 
+def session_folder(spark: SparkSession) -> str:
+    """This application's folder below the shared base; it goes when the driver ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _own_folder:
+        folder = f"{shared_base(spark)}/ledgerleaf-{app}-{uuid.uuid4().hex[:8]}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _own_folder[app] = folder
+    return _own_folder[app]
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A new, not yet existing folder below the shared base."""
-    return f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, not yet existing folder that every executor can reach, for tables that this session needs."""
+    return f"{session_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
