@@ -103,7 +103,8 @@ def posteriors(
 
     The sample: of each domain the ``per_domain`` labelled keys with the smallest hashes, of these the
     texts of at most ``longest`` characters. A domain without labelled rows has posterior 0; without any
-    labelled rows all domains are equally likely.
+    labelled rows all domains are equally likely. A null text is empty; empty texts have no tokens and one posterior in
+    common. Of several labels of a key the smallest domain counts. Repeated rows stay; an empty table gives an empty result.
     """
     marks = labels.select(F.col(key).alias("_key"), domain.alias("_domain"))
     marks = marks.where(F.col("_domain").isin(domains) & F.col("_key").isNotNull())

@@ -310,7 +310,9 @@ def fitted(
     """The network for the labelled rows that are not held out, or their base rate if a class is missing.
 
     The sample is bounded: the ``per_class`` keys of each label with the smallest hashes, of those the
-    texts of at most ``longest`` characters. The base rate is counted over all labelled rows.
+    texts of at most ``longest`` characters. The base rate is counted over all labelled rows. Null keys and null
+    labels teach nothing, null texts count as empty ones; of several labels of a key the larger counts, of several rows the
+    smallest text. Without labels or documents the result is a base rate.
     """
     marks = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(key)
     marks = marks.agg(F.max(label).cast("int").alias("_toxic")).where(~F.coalesce(held_out(key), F.lit(False)))
