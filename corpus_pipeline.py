@@ -13,28 +13,45 @@ from ledgerleaf.sources.tables import Tables
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents inside the adaptive fences of their language and source."""
+    """Documents inside the adaptive fences of their language and source.
+
+    Null and empty texts fail; null languages and sources are groups like others; equal rows share their verdict; an
+    empty table stays empty.
+    """
     return quality.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near-duplicates."""
+    """The first document of each group of near-duplicates: the smallest ``doc_id``, a null one last.
+
+    Rows with equal ids: the smallest hash of the row stays. Null and empty texts are one group; an empty table stays empty.
+    """
     return simhash.first_of_each(docs, shingle=4, distance=4)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data replaced by its kind; ``n_chars`` follows."""
+    """Documents with personal data replaced by its kind; ``n_chars`` follows.
+
+    Null texts stay null, with a null ``n_chars``; empty ones stay empty; equal rows are rewritten alike; an empty table stays empty.
+    """
     return personal.redacted(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn at rates that bring the domains to their weights, each as often as its copies say."""
+    """Documents drawn at rates that bring the domains to their weights, each as often as its copies say.
+
+    Null and empty texts have no tokens and are drawn at the rate of a text without words; equal rows are drawn alike; an empty
+    table stays empty.
+    """
     drawn = mixing.mixed(docs, Tables(spark, sf_dir).labels, MIXTURE, total="largest").where("_copies >= 1")
     return drawn.select("_row", F.explode(F.sequence(F.lit(1), "_copies"))).select("_row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents in sequences of at most 4096 tokens."""
+    """The pieces of the documents in sequences of at most 4096 tokens.
+
+    Null and empty texts are the end token alone; equal rows are documents of their own; an empty table has no pieces.
+    """
     return pack(docs, word_tokenizer(), 4096, 2)
 
 

@@ -54,10 +54,10 @@ def word_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def abbreviations(statistics: DataFrame) -> DataFrame:
-    """``type, score`` of the words whose stop is a part of them.
+def stop_scores(statistics: DataFrame) -> DataFrame:
+    """``type, score`` of the words that stand before a stop: how far the stop is a part of them.
 
-    A word without a letter, or with a digit, is none.
+    Words without a letter, or with a digit, have none.
     """
     total = statistics.agg(F.sum("stops").cast("double").alias("s"), F.sum(F.col("stops") + F.col("plain")).cast("double").alias("n"))
     share = total.select(F.try_divide("s", "n")).scalar()
@@ -69,7 +69,12 @@ def abbreviations(statistics: DataFrame) -> DataFrame:
     score = -2 * (usual - bound) * F.exp(-letters) * (inner + 1) * F.pow(letters, -F.col("plain").cast("double"))
     able = statistics.where((F.col("stops") > 0) & F.col("type").rlike(r"\p{L}") & ~F.col("type").rlike("[0-9]"))
     able = able.withColumn("_share", share).where((F.col("_share") > 0) & (F.col("_share") < 1))
-    return able.select("type", score.alias("score")).where(F.col("score") >= LEAST)
+    return able.select("type", score.alias("score"))
+
+
+def abbreviations(statistics: DataFrame) -> DataFrame:
+    """``type, score`` of the words whose stop is a part of them."""
+    return stop_scores(statistics).where(F.col("score") >= LEAST)
 
 
 def learned_sentences(docs: DataFrame, key: str = "doc_id", text: str = "text", statistics: DataFrame | None = None) -> DataFrame:

@@ -172,11 +172,14 @@ SQL_ENDS = f"""plain AS (SELECT doc_id, {sql_words('text')} AS ws FROM documents
   abbreviations AS (SELECT * FROM scores WHERE score >= 0.3)"""
 
 
-@query("f14_learned_abbreviations", f"WITH {SQL_ENDS} SELECT type, round(score, 6) AS score FROM abbreviations")
+@query(
+    "f14_learned_abbreviations",
+    f"WITH {SQL_ENDS} SELECT type, round(score, 6) AS score, score >= 0.3 AS abbreviation FROM scores",
+)
 def _(t):
-    """Words whose stop is a part of them, by what the corpus says."""
-    found = sentence_ends.abbreviations(checkpointed(sentence_ends.word_statistics(t.texts)))
-    return found.withColumn("score", F.round("score", 6))
+    """Words before a stop, and whether the stop is a part of them, by what the corpus says."""
+    found = sentence_ends.stop_scores(checkpointed(sentence_ends.word_statistics(t.texts)))
+    return found.select("type", F.round("score", 6).alias("score"), (F.col("score") >= sentence_ends.LEAST).alias("abbreviation"))
 
 
 @query(
