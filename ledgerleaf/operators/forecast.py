@@ -134,6 +134,14 @@ def granger_matrix(df: DataFrame, keys: Sequence[str], columns: Sequence[str], m
     return solved(lag_moments(df, keys, columns, max_lag), keys, columns, max_lag, schema, solve)
 
 
+def _divided(moments: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """``moments⁻¹ @ by``; what does not vary, or only along with other columns, takes no part."""
+    scale = np.sqrt(np.maximum(np.diag(moments), 0))
+    if scale.all() and np.linalg.eigvalsh(moments / np.outer(scale, scale))[0] > 1e-12:
+        return np.linalg.solve(moments, by)
+    return scaled_inverse(moments) @ by
+
+
 def johansen_trace(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], lags: int = 5, origin: str = "zero"
 ) -> DataFrame:
@@ -141,7 +149,8 @@ def johansen_trace(
 
     The model has no constant, so the result depends on the levels as they stand. With
     ``origin="first"`` they are measured from each series' first value and adding a
-    number to a series changes nothing.
+    number to a series changes nothing. A column that never changes has no canonical
+    correlation of its own.
     """
     if origin not in ("first", "zero"):
         raise ValueError(origin)
@@ -180,7 +189,7 @@ def johansen_trace(
         s00, s0k, skk = s[:size, :size], s[:size, size:], s[size:, size:]
         scale = np.sqrt(np.maximum(np.diag(skk), 1e-300))
         s0k, skk = s0k / scale, skk / np.outer(scale, scale)
-        roots = np.linalg.eigvals(np.linalg.solve(skk, s0k.T @ np.linalg.solve(s00, s0k)))
+        roots = np.linalg.eigvals(_divided(skk, s0k.T @ _divided(s00, s0k)))
         roots = np.clip(np.sort(roots.real)[::-1], 0.0, 1 - 1e-15)
         out = []
         for r in range(size):

@@ -157,6 +157,24 @@ def test_johansen_against_numpy(frame, data):
             assert math.isclose(found[name, rank], -n * np.log(1 - roots[rank:]).sum(), rel_tol=1e-4)
 
 
+def test_johansen_with_a_column_that_never_changes(spark):
+    rng = np.random.default_rng(5)
+    walk = np.cumsum(rng.normal(size=(90, 2)), axis=0) + [40.0, 900.0]
+    rows = [("s", i + 1, float(a), float(b), 25.0, 3.0) for i, (a, b) in enumerate(walk)]
+    df = spark.createDataFrame(rows, "series_id STRING, t INT, x DOUBLE, y DOUBLE, same DOUBLE, other DOUBLE")
+    found = forecast.johansen_trace(df, KEY, ["x", "y", "same"], 2).orderBy("rank").collect()
+    z, d = np.column_stack([walk, np.full(90, 25.0)]), np.diff(walk, axis=0)
+    past = np.column_stack([d[1:-1], d[:-2]])
+    r0, rk = (v - past @ np.linalg.lstsq(past, v, rcond=None)[0] for v in (d[2:], z[1:-2]))
+    roots = np.linalg.eigvals(np.linalg.solve(rk.T @ rk, rk.T @ r0 @ np.linalg.solve(r0.T @ r0, r0.T @ rk))).real
+    roots = np.sort(np.clip(roots, 0, 1))[::-1]
+    assert [r["rank"] for r in found] == [0, 1, 2]
+    for r in found:
+        assert math.isclose(r.trace, -len(r0) * np.log(1 - roots[r["rank"]:]).sum(), rel_tol=1e-5, abs_tol=1e-6)
+    assert len(forecast.johansen_trace(df, KEY, ["same", "x", "other"], 2).collect()) == 3
+    assert [r.trace for r in forecast.johansen_trace(df, KEY, ["same", "other"], 2).collect()] == [0.0, 0.0]
+
+
 def test_trend_forecast_against_numpy(frame, data):
     found = forecast.trend_season_forecast(frame, KEY, "x").orderBy("series_id", "h").collect()
     t = np.arange(1, 103)
