@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import io
+import json
+import re
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from xml.etree import ElementTree
+from xml.parsers import expat
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -146,79 +150,143 @@ def read_series(spark: SparkSession, path: str) -> DataFrame:
 
 # --- business reports in XML -----------------------------------------------------
 
-# Put before every text and attribute value, so that the parser takes "5.10" or "007" for texts and not for numbers;
-# removed from all results.
+# Put before every text and attribute value, whose leading blanks then stay; removed from all results.
 _MARK = "\ue000"
 _ROOT = "report"
+_HEAD = re.compile(r"^[^<]+|<\?.*?\?>|<!DOCTYPE[^>\[]*(\[[^\]]*\])?[^>]*>", re.S)
+_LAST_TEXT = re.compile(">([^<>]*)</")
+_QUOTED = re.compile("=([ \t\r\n]*[\"'])")
+_NUMBER = re.compile("-?(0|[1-9][0-9]*)")
+_BLANKS = "".join(map(chr, range(33)))
+# Reports handed back to Spark at a time.
+REPORTS_OUT = 1024
 
 
-def _marked(xml: Column) -> Column:
-    """The elements of a report below one root, without what stands before them and without instructions."""
-    body = F.regexp_replace(xml, r"(?s)^[^<]+|<\?.*?\?>|<!DOCTYPE[^>\[]*(\[[^\]]*\])?[^>]*>", "")
-    body = F.regexp_replace(F.regexp_replace(body, ">([^<>]*)</", f">{_MARK}$1</"), "=([ \t\r\n]*[\"'])", f"=$1{_MARK}")
-    return F.concat(F.lit(f"<{_ROOT}>"), body, F.lit(f"</{_ROOT}>"))
+class _Element:
+    __slots__ = ("name", "attributes", "children", "texts")
 
+    def __init__(self, name: str, attributes: dict[str, str]):
+        self.name, self.attributes, self.children, self.texts = name, attributes, [], []
 
-def parsed_xml(xml: Column) -> Column:
-    """A report as a variant; null where it is no well-formed XML."""
+    @property
+    def local(self) -> str:
+        return self.name.rpartition(":")[2]
 
-    def parse(marked: Column) -> Column:
-        lenient = {"rowTag": _ROOT, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-        broken = F.from_xml(marked, "_corrupt_record string", lenient)["_corrupt_record"].isNotNull()
-        return F.when(~broken, F.from_xml(marked, "variant", {"rowTag": _ROOT}))
+    def attribute(self, name: str) -> str | None:
+        value = self.attributes.get(name)
+        return None if value is None else value.strip(_BLANKS).replace(_MARK, "")
 
-    return tx.bound(F.when(F.contains(xml, F.lit("<")), _marked(xml)), lambda m: F.when(m.isNotNull(), parse(m)))
+    def below(self) -> list[_Element]:
+        """The elements inside, by name and then in their order."""
+        return sorted(self.children, key=lambda e: e.name)
 
+    def text(self) -> str | None:
+        """Null where there is neither a text nor an end tag of its own; several texts, cut by elements or comments,
+        are a JSON array."""
+        found = [x for x in (t.strip(_BLANKS) for t in self.texts) if x]
+        if len(found) < 2:
+            return found[0].replace(_MARK, "") if found else None
+        return "[" + ",".join(x if _NUMBER.fullmatch(x) else json.dumps(x.replace(_MARK, ""), ensure_ascii=False) for x in found) + "]"
 
-def _children(node: Column) -> Column:
-    """``array<struct<name, node>>``: the elements and attributes of a node; repeated elements one by one."""
-    entries = F.map_entries(F.coalesce(
-        F.try_variant_get(node, "$", "map<string,variant>"), F.expr("cast(map() as map<string,variant>)")
-    ))
+    def first(self, *names: str) -> _Element | None:
+        return next((e for e in self.below() if e.local in names), None)
 
-    def listed(entry: Column) -> Column:
-        many = F.try_variant_get(entry["value"], "$", "array<variant>")
-        return F.transform(
-            F.coalesce(many, F.array(entry["value"])),
-            lambda v: F.named_struct(F.lit("name"), entry["key"], F.lit("node"), v),
-        )
 
-    return F.flatten(F.transform(entries, listed))
-
-
-def _elements(node: Column) -> Column:
-    """The children of a report and those of its root element, which may be missing."""
-    top = _children(node)
-    return tx.bound(top, lambda t: F.concat(t, F.flatten(F.transform(t, lambda c: _children(c["node"])))))
-
-
-def _text(node: Column, path: str = "$") -> Column:
-    return F.translate(F.try_variant_get(node, path, "string"), _MARK, "")
-
-
-def _below(node: Column, *names: str) -> Column:
-    """The first child with one of the local names."""
-    local = lambda c: F.element_at(F.split(c["name"], ":"), -1)
-    return F.try_element_at(F.filter(_children(node), lambda c: local(c).isin(*names)), F.lit(1))["node"]
-
-
-def _value(node: Column) -> Column:
-    """The text of an element, which has attributes or not."""
-    return F.coalesce(_text(node, "$._VALUE"), _text(node))
+def report_elements(content: bytes | None) -> list[_Element]:
+    """The elements of a report and those of its root element, which may be missing.
 
+    What stands before the first element and instructions do not count. A report that is null or no well-formed XML
+    has none.
+    """
+    xml = "" if content is None else content.decode("utf-8", "replace")
+    if "<" not in xml:
+        return []
+    body = _QUOTED.sub(f"=\\1{_MARK}", _LAST_TEXT.sub(f">{_MARK}\\1</", _HEAD.sub("", xml)))
+    top = _Element(_ROOT, {})
+    open_elements = [top]
+    joined = False
+
+    def cut(*_event) -> None:
+        nonlocal joined
+        joined = False
+
+    def start(name: str, attributes: dict[str, str]) -> None:
+        element = _Element(name, attributes)
+        open_elements[-1].children.append(element)
+        open_elements.append(element)
+        cut()
+
+    def end(_name: str) -> None:
+        open_elements.pop()
+        cut()
+
+    def characters(text: str) -> None:
+        nonlocal joined
+        texts = open_elements[-1].texts
+        if joined:
+            texts[-1] += text
+        else:
+            texts.append(text)
+        joined = True
+
+    parser = expat.ParserCreate("utf-8")
+    parser.buffer_text = True
+    parser.StartElementHandler = start
+    parser.EndElementHandler = end
+    parser.CharacterDataHandler = characters
+    parser.CommentHandler = cut
+    try:
+        parser.Parse(f"<{_ROOT}>{body}</{_ROOT}>".encode("utf-8", "replace"), True)
+    except expat.ExpatError:
+        return []
+    outer = top.children[0].below()
+    return outer + [e for o in outer for e in o.below()]
+
+
+def _period(context: _Element) -> tuple[str | None, str | None]:
+    """First and last day of a reporting context as texts; a point in time has an end only."""
+    period = context.first("period")
+    days = [period and period.first("startDate"), period and period.first("endDate", "instant")]
+    return tuple(d and d.text() for d in days)
+
+
+def _contexts(elements: list[_Element]) -> list[tuple]:
+    named = [(e.attribute("id"), e) for e in elements if e.local == "context"]
+    return [(i, *_period(e)) for i, e in named if i is not None]
+
+
+def _facts(elements: list[_Element]) -> list[tuple]:
+    periods: dict[str, tuple] = {}
+    # A context id is unique in a report by definition; a repeated one keeps its first period.
+    for i, *days in _contexts(elements):
+        periods.setdefault(i, tuple(days))
+    facts = [(e, e.attribute("contextRef")) for e in elements]
+    return [(e.name, c, e.text(), *periods.get(c, (None, None))) for e, c in facts if c is not None]
 
-def _contexts(elements: Column) -> Column:
-    """``array<struct<id, period>>`` of the reporting contexts; a point in time has an end only."""
 
-    def context(element: Column) -> Column:
-        period = _below(element["node"], "period")
-        day = lambda *names: F.try_to_date(F.trim(_value(_below(period, *names))))
-        # Names given by aliases get lost in nested lambdas.
-        dates = F.named_struct(F.lit("start"), day("startDate"), F.lit("end"), day("endDate", "instant"))
-        return F.named_struct(F.lit("id"), _text(element["node"], "$._id"), F.lit("period"), dates)
+def _read_reports(docs: DataFrame, key: str, xml: str, listed: Callable[[list[_Element]], list[tuple]], *names: str) -> DataFrame:
+    """``key, names…, start, end``: what ``listed`` finds in each report, which is parsed once; nothing is shuffled."""
+    rows = docs.select(key, F.col(xml).cast("binary").alias("_xml"))
+    schema = rows.drop("_xml").schema
+    for name in (*names, "start", "end"):
+        schema = schema.add(name, "string")
 
-    named = lambda e: F.element_at(F.split(e["name"], ":"), -1) == "context"
-    return F.transform(F.filter(elements, lambda e: named(e) & _text(e["node"], "$._id").isNotNull()), context)
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, REPORTS_OUT):
+                part = batch.slice(begin, REPORTS_OUT)
+                at, found = [], []
+                for i, content in enumerate(part.column(1).to_pylist()):
+                    own = listed(report_elements(content))
+                    at += [i] * len(own)
+                    found += own
+                columns = list(zip(*found)) or [()] * (len(names) + 2)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(at, pa.int64())), *[pa.array(c, pa.string()) for c in columns]], schema.names
+                )
+
+    day = lambda name: F.try_to_date(F.trim(F.col(name))).alias(name)
+    return rows.mapInArrow(read, schema).select(key, *names, day("start"), day("end"))
 
 
 def xbrl_contexts(docs: DataFrame, key: str, xml: str) -> DataFrame:
@@ -226,10 +294,7 @@ def xbrl_contexts(docs: DataFrame, key: str, xml: str) -> DataFrame:
 
     A report that is null or no well-formed XML has none.
     """
-    found = F.explode(_contexts(_elements(parsed_xml(F.col(xml))))).alias("c")
-    return docs.select(key, found).select(
-        key, F.col("c.id").alias("context"), F.col("c.period.start").alias("start"), F.col("c.period.end").alias("end")
-    )
+    return _read_reports(docs, key, xml, _contexts, "context")
 
 
 def xbrl_facts(docs: DataFrame, key: str, xml: str) -> DataFrame:
@@ -238,11 +303,4 @@ def xbrl_facts(docs: DataFrame, key: str, xml: str) -> DataFrame:
     Contexts and facts of one report meet inside its row, so nothing is shuffled. An empty fact has an empty
     value, a nil one null. A report that is null or no well-formed XML has no facts.
     """
-    elements = docs.select(key, _elements(parsed_xml(F.col(xml))).alias("_e"))
-    facts = F.filter("_e", lambda e: F.try_variant_get(e["node"], "$._contextRef", "string").isNotNull())
-    # A context id is unique in a report by definition; a repeated one keeps its first period.
-    rows = elements.select(key, _contexts(F.col("_e")).alias("contexts"), F.explode(facts).alias("f"))
-    rows = rows.select(key, "contexts", F.col("f.name").alias("element"), _text(F.col("f.node"), "$._contextRef").alias("context"),
-                       _text(F.col("f.node"), "$._VALUE").alias("value"))
-    period = F.try_element_at(F.filter("contexts", lambda c: c["id"] == F.col("context")), F.lit(1))["period"]
-    return rows.select(key, "element", "context", "value", period["start"].alias("start"), period["end"].alias("end"))
+    return _read_reports(docs, key, xml, _facts, "element", "context", "value")

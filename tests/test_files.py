@@ -151,6 +151,17 @@ def test_reports_with_namespaces_quotes_and_line_ends(spark):
     assert contexts == {(1, "c1", "2022-01-01", "2022-12-31"), (1, "007", "None", "2023-01-18"), (1, "odd", "None", "None")}
 
 
+def test_reports_are_parsed_once_each(spark):
+    """No expression of the plan parses a report, which it did four times a row; odd reports stay as they were."""
+    xml = '<context id="c"><period><instant>2020-01-02</instant></period></context><x contextRef="c">'
+    rows = [(1, f"{xml} a </x>"), (2, f"{xml}a<b/>c</x>"), (3, f"{xml}<![CDATA[ x<y ]]></x>"), (4, f"{xml}&bad;</x>"), (5, f"{xml}1 <!-- 2 -->3</x>")]
+    df = spark.createDataFrame(rows, "k int, xml string")
+    facts = files.xbrl_facts(df, "k", "xml")
+    assert {r.k: r.value for r in facts.collect()} == {1: " a", 2: '["a","c"]', 3: "x<y ", 5: '[1,"3"]'}
+    plan = facts._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_xml" not in plan.lower() and "xmltostructs" not in plan.lower() and plan.count("MapInArrow") == 1
+
+
 def test_files_are_read_once(spark, folder):
     """Corpus and rejects come from one frame with a reason."""
     rows = files.read_files(spark, str(folder), recursive=True).collect()
