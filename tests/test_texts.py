@@ -205,3 +205,22 @@ def test_abbreviations_of_four_languages_are_learned(spark):
     assert got.pop(902) == ["no end"]
     assert got == truth
     assert sentence_ends.learned_sentences(df.limit(0)).count() == 0
+
+
+def test_contraction_rules_run_only_where_their_sign_is(spark):
+    texts = ["won't won't can't", "It’s Who's SHAN'T shan't", "let's 've they've'd I'm", "n't 'tis", "He'll, she'd we're don't", "", "plain", None]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    rows = df.select(tx.expand_contractions(F.col("x")).alias("a"), tx.apply_rules(F.col("x"), tx.CONTRACTIONS).alias("b")).collect()
+    assert [r.a for r in rows] == [r.b for r in rows]
+    assert len(tx.CONTRACTION_SIGNS) == len(tx.CONTRACTIONS)
+
+
+def test_spans_take_one_pass_of_their_pattern(spark):
+    texts = ["1/2/2020 and May 3, 2021.", f"a{tx.FENCE}b 2020-01-02 {tx.FENCE}2021-01-02", "none", "", None, "3 May 2020 3 May 2021"]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    spans = df.select("x", tx.match_spans(F.col("x"), pii.DATE).alias("s"))
+    for r in spans.collect():
+        found = None if r.x is None else [(m.start(), m.end(), m.group()) for m in re.finditer(pii.DATE, r.x)]
+        assert (r.s if r.s is None else [tuple(s) for s in r.s]) == found
+    found = pii.spans_of(df, "x", "x", {"DATE": pii.DATE}).groupBy("x").count().collect()
+    assert {r.x: r["count"] for r in found} == {texts[0]: 2, texts[1]: 2, texts[5]: 2}
