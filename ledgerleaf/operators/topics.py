@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.functions.text import lemma, tokens
 from ledgerleaf.functions.words import STOP_WORDS
-from ledgerleaf.operators.corpus import by_document, content_tokens, term_counts
+from ledgerleaf.operators.corpus import by_document, content_tokens, document_tasks, term_counts
 from ledgerleaf.operators.frame import lookup_join
 from ledgerleaf.session import checkpointed
 
@@ -38,7 +38,7 @@ def topic_words(docs: DataFrame, key: str = "doc_id", text: str = "text", top: i
     With one topic and one document the variational update of latent Dirichlet
     allocation has a closed form: weight = (n + 1) / (N + V) under the prior 1.
     """
-    counts = term_counts(by_document(docs, key), key, text)
+    counts = term_counts(by_document(docs.select(key, text), key, document_tasks(docs, text)), key, text)
     document = Window.partitionBy(key)
     weight = (F.col("n") + 1) / (F.sum("n").over(document) + F.count("*").over(document))
     return _ranked(counts.withColumn("weight", weight), key, F.col("n"), top).select(key, "rank", "token", "weight")

@@ -224,3 +224,25 @@ def test_spans_take_one_pass_of_their_pattern(spark):
         assert (r.s if r.s is None else [tuple(s) for s in r.s]) == found
     found = pii.spans_of(df, "x", "x", {"DATE": pii.DATE}).groupBy("x").count().collect()
     assert {r.x: r["count"] for r in found} == {texts[0]: 2, texts[1]: 2, texts[5]: 2}
+
+
+def test_summaries_with_more_words_than_a_broadcast_takes(spark, monkeypatch):
+    """Weights of rarer words come to the documents; no term leaves its document's task for them."""
+    rows = [(i, " ".join(f"word{chr(97 + (i * j) % 26)}{chr(97 + j % 7)} report{chr(97 + j % 5)}." for j in range(60))) for i in range(40)]
+    df = spark.createDataFrame(rows + rows[:3] + [(90, None), (91, "")], "doc_id LONG, text STRING")
+    expected = sorted(map(tuple, dc.tree_summaries(df).collect()), key=repr)
+    monkeypatch.setattr(dc, "fits_broadcast", lambda _idf: False)
+    monkeypatch.setattr(dc, "FREQUENT", 20)
+    assert sorted(map(tuple, dc.tree_summaries(df).collect()), key=repr) == expected
+    plan = dc.summaries(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" not in plan and "_rare" in plan
+
+
+def test_tasks_grow_with_the_texts(spark, monkeypatch):
+    from ledgerleaf.operators import corpus
+
+    docs = spark.createDataFrame([(i, "one two three " * 10) for i in range(50)], "doc_id LONG, text STRING")
+    assert corpus.document_tasks(docs) is None
+    monkeypatch.setattr(corpus, "TASK_CHARS", 100)
+    assert corpus.document_tasks(docs) == 70
+    assert corpus.by_document(docs, "doc_id", 70).rdd.getNumPartitions() == 70
