@@ -181,14 +181,14 @@ def topic_model(docs: DataFrame, k: int, top: int = 10, cells: int = 1 << 16, se
 
 
 def fit_clusters(docs: DataFrame, k: int, size: int = 256, seed: int = 42) -> PipelineModel:
-    """Hashed TF-IDF embedding, unit length, then k-means."""
+    """Hashed TF-IDF embedding, unit length, then k-means; ``tokens`` of :func:`with_tokens` are taken as they are."""
     stages = [
         *text_features(size)[:2],
         IDF(inputCol="tf", outputCol="weighted"),
         Normalizer(inputCol="weighted", outputCol="features"),
         KMeans(k=k, seed=seed, maxIter=10, featuresCol="features", predictionCol="cluster"),
     ]
-    return Pipeline(stages=stages).fit(with_tokens(docs))
+    return Pipeline(stages=stages).fit(docs if "tokens" in docs.columns else with_tokens(docs))
 
 
 def centre_distance(model: PipelineModel, scored: DataFrame) -> DataFrame:

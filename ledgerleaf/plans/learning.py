@@ -285,16 +285,17 @@ def _(t):
     return ranked
 
 
-def clustered(t):
-    docs = checkpointed(learn.with_tokens(t.texts.select("doc_id", "text", "source", "lang")))
+def clustered(t, *keep):
+    """The fitted clusters, and ``keep…, cluster, distance`` of every document, scored once."""
+    docs = checkpointed(learn.with_tokens(t.texts.select("text")))
     model = learn.fit_clusters(docs, k=8)
     scored = learn.centre_distance(model, model.transform(docs))
-    return model, scored
+    return model, checkpointed(scored.select(*keep, "cluster", "distance"))
 
 
 @query("d13_cluster_topics")
 def _(t):
-    return learn.topic_info(learn.with_outliers(clustered(t)[1]).select("topic", "text"))
+    return learn.topic_info(learn.with_outliers(clustered(t, "text")[1]).select("topic", "text"))
 
 
 @query("d14_topics_of_new_texts")
