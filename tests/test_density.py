@@ -236,3 +236,57 @@ def test_lists_of_nothing(spark, tmp_path):
     q = spark.createDataFrame([(1, [1.0])], "q int, vector array<double>")
     assert inverted_lists.search_lists(index, q, "q", 3).count() == 0
     assert math.isclose(inverted_lists.clustered(np.ones((5, 2)), 3).sum(), 2.0)
+
+
+def test_word_vectors_from_cells_equal_those_from_rows(spark, monkeypatch):
+    rnd = random.Random(11)
+    words = ["".join(rnd.choice("aeilmnrst") for _ in range(5)) for _ in range(120)]
+    docs = [(i % 50, " ".join(words[min(119, int(rnd.paretovariate(0.6)) - 1)] for _ in range(80))) for i in range(70)]
+    docs += [(60, None), (61, "unknown"), (None, " ".join(words[:30])), (None, " ".join(words[10:50]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    # Many tiles, cells and parts; rows that meet their vectors a few at a time.
+    for name, value in (("TILE", 17), ("CELL_PAIRS", 400), ("SORTED_PAIRS", 3000), ("STEP", 7)):
+        monkeypatch.setattr(vectors, name, value)
+    pairs = vectors.counted_pairs(df)
+    assert pairs.tiles > 3 and pairs.cells.count() > 20
+    plain, values = vectors.singular_vectors(vectors.information(vectors.neighbouring_words(df)), 6)
+    want = {r.a: np.array(r.x) * np.sqrt(values) for r in plain.collect()}
+    table = vectors.word_vectors(df, size=6)
+    got = {r.token: np.array(r.x) for r in table.collect()}
+    assert set(got) == set(want) and len(got) > 60
+    order = sorted(got)
+    a, b = np.array([got[w] for w in order]), np.array([want[w] for w in order])
+    assert np.allclose(a @ a.T, b @ b.T, atol=1e-6)
+
+    # Texts of one key, null too, are one text.
+    known = vectors.text_vectors(df, table, 6)
+    lists = {}
+    for key, text in docs:
+        lists.setdefault(key, []).extend(w for w in (text or "").split() if w in got)
+    df_of = {w: sum(w in ws for ws in lists.values()) for w in order}
+    sums = {}
+    for key, ws in lists.items():
+        if ws:
+            x = sum(np.log1p(ws.count(w)) * (np.log((1 + len(docs)) / (1 + df_of[w])) + 1) * got[w] for w in sorted(set(ws)))
+            sums[key] = x / np.linalg.norm(x)
+    found = {r.doc_id: np.array(r.vector) for r in known.collect()}
+    assert set(found) == set(sums) and None in found and known.count() == len(found)
+    assert all(np.allclose(found[k], sums[k], atol=1e-9) for k in sums)
+
+
+def test_pairs_of_words_take_few_bytes(spark):
+    """Most pairs are met once; what a task passes on and keeps of them stays far below their words' length."""
+    import glob
+    import os
+
+    from ledgerleaf.session import shared_dir
+
+    rng = np.random.default_rng(3)
+    words = np.array([f"{a}{b}{c}" for a in ("bal", "dor", "fim", "gun", "hes") for b in ("tar", "lin", "mop", "ruk", "sev") for c in "aeiou" * 1] + ["x" * 9])
+    words = np.array([f"{u}{v}" for u in words for v in ("ab", "ec", "id", "of", "ug", "an", "el", "ip", "or", "ut")])
+    df = spark.createDataFrame([(i, " ".join(rng.choice(words, 400))) for i in range(400)], "doc_id int, text string")
+    pairs = vectors.counted_pairs(df)
+    n = pairs.cells.agg(F.sum("size")).first()[0]
+    path = shared_dir(spark, "cells")
+    pairs.cells.write.parquet(path)
+    assert n > 500_000 and sum(os.path.getsize(f) for f in glob.glob(path + "/*.parquet")) < 3 * n
