@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions import text as tx
+from ledgerleaf.operators.frame import lookup_join
 from ledgerleaf.session import checkpointed
 
 # Parameters of the measure as published: the share of stops expected after an abbreviation, and the least score.
@@ -32,26 +33,44 @@ def typed(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, r"\.$", ""))
 
 
+def ends_in_stop(word: Column) -> Column:
+    """Whether a word, stripped, ends in a stop. Only words with a stop before their end are stripped for it."""
+
+    def one_of(test) -> Column:
+        return test(word, F.lit(".")) | test(word, F.lit("!")) | test(word, F.lit("?"))
+
+    return F.when(one_of(F.endswith), F.lit(True)).when(one_of(F.contains), stripped(word).rlike(STOP)).otherwise(F.lit(False))
+
+
+def word_rows(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
+    """``keep``, ``_w`` (the text's words), ``at``, ``word``: one row per word as it is written."""
+    words = docs.select(*keep, tx.words(F.coalesce(F.col(text), F.lit(""))).alias("_w"))
+    return tx.unfolded(words, [*keep, "_w"], F.col("_w"), "at", "word")
+
+
 def word_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``type, stops, plain, small, large``: how often a word stands with and without a stop, how often it begins
-    small, and how often with a capital inside a sentence."""
-    words = docs.select(F.transform(tx.words(F.coalesce(F.col(text), F.lit(""))), stripped).alias("_w"))
-
-    def row(word: Column, i: Column) -> Column:
-        stop = word.endswith(".")
-        before = F.get(F.col("_w"), i - 1)
-        inside = before.isNotNull() & ~before.rlike(STOP)
-        return F.struct(
-            typed(word).alias("type"), stop.alias("stop"), word.rlike(r"^\p{Ll}").alias("small"),
-            (word.rlike(r"^\p{Lu}") & inside).alias("large"),
-        )
-
-    rows = tx.unfolded(words, [], F.transform("_w", row), "r").select("r.*")
-    count = lambda c: F.sum(c.cast("long"))
-    return rows.where(F.col("type") != "").groupBy("type").agg(
+    small, and how often with a capital inside a sentence.
+
+    Words are counted as they are written; each spelling is stripped and typed once.
+    """
+    before = F.get("_w", F.col("at") - 1)
+    rows = word_rows(docs, [], text).select("word", ((F.col("at") > 0) & ~ends_in_stop(before)).cast("long").alias("inside"))
+    spellings = rows.groupBy("word").agg(F.count("*").alias("n"), F.sum("inside").alias("inside"))
+    spellings = spellings.select(stripped(F.col("word")).alias("word"), "n", "inside")
+    stop = F.col("word").endswith(".")
+    spellings = spellings.select(
+        typed(F.col("word")).alias("type"), stop.alias("stop"), F.col("word").rlike(r"^\p{Ll}").alias("small"),
+        F.col("word").rlike(r"^\p{Lu}").alias("large"), "n", "inside",
+    )
+    named = F.col("type") != ""
+    count = lambda c, n="n": F.sum(F.when(named & c, F.col(n)).otherwise(F.lit(0).cast("long")))
+    counts = spellings.groupBy("type").agg(
         count(F.col("stop")).alias("stops"), count(~F.col("stop")).alias("plain"), count(F.col("small")).alias("small"),
-        count(F.col("large")).alias("large"),
+        count(F.col("large"), "inside").alias("large"),
     )
+    # A condition on the type itself would be moved in front of both counts, and be tried on every word of the texts.
+    return counts.where("stops + plain > 0")
 
 
 def stop_scores(statistics: DataFrame) -> DataFrame:
@@ -84,24 +103,33 @@ def learned_sentences(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """
     statistics = checkpointed(word_statistics(docs, text) if statistics is None else statistics)
     known = abbreviations(statistics).select("type", F.lit(True).alias("short"))
-    starters = statistics.where("small > 0 AND large = 0").select(F.col("type").alias("next"), F.lit(True).alias("starts"))
-    words = docs.select(F.col(key), tx.words(F.coalesce(F.col(text), F.lit(""))).alias("_w"))
-    plain = words.select(key, F.size("_w").alias("size"), F.transform("_w", stripped).alias("_s"))
+    starters = statistics.where("small > 0 AND large = 0").select(F.col("type").alias("next"))
     # Only words with a stop leave their document.
-    places = F.filter(F.transform("_s", lambda w, i: F.when(w.rlike(STOP), i)), lambda i: i.isNotNull())
-    stops = tx.unfolded(plain, [key, "size", "_s"], places, "at")
-    follows = F.get("_s", F.col("at") + 1)
+    stops = word_rows(docs, [key], text).where(ends_in_stop(F.col("word")))
+    stops = stops.select(key, "at", stripped(F.col("word")).alias("word"), stripped(F.get("_w", F.col("at") + 1)).alias("follows"))
     stops = stops.select(
-        key, "at", F.get("_s", F.col("at")).endswith(".").alias("dot"), typed(F.get("_s", F.col("at"))).alias("type"),
-        follows.rlike(r"^\p{Lu}").alias("capital"), typed(follows).alias("next"),
+        key, "at", F.col("word").endswith(".").alias("dot"), typed(F.col("word")).alias("type"),
+        F.col("follows").rlike(r"^\p{Lu}").alias("capital"), typed(F.col("follows")).alias("next"),
+    )
+    judged = lookup_join(stops, known, "type", F.col("at"), "left")
+    maybe = F.col("dot") & F.col("short").isNotNull()
+    # Texts are taken apart once for the sure and the open ends.
+    judged = checkpointed(judged.groupBy(key).agg(
+        F.collect_list(F.when(~maybe, F.col("at"))).alias("_sure"),
+        F.collect_list(F.when(maybe & F.col("capital"), F.struct("at", "next"))).alias("_open"),
+    ))
+    unsure = tx.unfolded(judged, [key], F.col("_open"), "o").select(key, "o.*")
+    # Words that follow an abbreviation meet the statistics once each, however often they do.
+    starters = starters.join(unsure.select("next").distinct(), "next", "left_semi")
+    more = lookup_join(unsure, starters, "next", F.col("at")).groupBy(key).agg(F.collect_list("at").alias("_more"))
+    cut = docs.select(key, F.col(text).alias("_text")).join(judged.select(key, "_sure"), key, "left").join(more, key, "left")
+    none = F.array().cast("array<int>")
+    cut = cut.select(
+        key, tx.words(F.coalesce("_text", F.lit(""))).alias("_w"),
+        F.array_sort(F.concat(F.coalesce("_sure", none), F.coalesce("_more", none))).alias("_ends"),
     )
-    judged = stops.join(known, "type", "left")
-    sure = judged.where(~F.col("dot") | F.col("short").isNull()).select(key, "at")
-    unsure = judged.where(F.col("dot") & F.col("short") & F.col("capital")).join(starters, "next").select(key, "at")
-    ends = sure.unionByName(unsure).groupBy(key).agg(F.array_sort(F.collect_list("at")).alias("_ends"))
-    cut = words.join(ends, key, "left").withColumn("_ends", F.coalesce("_ends", F.array().cast("array<int>")))
     last = F.when(F.element_at(F.concat(F.array(F.lit(-1)), "_ends"), -1) < F.size("_w") - 1, F.array(F.size("_w") - 1))
-    ends = F.concat("_ends", F.coalesce(last, F.array().cast("array<int>")))
+    ends = F.concat("_ends", F.coalesce(last, none))
     pieces = tx.bound(ends, lambda e: F.transform(
         e, lambda stop, i: F.array_join(F.slice("_w", F.coalesce(F.get(e, i - 1), F.lit(-1)) + 2, stop - F.coalesce(F.get(e, i - 1), F.lit(-1))), " ")
     ))

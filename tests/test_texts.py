@@ -207,6 +207,32 @@ def test_abbreviations_of_four_languages_are_learned(spark):
     assert sentence_ends.learned_sentences(df.limit(0)).count() == 0
 
 
+def test_words_are_stripped_once_per_spelling_and_texts_taken_apart_once_for_all_ends(spark, monkeypatch):
+    from ledgerleaf.operators import frame, sentence_ends
+
+    texts = [f"Der Weg {i}. Er sah bzw. Der Weg war bzw. er lang (Wegesende.) Gut! so" for i in range(40)] + ["", None, " bzw. \n Er", "( ) ."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    plan = sentence_ends.word_statistics(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lower(" in plan and "lower(" not in plan[plan.rindex("Aggregate"):]  # per spelling, not per word
+    found = sentence_ends.learned_sentences(docs)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    expected = sorted(map(tuple, found.collect()))
+    assert [s for k, _, s in expected if k == 7] == ["Der Weg 7.", "Er sah bzw. Der Weg war bzw. er lang (Wegesende.)", "Gut!", "so"]
+    assert [s for k, _, s in expected if k >= 40] == ["bzw.", "Er", "( ) ."]
+    monkeypatch.setattr(frame, "fits_broadcast", lambda _lookup: False)
+    assert sorted(map(tuple, sentence_ends.learned_sentences(docs).collect())) == expected
+
+
+def test_stops_at_the_end_of_odd_words(spark):
+    from ledgerleaf.operators import sentence_ends
+
+    odd = ["a.", "a", ".", "...", '("a.")', "a.b", "a!,;", '?"x', "a.\u2028", "a.)\u2028", "a.\u0085", "(", "«¿Qué?»", "a.,b.", "Ä!’", "3.", ""]
+    df = spark.createDataFrame([(w,) for w in odd], "w string")
+    stripped = sentence_ends.stripped(F.col("w"))
+    rows = df.select(sentence_ends.ends_in_stop(F.col("w")).alias("a"), stripped.rlike(sentence_ends.STOP).alias("b")).collect()
+    assert [r.a for r in rows] == [r.b for r in rows] and {r.a for r in rows} == {True, False}
+
+
 def test_contraction_rules_run_only_where_their_sign_is(spark):
     texts = ["won't won't can't", "It’s Who's SHAN'T shan't", "let's 've they've'd I'm", "n't 'tis", "He'll, she'd we're don't", "", "plain", None]
     df = spark.createDataFrame([(x,) for x in texts], "x string")
