@@ -196,8 +196,11 @@ def _shifted(found: tuple[np.ndarray, np.ndarray], by: int) -> tuple[np.ndarray,
 def entries(pairs: Cells, cell: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The row, column and count of each pair of a cell, by rows."""
     keys = np.cumsum(unpacked(cell["keys"], cell["size"]))
-    a = cell["cell"] // pairs.tiles * pairs.rows + keys // pairs.width
-    return a, cell["cell"] % pairs.tiles * pairs.width + keys % pairs.width, unpacked(cell["counts"], cell["size"])
+    # The keys are in order, so that a row's are a stretch of them.
+    lengths = np.diff(np.searchsorted(keys, np.arange(pairs.rows + 1) * pairs.width))
+    low = np.repeat(np.arange(pairs.rows), lengths)
+    b = keys - low * pairs.width + cell["cell"] % pairs.tiles * pairs.width
+    return cell["cell"] // pairs.tiles * pairs.rows + low, b, unpacked(cell["counts"], cell["size"])
 
 
 def neighbouring_words(docs: DataFrame, text: str = "text", near: int = 4, least: int = 5) -> DataFrame:
@@ -244,10 +247,17 @@ def tile_of(narrow: DataFrame, low: int, rows: int, width: int) -> np.ndarray:
 def row_sums(x: np.ndarray, at: np.ndarray, by: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """``n`` sums over the rows ``at`` of ``x`` times ``by``; ``rows``, in order, says of which sum each is a part."""
     out = np.zeros((n, x.shape[1]))
+    held = np.empty((min(STEP, len(at)), x.shape[1]))
     for i in range(0, len(at), STEP):
-        r = rows[i : i + STEP]
+        r, weights = rows[i : i + STEP], by[i : i + STEP]
+        met = np.take(x, at[i : i + STEP], axis=0, out=held[: len(r)], mode="clip")
         starts = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-        out[r[starts]] += np.add.reduceat(x[at[i : i + STEP]] * by[i : i + STEP, None], starts, axis=0)
+        if len(starts) * 16 > len(r):
+            out[r[starts]] += np.add.reduceat(met * weights[:, None], starts, axis=0)
+            continue
+        # Long stretches are products of a row of weights and a matrix.
+        for row, j, k in zip(r[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(r)]):
+            out[row] += weights[j:k] @ met[j:k]
     return out
 
 
@@ -284,7 +294,7 @@ def information_product(pairs: Cells, single: np.ndarray, narrow: DataFrame, wid
                     v = np.log(n * total / (n_of[a].astype(float) * n_of[b]))
                     a, b, v = a[v > 0], b[v > 0] - low, v[v > 0]
                     if len(a):
-                        held = np.unique(a)
+                        held = a[np.concatenate([[True], a[1:] != a[:-1]])]
                         y = row_sums(x, b, v, a - a[0], int(a[-1] - a[0]) + 1)[held - a[0]]
                         yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), listed(y)], ["a", "x"])
 

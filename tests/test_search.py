@@ -40,6 +40,26 @@ def test_nearest_both_ways(vectors, monkeypatch, metric, limit):
     assert got == brute(corpus, queries, 5, metric)
 
 
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_many_queries_stay_in_their_tasks(spark, monkeypatch, metric):
+    """Tiles of the corpus come to the queries: same neighbours, ties by id, and no pair of a tile is shuffled."""
+    rng = np.random.default_rng(9)
+    corpus = rng.normal(size=(400, 6)).round(3) + 5
+    corpus[50:90] = corpus[0]
+    schema = "id STRING, vector ARRAY<DOUBLE>"
+    df = spark.createDataFrame([(f"{i:03d}", v.tolist()) for i, v in enumerate(corpus)], schema).repartition(3)
+    for name, value in (("FEW_QUERIES", 20), ("QUERY_VALUES", 600), ("BLOCK_CELLS", 5000), ("TASK_CELLS", 40_000)):
+        monkeypatch.setattr(search, name, value)
+    found = search.nearest(df, "id", df, "id", 7, metric)
+    got = {(int(r.query_id), int(r.vec_id)) for r in found.collect()}
+    assert got == brute(corpus, corpus, 7, metric) and found.count() == 2800
+    # A query that comes twice has its best seven all the same.
+    twice = search.nearest(df, "id", df.unionByName(df), "id", 7, metric)
+    assert twice.groupBy("query_id").count().where("count <> 7").isEmpty()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroups" not in plan
+
+
 def test_approximate_is_a_subset_of_the_corpus(vectors):
     corpus, queries, c, q = vectors
     exact = brute(corpus, queries, 300, "l2")
