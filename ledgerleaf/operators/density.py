@@ -7,22 +7,25 @@ parts is joined link by link in a task of its own (a spanning forest in rounds).
 that are both large enough meet, a topic splits (seen from the top); smaller parts only join. This
 is the condensed tree, and the topics are those of its branches that last longest.
 
-A band holds ``BAND`` links at most, and with them the largest set that one task joins. The tree
-has at most ``BRANCHES`` branches, as a part needs a share of all points; it alone reaches the driver.
+A band holds ``BAND`` links at most, and with them the largest set that one task joins. A part carries what its
+branch has gathered, so that a branch is weighed against its descendants where it ends; which topic a branch
+belongs to is then found by doubling steps towards the root. No part of the tree reaches the driver.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerleaf.operators.graph import connected_parts
+from ledgerleaf.operators.ordered import with_position
 from ledgerleaf.operators.search import nearest
 from ledgerleaf.session import checkpointed
 
 BAND = 2_000_000
-BRANCHES = 100_000
 #: Distances below count as this, so that densities stay finite.
 TOUCHING = 1e-6
 
@@ -59,20 +62,41 @@ def neighbour_links(vectors: DataFrame, neighbours: int, linked: int) -> tuple[D
     return points, links.groupBy("a", "b").agg(F.min("w").alias("w"))
 
 
-def joined_parts(name: str, parts: list[tuple[int, int, str | None]], links: list[tuple[float, int, int]], size: int) -> list[tuple]:
+class Branch(NamedTuple):
+    """A branch that still grows: its points with those of its descendants, the sum of the densities ``1 / w`` at which they
+    joined it (descendants: at which they ended), and the weight of the descendants that are topics so far."""
+
+    name: str
+    points: float
+    density: float
+    below: float
+
+    def with_points(self, n: int, w: float) -> Branch:
+        return self._replace(points=self.points + n, density=self.density + n / w)
+
+    def chosen(self, born: float) -> tuple[bool, float]:
+        """Whether the branch, which exists from a density on, outweighs its chosen descendants, and the larger weight.
+
+        Its weight is what its points gain in density while it lasts."""
+        own = self.density - self.points * born
+        return own >= self.below, max(own, self.below)
+
+
+def joined_parts(name: str, parts: list[tuple[int, int, Branch | None]], links: list[tuple[float, int, int]], size: int) -> list[tuple]:
     """Join a connected set of parts by its links, shortest first.
 
-    ``parts`` are ``(part, points, branch)``. Returns rows ``(kind, part, branch, other, w, n, into)``:
+    ``parts`` are ``(part, points, branch)``. Returns rows ``(kind, part, branch, other, w, n, into, points, density, below)``:
 
     * ``fall``: the points of ``part``, so far without a branch, belong to ``branch`` from ``w`` on;
-    * ``split``: two branches meet at ``w``; ``other`` is one of those that ``branch`` forks into;
+    * ``split``: two branches meet at ``w``; ``other`` is one of those that ``branch`` forks into, a topic if ``n`` is 1;
     * ``link``: a link of the spanning forest, of length ``w``;
-    * ``root``: ``part`` is now a part of ``into``, which has ``n`` points and ends in ``branch``.
+    * ``root``: ``part`` is now a part of ``into``, which has ``n`` points and ends in ``branch`` with what that has gathered.
     """
     root = {p: p for p, _, _ in parts}
     count = {p: n for p, n, _ in parts}
     branch = {p: b for p, _, b in parts}
     waiting = {p: [p] if b is None else [] for p, _, b in parts}
+    nothing = (0.0, 0.0, 0.0)
     out: list[tuple] = []
     made = 0
 
@@ -88,60 +112,75 @@ def joined_parts(name: str, parts: list[tuple[int, int, str | None]], links: lis
         return f"{name}.{made}"
 
     def fall(members: list[int], into: str, w: float) -> None:
-        out.extend(("fall", p, into, None, w, 0, 0) for p in members)
+        out.extend(("fall", p, into, None, w, 0, 0, *nothing) for p in members)
 
     for w, a, b in sorted(links):
         a, b = sorted((find(a), find(b)))
         if a == b:
             continue
-        out.append(("link", a, None, None, w, 0, 0))
+        out.append(("link", a, None, None, w, 0, 0, *nothing))
         one, other, members = branch[a], branch[b], waiting[a] + waiting[b]
+        loose = (count[a] if one is None else 0) + (count[b] if other is None else 0)
         root[b] = a
         count[a] += count[b]
         if one is not None and other is not None:
-            branch[a] = named()
-            out.append(("split", 0, branch[a], one, w, 0, 0))
-            out.append(("split", 0, branch[a], other, w, 0, 0))
+            new, end, below = named(), 1 / w, 0.0
+            for child in (one, other):
+                picked, weight = child.chosen(end)
+                out.append(("split", 0, new, child.name, w, int(picked), 0, *nothing))
+                below += weight
+            points = one.points + other.points
+            branch[a] = Branch(new, points, points * end, below)
         elif one is not None or other is not None:
-            branch[a] = one if one is not None else other
-            fall(members, branch[a], w)
+            branch[a] = (one if one is not None else other).with_points(loose, w)
+            fall(members, branch[a].name, w)
             members = []
         elif count[a] >= size:
-            branch[a] = named()
-            fall(members, branch[a], w)
+            branch[a] = Branch(named(), 0.0, 0.0, 0.0).with_points(loose, w)
+            fall(members, branch[a].name, w)
             members = []
         waiting[a] = members
     for p, _, _ in parts:
         r = find(p)
-        out.append(("root", p, branch[r], None, 0.0, count[r], r))
+        state = branch[r] or (None, *nothing)
+        out.append(("root", p, state[0], None, 0.0, count[r], r, *state[1:]))
     return out
 
 
-EVENTS = "kind string, part long, branch string, other string, w double, n long, into long"
+GATHERED = ["points", "density", "below"]
+EVENTS = "kind string, part long, branch string, other string, w double, n long, into long, points double, density double, below double"
 
 
 def _joiner(band: int, size: int):
     def join(key, own: pd.DataFrame, lines: pd.DataFrame) -> pd.DataFrame:
-        held = [(int(p), int(n), None if pd.isna(b) else b) for p, n, b in zip(own["part"], own["n"], own["branch"])]
+        held = [
+            (int(p), int(n), None if pd.isna(b) else Branch(b, *state))
+            for p, n, b, *state in zip(*(own[c] for c in ("part", "n", "branch", *GATHERED)))
+        ]
         out = joined_parts(f"{band}.{int(key[0])}", held, list(zip(lines["w"], lines["p"], lines["q"])), size)
-        return pd.DataFrame(out, columns=["kind", "part", "branch", "other", "w", "n", "into"])
+        return pd.DataFrame(out, columns=["kind", "part", "branch", "other", "w", "n", "into", *GATHERED])
 
     return join
 
 
-def density_tree(points: DataFrame, links: DataFrame, size: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(assigned, forks, chosen links)``: ``id, branch, w`` of the points that belong to a branch, ``branch, child,
-    w`` of the places where a branch forks into two, and the lengths ``w`` of the links of the spanning forest.
+def density_tree(points: DataFrame, links: DataFrame, size: int, single: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(assigned, forks, chosen links)``: ``id, branch, w`` of the points that belong to a branch; ``branch, child, born,
+    picked`` of every branch as a child (of none at the root), the density from which it exists, and whether it outweighs its
+    chosen descendants; and the lengths ``w`` of the links of the spanning forest.
 
-    A part with ``size`` points is a branch. Points that never join one are missing from ``assigned``.
+    A part with ``size`` points is a branch. Points that never join one are missing from ``assigned``. The root of
+    everything is no topic unless ``single``.
     """
     spark = points.sparkSession
     # Equal points are close enough: where they suffice they are a branch from the start.
     alone = F.when(F.col("n") >= size, F.concat(F.lit("0."), F.col("id").cast("string")))
-    parts = checkpointed(points.select(F.col("id").alias("part"), "n", alone.alias("branch")))
+    gathered = {"points": F.col("n").cast("double"), "density": F.col("n") / F.lit(TOUCHING), "below": F.lit(0.0)}
+    parts = points.select(F.col("id").alias("part"), "n", alone.alias("branch"), *[v.alias(c) for c, v in gathered.items()])
+    parts = checkpointed(parts)
     where = checkpointed(points.select("id", F.col("id").alias("part")))
     assigned = [parts.where(F.col("branch").isNotNull()).select(F.col("part").alias("id"), "branch", F.lit(TOUCHING).alias("w"))]
     forks, chosen = [], []
+    links = checkpointed(links)
     total = links.count()
     bands = max(1, -(-total // BAND))
     edges = [r for r in (links.agg(F.percentile_approx("w", [i / bands for i in range(1, bands)], 100_000)).first()[0] if bands > 1 else [])]
@@ -161,12 +200,17 @@ def density_tree(points: DataFrame, links: DataFrame, size: int) -> tuple[DataFr
         events = checkpointed(events)
         falls = events.where("kind = 'fall'").select("part", "branch", "w")
         assigned.append(checkpointed(where.join(falls, "part").select("id", "branch", "w")))
-        forks.append(events.where("kind = 'split'").select("branch", F.col("other").alias("child"), "w"))
+        split = events.where("kind = 'split'")
+        forks.append(split.select("branch", F.col("other").alias("child"), (1 / F.col("w")).alias("born"), (F.col("n") == 1).alias("picked")))
         chosen.append(events.where("kind = 'link'").select("w"))
-        roots = events.where("kind = 'root'").select("part", F.col("into").alias("_root"), "n", "branch")
+        roots = events.where("kind = 'root'").select("part", F.col("into").alias("_root"), "n", "branch", *GATHERED)
         where = checkpointed(where.join(roots.select("part", "_root"), "part", "left").select("id", F.coalesce("_root", "part").alias("part")))
-        merged = roots.select(F.col("_root").alias("part"), "n", "branch").distinct()
+        merged = roots.select(F.col("_root").alias("part"), "n", "branch", *GATHERED).distinct()
         parts = checkpointed(parts.join(roots.select("part"), "part", "left_anti").unionByName(merged))
+    tops = parts.where(F.col("branch").isNotNull())
+    alone = not single and tops.count() == 1
+    kept = (F.col("density") >= F.col("below")) & F.lit(not alone)
+    forks.append(tops.select(F.lit(None).cast("string").alias("branch"), F.col("branch").alias("child"), F.lit(0.0).alias("born"), kept.alias("picked")))
 
     def together(frames: list[DataFrame], schema: str) -> DataFrame:
         out = spark.createDataFrame([], schema)
@@ -176,51 +220,31 @@ def density_tree(points: DataFrame, links: DataFrame, size: int) -> tuple[DataFr
 
     kind = points.schema["id"].dataType.simpleString()
     return (
-        together(assigned, f"id {kind}, branch string, w double"), together(forks, "branch string, child string, w double"),
-        together(chosen, "w double"),
+        together(assigned, f"id {kind}, branch string, w double"),
+        together(forks, "branch string, child string, born double, picked boolean"), together(chosen, "w double"),
     )
 
 
-def chosen_branches(forks: list[tuple[str, str, float]], sums: dict[str, tuple[float, float]], single: bool = False) -> dict[str, tuple[str | None, float]]:
-    """The topic (by the name of its branch) of every branch, and the density from which that topic exists.
+def branch_topics(forks: DataFrame) -> DataFrame:
+    """``branch, name, born``: the topic of every branch by the name of its topmost picked ancestor, itself included, or
+    null, and the density from which that topic exists.
 
-    ``forks`` are ``(branch, child, w)`` from the densest on, ``sums`` the points of a branch and the sum of their
-    densities ``1 / w``. A branch's weight is what its points gain in density while it lasts; a branch is chosen
-    where it outweighs its chosen descendants. The root of everything is none unless ``single``.
+    ``forks`` are those of :func:`density_tree`. Every branch knows the best of its next ancestors and looks on from the last
+    of them, so that the steps double; the number of rounds is the logarithm of the tree's depth.
     """
-    children: dict[str, list[str]] = {}
-    born: dict[str, float] = {}
-    end: dict[str, float] = {}
-    parent: dict[str, str] = {}
-    for name, child, w in forks:
-        children.setdefault(name, []).append(child)
-        parent[child], born[child], end[name] = name, 1 / w, 1 / w
-    names = set(sums) | set(children) | set(parent)
-    order, stack = [], sorted(n for n in names if n not in parent)
-    tops = list(stack)
-    while stack:
-        name = stack.pop()
-        order.append(name)
-        stack += sorted(children.get(name, []))
-    size: dict[str, float] = {}
-    value: dict[str, float] = {}
-    picked: dict[str, bool] = {}
-    for name in reversed(order):
-        n, density = sums.get(name, (0.0, 0.0))
-        own = density - n * born.get(name, 0.0)
-        for child in children.get(name, []):
-            n += size[child]
-            own += size[child] * (end[name] - born.get(name, 0.0))
-        size[name] = n
-        below = sum(value[c] for c in children.get(name, []))
-        excluded = not single and len(tops) == 1 and name == tops[0]
-        picked[name] = not excluded and own >= below
-        value[name] = own if picked[name] else below
-    topic: dict[str, tuple[str | None, float]] = {}
-    for name in order:
-        above = topic.get(parent.get(name, ""), (None, 0.0))
-        topic[name] = above if above[0] is not None else ((name, born.get(name, 0.0)) if picked[name] else (None, 0.0))
-    return topic
+    own = [F.when(F.col("picked"), F.col(c)).alias(n) for c, n in (("child", "name"), ("born", "born"))]
+    reached = checkpointed(forks.select(F.col("child").alias("branch"), F.col("branch").alias("above"), *own))
+    while not reached.where(F.col("above").isNotNull()).isEmpty():
+        higher = reached.select(
+            F.col("branch").alias("above"), F.col("above").alias("_above"), F.col("name").alias("_name"), F.col("born").alias("_born")
+        )
+        found = reached.join(higher, "above", "left")
+        better = F.col("_name").isNotNull()
+        reached = checkpointed(found.select(
+            "branch", F.col("_above").alias("above"), F.coalesce("_name", "name").alias("name"),
+            F.when(better, F.col("_born")).otherwise(F.col("born")).alias("born"),
+        ))
+    return reached.select("branch", "name", F.coalesce("born", F.lit(0.0)).alias("born"))
 
 
 class Topics:
@@ -233,33 +257,20 @@ class Topics:
 def fit_topics(vectors: DataFrame, neighbours: int = 10, size: int = 15, linked: int | None = None) -> tuple[DataFrame, Topics]:
     """``id, topic`` of every row of ``vectors`` (``id, vector``), and the fitted topics.
 
-    Topics are numbered by size from 0; -1 is none. ``size`` points make a topic; where that would allow more than
-    ``BRANCHES`` branches it is raised to their share of all points. Rows with a null vector belong to no topic.
-    Of links of equal length any may be taken first, which can move single points at the edge of a topic.
+    Topics are numbered by size from 0; -1 is none. ``size`` points, two at least, make a topic, however many points there
+    are. Rows with a null vector belong to no topic. Of links of equal length any may be taken first, which can move single points at the edge of a topic.
     """
-    spark = vectors.sparkSession
     known = checkpointed(vectors.where(F.col("vector").isNotNull()).select("id", "vector"))
-    size = max(size, -(-2 * known.count() // BRANCHES), 2)
+    size = max(size, 2)
     points, links = neighbour_links(known, neighbours, linked or 2 * neighbours)
-    assigned, forks, _ = density_tree(points, checkpointed(links), size)
+    assigned, forks, _ = density_tree(points, links, size)
     placed = checkpointed(points.join(assigned, "id", "left"))
-    sums = placed.where(F.col("branch").isNotNull()).groupBy("branch").agg(
-        F.sum("n").cast("double").alias("n"), F.sum(F.col("n") / F.col("w")).alias("density"), F.min("id").alias("first")
-    ).collect()
-    # The tree: at most BRANCHES rows.
-    rows = sorted((r["branch"], r["child"], r["w"]) for r in forks.collect())
-    topic = chosen_branches(rows, {r["branch"]: (r["n"], r["density"]) for r in sums})
-    held: dict[str, list] = {}
-    for r in sums:
-        name = topic[r["branch"]][0]
-        if name is not None:
-            n, first = held.get(name, (0.0, None))
-            held[name] = (n + r["n"], r["first"] if first is None else min(first, r["first"]))
-    numbers = {name: i for i, name in enumerate(sorted(held, key=lambda t: (-held[t][0], held[t][1])))}
-    branches = spark.createDataFrame(
-        [(b, numbers.get(t, -1) if t is not None else -1, float(born)) for b, (t, born) in topic.items()],
-        "branch string, topic int, born double",
-    )
+    named = checkpointed(branch_topics(forks))
+    held = placed.join(named.where(F.col("name").isNotNull()).select("branch", "name"), "branch").groupBy("name")
+    held = held.agg(F.sum("n").alias("n"), F.min("id").alias("first"))
+    numbers = with_position(held, [F.desc("n"), F.asc("first")], "topic").select("name", F.col("topic").cast("int").alias("topic"))
+    branches = named.join(numbers, "name", "left").select("branch", F.coalesce("topic", F.lit(-1)).alias("topic"), "born")
+    branches = checkpointed(branches)
     placed = checkpointed(placed.join(branches.select("branch", "topic"), "branch", "left").fillna(-1, ["topic"]))
     found = known.join(placed.select("vector", "topic"), "vector").select("id", "topic")
     rest = vectors.where(F.col("vector").isNull()).select("id", F.lit(-1).alias("topic"))

@@ -290,3 +290,31 @@ def test_pairs_of_words_take_few_bytes(spark):
     path = shared_dir(spark, "cells")
     pairs.cells.write.parquet(path)
     assert n > 500_000 and sum(os.path.getsize(f) for f in glob.glob(path + "/*.parquet")) < 3 * n
+
+
+def test_a_topic_needs_no_share_of_all_points(spark):
+    """Pairs of equal points are topics of two beside however many others."""
+    pairs = np.repeat(np.arange(12.0)[:, None] * 50 + 500, 2, axis=0)
+    many = spark.range(1000, 151_000).select("id", F.array(F.lit(0.0)).alias("vector"))
+    found, topics = density.fit_topics(many.unionByName(frame(spark, pairs)), 2, 2, 3)
+    got = {r.topic: r.n for r in found.groupBy("topic").agg(F.count("*").alias("n")).collect()}
+    assert got == {0: 150_000, **{i: 2 for i in range(1, 13)}}
+    assert topics.branches.where("topic >= 0").count() >= 13
+
+
+def test_topics_of_a_deep_tree_of_branches(spark):
+    """The topmost picked ancestor counts, over a chain of any depth."""
+    rnd = random.Random(2)
+    rows, parent = [], {}
+    for i in range(300):
+        parent[i] = i - 1 if i % 50 else (None if not i else rnd.randrange(i))
+        rows.append((None if parent[i] is None else str(parent[i]), str(i), float(i), rnd.random() < 0.05))
+    picked = {i: r[3] for i, r in enumerate(rows)}
+    want = {}
+    for i in range(300):
+        best, at = None, i
+        while at is not None:
+            best, at = (at if picked[at] else best), parent[at]
+        want[str(i)] = (None, 0.0) if best is None else (str(best), float(best))
+    forks = spark.createDataFrame(rows, "branch string, child string, born double, picked boolean")
+    assert {r.branch: (r.name, r.born) for r in density.branch_topics(forks).collect()} == want and len(set(want.values())) > 3
