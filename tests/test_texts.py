@@ -272,3 +272,56 @@ def test_tasks_grow_with_the_texts(spark, monkeypatch):
     monkeypatch.setattr(corpus, "TASK_CHARS", 100)
     assert corpus.document_tasks(docs) == 70
     assert corpus.by_document(docs, "doc_id", 70).rdd.getNumPartitions() == 70
+
+
+def test_summaries_equal_plain_python_and_no_term_is_a_row(spark, monkeypatch):
+    """Long terms, abbreviations, repeated and missing keys, slices of few bytes; terms are counted inside the documents' tasks."""
+    import math
+    import random
+    import re
+    from collections import Counter
+
+    from ledgerleaf.functions.words import ABBREVIATIONS, STOP_WORDS
+    from ledgerleaf.operators import extracts
+
+    monkeypatch.setattr(extracts, "SLICE", 3000)
+    rnd = random.Random(3)
+    known = ["".join(rnd.choice("abcdefg") for _ in range(rnd.choice([1, 2, 4, 6, 13, 14, 15, 16]))) for _ in range(150)]
+    known += ["a" * 13 + "b", "a" * 13 + "bc", "Dr.", "xDr.", "Dr.Mr.", "Mr.", "the", "end.", "stop.", "a1b.", "naïve", "don't", "+", ",", "...", "x.y", "Ö."]
+    write = lambda n: "".join(rnd.choice(known) + rnd.choice([" ", " ", "\n", "\t "]) for _ in range(n))
+    rows = [(i, write(rnd.choice([0, 3, 80, 500, 501, 1700]))) for i in range(40)] + [(None, write(60)), (None, write(5)), (50, None), (51, "!?")]
+    rows += [(5, rows[5][1]), (5, rows[5][1])]
+
+    def terms(s):
+        return [w for w in re.findall("[a-z]+", s.lower()) if 2 <= len(w) <= 15 and w not in STOP_WORDS]
+
+    def parts(text):
+        words = re.sub(r"[^A-Za-z., \t\r\n+]", "", text or "").split()
+        for i in range(0, len(words), 500):
+            guarded = re.sub(rf"(^|[^A-Za-z])({'|'.join(ABBREVIATIONS)})\.", "\\1\\2\u0002", " ".join(words[i : i + 500]))
+            yield [s.strip().replace("\u0002", ".") for s in re.sub(r"([.!?]) ", "\\1\u0001", guarded).split("\u0001")]
+
+    df = Counter(w for _, text in rows for w in {w for p in parts(text) for s in p for w in terms(s)})
+
+    def shortened(parted):
+        tf = Counter(w for p in parted for s in p for w in terms(s))
+        out = []
+        for p in parted:
+            score = lambda s: round(sum(tf[w] * (math.log((1 + len(rows)) / (1 + df[w])) + 1) for w in terms(s)) / max(1, len(terms(s))), 6)
+            order, used, kept = sorted(range(len(p)), key=lambda i: (-score(p[i]), i)), 0, []
+            for i in order:
+                used += len(p[i].split(" "))
+                kept += [i] if not kept or used <= 62 else []
+            out.append([p[i] for i in sorted(kept)])
+        return out
+
+    joined = lambda p: " " + " ".join(s for one in p for s in one)
+    # Copies of a row count together and change no order: every term counts as often.
+    first = [(k, shortened(list(parts(text))) if k is not None else []) for k, text in rows]
+    second = [(k, shortened([sum(p[i : i + 10], []) for i in range(0, len(p), 10)])) for k, p in first]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = dc.summaries(table)
+    for got, want in ((found, first), (dc.tree_summaries(table), second)):
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(((k, joined(p)) for k, p in want), key=repr)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Window" not in plan and "MapInArrow" in plan
