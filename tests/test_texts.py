@@ -325,3 +325,17 @@ def test_summaries_equal_plain_python_and_no_term_is_a_row(spark, monkeypatch):
         assert sorted(map(tuple, got.collect()), key=repr) == sorted(((k, joined(p)) for k, p in want), key=repr)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and "Window" not in plan and "MapInArrow" in plan
+
+
+def test_line_rules_run_only_where_their_signs_are(spark):
+    """A text without a rule's sign is left as the rule would leave it; words with digits go as by the plain rule."""
+    import random
+
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice([" ", " ", "\n", "\t", "\r", "a", "b7", "é", "9", " "]) for _ in range(rnd.randint(0, 14))) for _ in range(800)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for signs, rule in zip(tx.LINE_SIGNS, tx.LINES, strict=True):
+        assert df.where(~tx.apply_where(F.col("t"), signs, [rule]).eqNullSafe(tx.apply_rules(F.col("t"), [rule]))).isEmpty()
+    lines = F.btrim(tx.apply_rules(F.col("t"), tx.LINES), F.lit(" \n"))
+    plain = F.trim(tx.apply_rules(lines, tx.DIGIT_WORDS))
+    assert df.where(~tx.clean_text(F.col("t"), "keep_punct").eqNullSafe(tx.apply_rules(plain, tx.KEEP_PUNCT))).isEmpty()
