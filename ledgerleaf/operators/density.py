@@ -28,6 +28,8 @@ from ledgerleaf.session import checkpointed
 BAND = 2_000_000
 #: Distances below count as this, so that densities stay finite.
 TOUCHING = 1e-6
+#: Share of a branch's sum of densities that rounding may take.
+ROUNDING = 1e-12
 
 
 def neighbour_links(vectors: DataFrame, neighbours: int, linked: int) -> tuple[DataFrame, DataFrame]:
@@ -77,9 +79,10 @@ class Branch(NamedTuple):
     def chosen(self, born: float) -> tuple[bool, float]:
         """Whether the branch, which exists from a density on, outweighs its chosen descendants, and the larger weight.
 
-        Its weight is what its points gain in density while it lasts."""
+        Its weight is what its points gain in density while it lasts; a branch that ends where it began weighs nothing, which
+        rounding must not turn into less."""
         own = self.density - self.points * born
-        return own >= self.below, max(own, self.below)
+        return own >= self.below - ROUNDING * self.density, max(own, self.below)
 
 
 def joined_parts(name: str, parts: list[tuple[int, int, Branch | None]], links: list[tuple[float, int, int]], size: int) -> list[tuple]:
@@ -209,7 +212,7 @@ def density_tree(points: DataFrame, links: DataFrame, size: int, single: bool =
         parts = checkpointed(parts.join(roots.select("part"), "part", "left_anti").unionByName(merged))
     tops = parts.where(F.col("branch").isNotNull())
     alone = not single and tops.count() == 1
-    kept = (F.col("density") >= F.col("below")) & F.lit(not alone)
+    kept = (F.col("density") * (1 + ROUNDING) >= F.col("below")) & F.lit(not alone)
     forks.append(tops.select(F.lit(None).cast("string").alias("branch"), F.col("branch").alias("child"), F.lit(0.0).alias("born"), kept.alias("picked")))
 
     def together(frames: list[DataFrame], schema: str) -> DataFrame:

@@ -318,3 +318,10 @@ def test_topics_of_a_deep_tree_of_branches(spark):
         want[str(i)] = (None, 0.0) if best is None else (str(best), float(best))
     forks = spark.createDataFrame(rows, "branch string, child string, born double, picked boolean")
     assert {r.branch: (r.name, r.born) for r in density.branch_topics(forks).collect()} == want and len(set(want.values())) > 3
+
+
+def test_a_branch_that_ends_where_it_began_weighs_nothing():
+    rnd = random.Random(4)
+    for w in [rnd.uniform(1e-3, 2) for _ in range(400)]:
+        grown = density.Branch("b", 0.0, 0.0, 0.0).with_points(7, w).with_points(3, w).with_points(1, w)
+        assert grown.chosen(1 / w)[0] and not grown._replace(below=1e-6).chosen(1 / w)[0]
